@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,16 +31,28 @@ def local_session(cores: str | int = 8, memory: str = "12g") -> SparkSession:
     return builder.getOrCreate()
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage through the shared checkpoint folder.
+def _checkpoint_root(spark: SparkSession) -> str:
+    """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``.  Only
-    a local master without that setting gets a folder of its own.
+    Only a local master without that setting gets a folder of its own.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
+    context = spark.sparkContext
+    current = context.getCheckpointDir()
+    if current is None:
         named = context.getConf().get("spark.checkpoint.dir", None)
         if named is None and not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="garimpo-checkpoint-"))
+        current = context.getCheckpointDir()
+    return current
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Cut the lineage through the shared checkpoint folder."""
+    _checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder under the shared one, for tables that are written and read back."""
+    return f"{_checkpoint_root(spark)}/{name}-{uuid4().hex}"
