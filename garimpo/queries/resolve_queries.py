@@ -1 +1,186 @@
-"""Queries."""
+"""Similarity and entity resolution."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions.dates import date_window
+from ..functions.similarity import token_ratio
+from ..functions.text import fold_strip, sort_tokens
+from ..operators import resolve as R
+from ..plans import silver as P
+from ..schemas import COMPANIES, JOBS, LOCATIONS
+from . import stand_ins as S
+from .registry import query, table
+
+# One row of the longest-common-subsequence table per step, for all pairs (k, a, b).
+LCS_SQL = """
+lcs AS (
+  SELECT k, a, b, 0 AS i, list_transform(range(0, length(b) + 1), lambda x: CAST(0 AS BIGINT)) AS line FROM pairs
+  UNION ALL
+  SELECT k, a, b, i + 1,
+    list_concat([CAST(0 AS BIGINT)], list_transform(range(1, length(b) + 1), lambda j: list_max(
+      list_transform(range(1, j + 1), lambda h: greatest(line[h + 1],
+        line[h] + CAST(substr(a, i + 1, 1) = substr(b, h, 1) AS BIGINT))))))
+  FROM lcs WHERE i < length(a)),
+scored AS (SELECT k, line[length(b) + 1] AS shared, length(a) + length(b) AS total FROM lcs WHERE i = length(a))"""
+
+
+def part_pairs(spark, folder):
+    title = F.concat_ws(" ", "p_name", "p_type", "p_brand")
+    parts = table(spark, folder, "part").select("p_partkey", sort_tokens(fold_strip(title)).alias("title"))
+    following = parts.select((F.col("p_partkey") - 1).alias("p_partkey"), F.col("title").alias("next_title"))
+    return parts.join(following, "p_partkey")
+
+
+@query("token_sort_ratio", f"""
+  WITH RECURSIVE titles AS (
+    SELECT p_partkey, {S.sql_sort_tokens("lower(concat_ws(' ', p_name, p_type, p_brand))")} AS t FROM part),
+  pairs AS (SELECT x.p_partkey AS k, x.t AS a, y.t AS b FROM titles x JOIN titles y ON y.p_partkey = x.p_partkey + 1),
+  {LCS_SQL}
+  SELECT k AS p_partkey, round(200.0 * shared / total, 6) AS ratio FROM scored""")
+def token_sort_ratio(spark, folder):
+    """Every part against the next one."""
+    score = token_ratio(F.col("title"), F.col("next_title"))
+    return part_pairs(spark, folder).select("p_partkey", F.round(score, 6).alias("ratio"))
+
+
+# --- pages ------------------------------------------------------------------------
+def page_nodes(spark, folder):
+    return R.keyed_postings(
+        S.page_postings(spark, folder), "title", "company", "posted_at",
+        R.raw_order(F.col("ingested_at"), F.col("id")), ["id"],
+    )
+
+
+# Nodes in order; company pairs first, titles only where the companies reach 90.
+LEADERS_SQL = f"""
+WITH RECURSIVE {S.PAGES_SQL},
+keyed AS (
+  SELECT id, page_id, {S.sql_window("posted_at")} AS bucket,
+    {S.sql_sort_tokens(S.sql_fold("title"))} AS t, {S.sql_sort_tokens(S.sql_fold("company"))} AS c FROM postings),
+nodes AS (
+  SELECT bucket, t, c, max(id) AS id, row_number() OVER (ORDER BY max(id) DESC) AS n
+  FROM keyed WHERE t <> '' AND c <> '' GROUP BY bucket, t, c),
+names AS (SELECT DISTINCT c FROM nodes),
+name_pairs AS (
+  SELECT row_number() OVER (ORDER BY x.c, y.c) AS k, x.c AS a, y.c AS b FROM names x JOIN names y
+  ON x.c < y.c AND 200 * least(length(x.c), length(y.c)) >= 90 * (length(x.c) + length(y.c))),
+name_lcs AS ({{name_lcs}}),
+alike AS (
+  SELECT a, b FROM name_pairs p JOIN name_lcs s ON p.k = s.k WHERE 200 * s.shared >= 90 * s.total
+  UNION ALL SELECT b, a FROM name_pairs p JOIN name_lcs s ON p.k = s.k WHERE 200 * s.shared >= 90 * s.total
+  UNION ALL SELECT c, c FROM names),
+title_pairs AS (
+  SELECT x.n * 1000000 + y.n AS k, x.n AS first, y.n AS later, x.t AS a, y.t AS b
+  FROM nodes x JOIN alike ON x.c = alike.a JOIN nodes y ON y.c = alike.b
+  WHERE x.bucket = y.bucket AND x.n < y.n
+    AND 200 * least(length(x.t), length(y.t)) >= 85 * (length(x.t) + length(y.t))),
+title_lcs AS ({{title_lcs}}),
+edges AS (SELECT first, later FROM title_pairs p JOIN title_lcs s ON p.k = s.k WHERE 200 * s.shared >= 85 * s.total),
+earlier AS (SELECT n, id, list_filter(list(first), lambda x: x IS NOT NULL) AS firsts
+            FROM nodes LEFT JOIN edges ON n = later GROUP BY n, id),
+greedy AS (
+  SELECT CAST(0 AS BIGINT) AS n, CAST([] AS BIGINT[]) AS leads, CAST(NULL AS BIGINT) AS chosen
+  UNION ALL
+  SELECT e.n, CASE WHEN list_has_any(g.leads, e.firsts) THEN g.leads ELSE list_append(g.leads, e.n) END,
+    coalesce(list_min(list_intersect(g.leads, e.firsts)), e.n)
+  FROM greedy g JOIN earlier e ON e.n = g.n + 1)
+"""
+
+
+def _lcs_of(pairs: str) -> str:
+    """The LCS recursion over a named pair table as a subquery."""
+    return f"WITH RECURSIVE pairs AS (SELECT k, a, b FROM {pairs}), {LCS_SQL} SELECT * FROM scored"
+
+
+LEADERS_SQL = LEADERS_SQL.replace("{name_lcs}", _lcs_of("name_pairs")).replace("{title_lcs}", _lcs_of("title_pairs"))
+
+
+@query("fuzzy_pairs", LEADERS_SQL + """
+  SELECT k.id, lead.id AS leader_id
+  FROM keyed k JOIN nodes own ON k.bucket = own.bucket AND k.t = own.t AND k.c = own.c
+    JOIN greedy g ON g.n = own.n JOIN nodes lead ON lead.n = g.chosen""")
+def fuzzy_pairs(spark, folder):
+    """Every page posting with the posting that leads it."""
+    postings = page_nodes(spark, folder)
+    assigned = R.assign_leaders(R.nodes(postings, False))
+    leads = R.nodes(postings, False).select(
+        F.col("kid").alias("leader_kid"), F.substring("ord", 21, 40).alias("leader_id")
+    )
+    return postings.join(assigned, "kid").join(leads, "leader_kid").select("id", "leader_id")
+
+
+@query("fuzzy_pairs_in_rounds", LEADERS_SQL + """
+  SELECT k.id, lead.id AS leader_id
+  FROM keyed k JOIN nodes own ON k.bucket = own.bucket AND k.t = own.t AND k.c = own.c
+    JOIN greedy g ON g.n = own.n JOIN nodes lead ON lead.n = g.chosen""")
+def fuzzy_pairs_in_rounds(spark, folder):
+    """The same through components and distributed rounds, as very large windows take them."""
+    postings = page_nodes(spark, folder)
+    limits = R.Limits(group_nodes=3, block_companies=20, first_peel=4)
+    assigned = R.assign_leaders(R.nodes(postings, False), limits=limits)
+    leads = R.nodes(postings, False).select(
+        F.col("kid").alias("leader_kid"), F.substring("ord", 21, 40).alias("leader_id")
+    )
+    return postings.join(assigned, "kid").join(leads, "leader_kid").select("id", "leader_id")
+
+
+@query("fuzzy_dedup_counts", LEADERS_SQL + """
+  SELECT count(*) FILTER (k.id = lead.id) AS new, count(*) FILTER (k.id <> lead.id) AS duplicate,
+    (SELECT count(*) FROM keyed WHERE t = '' OR c = '') AS skipped
+  FROM keyed k JOIN nodes own ON k.bucket = own.bucket AND k.t = own.t AND k.c = own.c
+    JOIN greedy g ON g.n = own.n JOIN nodes lead ON lead.n = g.chosen""")
+def fuzzy_dedup_counts(spark, folder):
+    """Counters of the whole step over pages, without known jobs."""
+    empty = [spark.createDataFrame([], schema) for schema in (JOBS, COMPANIES, LOCATIONS)]
+    return P.resolve(S.page_postings(spark, folder), *empty, S.RUN_AT).stats
+
+
+@query("fuzzy_dedup")
+def fuzzy_dedup(spark, folder):
+    """All order lines as postings: part as title, supplier as company, ship date."""
+    rows = (
+        table(spark, folder, "lineitem")
+        .join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
+        .join(table(spark, folder, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+        .select(
+            F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").alias("id"),
+            F.concat_ws(" ", "p_name", "p_type", "p_brand").alias("title"),
+            F.col("s_name").alias("company"),
+            F.col("l_shipdate").cast("date").alias("posted_at"),
+            F.col("l_shipdate").cast("timestamp").alias("ingested_at"),
+        )
+    )
+    postings = R.keyed_postings(
+        rows, "title", "company", "posted_at", R.raw_order(F.col("ingested_at"), F.col("id")), ["id"]
+    )
+    assigned = R.assign_leaders(R.nodes(postings, False))
+    return postings.select("id", "kid").join(assigned, "kid").select("id", "kid", "leader_kid")
+
+
+@query("resolve_postings")
+def resolve_postings(spark, folder):
+    """Page postings against known jobs: the pages of ``www`` hosts are known already."""
+    pages = S.page_postings(spark, folder)
+    known = pages.filter(F.col("company").startswith("www."))
+    companies = known.select("company").distinct().select(
+        F.md5("company").alias("id"), F.col("company").alias("name")
+    )
+    locations = known.select("location").distinct().select(
+        F.md5("location").alias("id"), F.col("location").alias("raw"),
+        *[F.lit(None).cast("string").alias(c) for c in ("city", "state", "country")],
+        F.lit(False).alias("is_remote"),
+    )
+    jobs = known.select(
+        F.concat(F.lit("job-"), F.col("id")).alias("job_id"),
+        F.array(F.concat(F.lit("old-"), F.col("source_id"))).alias("source_ids"),
+        F.sha2("id", 256).alias("dedup_hash"), "title",
+        F.md5("company").alias("company_id"), F.md5("location").alias("location_id"),
+        *[F.lit(None).cast("string").alias(c) for c in ("area", "seniority")],
+        F.array().cast("array<string>").alias("skills"), "url", "posted_at",
+        F.lit(False).alias("is_remote"), F.lit(False).alias("is_hybrid"),
+        F.col("ingested_at").alias("created_at"), F.lit(True).alias("is_active"),
+        F.lit(None).cast("string").alias("classification_source"),
+    )
+    return P.resolve(pages, jobs, companies, locations, S.RUN_AT).mapping
