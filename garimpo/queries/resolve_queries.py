@@ -13,17 +13,21 @@ from ..schemas import COMPANIES, JOBS, LOCATIONS
 from . import stand_ins as S
 from .registry import query, table
 
-# One row of the longest-common-subsequence table per step, for all pairs (k, a, b).
+# Longest common subsequence of all pairs (k, a, b), one character of b per step: the
+# zero bits of ``open`` count it.  128-bit numbers hold texts of up to 120 characters.
 LCS_SQL = """
 lcs AS (
-  SELECT k, a, b, 0 AS i, list_transform(range(0, length(b) + 1), lambda x: CAST(0 AS BIGINT)) AS line FROM pairs
+  SELECT k, a, b, 0 AS i, (CAST(1 AS HUGEINT) << length(a)) - 1 AS full_bits,
+    (CAST(1 AS HUGEINT) << length(a)) - 1 AS open FROM pairs
   UNION ALL
-  SELECT k, a, b, i + 1,
-    list_concat([CAST(0 AS BIGINT)], list_transform(range(1, length(b) + 1), lambda j: list_max(
-      list_transform(range(1, j + 1), lambda h: greatest(line[h + 1],
-        line[h] + CAST(substr(a, i + 1, 1) = substr(b, h, 1) AS BIGINT))))))
-  FROM lcs WHERE i < length(a)),
-scored AS (SELECT k, line[length(b) + 1] AS shared, length(a) + length(b) AS total FROM lcs WHERE i = length(a))"""
+  SELECT k, a, b, i + 1, full_bits, ((open + hit) | (open - hit)) & full_bits
+  FROM (
+    SELECT *, open & coalesce(CAST(list_sum(list_transform(range(0, length(a)), lambda p:
+      CASE WHEN substr(a, p + 1, 1) = substr(b, i + 1, 1) THEN CAST(1 AS HUGEINT) << CAST(p AS INTEGER)
+           ELSE CAST(0 AS HUGEINT) END)) AS HUGEINT), 0) AS hit
+    FROM lcs WHERE i < length(b))),
+scored AS (SELECT k, length(a) - bit_count(open) AS shared, length(a) + length(b) AS total
+           FROM lcs WHERE i = length(b))"""
 
 
 def part_pairs(spark, folder):
@@ -59,15 +63,15 @@ WITH RECURSIVE {S.PAGES_SQL},
 keyed AS (
   SELECT id, page_id, {S.sql_window("posted_at")} AS bucket,
     {S.sql_sort_tokens(S.sql_fold("title"))} AS t, {S.sql_sort_tokens(S.sql_fold("company"))} AS c FROM postings),
-nodes AS (
+nodes AS MATERIALIZED (
   SELECT bucket, t, c, max(id) AS id, row_number() OVER (ORDER BY max(id) DESC) AS n
   FROM keyed WHERE t <> '' AND c <> '' GROUP BY bucket, t, c),
 names AS (SELECT DISTINCT c FROM nodes),
 name_pairs AS (
   SELECT row_number() OVER (ORDER BY x.c, y.c) AS k, x.c AS a, y.c AS b FROM names x JOIN names y
   ON x.c < y.c AND 200 * least(length(x.c), length(y.c)) >= 90 * (length(x.c) + length(y.c))),
-name_lcs AS ({{name_lcs}}),
-alike AS (
+name_lcs AS MATERIALIZED ({{name_lcs}}),
+alike AS MATERIALIZED (
   SELECT a, b FROM name_pairs p JOIN name_lcs s ON p.k = s.k WHERE 200 * s.shared >= 90 * s.total
   UNION ALL SELECT b, a FROM name_pairs p JOIN name_lcs s ON p.k = s.k WHERE 200 * s.shared >= 90 * s.total
   UNION ALL SELECT c, c FROM names),
@@ -76,9 +80,9 @@ title_pairs AS (
   FROM nodes x JOIN alike ON x.c = alike.a JOIN nodes y ON y.c = alike.b
   WHERE x.bucket = y.bucket AND x.n < y.n
     AND 200 * least(length(x.t), length(y.t)) >= 85 * (length(x.t) + length(y.t))),
-title_lcs AS ({{title_lcs}}),
-edges AS (SELECT first, later FROM title_pairs p JOIN title_lcs s ON p.k = s.k WHERE 200 * s.shared >= 85 * s.total),
-earlier AS (SELECT n, id, list_filter(list(first), lambda x: x IS NOT NULL) AS firsts
+title_lcs AS MATERIALIZED ({{title_lcs}}),
+edges AS MATERIALIZED (SELECT first, later FROM title_pairs p JOIN title_lcs s ON p.k = s.k WHERE 200 * s.shared >= 85 * s.total),
+earlier AS MATERIALIZED (SELECT n, id, list_filter(list(first), lambda x: x IS NOT NULL) AS firsts
             FROM nodes LEFT JOIN edges ON n = later GROUP BY n, id),
 greedy AS (
   SELECT CAST(0 AS BIGINT) AS n, CAST([] AS BIGINT[]) AS leads, CAST(NULL AS BIGINT) AS chosen
@@ -163,7 +167,7 @@ def fuzzy_dedup(spark, folder):
 def resolve_postings(spark, folder):
     """Page postings against known jobs: the pages of ``www`` hosts are known already."""
     pages = S.page_postings(spark, folder)
-    known = pages.filter(F.col("company").startswith("www."))
+    known = pages.filter(F.col("location").startswith("www."))
     companies = known.select("company").distinct().select(
         F.md5("company").alias("id"), F.col("company").alias("name")
     )

@@ -300,15 +300,15 @@ def on_runs(select: str) -> str:
 
 # --- postings from pages ----------------------------------------------------------
 def page_postings(spark: SparkSession, folder: str) -> DataFrame:
-    """Raw postings: page title, host as company, path language as location, path number as day."""
+    """Raw postings: page title, path language as company, host as location, path number as day."""
     number = F.regexp_extract("url", r"/(\d+)", 1)
     return table(spark, folder, "pages").select(
         F.lpad(F.col("page_id").cast("string"), 12, "0").alias("id"),
         F.lit("gupy").alias("source"),
         F.col("page_id").cast("string").alias("source_id"),
         F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"),
-        F.regexp_extract("url", "://([^/]+)", 1).alias("company"),
-        F.regexp_extract("url", "://[^/]+/([a-z]+)/", 1).alias("location"),
+        F.regexp_extract("url", "://[^/]+/([a-z]+)/", 1).alias("company"),
+        F.regexp_extract("url", "://([^/]+)", 1).alias("location"),
         F.col("html").alias("description"),
         "url",
         F.when(number != "", F.date_add(F.lit("2024-01-01").cast("date"),
@@ -323,8 +323,8 @@ PAGES_SQL = r"""
 postings AS (
   SELECT lpad(CAST(page_id AS VARCHAR), 12, '0') AS id, CAST(page_id AS VARCHAR) AS source_id, page_id,
     regexp_extract(html, '<title>([^<]*)</title>', 1) AS title,
-    regexp_extract(url, '://([^/]+)', 1) AS company,
-    regexp_extract(url, '://[^/]+/([a-z]+)/', 1) AS location,
+    regexp_extract(url, '://[^/]+/([a-z]+)/', 1) AS company,
+    regexp_extract(url, '://([^/]+)', 1) AS location,
     html AS description, url,
     CASE WHEN regexp_extract(url, '/(\d+)', 1) <> '' THEN DATE '2024-01-01'
       + CAST(CAST(regexp_extract(url, '/(\d+)', 1) AS BIGINT) // 100 AS INTEGER) END AS posted_at
