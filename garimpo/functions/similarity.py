@@ -8,6 +8,7 @@ candidate pairs that passed the JVM-side bounds.
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, functions as F
 from pyspark.sql.types import BooleanType, DoubleType
@@ -45,6 +46,97 @@ def ratio(a: str, b: str) -> float:
     return 100.0 if total == 0 else 100.0 * (1.0 - (total - 2 * lcs_length(a, b)) / total)
 
 
+class TextSet:
+    """Folded texts of one task, compared with one another in vectors.
+
+    ``reached`` first bounds the ratio by length and by shared characters, then
+    runs the bit-parallel table for all remaining texts at once.  Texts that do
+    not fit a machine word go through ``reaches`` one by one.
+    """
+
+    WORD = 63
+
+    def __init__(self, texts: list[str]) -> None:
+        raw = [np.frombuffer(t.encode("ascii"), dtype=np.uint8) for t in texts]
+        self.texts = texts
+        self.sizes = np.array([len(r) for r in raw], dtype=np.int64)
+        self.short = self.sizes <= self.WORD
+        width = int(self.sizes[self.short].max(initial=0))
+        # Column j holds the j-th character of every text; 0 pads and matches nothing.
+        self.codes = np.zeros((width, len(texts)), dtype=np.uint8)
+        counts = np.zeros((len(texts), 128), dtype=np.int32)
+        for i, r in enumerate(raw):
+            counts[i] = np.bincount(r, minlength=128)
+            if self.short[i]:
+                self.codes[: len(r), i] = r
+        self.counts = counts[:, counts.any(axis=0)]
+        if self.counts.max(initial=0) < 256:
+            self.counts = self.counts.astype(np.uint8)
+
+    def reached(self, i: int, others: np.ndarray, threshold: int) -> np.ndarray:
+        """Those of ``others`` (indexes) that reach the threshold with text ``i``, in their order."""
+        others = self._possible(i, others, threshold)
+        if not others.size:
+            return others
+        if not self.short[i]:
+            return np.array([j for j in others if self._one(i, j, threshold)], dtype=np.int64)
+        hits = self._shared(np.array([i]), others)[0] * 200 >= threshold * (self.sizes[others] + self.sizes[i])
+        for k in np.flatnonzero(~self.short[others]):
+            hits[k] = self._one(i, others[k], threshold)
+        return others[hits]
+
+    def first_reached(self, i: int, others: np.ndarray, threshold: int) -> int:
+        """The first of ``others`` that reaches the threshold, or -1."""
+        others = self._possible(i, others, threshold)
+        start, step = 0, 64
+        while start < others.size:
+            found = self.reached(i, others[start : start + step], threshold)
+            if found.size:
+                return int(found[0])
+            start, step = start + step, step * 4
+        return -1
+
+    def matrix(self, threshold: int, block: int = 64) -> np.ndarray:
+        """Which texts reach the threshold with which, as a square of booleans."""
+        count = len(self.texts)
+        everyone = np.arange(count)
+        square = np.eye(count, dtype=bool)
+        for start in range(0, count, block):
+            rows = everyone[start : start + block]
+            rows = rows[self.short[rows]]
+            if rows.size:
+                totals = self.sizes[rows][:, None] + self.sizes
+                square[rows] |= self._shared(rows, everyone) * 200 >= threshold * totals
+        for i in np.flatnonzero(~self.short):
+            square[i] = False
+            square[i, self.reached(i, everyone, threshold)] = True
+            square[:, i] = square[i]
+        return square
+
+    def _possible(self, i: int, others: np.ndarray, threshold: int) -> np.ndarray:
+        size, sizes = self.sizes[i], self.sizes[others]
+        others = others[200 * np.minimum(sizes, size) >= threshold * (sizes + size)]
+        shared = np.minimum(self.counts[others], self.counts[i]).sum(axis=1, dtype=np.int64)
+        return others[200 * shared >= threshold * (self.sizes[others] + size)]
+
+    def _shared(self, rows: np.ndarray, others: np.ndarray) -> np.ndarray:
+        """LCS of every short text in ``rows`` with every short one in ``others``."""
+        masks = np.zeros((len(rows), 128), dtype=np.uint64)
+        for k, i in enumerate(rows):
+            for place, char in enumerate(self.texts[i].encode("ascii")):
+                masks[k, char] |= np.uint64(1 << place)
+        masks[:, 0] = 0
+        full = ((np.uint64(1) << self.sizes[rows].astype(np.uint64)) - np.uint64(1))[:, None]
+        bits = np.repeat(full, len(others), axis=1)
+        for line in self.codes[: int(self.sizes[others].max())]:
+            hit = bits & masks[:, line[others]]
+            bits = ((bits + hit) | (bits - hit)) & full
+        return self.sizes[rows][:, None] - np.bitwise_count(bits).astype(np.int64)
+
+    def _one(self, i: int, j: int, threshold: int) -> bool:
+        return reaches(self.texts[i], self.texts[j], threshold)
+
+
 @F.pandas_udf(DoubleType())
 def _ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([ratio(x, y) for x, y in zip(a, b)], dtype="float64")

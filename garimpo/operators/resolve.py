@@ -20,6 +20,7 @@ The result is exact for any distribution of the data:
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import combinations
 from typing import NamedTuple
 
 import numpy as np
@@ -29,7 +30,7 @@ from pyspark.sql.types import ArrayType, StringType
 
 from ..functions import fixed_values as V
 from ..functions.dates import date_window
-from ..functions.similarity import lcs_length, lengths_allow, token_ratio_reaches
+from ..functions.similarity import TextSet, lengths_allow, token_ratio_reaches
 from ..functions.text import fold_strip, sort_tokens
 from ..session import checkpoint
 
@@ -41,6 +42,7 @@ class Limits(NamedTuple):
 
     group_nodes: int = 2000  # nodes one task assigns by itself
     block_companies: int = 200  # names compared pairwise within a signature
+    few_companies: int = 200_000  # names up to which two character pairs make a signature, then three
     first_peel: int = 64  # leading nodes per signature in the first round
 
 
@@ -137,54 +139,26 @@ def assign_leaders(
     return assigned.unionByName(_peel(oversize, title_threshold, company_threshold, limits))
 
 
-def _letter_counts(texts: list[str]) -> np.ndarray:
-    """Characters per text; the texts are ASCII."""
-    counts = np.zeros((len(texts), 128), dtype=np.int32)
-    for i, text in enumerate(texts):
-        counts[i] = np.bincount(np.frombuffer(text.encode("ascii"), dtype=np.uint8), minlength=128)
-    return counts[:, counts.any(axis=0)]
-
-
-def _possible(counts: np.ndarray, sizes: np.ndarray, i: int, others: np.ndarray, threshold: int):
-    """Those of ``others`` whose shared characters could reach the threshold with ``i``."""
-    shared = np.minimum(counts[others], counts[i]).sum(axis=1)
-    return others[200 * shared >= threshold * (sizes[others] + sizes[i])]
-
-
 def _greedy(title_threshold: int, company_threshold: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     """Assign the nodes of one bounded group in order."""
 
-    def close(a: str, b: str, threshold: int) -> bool:
-        return a == b or 200 * lcs_length(a, b) >= threshold * (len(a) + len(b))
-
     def assign(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("ord", ignore_index=True)
-        titles = group["title_k"].tolist()
-        codes, names = pd.factorize(group["company_k"])
-        names = list(names)
-        title_counts, name_counts = _letter_counts(titles), _letter_counts(names)
-        title_sizes = np.array([len(t) for t in titles])
-        name_sizes = np.array([len(n) for n in names])
-
-        alike: list[np.ndarray] = []
-        for i, name in enumerate(names):
-            maybe = _possible(name_counts, name_sizes, i, np.arange(len(names)), company_threshold)
-            alike.append(np.array([j for j in maybe if close(name, names[j], company_threshold)]))
-
-        leads = np.zeros(len(titles), dtype=bool)
-        by_name: list[list[int]] = [[] for _ in names]
-        chosen = np.arange(len(titles))
-        for i, forced in enumerate(group["forced"].tolist()):
-            earlier = sorted(j for c in alike[codes[i]] for j in by_name[c])
-            if earlier:
-                maybe = _possible(title_counts, title_sizes, i, np.array(earlier), title_threshold)
-                for j in maybe:
-                    if close(titles[i], titles[j], title_threshold):
-                        chosen[i] = j
-                        break
-            if forced or chosen[i] == i:
-                leads[i] = True
-                by_name[codes[i]].append(i)
+        codes, distinct_names = pd.factorize(group["company_k"])
+        names, titles = TextSet(list(distinct_names)), TextSet(group["title_k"].tolist())
+        alike = names.matrix(company_threshold)
+        forced = group["forced"].to_numpy(dtype=bool)
+        chosen = np.arange(len(group))
+        leads = np.empty(len(group), dtype=np.int64)
+        count = 0
+        for i in range(len(group)):
+            earlier = leads[:count]
+            first = titles.first_reached(i, earlier[alike[codes[i], codes[earlier]]], title_threshold)
+            if first >= 0:
+                chosen[i] = first
+            if first < 0 or forced[i]:
+                leads[count] = i
+                count += 1
         kids = group["kid"].to_numpy()
         return pd.DataFrame({"kid": kids, "leader_kid": kids[chosen]})
 
@@ -210,7 +184,7 @@ def _gram_ranks(texts: DataFrame, column: str) -> dict[str, int]:
 
 
 def signature_terms(
-    text: str, threshold: int, ranks: dict[str, int], pair_length: int = 0
+    text: str, threshold: int, ranks: dict[str, int], degree: int = 1, longest: int = 0
 ) -> list[str]:
     """Terms of which two texts that reach the threshold share at least one.
 
@@ -219,42 +193,40 @@ def signature_terms(
     d, and bounds S from below by the text's own length.  Above a threshold of
     80 at least one pair is sure, or the texts are equal.  So among each text's
     rarest pairs, all but the guaranteed number less one, a common one must be.
-    Texts up to ``pair_length`` use two such pairs at once, which is far more
-    selective, wherever two common pairs are guaranteed.
+    Texts of up to ``longest`` characters use ``degree`` such pairs at once,
+    which is far more selective, wherever that many common pairs are sure.
     """
-    size = len(text)
-    slack = 1 - threshold / 100
-    least_total = size * 2 / (1 + slack)
-    sure = int(np.ceil(least_total * (0.5 - 1.5 * slack) - 1 - 1e-9))
-    if size < 2 or least_total * slack < 1e-9:
+    size, slack = len(text), 1 - threshold / 100
+    if size < 2 or slack < 1e-9:
         return ["=" + text]
+
+    def sure(length: float) -> int:
+        return int(np.ceil(2 * length / (1 + slack) * (0.5 - 1.5 * slack) - 1 - 1e-9))
+
     seen: dict[str, int] = {}
     grams = []
     for i in range(size - 1):
         gram = text[i : i + 2]
         seen[gram] = seen.get(gram, 0) + 1
-        grams.append((ranks.get(gram, -1), gram, seen[gram]))
-    grams.sort()
-    single = grams[: len(grams) - max(sure, 1) + 1]
+        grams.append((ranks.get(gram, -1), f"{gram}{seen[gram]}"))
+    rare = [gram for _, gram in sorted(grams)]
+    stretch = (1 + slack) / (1 - slack)
+    joined = degree > 1 and sure(size) >= degree and size <= longest
     terms = []
-    longest_partner = size * (1 + slack) / (1 - slack)
-    shortest_partner = size * (1 - slack) / (1 + slack)
-    partner_sure = int(np.ceil(shortest_partner * 2 / (1 + slack) * (0.5 - 1.5 * slack) - 1 - 1e-9))
-    use_pairs = sure >= 2 and size <= pair_length
-    if not use_pairs or partner_sure < 2 or longest_partner > pair_length:
-        terms += [f"{gram}{n}" for _, gram, n in single]
-    if use_pairs:
-        double = grams[: len(grams) - sure + 2]
-        terms += [
-            f"{a[1]}{a[2]}&{b[1]}{b[2]}" for k, a in enumerate(double) for b in double[k + 1 :]
-        ]
+    # Partners may be too short or too long for joined pairs; they share a single one.
+    if not joined or sure(size / stretch) < degree or size * stretch > longest:
+        terms += rare[: len(rare) - max(sure(size), 1) + 1]
+    if joined:
+        terms += map("&".join, combinations(rare[: len(rare) - sure(size) + degree], degree))
     return terms
 
 
-def _signatures(column: Column, threshold: int, ranks: dict[str, int], pair_length: int) -> Column:
+def _signatures(
+    column: Column, threshold: int, ranks: dict[str, int], degree: int = 1, longest: int = 0
+) -> Column:
     @F.pandas_udf(ArrayType(StringType()))
     def terms(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: signature_terms(t, threshold, ranks, pair_length))
+        return texts.map(lambda t: signature_terms(t, threshold, ranks, degree, longest))
 
     return terms(column)
 
@@ -271,11 +243,12 @@ def company_components(
     keeps the work linear.
     """
     names = checkpoint(companies.select("company_k"))
+    degree = 2 if names.count() <= limits.few_companies else 3
     ranks = _gram_ranks(names, "company_k")
     blocks = checkpoint(
         names.select(
             "company_k",
-            F.explode(_signatures(F.col("company_k"), threshold, ranks, pair_length=40)).alias("term"),
+            F.explode(_signatures(F.col("company_k"), threshold, ranks, degree, 36)).alias("term"),
         )
     )
     sizes = blocks.groupBy("term").agg(
@@ -358,7 +331,7 @@ def _peel(group_nodes: DataFrame, title_threshold: int, company_threshold: int,
     members = checkpoint(
         texts.select(
             "kid", "ord", "forced", F.char_length("title_k").alias("size"),
-            F.explode(_signatures(F.col("title_k"), title_threshold, ranks, pair_length=0)).alias("term"),
+            F.explode(_signatures(F.col("title_k"), title_threshold, ranks)).alias("term"),
             "window", "component",
         ).select(
             "kid", "ord", "forced", "size",

@@ -105,7 +105,9 @@ def resolve(
     ``mapping`` has a row per posting (id, outcome, job_id): ``new``,
     ``duplicate`` or ``skipped`` (no title or company text).
     """
-    todo = unprocessed(raw, jobs, limit)
+    # Long texts stay behind until a posting founds a job.
+    thin = ["id", "source_id", "title", "company", "location", "posted_at", "ingested_at"]
+    todo = checkpoint(unprocessed(raw.select(*thin), jobs, limit))
     postings = keyed_postings(
         todo, "title", "company", "posted_at",
         raw_order(F.col("ingested_at"), F.col("id")), ["id", "source_id", "location"],
@@ -146,8 +148,8 @@ def resolve(
     )
     outcome = checkpoint(outcome)
 
-    # New jobs, with the dimension rows they need.  Long texts are read for founders only.
-    made = todo.join(founders.select("id", "job_id", "dedup_hash"), "id").select(
+    # New jobs, with the dimension rows they need.
+    made = raw.join(founders.select("id", "job_id", "dedup_hash"), "id").select(
         "job_id", "dedup_hash", "title", "company", "url", "posted_at", "id", "ingested_at",
         location_or_default(F.col("location")).alias("raw"),
         F.when(F.col("source_id").isNotNull(), F.array("source_id"))

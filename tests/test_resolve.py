@@ -4,10 +4,11 @@ import random
 import string
 from datetime import date, datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from garimpo.functions.similarity import lcs_length, ratio, reaches, token_ratio
+from garimpo.functions.similarity import TextSet, lcs_length, ratio, reaches, token_ratio
 from garimpo.functions.text import fold_strip, sort_tokens
 from garimpo.operators import resolve as R
 from garimpo.plans.silver import resolve
@@ -83,6 +84,24 @@ def test_lcs_and_ratio():
     assert reaches("a" * 17 + "bbb", "a" * 17 + "ccc", 85)  # exactly 85
 
 
+def test_text_set_agrees_with_single_pairs():
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("abcd ") for _ in range(rng.choice([1, 3, 12, 40, 62, 63, 64, 90]))) for _ in range(40)]
+    texts += [edited(t, rng, 6) for t in texts]
+    group = TextSet(texts)
+    everyone = np.arange(len(texts))
+    for threshold in (60, 85, 100):
+        for i, text in enumerate(texts):
+            wanted = [j for j in everyone if reaches(text, texts[j], threshold)]
+            assert group.reached(i, everyone, threshold).tolist() == wanted
+            assert group.first_reached(i, everyone, threshold) == wanted[0]
+        square = group.matrix(threshold, block=7)
+        assert [[bool(square[i, j]) for j in everyone] for i in everyone] == [
+            [reaches(a, b, threshold) for b in texts] for a in texts
+        ]
+    assert group.first_reached(0, np.array([], dtype=np.int64), 85) == -1
+
+
 def test_token_ratio(evaluate):
     def build():
         a, b = (sort_tokens(fold_strip(F.col(c))) for c in "ab")
@@ -99,16 +118,16 @@ def test_signatures_lose_no_pair():
     rng = random.Random(3)
     hits = 0
     for threshold in (85, 90):
-        for pair_length in (0, 8, 40):
-            for _ in range(4000):
+        for degree, longest in ((1, 0), (2, 8), (2, 40), (3, 12), (3, 40)):
+            for _ in range(3000):
                 a = "".join(rng.choice("abcd") for _ in range(rng.randint(1, 22)))
                 b = edited(a, rng, 4)
                 if not reaches(a, b, threshold):
                     continue
                 hits += 1
                 ranks = {x + y: rng.randrange(9) for x in "abcde " for y in "abcd"}
-                one, two = (set(R.signature_terms(t, threshold, ranks, pair_length)) for t in (a, b))
-                assert one & two, (a, b, threshold, pair_length)
+                one, two = (set(R.signature_terms(t, threshold, ranks, degree, longest)) for t in (a, b))
+                assert one & two, (a, b, threshold, degree, longest)
     assert hits > 3000
 
 
@@ -134,8 +153,8 @@ def test_components_keep_similar_names_together(spark):
     names = sorted({edited("".join(rng.choice(string.ascii_lowercase[:6]) for _ in range(9)), rng)
                     for _ in range(150)} | {f"customer#{i:09d}" for i in range(60)})
     frame = spark.createDataFrame([(n,) for n in names], "company_k string")
-    for most in (200, 3):
-        limits = R.Limits(block_companies=most)
+    for most, few in ((200, 1000), (3, 1000), (200, 1)):
+        limits = R.Limits(block_companies=most, few_companies=few)
         label = dict(R.company_components(frame, 90, limits).collect())
         assert set(label) == set(names)
         assert all(label[a] == label[b] for a in names for b in names if a < b and reaches(a, b, 90))
