@@ -12,8 +12,8 @@ from pyspark.sql import Column, functions as F
 from . import fixed_values as V
 from .text import (
     contains_any,
-    contains_some,
     count_contained,
+    first_letters,
     first_match,
     fold,
     relabel,
@@ -25,7 +25,7 @@ from .text import (
 # --- area and seniority -------------------------------------------------------
 def is_tech(title: Column, description: Column) -> Column:
     """Technology posting; both arguments folded."""
-    return contains_any(title, V.TECH_TITLE_TERMS) | contains_some(
+    return contains_any(title, V.TECH_TITLE_TERMS) | contains_any(
         description, V.TECH_DESCRIPTION_TERMS
     )
 
@@ -33,7 +33,7 @@ def is_tech(title: Column, description: Column) -> Column:
 def is_data(title: Column, description: Column) -> Column:
     """Data posting; both arguments folded."""
     tools = count_contained(description, V.DATA_TOOLS) >= V.DATA_TOOLS_NEEDED
-    context = contains_some(description, V.DATA_CONTEXT_TERMS)
+    context = contains_any(description, V.DATA_CONTEXT_TERMS)
     return contains_any(title, V.DATA_TITLE_TERMS) | (tools & context)
 
 
@@ -56,7 +56,10 @@ def seniority_from_folded(
 ) -> Column:
     """First level with a pattern between word boundaries, or NULL."""
     return first_match(
-        [(level, title.rlike(r"\b(?:" + "|".join(p) + r")\b")) for level, p in levels.items()]
+        [
+            (level, title.rlike(first_letters(p) + r"\b(?:" + "|".join(p) + r")\b"))
+            for level, p in levels.items()
+        ]
     )
 
 
@@ -149,7 +152,7 @@ def _says_remote(title: Column, location: Column, description: Column) -> Column
     return (
         contains_any(title, V.REMOTE_TERMS)
         | contains_any(location, V.REMOTE_TERMS)
-        | contains_some(description, V.REMOTE_PHRASES)
+        | contains_any(description, V.REMOTE_PHRASES)
     )
 
 
@@ -166,10 +169,10 @@ def work_mode(title: Column, location: Column, description: Column, flag: Column
     hybrid = (
         contains_any(title, V.HYBRID_TERMS)
         | contains_any(location, V.HYBRID_TERMS)
-        | contains_some(description, V.HYBRID_PHRASES)
+        | contains_any(description, V.HYBRID_PHRASES)
         | (
-            contains_some(description, V.HYBRID_TERMS)
-            & ~contains_some(description, V.FULL_REMOTE_PHRASES)
+            contains_any(description, V.HYBRID_TERMS)
+            & ~contains_any(description, V.FULL_REMOTE_PHRASES)
         )
     )
     return F.struct((remote & ~hybrid).alias("is_remote"), hybrid.alias("is_hybrid"))
@@ -196,8 +199,8 @@ def page_is_active(
     """
     url = F.lower(F.coalesce(final_url, F.lit("")))
     gone = status.isin(V.GONE_STATUS)
-    moved = contains_some(url, V.EXPIRED_URL_PARTS)
-    closed = (status == 200) & contains_some(fold(html), V.EXPIRED_PAGE_PHRASES)
+    moved = contains_any(url, V.EXPIRED_URL_PARTS)
+    closed = (status == 200) & contains_any(fold(html), V.EXPIRED_PAGE_PHRASES)
     failed = status.isNull() if error is None else (status.isNull() | error.isNotNull())
     return failed | ~F.coalesce(gone | moved | closed, F.lit(False))
 

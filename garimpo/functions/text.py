@@ -49,16 +49,15 @@ def sort_tokens(text: Column) -> Column:
 
 
 def contains_any(text: Column, terms: Sequence[str]) -> Column:
-    """True when at least one term occurs as a substring; one scan of the text."""
-    if not terms:
-        return F.lit(False)
-    return text.rlike("|".join(_quoted(t) for t in terms))
+    """True when at least one term occurs as a substring: short-circuited byte searches.
 
-
-def contains_some(text: Column, terms: Sequence[str]) -> Column:
-    """As ``contains_any`` for a few terms over long texts: plain byte searches."""
+    A term that contains another one decides nothing and is left out; short
+    terms, which hit most often, come first.
+    """
+    distinct = set(terms)
+    deciding = [t for t in distinct if not any(o != t and o in t for o in distinct)]
     found = F.lit(False)
-    for term in terms:
+    for term in sorted(deciding, key=lambda t: (len(t), t)):
         found = found | text.contains(term)
     return found
 
@@ -91,9 +90,16 @@ def blank_to(text: Column, fallback: str) -> Column:
     return F.coalesce(F.nullif(F.trim(text), F.lit("")), F.lit(fallback))
 
 
+def first_letters(patterns: Sequence[str]) -> str:
+    """A look-ahead that skips positions where no pattern can start."""
+    letters = sorted({p[0] for p in patterns})
+    return f"(?=[{''.join(letters)}])" if all(c.isalnum() for c in letters) else ""
+
+
 def word_pattern(terms: Sequence[str]) -> str:
     """A case-insensitive, Unicode-aware alternation of whole words."""
-    return r"(?iU)\b(?:" + "|".join(_quoted(t) for t in terms) + r")\b"
+    quoted = "|".join(r"\Q" + t + r"\E" for t in terms)
+    return rf"(?iU){first_letters(terms)}\b(?:{quoted})\b"
 
 
 def terms_overlap(terms: Sequence[str]) -> bool:
@@ -108,7 +114,3 @@ def terms_overlap(terms: Sequence[str]) -> bool:
             if inside or chained:
                 return True
     return False
-
-
-def _quoted(term: str) -> str:
-    return r"\Q" + term + r"\E"

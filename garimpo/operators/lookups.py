@@ -82,22 +82,20 @@ def unclassified(jobs: DataFrame, limit: int | None = None) -> DataFrame:
 def with_description(jobs: DataFrame, raw: DataFrame) -> DataFrame:
     """Jobs with the description of their first source id.
 
-    Of several raw rows with that id the earliest ingested one counts.  The raw
-    side is cut to the needed ids before its long texts are grouped; semi-join,
-    grouping and join all use the same partitioning of the id.
+    Of several raw rows with that id the earliest ingested one counts.  It is
+    found among the short columns, with partial minima before the shuffle; its
+    long text is then fetched by the raw row's own id, which no row shares.
     """
-    first_id = F.try_element_at("source_ids", F.lit(1))
-    keyed = jobs.withColumn("_first_id", first_id)
-    needed = keyed.filter(F.col("_first_id").isNotNull()).select(
-        F.col("_first_id").alias("source_id")
+    keyed = jobs.withColumn("_first_id", F.try_element_at("source_ids", F.lit(1)))
+    needed = keyed.select(F.col("_first_id").alias("source_id")).distinct()
+    first = (
+        raw.filter(F.col("source_id").isNotNull())
+        .groupBy("source_id")
+        .agg(F.min(F.struct("ingested_at", "id")).alias("_first"))
+        .join(needed, "source_id", "left_semi")
+        .select(F.col("source_id").alias("_first_id"), F.col("_first.id").alias("id"))
     )
-    texts = first_per_key(
-        raw.select("source_id", "description", "ingested_at", "id").join(
-            needed, "source_id", "left_semi"
-        ),
-        ["source_id"],
-        [F.col("ingested_at"), F.col("id")],
-    ).select(F.col("source_id").alias("_first_id"), "description")
+    texts = raw.select("id", "description").join(first, "id").select("_first_id", "description")
     return keyed.join(texts, "_first_id", "left").drop("_first_id")
 
 

@@ -8,7 +8,7 @@ from ..functions.rules import country_code, country_name
 from ..operators import merge as M
 from ..plans import gold as G
 from . import stand_ins as S
-from .registry import query, table
+from .registry import query, texts
 
 
 def joined(column: str):
@@ -74,7 +74,7 @@ def dim_location(spark, folder):
       ELSE 'Global/Não Informado' END AS country_name
   FROM (SELECT doc_id, {S.sql_country("text")} AS country_code FROM documents)""")
 def dim_location_country(spark, folder):
-    coded = table(spark, folder, "documents").select("doc_id", country_code(F.col("text")).alias("country_code"))
+    coded = texts(spark, folder, "documents", "doc_id", "text").select("doc_id", country_code(F.col("text")).alias("country_code"))
     return coded.withColumn("country_name", country_name(F.col("country_code")))
 
 

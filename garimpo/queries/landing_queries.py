@@ -14,7 +14,7 @@ from ..sources import envelopes as E
 from ..sources import tables as T
 from ..sources.mapping import map_all, nested, nested_id
 from . import stand_ins as S
-from .registry import query, table
+from .registry import query, table, texts
 
 
 def posting_records(spark, folder):
@@ -53,7 +53,8 @@ def posting_records(spark, folder):
         F.when(kind == "view", "adzuna").when(kind == "click", "jooble")
         .when(kind == "signup", "remoteok").otherwise("gupy")
     )
-    return table(spark, folder, "events").select(
+    events = texts(spark, folder, "events", "event_id", "ts", "user_id", "event_type", "value", "props")
+    return events.select(
         source.alias("source"), stamp.cast("date").alias("ds"), stamp.alias("extracted_at"),
         stamp.alias("ingested_at"), chosen.alias("payload"),
     )

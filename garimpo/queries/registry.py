@@ -7,6 +7,8 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import spread
+
 Run = Callable[[SparkSession, str], DataFrame]
 
 
@@ -32,3 +34,8 @@ def query(name: str, sql: str | None = None) -> Callable[[Run], Run]:
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def texts(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a table that CPU-heavy expressions read."""
+    return spread(table(spark, folder, name).select(*columns))

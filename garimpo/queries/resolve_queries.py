@@ -11,7 +11,7 @@ from ..operators import resolve as R
 from ..plans import silver as P
 from ..schemas import COMPANIES, JOBS, LOCATIONS
 from . import stand_ins as S
-from .registry import query, table
+from .registry import query, table, texts
 
 # Longest common subsequence of all pairs (k, a, b), one character of b per step: the
 # zero bits of ``open`` count it.  128-bit numbers hold texts of up to 120 characters.
@@ -145,7 +145,7 @@ def fuzzy_dedup_counts(spark, folder):
 def fuzzy_dedup(spark, folder):
     """All order lines as postings: part as title, supplier as company, ship date."""
     rows = (
-        table(spark, folder, "lineitem")
+        texts(spark, folder, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate")
         .join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(table(spark, folder, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .select(

@@ -8,7 +8,7 @@ from ..functions import rules
 from ..operators import merge as M
 from ..plans import runs as R
 from . import stand_ins as S
-from .registry import query, table
+from .registry import query, table, texts
 
 STAMP = "strftime({}, '%Y-%m-%d %H:%M:%S')"
 
@@ -132,7 +132,7 @@ def dedup_rate(spark, folder):
 # --- unmapped terms ---------------------------------------------------------------
 def document_terms(spark, folder):
     """(job_id, word, occurred_at) of the new terms in all documents."""
-    rows = table(spark, folder, "documents").select(
+    rows = texts(spark, folder, "documents", "doc_id", "text").select(
         F.col("doc_id").cast("string").alias("job_id"),
         F.explode(rules.new_terms(F.col("text"))).alias("word"),
     )

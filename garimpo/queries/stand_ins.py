@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..plans import gold as G
-from .registry import table
+from .registry import table, texts
 
 JOBS_AS_OF = "2001-08-01"
 EVENTS_AS_OF = "2024-01-30"
@@ -302,7 +302,7 @@ def on_runs(select: str) -> str:
 def page_postings(spark: SparkSession, folder: str) -> DataFrame:
     """Raw postings: page title, path language as company, host as location, path number as day."""
     number = F.regexp_extract("url", r"/(\d+)", 1)
-    return table(spark, folder, "pages").select(
+    return texts(spark, folder, "pages", "page_id", "url", "html").select(
         F.lpad(F.col("page_id").cast("string"), 12, "0").alias("id"),
         F.lit("gupy").alias("source"),
         F.col("page_id").cast("string").alias("source_id"),

@@ -13,7 +13,7 @@ from ..operators.merge import first_per_key
 from ..plans import silver as P
 from . import stand_ins as S
 from .merge_queries import with_unknown
-from .registry import query, table
+from .registry import query, table, texts
 
 # Words that occur in the test documents, as a dictionary per language.
 WORDS = {
@@ -30,7 +30,7 @@ COMMON_WORDS = ["and", "en", "license", "the"]
   FROM documents""")
 def fold_text(spark, folder):
     folded = fold(F.col("text"))
-    return table(spark, folder, "documents").select(
+    return texts(spark, folder, "documents", "doc_id", "text").select(
         "doc_id", F.md5(folded).alias("folded"), F.char_length(folded).alias("size")
     )
 
@@ -104,7 +104,7 @@ def sql_seniority(title: str) -> str:
   SELECT doc_id, {sql_area("t", "t")} AS area FROM (SELECT doc_id, {S.sql_fold("text")} AS t FROM documents)""")
 def classify_area(spark, folder):
     """The whole text serves as title and as description."""
-    folded = table(spark, folder, "documents").select("doc_id", fold(F.col("text")).alias("t"))
+    folded = texts(spark, folder, "documents", "doc_id", "text").select("doc_id", fold(F.col("text")).alias("t"))
     return folded.select("doc_id", rules.area_from_folded(F.col("t"), F.col("t")).alias("area"))
 
 
@@ -112,13 +112,13 @@ def classify_area(spark, folder):
   SELECT conv_id, turn, {sql_area("t", "''")} AS area FROM (
     SELECT conv_id, turn, {S.sql_fold("text")} AS t FROM conversations)""")
 def classify_area_of_turns(spark, folder):
-    return table(spark, folder, "conversations").select("conv_id", "turn", rules.area(F.col("text")).alias("area"))
+    return texts(spark, folder, "conversations", "conv_id", "turn", "text").select("conv_id", "turn", rules.area(F.col("text")).alias("area"))
 
 
 @query("classify_seniority", f"""
   SELECT doc_id, {sql_seniority("t")} AS seniority FROM (SELECT doc_id, {S.sql_fold("text")} AS t FROM documents)""")
 def classify_seniority(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", rules.seniority(F.col("text")).alias("seniority"))
+    return texts(spark, folder, "documents", "doc_id", "text").select("doc_id", rules.seniority(F.col("text")).alias("seniority"))
 
 
 # --- skills -----------------------------------------------------------------------
@@ -141,7 +141,7 @@ def sql_skills(text: str, area: str, by_area: dict, universal: list) -> str:
 def extract_skills(spark, folder):
     """Dictionary of the document's language, then the common words."""
     found = rules.skills(F.col("text"), F.col("lang"), WORDS, COMMON_WORDS)
-    return table(spark, folder, "documents").select("doc_id", F.array_join(found, "|").alias("skills"))
+    return texts(spark, folder, "documents", "doc_id", "text", "lang").select("doc_id", F.array_join(found, "|").alias("skills"))
 
 
 @query("classify_pages", f"""

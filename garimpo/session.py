@@ -56,3 +56,13 @@ def checkpoint(df: DataFrame) -> DataFrame:
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder under the shared one, for tables that are written and read back."""
     return f"{_checkpoint_root(spark)}/{name}-{uuid4().hex}"
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Give every core work when a scan has fewer splits than the cluster has cores.
+
+    For small or badly split inputs before CPU-heavy expressions; a large input
+    has splits enough and stays as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
