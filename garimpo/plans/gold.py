@@ -84,13 +84,17 @@ def int_company_size(staged: DataFrame, as_of: str) -> DataFrame:
 
 # --- dimensions ---------------------------------------------------------------
 def dim_area(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(V.AREAS, "area_code STRING, area_label STRING, area_order INT")
+    return literal_rows(spark, V.AREAS, ["area_code", "area_label", "area_order"])
 
 
 def dim_seniority(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        V.SENIORITIES, "seniority_code STRING, seniority_label STRING, order_rank INT"
-    )
+    return literal_rows(spark, V.SENIORITIES, ["seniority_code", "seniority_label", "order_rank"])
+
+
+def literal_rows(spark: SparkSession, rows: list[tuple], columns: list[str]) -> DataFrame:
+    """A static table as VALUES: part of the plan, no job and no Python to read it."""
+    listed = ", ".join(str(row) for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {listed} AS t({', '.join(columns)})")
 
 
 def dim_company(companies: DataFrame, sizes: DataFrame) -> DataFrame:

@@ -65,8 +65,12 @@ class Loaded(NamedTuple):
 def load(
     landing: DataFrame, raw: DataFrame, field_maps: Mapping[str, Mapping] = V.FIELD_MAPS
 ) -> Loaded:
-    """Map landed postings and insert those whose (source, source_id) is not there yet."""
-    mapped = map_all(landing, field_maps)
+    """Map landed postings and insert those whose (source, source_id) is not there yet.
+
+    The mapped batch is stored once: a filter on a mapped column would otherwise
+    be pushed below the mapping and parse every document again.
+    """
+    mapped = checkpoint(map_all(landing, field_maps))
     keys, order = ["source", "source_id"], [F.col("ingested_at"), F.col("id"), F.col("payload")]
     fresh = new_rows(raw, mapped, keys, order, nullable_key="source_id")
     per_source = fresh.groupBy("source").agg(F.count(F.lit(1)).alias("inserted"))

@@ -8,11 +8,11 @@ from ..functions.dates import parse_date
 from ..plans import gold as G
 from ..plans import silver as P
 from ..schemas import RAW_JOBS
-from ..session import shared_folder
+from ..session import checkpoint, shared_folder
 from ..sources import cards as C
 from ..sources import envelopes as E
 from ..sources import tables as T
-from ..sources.mapping import map_all, nested, nested_id
+from ..sources.mapping import as_id, map_all, nested
 from . import stand_ins as S
 from .registry import query, table, texts
 
@@ -94,7 +94,7 @@ def nested_paths(spark, folder):
     doc = F.col("doc")
     return parsed.select(
         "event_id", nested(doc, "k").alias("k"), nested(doc, "a.b").alias("missing"),
-        nested(doc, "k.x").alias("below_value"), nested_id(doc, "k").alias("as_id"),
+        nested(doc, "k.x").alias("below_value"), as_id(nested(doc, "k", "variant")).alias("as_id"),
     )
 
 
@@ -113,7 +113,7 @@ def load_counts(spark, folder):
         F.concat(F.lit("https://e.example.com/"), F.col("event_id")).alias("url")
     )
     raw = map_all(records).join(known_ids, "url", "left_semi")
-    raw = raw.select([f.split()[0] for f in RAW_JOBS.replace("\n", " ").split(",")])
+    raw = checkpoint(raw.select([f.split()[0] for f in RAW_JOBS.replace("\n", " ").split(",")]))
     return P.load_totals(P.load(records, raw).per_source)
 
 

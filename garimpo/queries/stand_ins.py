@@ -101,7 +101,14 @@ def silver(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 
 def gold(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return G.build_gold(spark, silver(spark, folder), JOBS_AS_OF)
+    """The gold plans of a folder; plans are built once per session, data is not kept."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _PLANS:
+        _PLANS[key] = G.build_gold(spark, silver(spark, folder), JOBS_AS_OF)
+    return _PLANS[key]
+
+
+_PLANS: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
 
 JOBS_SQL = """

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import fixed_values as V
 from ..functions.text import contains_any
-from .mapping import nested_id
+from .mapping import as_id, nested
 
 # Every white-space character, ASCII or not.
 LINE_SPACE = "".join(chr(code) for code in range(0x10000) if chr(code).isspace())
@@ -38,7 +38,7 @@ def token_id(token: Column) -> Column:
     )
     document = F.try_parse_json(text)
     is_object = F.coalesce(F.schema_of_variant(document).startswith("OBJECT"), F.lit(False))
-    return F.when(is_object, nested_id(document, "jobId")).otherwise(token)
+    return F.when(is_object, as_id(nested(document, "jobId", "variant"))).otherwise(token)
 
 
 def card_source_id(url: Column) -> Column:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -21,77 +20,86 @@ def nested(document: Column, path: str, kind: str = "string") -> Column:
     return F.try_variant_get(document, "$" + steps, kind)
 
 
-def value_type(document: Column, path: str) -> Column:
-    """BOOLEAN, STRING, BIGINT, DECIMAL(..), ... of the value under a path."""
-    return F.schema_of_variant(nested(document, path, "variant"))
+def _kind(value: Column) -> Column:
+    """BOOLEAN, STRING, BIGINT, DECIMAL(..), ... of a variant."""
+    return F.schema_of_variant(value)
 
 
-def is_number(kind: Column) -> Column:
-    return kind.isin(NUMBERS) | kind.startswith("DECIMAL")
+def _text(value: Column) -> Column:
+    return F.try_variant_get(value, "$", "string")
 
 
-def nested_date(document: Column, path: str) -> Column:
-    """Epoch number or date text under a path."""
-    kind = value_type(document, path)
-    return F.when(is_number(kind), epoch_date(nested(document, path, "double"))).when(
-        kind == "STRING", parse_date(nested(document, path))
+def _is_number(value: Column) -> Column:
+    return _kind(value).isin(NUMBERS) | _kind(value).startswith("DECIMAL")
+
+
+def as_date_value(value: Column) -> Column:
+    """Date of an epoch number or of a date text."""
+    return F.when(_is_number(value), epoch_date(F.try_variant_get(value, "$", "double"))).when(
+        _kind(value) == "STRING", parse_date(_text(value))
     )
 
 
-def nested_id(document: Column, path: str) -> Column:
+def as_id(value: Column) -> Column:
     """Text of an id; empty text, zero and false count as missing."""
-    kind, text = value_type(document, path), nested(document, path)
     empty = (
-        (text == "")
-        | ((kind == "BOOLEAN") & (text == "false"))
-        | (is_number(kind) & (nested(document, path, "double") == 0))
+        (_text(value) == "")
+        | ((_kind(value) == "BOOLEAN") & (_text(value) == "false"))
+        | (_is_number(value) & (F.try_variant_get(value, "$", "double") == 0))
     )
-    return F.when(~empty, text)
+    return F.when(~empty, _text(value))
 
 
-def nested_flag(document: Column, path: str) -> Column:
+def as_flag(value: Column) -> Column:
     """True for JSON true and for the remote words."""
-    kind = value_type(document, path)
-    return F.when(kind == "BOOLEAN", nested(document, path, "boolean")).otherwise(
-        (kind == "STRING") & remote_flag_text(nested(document, path))
+    return F.when(_kind(value) == "BOOLEAN", F.try_variant_get(value, "$", "boolean")).otherwise(
+        (_kind(value) == "STRING") & remote_flag_text(_text(value))
     )
 
 
-def map_source(records: DataFrame, source: str, fields: Mapping, payload: str = "payload") -> DataFrame:
-    """Rows of one source in the common raw schema.
+def map_all(
+    records: DataFrame, field_maps: Mapping[str, Mapping] = V.FIELD_MAPS, payload: str = "payload"
+) -> DataFrame:
+    """Postings of every source in the common raw schema, in one pass.
 
-    ``records`` has the posting as JSON text in ``payload`` and may carry
-    ``ingested_at``.  The JSON is parsed once per row.
+    ``records`` has the posting as JSON text in ``payload``, names its source in
+    ``source`` and may carry ``ingested_at``.  The JSON is parsed once per row;
+    the source decides which paths are read.  Rows of other sources are left out.
     """
     kept = ["ingested_at"] if "ingested_at" in records.columns else []
-    document = F.col("_document")
-    parsed = records.select(
-        F.col(payload).alias("payload"), *kept, F.try_parse_json(F.col(payload)).alias("_document")
+    source = F.col("source")
+    fields = ["source_id", "title", "company", "location", "description", "url", "posted_at"]
+    flags = {name: m["is_remote"] for name, m in field_maps.items()}
+    always = [name for name, path in flags.items() if path is True]
+
+    def picked(paths: Mapping[str, str]) -> Column:
+        """The value at each source's own path."""
+        return first_match_of(
+            [(source == name, nested(F.col("_document"), path, "variant")) for name, path in paths.items()]
+        )
+
+    parsed = records.filter(source.isin(list(field_maps))).select(
+        "source", F.col(payload).alias("payload"), *kept,
+        F.try_parse_json(F.col(payload)).alias("_document"),
+    )
+    values = parsed.select(
+        "source", "payload", *kept,
+        *[picked({n: m[field] for n, m in field_maps.items()}).alias(field) for field in fields],
+        picked({n: path for n, path in flags.items() if isinstance(path, str)}).alias("_flag"),
     )
-    flag_path = fields["is_remote"]
-    flag = nested_flag(document, flag_path) if isinstance(flag_path, str) else F.lit(flag_path is True)
-    mapped = parsed.select(
-        F.lit(source).alias("source"),
-        nested_id(document, fields["source_id"]).alias("source_id"),
-        *[
-            nested(document, fields[name]).alias(name)
-            for name in ("title", "company", "location", "description", "url")
-        ],
-        nested_date(document, fields["posted_at"]).alias("posted_at"),
-        F.coalesce(flag, F.lit(False)).alias("_flag"),
+    typed = values.select(
+        "source",
+        as_id(F.col("source_id")).alias("source_id"),
+        *[_text(F.col(name)).alias(name) for name in fields[1:6]],
+        as_date_value(F.col("posted_at")).alias("posted_at"),
+        (source.isin(always) | F.coalesce(as_flag(F.col("_flag")), F.lit(False))).alias("_flag"),
         "payload",
         *kept,
     )
-    return mapped.select(
-        natural_id("raw", F.col("source"), F.coalesce("source_id", F.md5("payload"))).alias("id"),
+    return typed.select(
+        natural_id("raw", source, F.coalesce("source_id", F.md5("payload"))).alias("id"),
         "source",
-        "source_id",
-        "title",
-        "company",
-        "location",
-        "description",
-        "url",
-        "posted_at",
+        *fields,
         remote_at_load(
             F.col("title"), F.col("location"), F.col("description"), F.col("_flag")
         ).alias("is_remote"),
@@ -100,15 +108,12 @@ def map_source(records: DataFrame, source: str, fields: Mapping, payload: str =
     )
 
 
-def map_all(
-    records: DataFrame, field_maps: Mapping[str, Mapping] = V.FIELD_MAPS, payload: str = "payload"
-) -> DataFrame:
-    """Rows of every source; ``records`` names the source in column ``source``.
-
-    Filters on a partition column prune the other sources' files.
-    """
-    parts = [
-        map_source(records.filter(F.col("source") == name), name, fields, payload)
-        for name, fields in field_maps.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+def first_match_of(cases: list[tuple[Column, Column]]) -> Column:
+    """Value of the first condition that holds, both as columns; NULL without cases."""
+    if not cases:
+        return F.lit(None).cast("variant")
+    (condition, value), *rest = cases
+    chain = F.when(condition, value)
+    for condition, value in rest:
+        chain = chain.when(condition, value)
+    return chain

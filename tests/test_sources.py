@@ -11,7 +11,7 @@ from garimpo.schemas import JOBS, RAW_JOBS
 from garimpo.sources import cards as C
 from garimpo.sources import envelopes as E
 from garimpo.sources import tables as T
-from garimpo.sources.mapping import map_all, nested, nested_date, nested_flag, nested_id
+from garimpo.sources.mapping import as_date_value, as_flag, as_id, map_all, nested
 
 
 def parsed(evaluate, build, documents):
@@ -27,13 +27,13 @@ def test_nested(evaluate):
 
 
 def test_nested_types(evaluate):
-    assert parsed(evaluate, lambda d: nested_id(d, "v"),
+    assert parsed(evaluate, lambda d: as_id(nested(d, "v", "variant")),
                   [{"v": 12}, {"v": "12"}, {"v": 0}, {"v": ""}, {"v": None}, {}, {"v": False}]) == [
         "12", "12", None, None, None, None, None]
-    assert parsed(evaluate, lambda d: nested_flag(d, "v"),
+    assert parsed(evaluate, lambda d: as_flag(nested(d, "v", "variant")),
                   [{"v": True}, {"v": False}, {"v": "Home Office"}, {"v": "remoto"}, {"v": "hybrid"}, {"v": "true"}]) == [
         True, False, True, True, False, False]
-    assert parsed(evaluate, lambda d: nested_date(d, "v"),
+    assert parsed(evaluate, lambda d: as_date_value(nested(d, "v", "variant")),
                   [{"v": 1779926400}, {"v": 1779926400.0}, {"v": "2026-06-03T15:30:00.123Z"}, {"v": "20/05/2026"},
                    {"v": 0}, {"v": ""}, {"v": "x"}, {"v": []}, {}]) == [
         date(2026, 5, 28), date(2026, 5, 28), date(2026, 6, 3), date(2026, 5, 20), None, None, None, None, None]
