@@ -147,6 +147,16 @@ def _reaches(a: pd.Series, b: pd.Series, threshold: pd.Series) -> pd.Series:
     return pd.Series([reaches(x, y, int(t)) for x, y, t in zip(a, b, threshold)], dtype="bool")
 
 
+@F.pandas_udf(BooleanType())
+def _both_reach(
+    a: pd.Series, b: pd.Series, first: pd.Series, c: pd.Series, d: pd.Series, second: pd.Series
+) -> pd.Series:
+    rows = zip(a, b, first, c, d, second)
+    return pd.Series(
+        [reaches(w, x, int(t)) and reaches(y, z, int(u)) for w, x, t, y, z, u in rows], dtype="bool"
+    )
+
+
 def token_ratio(a: Column, b: Column) -> Column:
     """Ratio of two texts whose tokens are already sorted."""
     return _ratio(a, b)
@@ -156,6 +166,11 @@ def token_ratio_reaches(a: Column, b: Column, threshold: int) -> Column:
     return _reaches(a, b, F.lit(threshold))
 
 
+def both_reach(a: Column, b: Column, first: int, c: Column, d: Column, second: int) -> Column:
+    """Both pairs (a, b) and (c, d) reach their thresholds."""
+    return _both_reach(a, b, F.lit(first), c, d, F.lit(second))
+
+
 def lengths_allow(len_a: Column, len_b: Column, threshold: int) -> Column:
     """The ratio cannot exceed 200 * min / (len1 + len2): a JVM-side bound."""
     return F.least(len_a, len_b) * 200 >= (len_a + len_b) * threshold

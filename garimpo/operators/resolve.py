@@ -30,7 +30,7 @@ from pyspark.sql.types import ArrayType, StringType
 
 from ..functions import fixed_values as V
 from ..functions.dates import date_window
-from ..functions.similarity import TextSet, lengths_allow, token_ratio_reaches
+from ..functions.similarity import TextSet, both_reach, lengths_allow, token_ratio_reaches
 from ..functions.text import fold_strip, sort_tokens
 from ..session import checkpoint
 
@@ -183,26 +183,33 @@ def _gram_ranks(texts: DataFrame, column: str) -> dict[str, int]:
     return {row["gram"]: rank for rank, row in enumerate(counted)}
 
 
+def sure_pairs(length: float, threshold: int) -> int:
+    """How many character pairs a text of this length shares with any text it reaches.
+
+    With edit distance d and S = len1 + len2, two texts share at least
+    S/2 - 1 - 1.5 d character pairs (counted with repeats); the threshold bounds
+    d, and bounds S from below by the text's own length.
+    """
+    slack = 1 - threshold / 100
+    return int(np.ceil(2 * length / (1 + slack) * (0.5 - 1.5 * slack) - 1 - 1e-9))
+
+
 def signature_terms(
-    text: str, threshold: int, ranks: dict[str, int], degree: int = 1, longest: int = 0
+    text: str, threshold: int, ranks: dict[str, int], degree: int = 1, longest: int = 0, common: int = 1
 ) -> list[str]:
     """Terms of which two texts that reach the threshold share at least one.
 
-    With edit distance d and S = len1 + len2, the texts share at least
-    S/2 - 1 - 1.5 d character pairs (counted with repeats); the threshold bounds
-    d, and bounds S from below by the text's own length.  Above a threshold of
-    80 at least one pair is sure, or the texts are equal.  So among each text's
-    rarest pairs, all but the guaranteed number less one, a common one must be.
-    Texts of up to ``longest`` characters use ``degree`` such pairs at once,
-    which is far more selective, wherever that many common pairs are sure.
+    Above a threshold of 80 one shared character pair is sure, or the texts are
+    equal.  So among each text's rarest pairs, all but the sure number less
+    one, a common one must be.  Taking ``common - 1`` more makes ``common`` of
+    them shared, where that many are sure.  Texts of up to ``longest``
+    characters use ``degree`` pairs at once, which is far more selective,
+    wherever that many common pairs are sure.
     """
     size, slack = len(text), 1 - threshold / 100
     if size < 2 or slack < 1e-9:
         return ["=" + text]
-
-    def sure(length: float) -> int:
-        return int(np.ceil(2 * length / (1 + slack) * (0.5 - 1.5 * slack) - 1 - 1e-9))
-
+    sure = sure_pairs(size, threshold)
     seen: dict[str, int] = {}
     grams = []
     for i in range(size - 1):
@@ -211,22 +218,29 @@ def signature_terms(
         grams.append((ranks.get(gram, -1), f"{gram}{seen[gram]}"))
     rare = [gram for _, gram in sorted(grams)]
     stretch = (1 + slack) / (1 - slack)
-    joined = degree > 1 and sure(size) >= degree and size <= longest
+    joined = degree > 1 and sure >= degree and size <= longest
     terms = []
     # Partners may be too short or too long for joined pairs; they share a single one.
-    if not joined or sure(size / stretch) < degree or size * stretch > longest:
-        terms += rare[: len(rare) - max(sure(size), 1) + 1]
+    if not joined or sure_pairs(size / stretch, threshold) < degree or size * stretch > longest:
+        terms += rare[: len(rare) - max(sure, 1) + min(common, max(sure, 1))]
     if joined:
-        terms += map("&".join, combinations(rare[: len(rare) - sure(size) + degree], degree))
+        terms += map("&".join, combinations(rare[: len(rare) - sure + degree], degree))
     return terms
 
 
+def needed_terms(size: Column, threshold: int, common: int) -> Column:
+    """How many of its ``signature_terms`` a text shares at least with a text it reaches."""
+    slack = 1 - threshold / 100
+    sure = F.ceil(size * (2 / (1 + slack) * (0.5 - 1.5 * slack)) - 1 - 1e-9)
+    return F.least(F.lit(common), F.greatest(sure, F.lit(1))).cast("int")
+
+
 def _signatures(
-    column: Column, threshold: int, ranks: dict[str, int], degree: int = 1, longest: int = 0
+    column: Column, threshold: int, ranks: dict[str, int], degree: int = 1, longest: int = 0, common: int = 1
 ) -> Column:
     @F.pandas_udf(ArrayType(StringType()))
     def terms(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: signature_terms(t, threshold, ranks, degree, longest))
+        return texts.map(lambda t: signature_terms(t, threshold, ranks, degree, longest, common))
 
     return terms(column)
 
@@ -300,6 +314,11 @@ def connected(names: DataFrame, edges: DataFrame) -> DataFrame:
     )
 
 
+# Signature terms that two matching titles share, where that many are sure: a pair
+# with fewer is not compared.
+COMMON_TERMS = 4
+
+
 # --- distributed rounds for oversize groups -----------------------------------
 def _first_of_block(rows: DataFrame, count: int, salts: int = 32) -> DataFrame:
     """The first ``count`` rows of every block, cut in parallel before they meet."""
@@ -331,7 +350,9 @@ def _peel(group_nodes: DataFrame, title_threshold: int, company_threshold: int,
     members = checkpoint(
         texts.select(
             "kid", "ord", "forced", F.char_length("title_k").alias("size"),
-            F.explode(_signatures(F.col("title_k"), title_threshold, ranks)).alias("term"),
+            F.explode(
+                _signatures(F.col("title_k"), title_threshold, ranks, common=COMMON_TERMS)
+            ).alias("term"),
             "window", "component",
         ).select(
             "kid", "ord", "forced", "size",
@@ -346,21 +367,34 @@ def _peel(group_nodes: DataFrame, title_threshold: int, company_threshold: int,
         return (
             pairs.join(lead, "lead")
             .join(names, "kid")
-            .filter(token_ratio_reaches(F.col("lead_company"), F.col("company_k"), company_threshold))
-            .filter(token_ratio_reaches(F.col("lead_title"), F.col("title_k"), title_threshold))
+            .filter(
+                both_reach(
+                    F.col("lead_company"), F.col("company_k"), company_threshold,
+                    F.col("lead_title"), F.col("title_k"), title_threshold,
+                )
+            )
             .select("lead", "lead_ord", "kid")
         )
 
-    def meet(leads: DataFrame, others: DataFrame) -> DataFrame:
-        """Distinct pairs of an earlier lead and a later node in a common block."""
-        lead = leads.select("block", F.col("kid").alias("lead"), F.col("ord").alias("lead_ord"),
-                            F.col("size").alias("lead_size"))
+    def meet(leads: DataFrame, others: DataFrame, when: str = "lead_ord < ord") -> DataFrame:
+        """Pairs of an earlier lead and a later node with enough common blocks.
+
+        Pairs are counted per task first, so the shuffle carries each of them once
+        per task, not once per block.
+        """
+        lead = leads.select(
+            "block", F.col("kid").alias("lead"), F.col("ord").alias("lead_ord"),
+            F.col("size").alias("lead_size"), *[c for c in leads.columns if c == "round"],
+        )
+        smaller = F.least("lead_size", "size")
         return (
             lead.join(others, "block")
-            .filter("lead_ord < ord")
+            .filter(when)
             .filter(lengths_allow(F.col("lead_size"), F.col("size"), title_threshold))
+            .groupBy("lead", "lead_ord", "kid", smaller.alias("smaller"))
+            .agg(F.count(F.lit(1)).alias("shared"))
+            .filter(F.col("shared") >= needed_terms(F.col("smaller"), title_threshold, COMMON_TERMS))
             .select("lead", "lead_ord", "kid")
-            .distinct()
         )
 
     forced = members.filter("forced")
@@ -399,15 +433,11 @@ def _peel(group_nodes: DataFrame, title_threshold: int, company_threshold: int,
     waiting = members.drop("ord").join(
         settled.filter("round > 0").select("kid", F.col("best").alias("ord"), F.col("round").alias("_since")), "kid"
     )
-    lead = late.select("block", F.col("kid").alias("lead"), F.col("ord").alias("lead_ord"),
-                       F.col("size").alias("lead_size"), "round")
-    better = verified(
-        lead.join(waiting, "block")
-        .filter("lead_ord < ord and round > _since")
-        .filter(lengths_allow(F.col("lead_size"), F.col("size"), title_threshold))
-        .select("lead", "lead_ord", "kid")
-        .distinct()
-    ).groupBy("kid").agg(F.min("lead_ord").alias("_better"))
+    better = (
+        verified(meet(late, waiting, "lead_ord < ord and round > _since"))
+        .groupBy("kid")
+        .agg(F.min("lead_ord").alias("_better"))
+    )
     best = settled.join(better, "kid", "left").select(
         "kid", F.least("best", F.coalesce("_better", "best")).alias("ord")
     )

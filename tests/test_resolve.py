@@ -128,6 +128,9 @@ def test_signatures_lose_no_pair():
                 ranks = {x + y: rng.randrange(9) for x in "abcde " for y in "abcd"}
                 one, two = (set(R.signature_terms(t, threshold, ranks, degree, longest)) for t in (a, b))
                 assert one & two, (a, b, threshold, degree, longest)
+                more = [set(R.signature_terms(t, threshold, ranks, common=4)) for t in (a, b)]
+                need = min(4, max(R.sure_pairs(min(len(a), len(b)), threshold), 1))
+                assert len(more[0] & more[1]) >= need, (a, b, threshold)
     assert hits > 3000
 
 
@@ -143,6 +146,12 @@ def test_leaders_match_the_loop(spark, path):
     assert len(set(wanted.values())) < len(rows) * 0.8
 
 
+def test_needed_terms_agree(spark):
+    for threshold in (81, 85, 90, 99):
+        sizes = spark.range(1, 200).select("id", R.needed_terms(F.col("id"), threshold, 4).alias("n")).collect()
+        assert [r["n"] for r in sizes] == [min(4, max(R.sure_pairs(r["id"], threshold), 1)) for r in sizes]
+
+
 def test_low_thresholds_are_refused(spark):
     with pytest.raises(ValueError):
         R.assign_leaders(spark.createDataFrame([], "kid string"), 70, 90)
