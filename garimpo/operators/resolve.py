@@ -40,7 +40,7 @@ NODE = ["kid", "window", "title_k", "company_k", "forced", "ord"]
 class Limits(NamedTuple):
     """Sizes above which a step hands over to the next one."""
 
-    group_nodes: int = 2000  # nodes one task assigns by itself
+    group_nodes: int = 5000  # nodes one task assigns by itself
     block_companies: int = 200  # names compared pairwise within a signature
     few_companies: int = 200_000  # names up to which two character pairs make a signature, then three
     first_peel: int = 64  # leading nodes per signature in the first round

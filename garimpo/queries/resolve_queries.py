@@ -58,13 +58,18 @@ def page_nodes(spark, folder):
 
 
 # Nodes in order; company pairs first, titles only where the companies reach 90.
+# ``known`` tells which postings are jobs already; those come first, oldest first.
 LEADERS_SQL = f"""
 WITH RECURSIVE {S.PAGES_SQL},
 keyed AS (
-  SELECT id, page_id, {S.sql_window("posted_at")} AS bucket,
-    {S.sql_sort_tokens(S.sql_fold("title"))} AS t, {S.sql_sort_tokens(S.sql_fold("company"))} AS c FROM postings),
+  SELECT id, page_id, {{known}} AS known, location, {S.sql_window("posted_at")} AS bucket,
+    {S.sql_sort_tokens(S.sql_fold("title"))} AS t, {S.sql_sort_tokens(S.sql_fold("company"))} AS c,
+    trim({S.sql_fold("title")}) AS title_norm, trim({S.sql_fold("company")}) AS company_norm
+  FROM postings),
 nodes AS MATERIALIZED (
-  SELECT bucket, t, c, max(id) AS id, row_number() OVER (ORDER BY max(id) DESC) AS n
+  SELECT bucket, t, c, max(id) AS id, bool_or(known) AS forced, min(id) FILTER (known) AS known_id,
+    row_number() OVER (ORDER BY bool_or(known) DESC,
+      CASE WHEN bool_or(known) THEN min(page_id) FILTER (known) ELSE -max(page_id) END) AS n
   FROM keyed WHERE t <> '' AND c <> '' GROUP BY bucket, t, c),
 names AS (SELECT DISTINCT c FROM nodes),
 name_pairs AS (
@@ -82,12 +87,12 @@ title_pairs AS (
     AND 200 * least(length(x.t), length(y.t)) >= 85 * (length(x.t) + length(y.t))),
 title_lcs AS MATERIALIZED ({{title_lcs}}),
 edges AS MATERIALIZED (SELECT first, later FROM title_pairs p JOIN title_lcs s ON p.k = s.k WHERE 200 * s.shared >= 85 * s.total),
-earlier AS MATERIALIZED (SELECT n, id, list_filter(list(first), lambda x: x IS NOT NULL) AS firsts
-            FROM nodes LEFT JOIN edges ON n = later GROUP BY n, id),
+earlier AS MATERIALIZED (SELECT n, forced, list_filter(list(first), lambda x: x IS NOT NULL) AS firsts
+            FROM nodes LEFT JOIN edges ON n = later GROUP BY n, forced),
 greedy AS (
   SELECT CAST(0 AS BIGINT) AS n, CAST([] AS BIGINT[]) AS leads, CAST(NULL AS BIGINT) AS chosen
   UNION ALL
-  SELECT e.n, CASE WHEN list_has_any(g.leads, e.firsts) THEN g.leads ELSE list_append(g.leads, e.n) END,
+  SELECT e.n, CASE WHEN NOT e.forced AND list_has_any(g.leads, e.firsts) THEN g.leads ELSE list_append(g.leads, e.n) END,
     coalesce(list_min(list_intersect(g.leads, e.firsts)), e.n)
   FROM greedy g JOIN earlier e ON e.n = g.n + 1)
 """
@@ -99,6 +104,8 @@ def _lcs_of(pairs: str) -> str:
 
 
 LEADERS_SQL = LEADERS_SQL.replace("{name_lcs}", _lcs_of("name_pairs")).replace("{title_lcs}", _lcs_of("title_pairs"))
+KNOWN_SQL = LEADERS_SQL.replace("{known}", "starts_with(location, 'www.')")
+LEADERS_SQL = LEADERS_SQL.replace("{known}", "FALSE")
 
 
 @query("fuzzy_pairs", LEADERS_SQL + """
@@ -163,7 +170,20 @@ def fuzzy_dedup(spark, folder):
     return postings.select("id", "kid").join(assigned, "kid").select("id", "kid", "leader_kid")
 
 
-@query("resolve_postings")
+@query("resolve_postings", KNOWN_SQL + """
+  , led AS (
+    SELECT k.id, k.bucket, k.title_norm, k.company_norm, k.location, lead.id AS founder, lead.forced,
+      lead.known_id
+    FROM keyed k JOIN nodes own ON k.bucket = own.bucket AND k.t = own.t AND k.c = own.c
+      JOIN greedy g ON g.n = own.n JOIN nodes lead ON lead.n = g.chosen),
+  made AS (
+    SELECT id AS founder, sha256('job' || chr(31) || sha256(concat_ws('|', title_norm, company_norm,
+      CASE WHEN location = '' THEN 'desconhecido' ELSE location END, bucket))) AS job_id
+    FROM led WHERE id = founder)
+  SELECT k.id, CASE WHEN l.id IS NULL THEN 'skipped' WHEN NOT l.forced AND l.id = l.founder THEN 'new'
+      ELSE 'duplicate' END AS outcome,
+    CASE WHEN l.forced THEN 'job-' || l.known_id ELSE m.job_id END AS job_id
+  FROM keyed k LEFT JOIN led l ON k.id = l.id LEFT JOIN made m ON l.founder = m.founder""")
 def resolve_postings(spark, folder):
     """Page postings against known jobs: the pages of ``www`` hosts are known already."""
     pages = S.page_postings(spark, folder)
