@@ -82,10 +82,6 @@ def search(
         place = place.filter(
             in_list(F.col("location_name"), locations) | in_list(F.col("country_name"), locations)
         )
-    owned = jobs.select("job_id", "skills")
-    how = "left"
-    if skills:
-        owned, how = owned.filter(has_all(F.col("skills"), skills)), "inner"
     joined = (
         fact.join(F.broadcast(gold["dim_area"]), "area_code")
         .join(F.broadcast(gold["dim_seniority"]), "seniority_code")
@@ -94,7 +90,11 @@ def search(
     )
     if term:
         joined = joined.filter(text_matches([F.col("job_title"), F.col("company_name")], term, term_mode))
-    rows = joined.join(owned, "job_id", how).select(
+    owned = jobs.select("job_id", "skills")
+    newest = [F.col("posted_at").desc_nulls_first(), F.col("job_id")]
+    if skills:
+        joined = joined.join(owned.filter(has_all(F.col("skills"), skills)), "job_id")
+    rows = joined.select(
         "job_id",
         F.col("job_title").alias("title"),
         F.col("company_name").alias("company"),
@@ -102,15 +102,27 @@ def search(
         F.col("area_label").alias("area"),
         F.col("order_rank").alias("seniority_rank"),
         seniority_label(F.col("seniority_code")).alias("seniority"),
-        "skills",
+        *(["skills"] if skills else []),
         F.col("job_url").alias("url"),
         F.col("posted_date").alias("posted_at"),
         "is_remote",
         "is_hybrid",
     )
-    if limit is None:
-        return rows
-    return rows.orderBy(F.col("posted_at").desc_nulls_first(), "job_id").limit(limit)
+    if limit is not None:
+        rows = rows.orderBy(*newest).limit(limit)
+    if not skills:
+        rows = _with_skills(rows, owned, limit)
+        rows = rows if limit is None else rows.orderBy(*newest)
+    return rows
+
+
+def _with_skills(rows: DataFrame, owned: DataFrame, limit: int | None) -> DataFrame:
+    """Skills of the found jobs.  The limited ids are broadcast to the jobs' scan, so
+    the jobs are not shuffled for a page of results."""
+    if limit is not None:
+        owned = owned.join(F.broadcast(rows.select("job_id")), "job_id", "left_semi")
+    order = [*rows.columns[:7], "skills", *rows.columns[7:]]
+    return rows.join(owned, "job_id", "left").select(*order)
 
 
 def with_overflow(found: DataFrame, shown: int = 200) -> tuple[DataFrame, DataFrame]:
