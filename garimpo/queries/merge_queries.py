@@ -12,7 +12,8 @@ from .registry import query, table
 
 LINES_SQL = """
 lines AS (
-  SELECT concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber) AS id, l_returnflag AS source,
+  SELECT concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(l_shipdate AS DATE)) AS id,
+    l_returnflag AS source,
     CASE WHEN l_linenumber <> 7 THEN CAST(l_orderkey AS VARCHAR) END AS source_id,
     'part ' || l_partkey AS description, l_shipdate AS ingested_at, l_linestatus AS status
   FROM lineitem)"""
@@ -21,7 +22,9 @@ lines AS (
 def lines(spark, folder):
     """Raw postings: order lines; the order is the source id, line 7 has none."""
     return table(spark, folder, "lineitem").select(
-        F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").alias("id"),
+        F.concat_ws(
+            "-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.col("l_shipdate").cast("date")
+        ).alias("id"),
         F.col("l_returnflag").alias("source"),
         F.when(F.col("l_linenumber") != 7, F.col("l_orderkey").cast("string")).alias("source_id"),
         F.concat(F.lit("part "), F.col("l_partkey")).alias("description"),

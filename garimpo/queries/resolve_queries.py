@@ -156,7 +156,9 @@ def fuzzy_dedup(spark, folder):
         .join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(table(spark, folder, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .select(
-            F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").alias("id"),
+            F.concat_ws(
+                "-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.col("l_shipdate").cast("date")
+            ).alias("id"),
             F.concat_ws(" ", "p_name", "p_type", "p_brand").alias("title"),
             F.col("s_name").alias("company"),
             F.col("l_shipdate").cast("date").alias("posted_at"),

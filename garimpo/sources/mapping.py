@@ -108,6 +108,14 @@ def map_all(
     )
 
 
+def with_own_ids(mapped: DataFrame) -> DataFrame:
+    """Postings without source id get a random id: equal ones are different postings.
+
+    Store the result before it is used twice.
+    """
+    return mapped.withColumn("id", F.when(F.col("source_id").isNull(), F.expr("uuid()")).otherwise(F.col("id")))
+
+
 def first_match_of(cases: list[tuple[Column, Column]]) -> Column:
     """Value of the first condition that holds, both as columns; NULL without cases."""
     if not cases:

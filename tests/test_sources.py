@@ -80,6 +80,14 @@ def test_map_all_and_load(spark):
     assert again.raw.count() == 5
 
 
+def test_postings_without_id_stay_apart(spark):
+    row = ("jooble", date(2026, 6, 2), datetime(2026, 6, 2), '{"title": "same"}')
+    records = spark.createDataFrame([row, row], E.ROW_SCHEMA).withColumn("ingested_at", F.col("extracted_at"))
+    raw = P.load(records, spark.createDataFrame([], RAW_JOBS)).raw
+    assert raw.select("id").distinct().count() == 2
+    assert P.load(records, raw).raw.select("id").distinct().count() == 4
+
+
 def test_landing_round_trip(spark, tmp_path):
     root = str(tmp_path / "landing")
     assert E.read_landing(spark, root).count() == 0
