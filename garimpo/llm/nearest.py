@@ -48,23 +48,23 @@ def top_k(
     """
     keep = f"vec_id is not null and {usable('embedding')}"
     left = queries.where(keep).select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
-    right = vectors.where(keep).select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
+    right = vectors.where(keep).select(F.col("vec_id").cast("long").alias("id"), F.col("embedding").alias("held"))
     shards = max(1, ceil(right.count() / shard_rows))
     blocks = max(1, ceil(left.count() / block_rows))
-    place = F.xxhash64("vec_id", F.monotonically_increasing_id())
-    right = right.withColumn("shard", F.pmod(place, F.lit(shards)).cast("int")).withColumn(
+    mark = F.monotonically_increasing_id()
+    right = right.withColumn("shard", F.pmod(F.xxhash64("id", mark), F.lit(shards)).cast("int")).withColumn(
         "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     )
-    left = left.withColumn("block", F.pmod(place, F.lit(blocks)).cast("int")).withColumn(
+    left = left.withColumn("block", F.pmod(F.xxhash64("vec_id", mark), F.lit(blocks)).cast("int")).withColumn(
         "shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))
     )
 
     def tile(asked: pa.Table, held: pa.Table) -> pa.Table:
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         if len(asked) and len(held):
-            held = held.sort_by("vec_id")
-            own, ids = asked["vec_id"].to_numpy(), held["vec_id"].to_numpy()
-            scores = _products(np.floor(matrix(asked["embedding"]) * scale), np.floor(matrix(held["embedding"]) * scale))
+            held = held.sort_by("id")
+            own, ids = asked["vec_id"].to_numpy(), held["id"].to_numpy()
+            scores = _products(np.floor(matrix(asked["embedding"]) * scale), np.floor(matrix(held["held"]) * scale))
             low, high = np.searchsorted(ids, own), np.searchsorted(ids, own, side="right")
             for i in np.flatnonzero(high > low):
                 scores[i, low[i] : high[i]] = LEAST
