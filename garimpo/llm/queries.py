@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from ..queries.registry import Query, table
 from .nearest import top_k
+from .shingle_join import near_documents
 from .vector_join import near_vectors
 
 LLM: dict[str, Query] = {}
@@ -42,6 +43,11 @@ def op1_near_vectors(spark, folder):
     return near_vectors(table(spark, folder, "embeddings")).select("vec_id", "n_links", "component_id", "kept")
 
 
+@query("op5_near_documents")
+def op5_near_documents(spark, folder):
+    return near_documents(table(spark, folder, "documents")).drop("digest")
+
+
 @query(
     "op10_top_k",
     """

@@ -132,3 +132,47 @@ class Words:
         total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values * powers(base, n), dtype=np.uint64)))
         back = powers(pow(base, -1, 2**64), n + 1)
         return (total[self.end] - total[self.start]) * back[self.start] + (self.end - self.start).astype(np.uint64)
+
+
+def slices(texts: list[bytes], limit: int = 2_000_000):
+    """Ranges of texts that hold about ``limit`` bytes together; a longer text is alone."""
+    start, held = 0, 0
+    for i, t in enumerate(texts):
+        if held and held + len(t) > limit:
+            yield start, i
+            start, held = i, 0
+        held += len(t) + 1
+    if start < len(texts):
+        yield start, len(texts)
+
+
+def shingles(texts: list[bytes], words: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """(text, hash) of each text's distinct word shingles, in that order.
+
+    A text of fewer words has one shingle, all its words; without words it has none.
+    """
+    found = Words(texts)
+    n, h, owner = len(found.hash), found.hash, found.text
+    step = 0xA24BAED4963EE407
+    grams, whose = [], []
+    if n >= words:
+        total = np.zeros(n - words + 1, dtype=np.uint64)
+        for k in range(words):
+            total += h[k : n - words + 1 + k] * np.uint64(pow(step, k, 2**64))
+        whole = owner[: n - words + 1] == owner[words - 1 :]
+        grams.append(total[whole])
+        whose.append(owner[: n - words + 1][whole])
+    count = np.bincount(owner, minlength=len(texts))
+    first = np.cumsum(count) - count
+    short = np.flatnonzero((count > 0) & (count < words))
+    total = np.zeros(len(short), dtype=np.uint64)
+    for k in range(words - 1):
+        here = count[short] > k
+        total[here] += h[first[short[here]] + k] * np.uint64(pow(step, k, 2**64))
+    g = mixed(np.concatenate([*grams, total]))
+    owner = np.concatenate([*whose, short])
+    order = np.lexsort((g, owner))
+    g, owner = g[order], owner[order]
+    new = np.ones(len(g), dtype=bool)
+    new[1:] = (g[1:] != g[:-1]) | (owner[1:] != owner[:-1])
+    return owner[new], g[new]
