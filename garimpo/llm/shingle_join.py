@@ -78,7 +78,7 @@ def _shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarra
 
 def near_documents(
     documents: DataFrame, threshold: float = 0.8, words: int = 5, repetitions: int = 3, draws: float = 4.0,
-    levels: int = 3, bucket: int = 512,
+    deep_draws: float = 2.5, levels: int = 3, bucket: int = 1024, tile: int = 512,
 ) -> DataFrame:
     """Links of Jaccard similarity >= threshold between texts, and their groups.
 
@@ -92,7 +92,9 @@ def near_documents(
 
     A pair at the threshold draws a common shingle in one repetition with
     probability 1 - exp(-threshold * draws) at least, so the default recall is
-    above 0.9999; what is found is compared exactly.
+    above 0.9999.  Splitting a crowded path draws ``deep_draws`` shingles a text: a pair
+    all of whose common paths are crowded on every level is found with 0.9996.  What
+    is found is compared exactly.
     """
 
     def sign(batches):
@@ -111,12 +113,14 @@ def near_documents(
                 cell = owner * BINS + (g >> np.uint64(56)).astype(np.int64)
                 head = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]]) if len(cell) else cell
                 sketch.reshape(-1)[cell[head]] = (mixed(g[head], 3) % np.uint64(255)).astype(np.uint8) + 1
-                share = np.minimum(1.0, draws / np.maximum(size, 1))[owner]
-                bound = (share * 2.0**53).astype(np.uint64)
+                bounds = [
+                    (np.minimum(1.0, d / np.maximum(size, 1)) * 2.0**53).astype(np.uint64)[owner]
+                    for d in (draws, deep_draws)
+                ]
                 chosen = []
                 for k in range(repetitions * levels):
                     mark = mixed(g, 10 + k)
-                    hit = (mark >> np.uint64(11)) < bound
+                    hit = (mark >> np.uint64(11)) < bounds[k % levels > 0]
                     offsets = np.r_[0, np.cumsum(np.bincount(owner[hit], minlength=n))].astype(np.int32)
                     chosen.append(pa.ListArray.from_arrays(offsets, pa.array(mark[hit].view(np.int64))))
                 rows = batch.slice(low, n)
@@ -169,7 +173,7 @@ def near_documents(
 
     def tiles(rows: DataFrame) -> DataFrame:
         return (
-            rows.withColumn("blocks", F.ceil(F.col("n") / bucket).cast("int"))
+            rows.withColumn("blocks", F.ceil(F.col("n") / tile).cast("int"))
             .withColumn("block", F.pmod(F.xxhash64("class"), "blocks").cast("int"))
             .withColumn("with", F.explode(F.expr("sequence(0, blocks - 1)")))
             .withColumn("i", F.least("block", "with"))
@@ -206,7 +210,8 @@ def near_documents(
                 out = batch.slice(low, high - low).drop_columns(["text"])
                 yield out.append_column("grams", pa.array(rows, pa.binary()))
 
-    held = members.alias("m").join(
+    # Both sides grow with the documents: neither may be broadcast.
+    held = members.hint("merge").alias("m").join(
         texts.alias("t"), F.expr("m.digest = t.digest and m.doc_id <=> t.doc_id")
     ).select("m.component", "m.n", "m.class", "m.copies", "t.text")
     held = held.mapInArrow(sets, "component long, n long, class long, copies long, grams binary")
