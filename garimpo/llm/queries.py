@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..queries.registry import Query, table
 from .nearest import top_k
 from .shingle_join import near_documents
+from .suffix_dedup import drop_repeats
 from .vector_join import near_vectors
 
 LLM: dict[str, Query] = {}
@@ -43,6 +46,13 @@ def op1_near_vectors(spark, folder):
     return near_vectors(table(spark, folder, "embeddings")).select("vec_id", "n_links", "component_id", "kept")
 
 
+@query("op3_drop_repeats")
+def op3_drop_repeats(spark, folder):
+    return drop_repeats(table(spark, folder, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256")
+    )
+
+
 @query("op5_near_documents")
 def op5_near_documents(spark, folder):
     return near_documents(table(spark, folder, "documents")).drop("digest")

@@ -89,16 +89,18 @@ def mixed(values: np.ndarray, seed: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+POWERS: dict[int, np.ndarray] = {}
+
+
 def powers(base: int, n: int) -> np.ndarray:
-    """base ** 0 .. base ** (n - 1) modulo 2 ** 64."""
-    out = np.ones(max(n, 1), dtype=np.uint64)
-    filled, step = 1, base % 2**64
-    while filled < n:
-        take = min(filled, n - filled)
-        out[filled : filled + take] = out[:take] * np.uint64(step)
-        filled += take
-        step = step * step % 2**64 if take == filled - take else step
-    return out[:n]
+    """base ** 0 .. base ** (n - 1) modulo 2 ** 64; the longest so far is kept."""
+    known = POWERS.get(base)
+    if known is None or len(known) < n:
+        known = np.ones(1, dtype=np.uint64)
+        while len(known) < n:
+            known = np.concatenate((known, known * np.uint64(pow(base, len(known), 2**64))))
+        POWERS[base] = known
+    return known[:n]
 
 
 #: ASCII white space ends a word.
