@@ -6,10 +6,15 @@ from pyspark.sql import functions as F
 
 from ..queries.registry import Query, table
 from .nearest import top_k
+from .packing import encode, pack
+from .sentence_pieces import checked
 from .shingle_join import near_documents
 from .suffix_dedup import drop_repeats
 from .vector_join import near_vectors
 
+#: Folder of the public tokenizer files, the same on every executor.
+TOKENIZERS = "/opt/tokenizers"
+
 LLM: dict[str, Query] = {}
 
 
@@ -46,6 +51,11 @@ def op1_near_vectors(spark, folder):
     return near_vectors(table(spark, folder, "embeddings")).select("vec_id", "n_links", "component_id", "kept")
 
 
+@query("op2_sentence_pieces")
+def op2_sentence_pieces(spark, folder):
+    return checked(table(spark, folder, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model")
+
+
 @query("op3_drop_repeats")
 def op3_drop_repeats(spark, folder):
     return drop_repeats(table(spark, folder, "documents")).select(
@@ -53,6 +63,12 @@ def op3_drop_repeats(spark, folder):
     )
 
 
+@query("op4_pack")
+def op4_pack(spark, folder):
+    pieces = pack(encode(table(spark, folder, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json"))
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 @query("op5_near_documents")
 def op5_near_documents(spark, folder):
     return near_documents(table(spark, folder, "documents")).drop("digest")
