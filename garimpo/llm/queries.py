@@ -10,6 +10,7 @@ from .packing import encode, pack
 from .sentence_pieces import checked
 from .shingle_join import near_documents
 from .suffix_dedup import drop_repeats
+from .toxicity import toxicity
 from .vector_join import near_vectors
 
 #: Folder of the public tokenizer files, the same on every executor.
@@ -74,6 +75,11 @@ def op5_near_documents(spark, folder):
     return near_documents(table(spark, folder, "documents")).drop("digest")
 
 
+@query("op7_toxicity")
+def op7_toxicity(spark, folder):
+    return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query(
     "op10_top_k",
     """

@@ -109,18 +109,18 @@ SPACE[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32]] = True
 
 
 class Words:
-    """White-space separated words of several texts, hashed without a loop.
+    """Words of several texts, separated by the bytes of ``breaks`` and hashed without a loop.
 
     ``start`` and ``end`` are byte places in ``data`` (all texts joined, each
     followed by one space), ``text`` the text a word belongs to, ``hash`` its
     64-bit hash.
     """
 
-    def __init__(self, texts: list[bytes]):
+    def __init__(self, texts: list[bytes], breaks: np.ndarray = SPACE):
         data = np.frombuffer(b" ".join(texts) + b" ", dtype=np.uint8)
         self.data = data
         ends = np.cumsum([len(t) + 1 for t in texts], dtype=np.int64)
-        blank = np.concatenate(([True], SPACE[data]))
+        blank = np.concatenate(([True], breaks[data]))
         turn = np.flatnonzero(blank[1:] != blank[:-1])
         self.start, self.end = turn[0::2], turn[1::2]
         self.text = np.searchsorted(ends, self.start, side="right")
