@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 from ..queries.registry import Query, table
 from .nearest import top_k
 from .packing import encode, pack
+from .page_text import main_text
 from .sentence_pieces import checked
 from .shingle_join import near_documents
 from .suffix_dedup import drop_repeats
 from .toxicity import toxicity
 from .vector_join import near_vectors
+from .warc_records import derive, responses
 
 #: Folder of the public tokenizer files, the same on every executor.
 TOKENIZERS = "/opt/tokenizers"
@@ -80,6 +82,16 @@ def op7_toxicity(spark, folder):
     return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@query("op8_main_text")
+def op8_main_text(spark, folder):
+    return main_text(table(spark, folder, "pages"))
+
+
+@query("op9_warc_derive")
+def op9_warc_derive(spark, folder):
+    return derive(responses(table(spark, folder, "pages")))
+
+
 @query(
     "op10_top_k",
     """
