@@ -8,6 +8,7 @@ from ..queries.registry import Query, table
 from .nearest import top_k
 from .packing import encode, pack
 from .page_text import main_text
+from .secret_tags import find_secrets, learn, report
 from .sentence_pieces import checked
 from .shingle_join import near_documents
 from .suffix_dedup import drop_repeats
@@ -77,6 +78,12 @@ def op5_near_documents(spark, folder):
     return near_documents(table(spark, folder, "documents")).drop("digest")
 
 
+@query("op6_secrets")
+def op6_secrets(spark, folder):
+    documents = table(spark, folder, "documents")
+    return report(find_secrets(documents.select("doc_id", "text"), learn(documents)))
+
+
 @query("op7_toxicity")
 def op7_toxicity(spark, folder):
     return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
