@@ -4,8 +4,8 @@ Every 200-byte string names an anchor: the place of the least hash among its
 16-byte grams.  Equal strings name equal anchors at equal offsets, so runs of strings with
 one anchor ("pieces") can only repeat among pieces of the same anchor hash.
 Anchors that occur once, and anchors whose pieces are all equal, are settled by
-counting.  The other pieces are dealt into buckets, and each bucket's suffix order is
-built column by column: one symbol of every piece a round, inserted into the
+counting.  The other pieces are dealt into buckets, and the suffix order of a bucket's
+batches, each some whole anchors, is built column by column: one symbol of every piece a round, inserted into the
 collection's Burrows-Wheeler transform and common-prefix column, both read and written
 in one sequential sweep.
 """
@@ -24,8 +24,6 @@ from .shared import mixed, powers, slices, written
 
 GRAM = 16
 BASE = 0xC6A4A7935BD1E995
-#: Not a byte of UTF-8.
-END = 255
 
 
 def cut(texts: list[bytes], width: int = 200, seed: int = 0):
@@ -64,20 +62,30 @@ def cut(texts: list[bytes], width: int = 200, seed: int = 0):
 def repeated(pieces: list[bytes], width: int = 200) -> list[np.ndarray]:
     """For each of some distinct pieces: which of its ``width``-byte strings occur elsewhere in them.
 
-    Round j inserts the suffixes of length j of all pieces.  ``marks`` holds the
-    symbol before each suffix in suffix order, ``common`` the prefix (up to ``width``) that a
-    suffix shares with the one before it.
+    A symbol is eight bytes (four, two or one if ``width`` is no multiple), so a piece gives
+    eight strings of symbols, one from each of its first eight places.  Round j inserts the suffixes of
+    j symbols of all strings.  ``marks`` holds the symbol before each suffix in suffix
+    order, ``common`` the number of symbols a suffix shares with the one before it.
     """
-    count = len(pieces)
-    size = np.array([len(p) for p in pieces], dtype=np.int64)
-    longest = int(size.max(initial=0))
-    symbols = np.full((longest + 1, count), END, dtype=np.uint8)  # row j: the symbol before the suffix of length j
-    for i, p in enumerate(pieces):
-        symbols[: len(p), i] = np.frombuffer(p, np.uint8)[::-1]
-    marks, common = symbols[0].copy(), np.zeros(count, dtype=np.uint8)
+    unit = next(u for u in (8, 4, 2, 1) if width % u == 0)
+    span = width // unit
+    length = np.array([len(p) for p in pieces], dtype=np.int64)
+    begin = np.cumsum(length) - length
+    data = np.frombuffer(b"".join(pieces) + bytes(unit), dtype=np.uint8).astype(np.uint64)
+    window = sum(data[k : len(data) - unit + k] << np.uint64(8 * k) for k in range(unit))
+    values, codes = np.unique(window, return_inverse=True)
+    kind = np.uint16 if len(values) < 2**16 else np.uint32
+    end = len(values)  # marks a whole string
+    size = np.concatenate([np.maximum(length - r, 0) // unit for r in range(unit)])
+    origin = np.concatenate([begin + r for r in range(unit)])
+    count, longest = len(size), int(size.max(initial=0))
+    back = size[None, :] - 1 - np.arange(longest + 1)[:, None]  # row j: the symbol before the suffix of j symbols
+    symbols = np.where(back >= 0, codes[np.maximum(origin + back * unit, 0) % max(len(codes), 1)], end).astype(kind)
+    marks, common = symbols[0].copy(), np.zeros(count, dtype=np.uint8 if span < 256 else np.uint32)
     at = np.arange(count)
     for j in range(1, longest + 1):
         live = np.flatnonzero(size >= j)
+        live = live[np.argsort(at[live])]
         here = at[live]
         order = np.argsort(marks, kind="stable")
         rank = np.empty(len(order), dtype=np.int64)
@@ -88,15 +96,15 @@ def repeated(pieces: list[bytes], width: int = 200) -> list[np.ndarray]:
         has_before = (rank > 0) & (marks[before] == symbol)
         has_after = (rank + 1 < len(order)) & (marks[after] == symbol)
         ranges = np.empty(2 * len(live), dtype=np.int64)
-        padded = np.append(common, np.uint8(0))
+        padded = np.append(common, common.dtype.type(0))
         ranges[0::2], ranges[1::2] = np.where(has_before, before + 1, here), here + 1
-        with_before = np.where(has_before, np.minimum(np.minimum.reduceat(padded, ranges)[::2], width - 1) + 1, 0)
+        with_before = np.where(has_before, np.minimum(np.minimum.reduceat(padded, ranges)[::2], span - 1) + 1, 0)
         ranges[0::2], ranges[1::2] = here + 1, np.where(has_after, after + 1, here + 1)
-        with_after = np.where(has_after, np.minimum(np.minimum.reduceat(padded, ranges)[::2], width - 1) + 1, 0)
+        with_after = np.where(has_after, np.minimum(np.minimum.reduceat(padded, ranges)[::2], span - 1) + 1, 0)
         new = count + rank
         old = np.ones(len(marks) + len(live), dtype=bool)
         old[new] = False
-        grown, shared = np.empty(len(old), dtype=np.uint8), np.zeros(len(old) + 1, dtype=np.uint8)
+        grown, shared = np.empty(len(old), dtype=kind), np.zeros(len(old) + 1, dtype=common.dtype)
         grown[old], shared[:-1][old] = marks, common
         grown[new] = symbols[j][live]
         shared[new + 1] = with_after
@@ -106,20 +114,17 @@ def repeated(pieces: list[bytes], width: int = 200) -> list[np.ndarray]:
     order = np.argsort(marks, kind="stable")
     step = np.empty(len(order), dtype=np.int64)
     step[order] = count + np.arange(len(order))
-    twin = np.append(common, np.uint8(0)) >= width
+    twin = np.append(common, common.dtype.type(0)) >= span
     twin = twin[:-1] | twin[1:]
-    out = [np.zeros(max(0, s - width + 1), dtype=bool) for s in size]
-    table = np.zeros((max(0, longest - width + 1), count), dtype=bool)
+    flags = np.zeros(len(data), dtype=bool)
     at = np.arange(count)
     for j in range(1, longest + 1):
-        live = size >= j
-        at = np.where(live, step[at], at)
-        if j >= width:
-            table[j - width] = live & twin[at]
-    for i, s in enumerate(size):
-        if s >= width:
-            out[i] = table[: s - width + 1, i][::-1]
-    return out
+        live = np.flatnonzero(size >= j)
+        at[live] = step[at[live]]
+        if j >= span:
+            hit = live[twin[at[live]]]
+            flags[origin[hit] + (size[hit] - j) * unit] = True
+    return [flags[b : b + max(0, n - width + 1)] for b, n in zip(begin, length)]
 
 
 def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
@@ -140,7 +145,7 @@ def covered(size: int, runs, width: int) -> list[tuple[int, int]]:
 
 
 def drop_repeats(
-    documents: DataFrame, width: int = 200, bucket_bytes: int = 1_000_000, crowd: int = 4096
+    documents: DataFrame, width: int = 200, bucket_bytes: int = 4_000_000, batch_bytes: int = 60_000, crowd: int = 4096
 ) -> DataFrame:
     """All rows with their texts less every byte of a ``width``-byte string that occurs elsewhere.
 
@@ -226,19 +231,24 @@ def drop_repeats(
     buckets = max(1, ceil(size / bucket_bytes))
 
     def settle(group: pa.Table) -> pa.Table:
-        distinct: dict[bytes, int] = {}
-        places = [distinct.setdefault(p, len(distinct)) for p in group["piece"].to_pylist()]
-        seen: dict[tuple, int] = {}
-        owners: dict[int, set] = {}
-        for i, mark in zip(places, zip(group["key"].to_pylist(), group["content"].to_pylist(), group["shift"].to_pylist())):
-            owners.setdefault(i, set()).add(mark)
-            seen[mark] = i
-        flags = repeated(list(distinct), width)
-        rows = []
-        for (key, content, shift), i in seen.items():
-            whole = len(owners[i]) > 1
-            for a, b in [(0, len(flags[i]))] if whole else _runs(flags[i]):
-                rows.append((key, content, shift + a, shift + b))
+        group = group.sort_by("deal")
+        rows, start = [], 0
+        deal, piece = group["deal"].to_numpy(), group["piece"].to_pylist()
+        marks = list(zip(*(group[c].to_pylist() for c in ("key", "content", "shift"))))
+        size = np.cumsum([len(p) for p in piece])
+        last = np.r_[np.flatnonzero(deal[1:] != deal[:-1]) + 1, len(deal)]
+        while start < len(deal):
+            # As many whole keys as fit a batch, one at least.
+            fit = np.searchsorted(size[last - 1], (size[start - 1] if start else 0) + batch_bytes, side="right")
+            stop = int(max(last[max(fit - 1, 0)], last[np.searchsorted(last, start, side="right")]))
+            distinct: dict[bytes, int] = {}
+            own = {m: distinct.setdefault(p, len(distinct)) for m, p in zip(marks[start:stop], piece[start:stop])}
+            shared = np.bincount(list(own.values()), minlength=len(distinct)) > 1
+            flags = repeated(list(distinct), width)
+            for (key, content, shift), i in own.items():
+                for a, b in [(0, len(flags[i]))] if shared[i] else _runs(flags[i]) if flags[i].any() else ():
+                    rows.append((key, content, shift + a, shift + b))
+            start = stop
         columns = list(zip(*rows)) or [[]] * 4
         return pa.table([pa.array(c, pa.int64()) for c in columns], names=["key", "content", "low", "high"])
 
