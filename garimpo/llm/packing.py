@@ -12,22 +12,23 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import written
+from .shared import kept, written
 
-#: The word pattern of byte-level BPE files, a fixed value.
-WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Characters whose classes every regular-expression library agrees on.
-PLAIN = re.compile("[^\t\n\r -~¡-ɏ]")
+#: Letters and numbers up to U+024F, where every library agrees on the classes.
+LETTERS, NUMBERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼½¾"
+#: The word pattern of byte-level BPE files, a fixed value, for texts of such characters.
+WORDS = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^\s{LETTERS}{NUMBERS}]+|\s+(?!\S)|\s+"
+OTHER = re.compile("[^\t\n\r -~¡-ɏ]")
 
 
-def encode(texts: DataFrame, tokenizer: str, end: int | None = 1, keep: int = 500_000) -> DataFrame:
+def encode(texts: DataFrame, tokenizer: str, end: int | None = 1, keep: int = 1_000_000) -> DataFrame:
     """doc_id, n_tokens and ids (little-endian, two bytes an id if the vocabulary allows) of each text.
 
     The ids are those of the tokenizer file; a word met before is looked up.  ``end``
@@ -42,14 +43,15 @@ def encode(texts: DataFrame, tokenizer: str, end: int | None = 1, keep: int = 50
 
         made = Tokenizer.from_file(tokenizer)
         kind = np.dtype("<u2" if made.get_vocab_size() <= 2**16 else "<u4")
+        code = "H" if kind.itemsize == 2 else "I"
         special = [t.content for t in made.get_added_tokens_decoder().values()]
-        words, known = regex.compile(WORDS), {}
+        words, known = re.compile(WORDS), kept(tokenizer)
         last = b"" if end is None else np.array([end], kind).tobytes()
         for batch in batches:
             out = []
             for text in batch.column("text").to_pylist():
                 text = text or ""
-                if PLAIN.search(text) or any(t in text for t in special):
+                if OTHER.search(text) or any(t in text for t in special):
                     ids = np.array(made.encode(text, add_special_tokens=False).ids, kind).tobytes()
                 else:
                     split = words.findall(text)
@@ -59,7 +61,7 @@ def encode(texts: DataFrame, tokenizer: str, end: int | None = 1, keep: int = 50
                             known.clear()
                             new = list(set(split))
                         for w, e in zip(new, made.encode_batch_fast(new, add_special_tokens=False)):
-                            known[w] = np.array(e.ids, kind).tobytes()
+                            known[w] = array(code, e.ids).tobytes()
                     ids = b"".join(map(known.__getitem__, split))
                 out.append(ids + last)
             counts = pa.array([len(x) // kind.itemsize for x in out], pa.int64())

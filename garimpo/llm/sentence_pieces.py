@@ -16,6 +16,8 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import kept
+
 MARK = "▁"
 
 
@@ -31,7 +33,7 @@ class Pieces:
     def __init__(self, model: str):
         read = sentencepiece.SentencePieceProcessor(model_file=model)
         self.automaton, self.bytes, self.text = ahocorasick.Automaton(), {}, []
-        least, singles, crossing = 0.0, set(), False
+        least, singles, inner, crossing = 0.0, set(), set(), False
         for i in range(read.get_piece_size()):
             piece = read.id_to_piece(i)
             if read.is_byte(i):
@@ -47,11 +49,14 @@ class Pieces:
                 crossing |= bool(re.search(f"[^{MARK}]{MARK}", piece))
                 if len(piece) == 1:
                     singles.add(piece)
+                else:
+                    inner |= set(piece)
         self.automaton.make_automaton()
         self.unknown, self.lone, self.singles = read.unk_id(), least - 10, singles
-        # No piece runs from one word into the next, so words are segmented alone.
-        self.unit = re.compile(".+" if crossing else f"{MARK}+[^{MARK}]*", re.DOTALL)
-        self.known: dict[str, bytes] = {}
+        # No piece runs from one word into the next, or over a break, so those are segmented alone.
+        breaks = "".join(c for c in "\n\r\t" if c not in inner)
+        self.unit = re.compile(".+" if crossing else f"{MARK}+[^{MARK}{breaks}]*|[^{MARK}{breaks}]+|[{breaks}{MARK}]", re.DOTALL)
+        self.known: dict[str, bytes] = kept(model)
 
     def units(self, text: str) -> list[str]:
         return self.unit.findall(MARK + text.replace(" ", MARK)) if text else []
@@ -60,6 +65,17 @@ class Pieces:
         """Ids of the best path over one unit."""
         n = len(unit)
         score, back = [0.0] * (n + 1), [(0, -1)] * (n + 1)
+        if self.singles.issuperset(unit):  # every place is a piece's end
+            score[1:] = [float("-inf")] * n
+            for end, (size, i, value) in self.automaton.iter(unit):
+                got = score[end + 1 - size] + value
+                if got > score[end + 1]:
+                    score[end + 1], back[end + 1] = got, (end + 1 - size, i)
+            ids = []
+            while n:
+                n, i = back[n]
+                ids.append(i)
+            return ids[::-1]
         reached = 0
 
         def alone(end: int) -> None:
@@ -90,7 +106,7 @@ class Pieces:
             n = start
         return ids[::-1]
 
-    def encode(self, text: str, keep: int = 500_000) -> np.ndarray:
+    def encode(self, text: str, keep: int = 1_000_000) -> np.ndarray:
         units, known = self.units(text), self.known
         new = [u for u in set(units) if u not in known]
         if new and len(known) > keep:
@@ -100,7 +116,7 @@ class Pieces:
             known[u] = np.array(self.segment(u), dtype=np.int32).tobytes()
         return np.frombuffer(b"".join(map(known.__getitem__, units)), dtype=np.int32)
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: list[int] | np.ndarray) -> str:
         out = b"".join(map(self.text.__getitem__, ids))
         return out.removeprefix(b" ").decode(errors="replace")
 
@@ -135,7 +151,7 @@ def decode_pieces(rows: DataFrame, model: str, to: str = "decoded") -> DataFrame
     def run(batches):
         pieces = Pieces(model)
         for batch in batches:
-            made = [None if ids is None else pieces.decode(ids) for ids in batch.column("ids").to_pylist()]
+            made = [pieces.decode(ids.values.to_pylist()) if ids.is_valid else None for ids in batch.column("ids")]
             yield batch.select(rest).append_column(to, pa.array(made, pa.string()))
 
     shape = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in rest)

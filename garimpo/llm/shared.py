@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -61,6 +63,11 @@ def united(n: int, a: np.ndarray, b: np.ndarray, label: np.ndarray | None = None
         label = new
 
 
+def kept(name: str) -> dict:
+    """A dictionary that lives as long as the worker process, for words that tasks share."""
+    return sys.__dict__.setdefault("_kept_words", {}).setdefault(name, {})
+
+
 def usable(column: str) -> str:
     """SQL condition: a vector without null or non-finite components."""
     return f"{column} is not null and forall({column}, x -> x is not null and abs(x) < double('infinity'))"

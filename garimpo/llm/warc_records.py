@@ -4,18 +4,36 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import html
+import re
 import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .page_text import Page
+from .page_text import INLINE
 
 #: Names of the WARC 1.1 format.
 VERSION = "WARC/1.1"
 SPACE = uuid.NAMESPACE_URL
 
 
+#: What is no text: comments, declarations, the contents of scripts and the like.
+DROP = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|iframe|head)\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>", re.S | re.I)
+TITLE = re.compile(r"<title[^>]*>(.*?)(?:</title\s*>|\Z)", re.S | re.I)
+WITHIN = re.compile(rf"</?(?:{'|'.join(sorted(INLINE - {'br', 'img'}))})(?:\s[^>]*)?>", re.I)
+TAG = re.compile(r"</?[a-zA-Z][^>]*>")
+
+
+def plain(source: str) -> tuple[str, str]:
+    """Title, and the visible blocks of a page, one a line."""
+    found = TITLE.search(source)
+    title = " ".join(html.unescape(found[1]).split()) if found else ""
+    body = " ".join(DROP.sub(" ", source).split())  # line breaks of the source are spaces
+    lines = html.unescape(TAG.sub("\n", WITHIN.sub("", body))).split("\n")
+    return title, "\n".join(x for x in (" ".join(line.split()) for line in lines) if x)
+
+
 def sha1(data: bytes) -> str:
     return "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
 
@@ -96,9 +114,8 @@ def derive(records: DataFrame) -> DataFrame:
                 origin = fields.get("warc-record-id", "")
                 target, date = fields.get("warc-target-uri", ""), fields.get("warc-date", "")
                 payload = fields.get("warc-payload-digest")
-                page = Page(body.decode(errors="replace"))
-                title = next((t for o, t in page.blocks if page.elements[o].head), "")
-                text = "\n".join(t for o, t in page.blocks if not page.elements[o].head).encode()
+                title, text = plain(body.decode(errors="replace"))
+                text = text.encode()
                 notes = [
                     ("http-status", status), *(("http-header", line) for line in lines), ("payload-digest", payload or ""),
                     ("payload-digest-holds", str(payload == sha1(body)).lower()), ("source-block-digest", fields.get("warc-block-digest", "")),
