@@ -42,7 +42,8 @@ def parse_date(text: Column) -> Column:
 
 def epoch_date(seconds: Column) -> Column:
     """UTC date of an epoch number; 0 counts as missing."""
-    return F.when(seconds != 0, F.timestamp_seconds(seconds).cast("date"))
+    days = F.floor(seconds / 86400).cast("int")
+    return F.when(seconds != 0, F.date_add(F.lit("1970-01-01").cast("date"), days))
 
 
 def seconds_between(start: Column, end: Column) -> Column:

@@ -14,7 +14,6 @@ TERM_CAP = 50
 # --- placeholders -----------------------------------------------------------
 UNKNOWN = "unknown"
 UNKNOWN_LOCATION = "desconhecido"
-UNKNOWN_COMPANY = "Desconhecida"
 NULL_KEY = "_dbt_utils_surrogate_key_null_"
 
 # --- technology check -------------------------------------------------------
@@ -270,13 +269,6 @@ NO_LOCATION_NAME = "Nao informado"
 
 # --- landing ----------------------------------------------------------------
 SOURCES = ["adzuna", "jooble", "remoteok", "gupy"]
-OPTIONAL_SOURCE = "gupy"
-SEARCH_TERMS = [
-    "data engineering", "engenharia de dados",
-    "data analytics", "analise de dados",
-    "data science", "ciencia de dados",
-    "business intelligence", "machine learning",
-]
 CARD_BASE_URL = "https://portal.gupy.io"
 FIELD_MAPS = {
     "adzuna": {

@@ -6,6 +6,9 @@ from pyspark.sql import Column, functions as F
 
 from . import fixed_values as V
 
+#: Every white-space character, ASCII or not.
+WHITE_SPACE = "".join(chr(code) for code in range(0x10000) if chr(code).isspace())
+
 
 def surrogate_key(*columns: Column) -> Column:
     """md5 over the columns as text, with a placeholder for NULL."""
@@ -19,8 +22,8 @@ def identity_hash(title: Column, company: Column, location: Column, window: Colu
 
 
 def lookup_key(name: Column) -> Column:
-    """The form in which company and location names are looked up."""
-    return F.trim(F.lower(name))
+    """The form in which company and location names are looked up, white space of any kind cut."""
+    return F.btrim(F.lower(name), F.lit(WHITE_SPACE))
 
 
 def natural_id(kind: str, *columns: Column) -> Column:

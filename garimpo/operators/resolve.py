@@ -231,6 +231,8 @@ def signature_terms(
 def needed_terms(size: Column, threshold: int, common: int) -> Column:
     """How many of its ``signature_terms`` a text shares at least with a text it reaches."""
     slack = 1 - threshold / 100
+    if slack < 1e-9:  # equal texts share their one term
+        return F.lit(1)
     sure = F.ceil(size * (2 / (1 + slack) * (0.5 - 1.5 * slack)) - 1 - 1e-9)
     return F.least(F.lit(common), F.greatest(sure, F.lit(1))).cast("int")
 
@@ -446,14 +448,3 @@ def _peel(group_nodes: DataFrame, title_threshold: int, company_threshold: int,
         leaders.select(F.col("kid").alias("leader_kid"), "ord"), "ord"
     ).select("kid", "leader_kid")
     return own.unionByName(joined)
-
-
-# --- pairs --------------------------------------------------------------------
-def similar_pairs(
-    all_nodes: DataFrame,
-    title_threshold: int = V.TITLE_THRESHOLD,
-    company_threshold: int = V.COMPANY_THRESHOLD,
-) -> DataFrame:
-    """Every node with the earliest leader it matches: (kid, leader_kid), leaders left out."""
-    assigned = assign_leaders(all_nodes, title_threshold, company_threshold)
-    return assigned.filter("kid <> leader_kid")

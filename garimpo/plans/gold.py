@@ -178,7 +178,8 @@ def area_skill_counts(with_skills: DataFrame, fact: DataFrame, as_of: str) -> Da
     """Distinct recent fact jobs per area and skill."""
     recent = fact.filter(since(F.col("posted_date"), 30, as_of)).select("job_id")
     return (
-        with_skills.select("job_id", "job_area", "skill")
+        with_skills.filter(since(F.col("posted_date"), 30, as_of))
+        .select("job_id", "job_area", "skill")
         .join(recent, "job_id")
         .distinct()
         .groupBy("job_area", "skill")

@@ -117,10 +117,10 @@ def search(
 
 
 def _with_skills(rows: DataFrame, owned: DataFrame, limit: int | None) -> DataFrame:
-    """Skills of the found jobs.  The limited ids are broadcast to the jobs' scan, so
-    the jobs are not shuffled for a page of results."""
+    """Skills of the found jobs.  The limited ids meet the jobs first; how, is left to
+    their measured size."""
     if limit is not None:
-        owned = owned.join(F.broadcast(rows.select("job_id")), "job_id", "left_semi")
+        owned = owned.join(rows.select("job_id"), "job_id", "left_semi")
     order = [*rows.columns[:7], "skills", *rows.columns[7:]]
     return rows.join(owned, "job_id", "left").select(*order)
 
@@ -247,9 +247,9 @@ def top_skills(frequency: DataFrame, area_code: str | None = None, limit: int =
 
 
 def skills_heatmap(gold: Gold, k: int = 10) -> DataFrame:
-    """Area counts of the k most frequent skills.  The k rows are broadcast."""
+    """Area counts of the k most frequent skills.  The join of the k rows is left to their size."""
     frequency = gold["agg_skills_frequency"]
-    best = F.broadcast(top_skills(frequency, limit=k).select("skill"))
+    best = top_skills(frequency, limit=k).select("skill")
     counts = (
         frequency.join(best, "skill", "left_semi")
         .groupBy("skill", "job_area")

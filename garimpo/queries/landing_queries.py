@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import fixed_values as V
 from ..functions.dates import parse_date
 from ..plans import gold as G
 from ..plans import silver as P
@@ -152,7 +153,7 @@ def landing_partition(spark, folder):
   WHERE rn <= 50""")
 def per_term_cap(spark, folder):
     rows = table(spark, folder, "events").select(F.col("event_type").alias("term"), "ts", "event_id")
-    return E.cap_per_term(rows, "term", [F.col("ts"), F.col("event_id")]).select("term", "event_id")
+    return E.cap_per_term(rows, "term", [F.col("ts"), F.col("event_id")], V.TERM_CAP).select("term", "event_id")
 
 
 @query("split_feed", r"""

@@ -5,16 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import fixed_values as V
+from ..functions.keys import WHITE_SPACE
 from ..functions.text import contains_any
 from .mapping import as_id, nested
 
-# Every white-space character, ASCII or not.
-LINE_SPACE = "".join(chr(code) for code in range(0x10000) if chr(code).isspace())
-
 
 def card_lines(text: Column) -> Column:
     """Trimmed non-blank lines."""
-    lines = F.transform(F.split(text, "\n"), lambda line: F.btrim(line, F.lit(LINE_SPACE)))
+    lines = F.transform(F.split(text, "\n"), lambda line: F.btrim(line, F.lit(WHITE_SPACE)))
     return F.filter(lines, lambda line: line != "")
 
 

@@ -12,7 +12,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from ..functions import fixed_values as V
 
 ROW_SCHEMA = "source STRING, ds DATE, extracted_at TIMESTAMP, payload STRING"
 EXCHANGE_FILE = "raw_jobs.json"
@@ -94,7 +93,7 @@ def tagged_union(pages: Mapping[str, DataFrame], column: str = "search_term") ->
 
 
 def cap_per_term(
-    rows: DataFrame, term: str, order: Iterable[Column], cap: int = V.TERM_CAP
+    rows: DataFrame, term: str, order: Iterable[Column], cap: int
 ) -> DataFrame:
     """The first ``cap`` rows of every term.  Spark trims each task to the cap
     before the shuffle, so a dominant term moves only ``cap`` rows per task."""

@@ -108,12 +108,15 @@ def map_all(
     )
 
 
-def with_own_ids(mapped: DataFrame) -> DataFrame:
-    """Postings without source id get a random id: equal ones are different postings.
+def with_own_ids(mapped: DataFrame, run: int) -> DataFrame:
+    """Postings without source id get an id of their own: equal ones are different postings.
 
-    Store the result before it is used twice.
+    The id is a hash of the posting, its load time, its place in the scan and ``run``, a
+    number that a repeated run has again and a further run has not.
     """
-    return mapped.withColumn("id", F.when(F.col("source_id").isNull(), F.expr("uuid()")).otherwise(F.col("id")))
+    place = F.monotonically_increasing_id()
+    own = natural_id("own", F.col("source"), F.md5("payload"), F.col("ingested_at"), F.lit(run), place)
+    return mapped.withColumn("id", F.when(F.col("source_id").isNull(), own).otherwise(F.col("id")))
 
 
 def first_match_of(cases: list[tuple[Column, Column]]) -> Column:

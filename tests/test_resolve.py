@@ -147,9 +147,10 @@ def test_leaders_match_the_loop(spark, path):
 
 
 def test_needed_terms_agree(spark):
-    for threshold in (81, 85, 90, 99):
+    for threshold in (81, 85, 90, 99, 100):
         sizes = spark.range(1, 200).select("id", R.needed_terms(F.col("id"), threshold, 4).alias("n")).collect()
-        assert [r["n"] for r in sizes] == [min(4, max(R.sure_pairs(r["id"], threshold), 1)) for r in sizes]
+        sure = [1 if threshold == 100 else max(R.sure_pairs(r["id"], threshold), 1) for r in sizes]
+        assert [r["n"] for r in sizes] == [min(4, n) for n in sure]
 
 
 def test_low_thresholds_are_refused(spark):

@@ -135,7 +135,7 @@ def test_feed_and_caps(spark):
     head, rows = E.split_feed(feed)
     assert [r["item"] for r in head.collect()] == ["meta"]
     assert [(r["pos"], r["item"]) for r in rows.collect()] == [(1, "a"), (2, "b")]
-    capped = E.cap_per_term(spark.range(200).withColumn("term", F.lit("t")), "term", [F.col("id")])
+    capped = E.cap_per_term(spark.range(200).withColumn("term", F.lit("t")), "term", [F.col("id")], 50)
     assert capped.count() == 50
     union = E.tagged_union({"x": spark.range(2), "y": spark.range(2).withColumn("v", F.lit(1))})
     assert union.count() == 4 and union.filter("search_term = 'x' and v is null").count() == 2
