@@ -29,9 +29,9 @@ def plain(source: str) -> tuple[str, str]:
     """Title, and the visible blocks of a page, one a line."""
     found = TITLE.search(source)
     title = " ".join(html.unescape(found[1]).split()) if found else ""
-    body = " ".join(DROP.sub(" ", source).split())  # line breaks of the source are spaces
-    lines = html.unescape(TAG.sub("\n", WITHIN.sub("", body))).split("\n")
-    return title, "\n".join(x for x in (" ".join(line.split()) for line in lines) if x)
+    body = DROP.sub(" ", source).replace("\n", " ")  # line breaks of the source are spaces
+    lines = TAG.sub("\n", WITHIN.sub("", body)).split("\n")
+    return title, "\n".join(x for x in (" ".join(html.unescape(line).split()) for line in lines) if x)
 
 
 def sha1(data: bytes) -> str:
