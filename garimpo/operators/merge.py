@@ -163,9 +163,11 @@ def require_same_schema(target: DataFrame, rows: DataFrame) -> None:
 
 
 def above_mark(rows: DataFrame, target: DataFrame, mark: str) -> DataFrame:
-    """Rows above the target's highest mark; nothing when the target is empty."""
-    high = target.agg(F.max(mark).alias("_mark"))
-    return rows.join(F.broadcast(high), F.col(mark) > F.col("_mark"), "inner").drop("_mark")
+    """Rows above the target's highest mark; nothing when the target is empty.
+
+    The mark is a scalar subquery, so the comparison is a filter on the rows' own scan.
+    """
+    return rows.filter(F.col(mark) > target.agg(F.max(mark)).scalar())
 
 
 def replace_by_key(target: DataFrame, rows: DataFrame, key: str) -> DataFrame:

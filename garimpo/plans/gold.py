@@ -73,6 +73,13 @@ def int_jobs_with_skills(staged: DataFrame) -> DataFrame:
     ).withColumn("skill", F.trim("skill")).filter("skill != ''")
 
 
+def job_skills(staged: DataFrame) -> DataFrame:
+    """``int_jobs_with_skills`` with each skill of a job once: repeats go inside the array."""
+    return int_jobs_with_skills(
+        staged.withColumn("skills_array", F.array_distinct(F.transform("skills_array", F.trim)))
+    )
+
+
 def int_company_size(staged: DataFrame, as_of: str) -> DataFrame:
     volume = (
         staged.filter(since(F.col("posted_date"), 30, as_of))
@@ -158,39 +165,36 @@ def agg_market_overview(fact: DataFrame, as_of: str) -> DataFrame:
     )
 
 
-def agg_skills_frequency(with_skills: DataFrame, as_of: str) -> DataFrame:
-    """Distinct jobs per skill, area and day.
+def agg_skills_frequency(skills: DataFrame, as_of: str) -> DataFrame:
+    """Jobs per skill, area and day, from ``job_skills``.
 
-    The repeats of a job go first, so the counting shuffle carries partial
-    counts and a frequent skill is no hot key.
+    A job has a skill once, so the one shuffle carries partial counts and a
+    frequent skill is no hot key.
     """
     return (
-        with_skills.filter(since(F.col("posted_date"), 90, as_of))
-        .select("skill", "job_area", "posted_date", "job_id")
-        .distinct()
+        skills.filter(since(F.col("posted_date"), 90, as_of))
         .groupBy("skill", "job_area", F.col("posted_date").alias("reference_date"))
         .agg(F.count("job_id").alias("job_count"))
         .withColumn("snapshot_date", as_date(as_of))
     )
 
 
-def area_skill_counts(with_skills: DataFrame, fact: DataFrame, as_of: str) -> DataFrame:
-    """Distinct recent fact jobs per area and skill."""
+def area_skill_counts(skills: DataFrame, fact: DataFrame, as_of: str) -> DataFrame:
+    """Recent fact jobs per area and skill, from ``job_skills``."""
     recent = fact.filter(since(F.col("posted_date"), 30, as_of)).select("job_id")
     return (
-        with_skills.filter(since(F.col("posted_date"), 30, as_of))
+        skills.filter(since(F.col("posted_date"), 30, as_of))
         .select("job_id", "job_area", "skill")
         .join(recent, "job_id")
-        .distinct()
         .groupBy("job_area", "skill")
         .agg(F.count("job_id").alias("skill_count"))
     )
 
 
-def top_skills_per_area(with_skills: DataFrame, fact: DataFrame, as_of: str, k: int = 10) -> DataFrame:
+def top_skills_per_area(skills: DataFrame, fact: DataFrame, as_of: str, k: int = 10) -> DataFrame:
     """The k best ranks of every area; ties share a rank."""
     ranked = Window.partitionBy("job_area").orderBy(F.col("skill_count").desc())
-    counts = area_skill_counts(with_skills, fact, as_of)
+    counts = area_skill_counts(skills, fact, as_of)
     return counts.withColumn("skill_rank", F.rank().over(ranked)).filter(F.col("skill_rank") <= k)
 
 
@@ -216,7 +220,7 @@ def build_gold(spark: SparkSession, silver: Mapping[str, DataFrame], as_of: str)
         "dim_location": dim_location(locations),
         "dim_skill": dim_skill(with_skills),
         "fact_job_posting": fact,
-        "agg_skills_frequency": agg_skills_frequency(with_skills, as_of),
+        "agg_skills_frequency": agg_skills_frequency(job_skills(staged), as_of),
         "agg_market_overview": agg_market_overview(fact, as_of),
     }
 

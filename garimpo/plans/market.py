@@ -247,13 +247,13 @@ def top_skills(frequency: DataFrame, area_code: str | None = None, limit: int =
 
 
 def skills_heatmap(gold: Gold, k: int = 10) -> DataFrame:
-    """Area counts of the k most frequent skills.  The join of the k rows is left to their size."""
-    frequency = gold["agg_skills_frequency"]
-    best = top_skills(frequency, limit=k).select("skill")
-    counts = (
-        frequency.join(best, "skill", "left_semi")
-        .groupBy("skill", "job_area")
-        .agg(F.sum("job_count").alias("frequency"))
-    )
+    """Area counts of the k most frequent skills.
+
+    The ranking reads the area counts, so both sides share one exchange.  The join of the
+    k rows is left to their size.
+    """
+    counts = gold["agg_skills_frequency"].groupBy("skill", "job_area").agg(F.sum("job_count").alias("frequency"))
+    best = top_skills(counts.withColumnRenamed("frequency", "job_count"), limit=k).select("skill")
+    counts = counts.join(best, "skill", "left_semi")
     area = F.broadcast(gold["dim_area"].select("area_code", F.col("area_label").alias("area")))
     return counts.join(area, F.col("job_area") == F.col("area_code")).select("skill", "area", "frequency")

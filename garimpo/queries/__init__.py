@@ -11,6 +11,7 @@ for _module in (
     "run_queries",
     "landing_queries",
     "text_queries",
+    "rule_queries",
     "resolve_queries",
     "quality_queries",
 ):

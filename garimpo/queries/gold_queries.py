@@ -155,7 +155,7 @@ AREA_SKILLS = """, counts AS (
 @query("area_skill_counts", S.on_gold(AREA_SKILLS + "SELECT * FROM counts"))
 def area_skill_counts(spark, folder):
     g = S.gold(spark, folder)
-    return G.area_skill_counts(g["int_jobs_with_skills"], g["fact_job_posting"], S.JOBS_AS_OF)
+    return G.area_skill_counts(G.job_skills(g["stg_jobs"]), g["fact_job_posting"], S.JOBS_AS_OF)
 
 
 @query("top_skills_per_area", S.on_gold(AREA_SKILLS + """
@@ -163,7 +163,7 @@ def area_skill_counts(spark, folder):
     AS skill_rank FROM counts) WHERE skill_rank <= 10"""))
 def top_skills_per_area(spark, folder):
     g = S.gold(spark, folder)
-    return G.top_skills_per_area(g["int_jobs_with_skills"], g["fact_job_posting"], S.JOBS_AS_OF)
+    return G.top_skills_per_area(G.job_skills(g["stg_jobs"]), g["fact_job_posting"], S.JOBS_AS_OF)
 
 
 @query("fact_rebuild", S.on_gold("""

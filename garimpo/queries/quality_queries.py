@@ -9,10 +9,16 @@ from ..plans import checks
 from . import stand_ins as S
 from .registry import query, table
 
-SQL_NAMES = {"fact_job_posting": "fact", "agg_skills_frequency": "skills_frequency"}
+SQL_NAMES = {
+    "fact_job_posting": "fact",
+    "agg_skills_frequency": "skills_frequency",
+    "agg_market_overview": "(SELECT area_code, count(*) AS total_jobs FROM fact "
+    "WHERE posted_date >= DATE '2001-08-01' - 30 GROUP BY area_code, seniority_code)",
+}
 REPORTED = [
     "stg_jobs", "stg_companies", "stg_locations", "int_jobs_with_skills", "int_jobs_classified",
     "int_company_size", "dim_company", "dim_location", "fact_job_posting", "agg_skills_frequency",
+    "dim_area", "dim_seniority", "agg_market_overview",
 ]
 
 

@@ -55,15 +55,15 @@ def read_exchange(spark: SparkSession, root: str, source: str, ds: str) -> DataF
 
 
 # --- writing ------------------------------------------------------------------
-def write_landing(rows: DataFrame, root: str, files_per_day: int = 32) -> None:
+def write_landing(rows: DataFrame, root: str) -> None:
     """Write rows of the native layout; a second run of a day replaces that day.
 
-    A source's day is spread over several tasks by a hash of the posting, so
-    one dominant source is not written by one task.
+    The rebalancing exchange splits a large day and joins small ones by their measured
+    size (``spark.sql.adaptive.advisoryPartitionSizeInBytes``), so one dominant
+    source is not written by one task.
     """
-    spread = F.pmod(F.xxhash64("payload"), F.lit(files_per_day))
     (
-        rows.repartition("source", "ds", spread)
+        rows.hint("rebalance", "source", "ds")
         .write.partitionBy("source", "ds")
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

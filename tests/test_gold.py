@@ -63,7 +63,7 @@ def test_marts(models):
     overview = {(r["area_code"], r["seniority_code"]): r for r in models["agg_market_overview"].collect()}
     assert float(overview["bi", "senior"]["pct_remote"]) == 50.0 and overview["bi", "senior"]["total_jobs"] == 10
     assert ("bi", "junior") not in overview
-    top = G.top_skills_per_area(models["int_jobs_with_skills"], models["fact_job_posting"], AS_OF, k=1)
+    top = G.top_skills_per_area(G.job_skills(models["stg_jobs"]), models["fact_job_posting"], AS_OF, k=1)
     assert {(r["job_area"], r["skill"], r["skill_rank"]) for r in top.collect()} == {("bi", "SQL", 1), ("bi", "dbt", 1)}
     kpis = K.kpis(models["fact_job_posting"], AS_OF).collect()[0]
     assert (kpis["total_jobs"], float(kpis["pct_remote"]), kpis["jobs_today"]) == (13, 38.5, 11)
