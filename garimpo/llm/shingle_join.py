@@ -78,7 +78,7 @@ def _shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarra
 
 def near_documents(
     documents: DataFrame, threshold: float = 0.8, words: int = 5, repetitions: int = 3, draws: float = 4.0,
-    deep_draws: float = 2.5, levels: int = 3, bucket: int = 1024, tile: int = 512,
+    deep_draws: float = 2.0, levels: int = 3, bucket: int = 1024, tile: int = 512, sample: int = 48,
 ) -> DataFrame:
     """Links of Jaccard similarity >= threshold between texts, and their groups.
 
@@ -92,9 +92,11 @@ def near_documents(
 
     A pair at the threshold draws a common shingle in one repetition with
     probability 1 - exp(-threshold * draws) at least, so the default recall is
-    above 0.9999.  Splitting a crowded path draws ``deep_draws`` shingles a text: a pair
-    all of whose common paths are crowded on every level is found with 0.9996.  What
-    is found is compared exactly.
+    above 0.9999.  Splitting a crowded path draws ``deep_draws`` shingles a text, by a hash
+    of the path, from about ``sample`` shingles that similar texts share.  The draws of
+    different paths are independent, so a pair at the threshold all of whose common
+    paths are crowded on every level is found with 0.998 at least.  What is found is
+    compared exactly.
     """
 
     def sign(batches):
@@ -113,14 +115,11 @@ def near_documents(
                 cell = owner * BINS + (g >> np.uint64(56)).astype(np.int64)
                 head = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]]) if len(cell) else cell
                 sketch.reshape(-1)[cell[head]] = (mixed(g[head], 3) % np.uint64(255)).astype(np.uint8) + 1
-                bounds = [
-                    (np.minimum(1.0, d / np.maximum(size, 1)) * 2.0**53).astype(np.uint64)[owner]
-                    for d in (draws, deep_draws)
-                ]
                 chosen = []
-                for k in range(repetitions * levels):
+                for k in range(repetitions + 1):
+                    rate = np.minimum(1.0, (draws if k < repetitions else sample) / np.maximum(size, 1))
                     mark = mixed(g, 10 + k)
-                    hit = (mark >> np.uint64(11)) < bounds[k % levels > 0]
+                    hit = (mark >> np.uint64(11)) < (rate * 2.0**53).astype(np.uint64)[owner]
                     offsets = np.r_[0, np.cumsum(np.bincount(owner[hit], minlength=n))].astype(np.int32)
                     chosen.append(pa.ListArray.from_arrays(offsets, pa.array(mark[hit].view(np.int64))))
                 rows = batch.slice(low, n)
@@ -129,17 +128,17 @@ def near_documents(
                      pa.array(ids[1].view(np.int64)), pa.array(size.astype(np.int32)),
                      pa.array([row.tobytes() for row in sketch], pa.binary()), *chosen],
                     ["doc_id", "digest", "set_a", "set_b", "size", "sketch",
-                     *(f"draw{k}" for k in range(repetitions * levels))],
+                     *names],
                 )
 
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.md5("text").alias("digest"), "text")
-    draws_ = ", ".join(f"draw{k} array<long>" for k in range(repetitions * levels))
+    names = [*(f"draw{k}" for k in range(repetitions)), "deep"]
+    draws_ = ", ".join(f"{name} array<long>" for name in names)
     signed = texts.mapInArrow(
         sign, f"doc_id long, digest string, set_a long, set_b long, size int, sketch binary, {draws_}"
     )
     signed = written(signed.withColumn("row", F.monotonically_increasing_id()), "signed")
     place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row", "digest")
-    names = [f"draw{k}" for k in range(repetitions * levels)]
     classes = (
         signed.where("size > 0")
         .groupBy("set_a", "set_b")
@@ -149,13 +148,11 @@ def near_documents(
     )
     classes = written(classes, "classes")
 
-    def drawn(level: int) -> DataFrame:
-        return classes.select(
-            "class",
-            F.posexplode(F.array(*(f"draw{r * levels + level}" for r in range(repetitions)))).alias("run", "marks"),
-        ).select("class", "run", F.explode("marks").alias("mark"))
-
-    paths = written(drawn(0).select("class", "run", F.xxhash64("run", "mark").alias("path")), "paths")
+    marked = classes.select("class", F.posexplode(F.array(*names[:-1])).alias("run", "marks"))
+    paths = marked.select("class", F.explode(F.transform("marks", lambda m: F.xxhash64("run", m))).alias("path"))
+    paths = written(paths, "paths")
+    # Texts of unequal sizes draw alike: a shingle is drawn by both at the rate of the larger one.
+    chance = F.lit(deep_draws) / F.least(F.col("size"), F.lit(sample)) * 2**30
     leaves = None
     for level in range(levels):
         counts = paths.groupBy("path").agg(F.count("*").alias("n")).where("n > 1")
@@ -164,12 +161,11 @@ def near_documents(
         done = done.select("path", "class", "n")
         leaves = done if leaves is None else leaves.unionByName(done)
         if level < levels - 1:
-            paths = written(
-                sized.where(F.col("n") > bucket)
-                .join(drawn(level + 1), ["class", "run"])
-                .select("class", "run", F.xxhash64("path", "mark").alias("path")),
-                "paths",
-            )
+            crowded = sized.where(F.col("n") > bucket).select("path", "class")
+            crowded = crowded.join(classes.select("class", "size", "deep"), "class")
+            drawn = F.filter("deep", lambda m: F.pmod(F.xxhash64("path", m), F.lit(2**30)) < chance)
+            children = F.transform(drawn, lambda m: F.xxhash64("path", m, F.lit(level)))
+            paths = written(crowded.select("class", F.explode(children).alias("path")), "paths")
 
     def tiles(rows: DataFrame) -> DataFrame:
         return (
