@@ -167,9 +167,9 @@ def near_documents(
             children = F.transform(drawn, lambda m: F.xxhash64("path", m, F.lit(level)))
             paths = written(crowded.select("class", F.explode(children).alias("path")), "paths")
 
-    def tiles(rows: DataFrame) -> DataFrame:
+    def tiles(rows: DataFrame, side: int) -> DataFrame:
         return (
-            rows.withColumn("blocks", F.ceil(F.col("n") / tile).cast("int"))
+            rows.withColumn("blocks", F.ceil(F.col("n") / side).cast("int"))
             .withColumn("block", F.pmod(F.xxhash64("class"), "blocks").cast("int"))
             .withColumn("with", F.explode(F.expr("sequence(0, blocks - 1)")))
             .withColumn("i", F.least("block", "with"))
@@ -186,7 +186,8 @@ def near_documents(
         tied = np.flatnonzero(label != np.arange(len(label)))
         return pa.table({"a": ids[tied], "b": ids[label[tied]]})
 
-    met = tiles(leaves.join(classes.select("class", "size", "sketch"), "class"))
+    # Sketches are small: a bucket is one tile, and only what no level has split has several.
+    met = tiles(leaves.join(classes.select("class", "size", "sketch"), "class"), bucket)
     likely = met.groupBy("path", "i", "j").applyInArrow(sketch_tile, "a long, b long")
     cells = components(likely)
     cells = cells.join(cells.groupBy("component").agg(F.count("*").alias("n")), "component")
@@ -232,7 +233,7 @@ def near_documents(
         label = united(len(ids), a, b)
         return pa.table({"a": ids, "b": ids[label], "links": links})
 
-    compared = tiles(held).groupBy("component", "i", "j")
+    compared = tiles(held, tile).groupBy("component", "i", "j")
     compared = written(compared.applyInArrow(exact_tile, "a long, b long, links long"), "compared")
     counted = compared.groupBy("a").agg(F.sum("links").alias("links")).withColumnRenamed("a", "class")
     groups = components(compared.select("a", "b")).withColumnRenamed("node", "class")
