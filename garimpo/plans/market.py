@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import fixed_values as V
 from ..functions.dates import since
 from ..functions.rules import mode_label, percent, seniority_label
+from ..session import checkpoint
 
 Gold = Mapping[str, DataFrame]
 
@@ -111,6 +112,8 @@ def search(
     if limit is not None:
         rows = rows.orderBy(*newest).limit(limit)
     if not skills:
+        if limit is not None:  # the star join runs once for the page's ids and its rows
+            rows = checkpoint(rows)
         rows = _with_skills(rows, owned, limit)
         rows = rows if limit is None else rows.orderBy(*newest)
     return rows

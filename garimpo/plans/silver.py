@@ -52,7 +52,7 @@ from ..operators.resolve import (
     nodes,
     raw_order,
 )
-from ..session import checkpoint
+from ..session import checkpoint, stored
 from ..sources.mapping import map_all, with_own_ids
 
 
@@ -70,7 +70,7 @@ def load(
     The mapped batch is stored once: a filter on a mapped column would otherwise
     be pushed below the mapping and parse every document again.
     """
-    mapped = checkpoint(with_own_ids(map_all(landing, field_maps), raw.count()))
+    mapped = stored(with_own_ids(map_all(landing, field_maps), raw.count()), "mapped")
     keys, order = ["source", "source_id"], [F.col("ingested_at"), F.col("id"), F.col("payload")]
     fresh = new_rows(raw, mapped, keys, order, nullable_key="source_id")
     per_source = fresh.groupBy("source").agg(F.count(F.lit(1)).alias("inserted"))

@@ -58,6 +58,16 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{_checkpoint_root(spark)}/{name}-{uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Cut the lineage through a Parquet table in the shared folder.
+
+    For rows with long texts: later steps read the columns they need.
+    """
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(scan: DataFrame) -> DataFrame:
     """Give every core work when a scan has fewer splits than the cluster has cores.
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import fixed_values as V
 from ..operators.merge import new_rows
 from ..schemas import RAW_JOBS
-from ..session import checkpoint
+from ..session import stored
 from ..sources.envelopes import ROW_SCHEMA
 from ..sources.mapping import map_all, with_own_ids
 
@@ -43,7 +43,7 @@ def load_new_files(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch.withColumn("ingested_at", F.col("extracted_at"))
-        mapped = checkpoint(with_own_ids(map_all(rows, field_maps), batch_id))
+        mapped = stored(with_own_ids(map_all(rows, field_maps), batch_id), "mapped")
         known = raw_table(spark, raw).filter(F.col(BATCH) < batch_id)
         fresh = new_rows(
             known, mapped, ["source", "source_id"],
