@@ -1,20 +1,23 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
-A bounded sample of labelled texts fixes the terms (those whose document frequency differs
-between the labels) and the examples; document frequencies for the weights come
-from all texts.  Examples lie in blocks, and the index keeps each term's largest weight in
-each block: blocks are read in the order of their bound until no bound beats the
-k-th best similarity.
+A bounded sample of labelled texts gives the examples, with all their words; document
+frequencies for the weights come from all texts, also those of words that no example has, which
+count for the length of a document's vector.  Words whose document frequency differs between the
+labels, to either side, weigh more; none is dropped.  Examples lie in blocks: words of few examples are
+summed from their lists, common ones have their largest weight in each block, and blocks are read in
+the order of their bound until no bound beats the k-th best similarity.
 """
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Words, slices
+from .shared import Words, kept, slices, written
 
 #: Everything in ASCII but letters and digits ends a term.
 BREAKS = np.zeros(256, dtype=bool)
@@ -28,19 +31,26 @@ def _terms(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return found.text, found.hash
 
 
-def _counts(texts: list[bytes], terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, place in sorted ``terms``, times) of the terms that occur."""
+def _counts(texts: list[bytes], terms: np.ndarray):
+    """(text, place in sorted ``terms``, times) of the terms that occur, and (text, term, times) of the other words."""
     text, term = _terms(texts)
+    order = np.lexsort((term, text))
+    text, term = text[order], term[order]
+    start = np.flatnonzero(np.r_[True, (text[1:] != text[:-1]) | (term[1:] != term[:-1])][: len(text)])
+    times = np.diff(np.r_[start, len(text)])
+    text, term = text[start], term[start]
     if not len(terms):
-        return (np.empty(0, np.int64),) * 3
+        return (np.empty(0, np.int64),) * 3, (text, term, times)
     place = np.minimum(np.searchsorted(terms, term), len(terms) - 1)
     hit = terms[place] == term
-    cell, times = np.unique(text[hit] * len(terms) + place[hit], return_counts=True)
-    return cell // len(terms), cell % len(terms), times
+    return (text[hit], place[hit], times[hit]), (text[~hit], term[~hit], times[~hit])
 
 
 class Index:
-    """Block-max inverted index of unit vectors (rows of terms and weights)."""
+    """Block-max index of unit vectors (rows of terms and weights).
+
+    Terms of more than a quarter of the rows are dense in each block, the others are lists.
+    """
 
     def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]], n_terms: int, width: int = 64):
         self.width, self.size = width, len(rows)
@@ -48,35 +58,45 @@ class Index:
         owner = np.repeat(np.arange(len(rows)), [len(t) for t, _ in rows])
         term = np.concatenate([t for t, _ in rows] or [np.empty(0, np.int64)]).astype(np.int64)
         weight = np.concatenate([w for _, w in rows] or [np.empty(0)])
-        cell = term * self.blocks + owner // width
-        order = np.lexsort((owner, cell))
+        common = np.bincount(term, minlength=n_terms) * 4 > len(rows)
+        self.dense_at = np.where(common, np.cumsum(common) - 1, -1)
+        self.dense = np.zeros((self.blocks, int(common.sum()), width))
+        here = common[term]
+        self.dense[owner[here] // width, self.dense_at[term[here]], owner[here] % width] = weight[here]
+        self.most = self.dense.max(axis=2)
+        owner, term, weight = owner[~here], term[~here], weight[~here]
+        order = np.lexsort((owner, term))
         self.owner, self.weight = owner[order], weight[order]
-        self.at = np.searchsorted(cell[order], np.arange(n_terms * self.blocks + 1))
-        self.most = np.zeros(n_terms * self.blocks)
-        np.maximum.at(self.most, cell, weight)
-        self.most = self.most.reshape(n_terms, self.blocks)
+        self.at = np.searchsorted(term[order], np.arange(n_terms + 1))
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, skip: int = -1) -> list[tuple[float, int]]:
         """The k rows of highest positive similarity, ties to the earlier row."""
-        bound = weights @ self.most[terms]
+        at = self.dense_at[terms]
+        full = np.zeros(self.dense.shape[1])
+        full[at[at >= 0]] = weights[at >= 0]
+        rare, own = terms[at < 0], weights[at < 0]
+        low, n = self.at[rare], self.at[rare + 1] - self.at[rare]
+        place = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
+        part = np.bincount(self.owner[place], np.repeat(own, n) * self.weight[place], self.blocks * self.width)
+        part = part.reshape(self.blocks, self.width)
+        bound = part.max(axis=1) + self.most @ full
         best: list[tuple[float, int]] = []
         for block in np.argsort(-bound, kind="stable"):
-            if bound[block] <= 0 or (len(best) == k and bound[block] < best[-1][0] - 1e-12):
+            least = best[-1][0] - 1e-12 if len(best) == k else 0
+            if bound[block] <= 0 or bound[block] < least:
                 break
-            scores = np.zeros(self.width)
-            for t, w in zip(terms, weights):
-                low, high = self.at[t * self.blocks + block], self.at[t * self.blocks + block + 1]
-                scores[self.owner[low:high] - block * self.width] += w * self.weight[low:high]
+            scores = part[block] + full @ self.dense[block]
             if 0 <= skip - block * self.width < self.width:
                 scores[skip - block * self.width] = 0
-            rows = np.flatnonzero(scores > 0)
-            best += [(round(float(scores[r]), 12), int(block * self.width + r)) for r in rows]
-            best = sorted(best, key=lambda x: (-x[0], x[1]))[:k]
+            rows = np.flatnonzero((scores > 0) & (scores >= least))
+            if len(rows):
+                best += [(round(float(scores[r]), 12), int(block * self.width + r)) for r in rows]
+                best = sorted(best, key=lambda x: (-x[0], x[1]))[:k]
         return best
 
 
 class Model:
-    """Terms, weights, examples and calibration; ``score`` gives (probability, evidence)."""
+    """Terms, weights, examples and calibration; ``search`` gives a text's votes before its length is known."""
 
     def __init__(self, terms, idf, ids, toxic, weight, vectors, k):
         self.terms, self.idf, self.ids, self.toxic, self.weight, self.k = terms, idf, ids, toxic, weight, k
@@ -88,29 +108,49 @@ class Model:
         bare = np.array([not len(t) for t, _ in vectors], dtype=bool)
         self.bare = float(((weight * toxic)[bare].sum() + self.prior) / (weight[bare].sum() + 1)) if len(bare) else 0.5
         self.a, self.b = 1.0, 0.0
-        votes = np.array([self.vote(*vectors[i], skip=j)[0] for j, i in enumerate(held)])
+        found = [self.vote(*vectors[i], skip=j) for j, i in enumerate(held)]
+        votes = np.array([(toxic_ + self.prior) / (pull + 1) for pull, toxic_, _ in found])
         if len(votes):
             self.a, self.b = _platt(_logit(votes), toxic[self.held], weight[self.held])
-        self.known: dict[bytes, tuple[float, list[int]]] = {}
+        self.known: dict[bytes, tuple] = {}
+        self.outer: DataFrame | None = None
 
-    def vote(self, terms, weights, skip=-1) -> tuple[float, list[int]]:
+    def vote(self, terms, weights, skip=-1) -> tuple[float, float, list[int]]:
+        """Weighted similarity to all near examples and to the toxic ones, and the nearest."""
         near = self.index.nearest(terms, weights, self.k, skip)
         rows = self.held[[r for _, r in near]] if near else np.empty(0, np.int64)
         pull = np.array([s for s, _ in near]) * self.weight[rows]
-        share = ((pull * self.toxic[rows]).sum() + self.prior) / (pull.sum() + 1)
-        return float(share), [int(self.ids[r]) for r in rows[:3]]
+        return float(pull.sum()), float((pull * self.toxic[rows]).sum()), [int(self.ids[r]) for r in rows[:3]]
 
-    def score(self, terms: np.ndarray, times: np.ndarray) -> tuple[float, list[int]]:
+    def search(self, terms: np.ndarray, times: np.ndarray) -> tuple[float, float, float, list[int]]:
+        """Square of the length over the known terms, then the vote of the unit vector of these."""
         if not len(terms):
-            return self.bare, []
+            return 0.0, 0.0, 0.0, []
         key = terms.tobytes() + times.tobytes()
         if key not in self.known:
             if len(self.known) > 200_000:
                 self.known.clear()
-            share, evidence = self.vote(terms, unit(times, self.idf[terms]))
-            self.known[key] = (float(1 / (1 + np.exp(-self.a * _logit(share) - self.b))), evidence)
+            w = (1 + np.log(times)) * self.idf[terms]
+            square = float((w * w).sum())
+            self.known[key] = (square, *self.vote(terms, w / np.sqrt(square)))
         return self.known[key]
 
+    def state(self) -> tuple[dict, dict]:
+        """Plain values, for a broadcast that workers read once."""
+        held = {n: getattr(self, n) for n in ("terms", "idf", "ids", "toxic", "weight", "k", "held")}
+        return held, vars(self.index)
+
+
+def _revived(name: str, state: tuple[dict, dict]) -> Model:
+    models = kept("toxicity")
+    if name not in models:
+        models.clear()
+        model, model.index = Model.__new__(Model), Index.__new__(Index)
+        vars(model).update(state[0], known={})
+        vars(model.index).update(state[1])
+        models[name] = model
+    return models[name]
+
 
 def unit(times: np.ndarray, idf: np.ndarray) -> np.ndarray:
     w = (1 + np.log(times)) * idf
@@ -136,9 +176,7 @@ def _platt(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, float]:
     return float(max(beta[0], 0.0)), float(beta[1])
 
 
-def fit(
-    documents: DataFrame, labels: DataFrame, per_class: int = 4000, k: int = 15, most_terms: int = 2048
-) -> Model:
+def fit(documents: DataFrame, labels: DataFrame, per_class: int = 4000, k: int = 15) -> Model:
     """Model from at most ``per_class`` labelled texts of each label and the counts of all texts.
 
     ``labels`` has doc_id and toxic (0, 1; others are skipped; a document labelled
@@ -170,66 +208,104 @@ def fit(
     words = [np.frombuffer(t, np.uint64) for t in chosen["terms"].to_pylist()]
     weight = np.array([totals[int(t)] / max(1, (toxic == t).sum()) for t in toxic])
 
-    # Terms whose document frequencies differ: chi-squared beyond chance among all terms.
+    # Every word of an example is a term; those whose document frequencies differ weigh more.
     distinct = [np.unique(w) for w in words]
-    seen, where = np.unique(np.concatenate(distinct or [np.empty(0, np.uint64)]), return_inverse=True)
+    terms, where = np.unique(np.concatenate(distinct or [np.empty(0, np.uint64)]), return_inverse=True)
     owner = np.repeat(np.arange(len(distinct)), [len(w) for w in distinct])
     n1, n0 = float((toxic == 1).sum()), float((toxic == 0).sum())
-    d1 = np.bincount(where, toxic[owner], len(seen))
-    d0 = np.bincount(where, 1 - toxic[owner], len(seen))
+    d1 = np.bincount(where, toxic[owner], len(terms))
+    d0 = np.bincount(where, 1 - toxic[owner], len(terms))
     n, row = n1 + n0, d1 + d0
     chi = n * (d1 * (n0 - d0) - d0 * (n1 - d1)) ** 2 / np.maximum(row * (n - row) * n1 * n0, 1e-9)
-    telling = np.flatnonzero((chi > 2 * np.log(max(len(seen), 2)) + 2) & (d1 * n0 > d0 * n1))
-    telling = telling[np.argsort(-chi[telling], kind="stable")][:most_terms]
-    terms = np.sort(seen[telling])
+    # Up to the largest value expected by chance among all terms, the factor stays near 1.
+    factor = 1 + chi / (2 * np.log(max(len(terms), 2)) + 2)
 
     def frequencies(batches):
         count, texts_ = np.zeros(len(terms), dtype=np.int64), 0
+        names = ["tid", "term", "times", "copies"]
         for batch in batches:
             texts = [(t or "").lower().encode() for t in batch.column("text").to_pylist()]
             texts_ += len(texts)
             for low, high in slices(texts):
-                count += np.bincount(_counts(texts[low:high], terms)[1], minlength=len(terms))
+                (_, place, _), (text, term, times) = _counts(texts[low:high], terms)
+                count += np.bincount(place, minlength=len(terms))
+                tid = batch.column("tid").slice(low, high - low).take(pa.array(text))
+                copies = pa.array(np.ones(len(text), np.int64))
+                yield pa.RecordBatch.from_arrays([tid, pa.array(term.view(np.int64)), pa.array(times), copies], names)
         place = np.r_[np.flatnonzero(count), -1]
         times = np.r_[count[count > 0], texts_]
-        yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(times)], ["term", "n"])
-
-    df = documents.select("text").mapInArrow(frequencies, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    df = {r["term"]: r["n"] for r in df.collect()}
-    idf = np.array([np.log((1 + df.get(-1, 0)) / (1 + df.get(i, 0))) + 1 for i in range(len(terms))])
+        none = pa.nulls(len(place), pa.binary())
+        yield pa.RecordBatch.from_arrays([none, pa.array(place), pa.array(np.zeros(len(place), np.int64)), pa.array(times)], names)
+
+    # Rows without tid count the terms, the others are the words outside of them by text.
+    outside = _named(documents).select("tid", "text").mapInArrow(frequencies, "tid binary, term long, times long, copies long")
+    outside = outside.groupBy("tid", "term").agg(F.max("times").alias("times"), F.sum("copies").alias("copies"))
+    outside = written(outside, "outside")
+    counted = outside.where("tid is null").select("term", "copies").toArrow()
+    df = np.zeros(len(terms) + 1, dtype=np.int64)  # the last is the number of texts
+    df[counted["term"].to_numpy()] = counted["copies"].to_numpy()
+    idf = (np.log((1 + df[-1]) / (1 + df[:-1])) + 1) * factor
     rows = []
     for w in words:
-        place = np.minimum(np.searchsorted(terms, w), max(len(terms) - 1, 0)) if len(terms) else np.empty(0, np.int64)
-        found, times = np.unique(place[terms[place] == w], return_counts=True) if len(terms) else (place, place)
+        found, times = np.unique(np.searchsorted(terms, w), return_counts=True)
         rows.append((found, unit(times, idf[found]) if len(found) else np.empty(0)))
-    return Model(terms, idf, ids, toxic, weight, rows, k)
+    model = Model(terms, idf, ids, toxic, weight, rows, k)
+    outside = outside.where("tid is not null")
+    rest = outside.groupBy("term").agg(F.sum("copies").alias("df"))
+    length = (1 + F.log("times")) * (F.log(F.lit(1.0 + df[-1]) / (1 + F.col("df"))) + 1)
+    model.outer = outside.join(rest, "term").groupBy("tid").agg(F.sum(length * length).alias("outer"))
+    return model
+
+
+def _named(documents: DataFrame) -> DataFrame:
+    return documents.withColumn("tid", F.unhex(F.md5(F.coalesce("text", F.lit("")))))
 
 
 def score(documents: DataFrame, model: Model) -> DataFrame:
     """All rows with score (0 to 1) and evidence (doc_ids of the nearest examples).
 
-    Only the text is read; null counts as empty, and a text without any of the
-    model's terms gets the toxic share of such examples.  Input columns of the added
+    ``documents`` are those of the model's fit.  Only the text is read; null counts as empty,
+    and a text without any word gets the toxic share of such examples.  Input columns of the added
     names are replaced.
     """
     rest = [c for c in documents.columns if c not in ("score", "evidence")]
+    return _scored(documents.select(*rest), model, rest)
+
+
+def _scored(documents: DataFrame, model: Model, rest: list[str]) -> DataFrame:
+    """``rest``, score and evidence of documents; a text that is not in ``rest`` is not shuffled."""
+    name = uuid4().hex
+    shared = documents.sparkSession.sparkContext.broadcast(model.state())
 
     def run(batches):
+        known = _revived(name, shared.value)
         for batch in batches:
-            texts = [(t or "").lower().encode() for t in batch.column("text").to_pylist()]
-            scores, evidence = [], []
+            texts = [(t or "").lower().encode() for t in batch.column("_text").to_pylist()]
+            found, bare = [], []
             for low, high in slices(texts):
-                text, term, times = _counts(texts[low:high], model.terms)
+                (text, term, times), (others, _, _) = _counts(texts[low:high], known.terms)
                 cut = np.searchsorted(text, np.arange(high - low + 1))
-                for i in range(high - low):
-                    s, e = model.score(term[cut[i] : cut[i + 1]], times[cut[i] : cut[i + 1]])
-                    scores.append(s)
-                    evidence.append(e)
-            out = batch.append_column("score", pa.array(scores, pa.float64()))
-            yield out.append_column("evidence", pa.array(evidence, pa.list_(pa.int64())))
-
-    shape = ", ".join(f"`{c}` {documents.schema[c].dataType.simpleString()}" for c in rest)
-    return documents.select(*rest).mapInArrow(run, f"{shape}, score double, evidence array<long>")
+                found += [known.search(term[a:b], times[a:b]) for a, b in zip(cut[:-1], cut[1:])]
+                bare.append(np.bincount(text, minlength=high - low) + np.bincount(others, minlength=high - low) == 0)
+            out = batch.drop_columns(["_text"])
+            for column, values in zip(("_inner", "_pull", "_toxic", "evidence"), list(zip(*found)) or [[]] * 4):
+                out = out.append_column(column, pa.array(values, pa.list_(pa.int64()) if column == "evidence" else pa.float64()))
+            yield out.append_column("_bare", pa.array(np.concatenate(bare or [np.empty(0, bool)]), pa.bool_()))
+
+    shape = "".join(f"`{c}` {documents.schema[c].dataType.simpleString()}, " for c in rest)
+    body = F.coalesce("text", F.lit(""))
+    rows = documents.select(*rest, F.unhex(F.md5(body)).alias("_tid"), body.alias("_text"))
+    rows = rows.mapInArrow(
+        run, f"{shape}_tid binary, _inner double, _pull double, _toxic double, evidence array<long>, _bare boolean"
+    )
+    outer = model.outer.select(F.col("tid").alias("_tid"), F.col("outer").alias("_outer"))
+    joined = rows.join(outer.hint("merge"), "_tid", "left")
+    # The votes were those of the known terms alone; the whole vector is longer.
+    shrink = F.when(F.col("_inner") > 0, F.sqrt(F.col("_inner") / (F.col("_inner") + F.coalesce("_outer", F.lit(0.0))))).otherwise(0.0)
+    share = (shrink * F.col("_toxic") + model.prior) / (shrink * F.col("_pull") + 1)
+    share = F.greatest(F.least(share, F.lit(1 - 1e-6)), F.lit(1e-6))
+    chance = 1 / (1 + F.exp(-model.a * F.log(share / (1 - share)) - model.b))
+    return joined.select(*rest, F.when(F.col("_bare"), model.bare).otherwise(chance).alias("score"), "evidence")
 
 
 def learnable(labels: DataFrame) -> DataFrame:
@@ -241,7 +317,7 @@ def toxicity(documents: DataFrame, labels: DataFrame, threshold: float = 0.7, **
     """doc_id, held_out, score, predicted and evidence of every document."""
     model = fit(documents, learnable(labels), **options)
     out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
-    return score(documents.select("doc_id", "text"), model).select(
+    return _scored(documents.select("doc_id", "text"), model, ["doc_id"]).select(
         "doc_id", out.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "evidence"
     )
 

@@ -308,3 +308,32 @@ def test_pipeline_takes_effect(spark):
     tokens = stage and pipeline.packed(spark, kept, DATA).collect()
     assert {r.doc_id for r in tokens} == {r.doc_id for r in kept.select("doc_id").collect()}
     assert not any(re.search(r"token = \"[0-9a-f]{40}", r.text or "") for r in kept.collect())
+
+
+def test_toxicity_keeps_all_words(spark):
+    """Each example and document is a vector of all its words, and a copy of an example finds it."""
+    rng = random.Random(5)
+    vocabulary = prose(11, 300).split()
+    texts = [" ".join(rng.choices(vocabulary, k=30)) for _ in range(60)]
+    texts[7] = "unseen words of their own"
+    data = [(i, t) for i, t in enumerate(texts)] + [(100, texts[7]), (101, f"{texts[7]} new newer"), (102, None), (103, "x")]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 5 == 2)) for i in range(60)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    assert len(model.held) == 60 and len(model.terms) == len({w for t in texts for w in t.split()})
+    out = {r.doc_id: r for r in toxicity.score(docs, model).collect()}
+    assert out[100].evidence[0] == out[101].evidence[0] == 7 and out[100].score > out[101].score > out[103].score
+
+    sets = [collections.Counter(re.findall("[a-z0-9]+", t or "")) for _, t in data]
+    df = collections.Counter(w for s in sets for w in s)
+    idf = {w: np.log((1 + len(sets)) / (1 + n)) + 1 for w, n in df.items()}
+    known = dict(zip(model.terms.tolist(), model.idf.tolist()))
+    idf |= {w: known[h] for w in idf if (h := int(toxicity._terms([w.encode()])[1][0])) in known}
+    full = [{w: (1 + np.log(n)) * idf[w] for w, n in s.items()} for s in sets]
+    size = [np.sqrt(sum(x * x for x in v.values())) for v in full]
+    for i, (key, _) in enumerate(data):
+        sims = [sum(x * full[j].get(w, 0) for w, x in full[i].items()) / (size[i] * size[j] or 1) for j in range(60)]
+        near = sorted((j for j in range(60) if sims[j] > 0), key=lambda j: (-round(sims[j], 12), j))[:15]
+        share = (sum(sims[j] for j in near if j % 5 == 2) + model.prior) / (sum(sims[j] for j in near) + 1)
+        want = 1 / (1 + np.exp(-model.a * np.log(share / (1 - share)) - model.b))
+        assert out[key].score == pytest.approx(want if size[i] else model.bare, abs=1e-9)
