@@ -18,8 +18,9 @@ VERSION = "WARC/1.1"
 SPACE = uuid.NAMESPACE_URL
 
 
-#: What is no text: comments, declarations, the contents of scripts and the like.
-DROP = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|title|noscript|template|iframe|head)\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>", re.S | re.I)
+#: What is no text: comments, declarations, the contents of scripts and the like.  Head has no end tag on many pages,
+#: and holds nothing else.
+DROP = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|title|noscript|template|iframe)\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>", re.S | re.I)
 TITLE = re.compile(r"<title[^>]*>(.*?)(?:</title\s*>|\Z)", re.S | re.I)
 WITHIN = re.compile(rf"</?(?:{'|'.join(sorted(INLINE - {'br', 'img'}))})(?:\s[^>]*)?>", re.I)
 TAG = re.compile(r"</?[a-zA-Z][^>]*>")

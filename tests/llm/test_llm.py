@@ -337,3 +337,9 @@ def test_toxicity_keeps_all_words(spark):
         share = (sum(sims[j] for j in near if j % 5 == 2) + model.prior) / (sum(sims[j] for j in near) + 1)
         want = 1 / (1 + np.exp(-model.a * np.log(share / (1 - share)) - model.b))
         assert out[key].score == pytest.approx(want if size[i] else model.bare, abs=1e-9)
+
+
+def test_plain_text_without_end_of_head():
+    assert warc_records.plain("<html><head><title>t</title><body>text") == ("t", "text")
+    assert warc_records.plain("<head><style>a</style><title>t</title><meta charset=x><p>one<header>two") == ("t", "one\ntwo")
+    assert warc_records.plain("<head><title>t</title></head><body>text</body>") == ("t", "text")
