@@ -9,11 +9,13 @@ furniture by their tag, role or class go on every page.
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 import zlib
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -174,30 +176,54 @@ def dull_paths(pages: DataFrame, least: float = 0.2, pages_needed: int = 8) -> D
 
     The importance of a node is the entropy of its children's sequences or of its
     texts, whichever is larger, over the logarithm of its occurrences: 0 if all are
-    equal, 1 if all differ.  Nodes seen fewer than ``pages_needed`` times are kept.
+    equal, 1 if all differ.  Pages of a host with equal bodies (elements and texts outside
+    the head) count once.  Nodes seen fewer than ``pages_needed`` times are kept.
     """
 
-    def nodes(batches):
+    def distinct(batches):
+        met = set()  # copies within a task go before the shuffle
         for batch in batches:
-            rows = ([], [], [], [])
+            rows = ([], [], [])
             for host, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
                 page = Page(source or "")
+                blocks = [(owner, text) for owner, text in page.blocks if not page.elements[owner].head]
+                body = [(e.path, e.style) for e in page.elements if not e.head], [
+                    (page.elements[owner].path, text) for owner, text in blocks
+                ]
+                digest = hashlib.md5(repr(body).encode(errors="surrogatepass")).digest()
+                if (host, digest) in met:
+                    continue
+                met.add((host, digest))
                 content = [[] for _ in page.elements]
-                for owner, text in page.blocks:
+                for owner, text in blocks:
                     while owner >= 0:
                         content[owner].append(text)
                         owner = page.elements[owner].parent
-                for e, texts in zip(page.elements, content):
-                    if not e.furniture and not e.article:
-                        for kind, value in ((0, " ".join(e.style)), (1, "\n".join(texts))):
-                            for column, x in zip(rows, (host, e.path, kind, zlib.crc32(value.encode()))):
-                                column.append(x)
+                nodes = [
+                    (e.path, zlib.crc32(" ".join(e.style).encode()), zlib.crc32("\n".join(texts).encode()))
+                    for e, texts in zip(page.elements, content)
+                    if not e.furniture and not e.article
+                ]
+                for column, x in zip(rows, (host, digest, np.array(nodes, dtype="<u4").tobytes())):
+                    column.append(x)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rows[0], pa.string()), *(pa.array(r, pa.int64()) for r in rows[1:])],
-                ["host", "path", "kind", "value"],
+                [pa.array(r, k) for r, k in zip(rows, (pa.string(), pa.binary(), pa.binary()))], ["host", "digest", "nodes"]
             )
 
-    seen = pages.select(_host().alias("host"), "html").mapInArrow(nodes, "host string, path long, kind long, value long")
+    def nodes(batches):
+        for batch in batches:
+            held = [np.frombuffer(n, "<u4").reshape(-1, 3).astype(np.int64) for n in batch.column("nodes").to_pylist()]
+            host = batch.column("host").take(pa.array(np.repeat(np.arange(len(held)), [len(n) for n in held])))
+            all_ = np.concatenate(held or [np.empty((0, 3), np.int64)])
+            for kind in (0, 1):
+                yield pa.RecordBatch.from_arrays(
+                    [host, pa.array(all_[:, 0]), pa.array(np.full(len(all_), kind)), pa.array(all_[:, 1 + kind])],
+                    ["host", "path", "kind", "value"],
+                )
+
+    bodies = pages.select(_host().alias("host"), "html").mapInArrow(distinct, "host string, digest binary, nodes binary")
+    bodies = bodies.groupBy("host", "digest").agg(F.first("nodes").alias("nodes"))
+    seen = bodies.select("host", "nodes").mapInArrow(nodes, "host string, path long, kind long, value long")
     counted = seen.groupBy("host", "path", "kind", "value").agg(F.count("*").alias("n"))
     entropy = (F.log(F.sum("n")) - F.sum(F.col("n") * F.log("n")) / F.sum("n")) / F.log(F.greatest(F.sum("n"), F.lit(2)))
     varied = counted.groupBy("host", "path", "kind").agg(F.sum("n").alias("m"), entropy.alias("entropy"))

@@ -343,3 +343,14 @@ def test_plain_text_without_end_of_head():
     assert warc_records.plain("<html><head><title>t</title><body>text") == ("t", "text")
     assert warc_records.plain("<head><style>a</style><title>t</title><meta charset=x><p>one<header>two") == ("t", "one\ntwo")
     assert warc_records.plain("<head><title>t</title></head><body>text</body>") == ("t", "text")
+
+
+def test_copies_of_a_page_carry_no_weight(spark):
+    body = "<body><div class=x>same</div><div class=y><p>text {}</p></div>"
+    data = [(i, "http://a/", f"<head><title>{i}</title></head>" + body.format("a")) for i in range(8)]
+    data += [(100 + i, "http://b/", body.format("copied")) for i in range(900)]
+    data += [(1000 + i, "http://b/", body.format(i)) for i in range(100)]
+    out = {r.page_id: r.text for r in main_text(spark.createDataFrame(data, "page_id long, url string, html string")).collect()}
+    assert {out[i] for i in range(8)} == {"same\n\ntext a"}
+    assert {out[100 + i] for i in range(900)} == {"text copied"}
+    assert all(out[1000 + i] == f"text {i}" for i in range(100))
