@@ -32,6 +32,15 @@ NAMES = set(
     "subscribe signup login search breadcrumb breadcrumbs pagination pager share sharing social related recommended "
     "widget comment comments commentlist disqus reply replies respond".split()
 )
+#: Compound names with a fixed meaning; what other compounds hold, the style tree decides.
+FORMS = re.compile(
+    r"(?:site|main|top|bottom|left|right|primary|secondary|global)[-_]+"
+    r"(?:nav|navbar|navigation|menu|header|masthead|footer|sidebar|banner|breadcrumbs?)"
+    r"|(?:cookie|cookies)[-_]+(?:banner|notice|consent|popup)"
+)
+#: Elements of running text, and the names that are no furniture within an article.
+PROSE = set("p h1 h2 h3 h4 h5 h6 blockquote pre li dt dd td th figure figcaption caption".split())
+OWN = {"header"}
 INLINE = set(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q ruby rb rp rt s samp small span "
     "strike strong sub sup time tt u var wbr".split()
@@ -47,12 +56,12 @@ PIECE = re.compile(
     re.DOTALL | re.IGNORECASE,
 )
 ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
-WORD = re.compile(r"[a-zA-Z]+")
 
 
 class Element(NamedTuple):
     path: int  # checksum of the chain of names from the root
     furniture: bool
+    named: bool  # furniture only by a name outside any article
     article: bool
     parent: int
     head: bool
@@ -66,7 +75,7 @@ class Page:
     """
 
     def __init__(self, source: str):
-        self.elements = [Element(0, False, False, -1, False, [])]
+        self.elements = [Element(0, False, False, False, -1, False, [])]
         self.blocks: list[tuple[int, str]] = []
         self.held: list[str] = []
         self.names, self.open = [""], [0]
@@ -128,15 +137,22 @@ class Page:
         named = f"{found.get('class', '')} {found.get('id', '')}"
         parent = self.elements[self.open[-1]]
         article = parent.article or tag in ("article", "main")
-        words = {w.lower() for part in named.split() for w in (part, *WORD.findall(part))}
-        furniture = (
-            parent.furniture or tag in FURNITURE or (tag == "header" and not article)
+        words = {w.lower() for w in named.split()}
+        # An article is not hidden by the names around it; within one, names hide no running text.
+        inherited = parent.furniture and not (parent.named and tag in ("article", "main"))
+        fixed = (
+            tag in FURNITURE or (tag == "header" and not article)
             or found.get("role", "").lower() in ROLES or "hidden" in found or found.get("aria-hidden") == "true"
-            or (tag not in ("html", "body", "main", "article") and bool(words & NAMES))
         )
+        called = tag not in ("html", "body", "main", "article") and (
+            tag not in PROSE and bool(words & (NAMES - OWN)) if article else any(w in NAMES or FORMS.fullmatch(w) for w in words)
+        )
+        furniture = inherited or fixed or called
+        # Below a name, an element that is furniture by itself hides its articles too.
+        by_name = furniture and not fixed and not article and (parent.named or not parent.furniture)
         label = f"{tag}.{' '.join(sorted(named.split()))}"
         parent.style.append(label)
-        changed = furniture != parent.furniture
+        changed = (furniture, by_name) != (parent.furniture, parent.named)
         if tag in VOID:
             return
         if tag in INLINE and not changed:
@@ -145,7 +161,7 @@ class Page:
             if changed:
                 self.flush()
             self.elements.append(
-                Element(zlib.crc32(label.encode(), parent.path), furniture, article, self.open[-1], parent.head or tag == "head", [])
+                Element(zlib.crc32(label.encode(), parent.path), furniture, by_name, article, self.open[-1], parent.head or tag == "head", [])
             )
             place = len(self.elements) - 1
         self.names.append(tag)
@@ -155,7 +171,8 @@ class Page:
     def leave(self, tag: str) -> None:
         if tag in self.names[1:]:
             depth = len(self.names) - 1 - self.names[::-1].index(tag)
-            if self.elements[self.open[depth]].furniture != self.elements[self.open[depth - 1]].furniture:
+            inner, outer = self.elements[self.open[depth]], self.elements[self.open[depth - 1]]
+            if (inner.furniture, inner.named) != (outer.furniture, outer.named):
                 self.flush()
             self.shut(depth)
 
@@ -163,7 +180,7 @@ class Page:
         """Blocks outside furniture and outside the host's dull paths."""
         gone: list[bool] = []
         for e in self.elements:
-            gone.append(e.furniture or (e.parent >= 0 and gone[e.parent]) or (e.path in dull and not e.article))
+            gone.append(e.furniture or (not e.article and ((e.parent >= 0 and gone[e.parent]) or e.path in dull)))
         return "\n\n".join(text for owner, text in self.blocks if not gone[owner])
 
 

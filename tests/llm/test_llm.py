@@ -354,3 +354,17 @@ def test_copies_of_a_page_carry_no_weight(spark):
     assert {out[i] for i in range(8)} == {"same\n\ntext a"}
     assert {out[100 + i] for i in range(900)} == {"text copied"}
     assert all(out[1000 + i] == f"text {i}" for i in range(100))
+
+
+@pytest.mark.parametrize("source, text", [
+    ('<div class="layout has-sidebar"><article>a</article></div>', "a"),
+    ('<div id="page-with-nav"><div>a</div><main>b</main></div>', "a\n\nb"),
+    ('<div class="sidebar">x<main>b<p class="reply">c</main></div>', "b\n\nc"),
+    ('<nav><article>x</article></nav><div class="ad"><aside><article>x</article></aside></div>b', "b"),
+    ('<article><div class="entry-header"><h1>a</h1></div><div class="header">b</div></article>', "a\n\nb"),
+    ('<article><section class="related-work">a</section><div class="search-algorithm">b</div><p class="reply">c</article>', "a\n\nb\n\nc"),
+    ('<article>a<div class="share">x</div><div class="comments"><article>x</article></div></article>', "a"),
+    ('<div class="site-header">x</div><div id="left_sidebar">x</div><div class="cookie-notice">x</div><div class="main search">x</div>b', "b"),
+])
+def test_names_hide_no_text(source, text):
+    assert Page(source).main_text(set()) == text
