@@ -144,6 +144,20 @@ def covered(size: int, runs, width: int) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
+def one_body_a_text(documents: DataFrame) -> DataFrame:
+    """tid (md5) and compressed body of each different text; copies go before the shuffle."""
+
+    def packed(batches):
+        pack = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            bodies = pa.array([pack.compress(t.encode()) for t in batch.column("text").to_pylist()], pa.binary())
+            yield batch.drop_columns(["text"]).append_column("body", bodies)
+
+    body = F.coalesce("text", F.lit(""))
+    bodies = documents.select(F.md5(body).alias("tid"), body.alias("text")).mapInArrow(packed, "tid string, body binary")
+    return bodies.withColumn("tid", F.unhex("tid")).groupBy("tid").agg(F.first("body").alias("body"))
+
+
 def drop_repeats(
     documents: DataFrame, width: int = 200, bucket_bytes: int = 4_000_000, batch_bytes: int = 60_000, crowd: int = 4096
 ) -> DataFrame:
@@ -196,12 +210,6 @@ def drop_repeats(
         .agg(F.collect_list(F.struct("one.start", "strings", "key", "content", "crowded")).alias("pieces"))
     )
 
-    def packed(batches):
-        pack = zstandard.ZstdCompressor(level=1)
-        for batch in batches:
-            bodies = pa.array([pack.compress(t.encode()) for t in batch.column("text").to_pylist()], pa.binary())
-            yield batch.drop_columns(["text"]).append_column("body", bodies)
-
     def fetch(batches):
         open_ = zstandard.ZstdDecompressor()
         for batch in batches:
@@ -223,8 +231,7 @@ def drop_repeats(
                     [pa.array(c, k) for c, k in zip(columns, kinds_)], ["deal", "key", "content", "shift", "piece"]
                 )
 
-    bodies = documents.select(F.md5(body).alias("tid"), body.alias("text")).mapInArrow(packed, "tid string, body binary")
-    bodies = bodies.withColumn("tid", F.unhex("tid"))
+    bodies = one_body_a_text(documents)
     # Both sides grow with the documents: neither may be broadcast.
     fetched = bodies.join(wanted.hint("merge"), "tid").select("body", "pieces")
     dealt = fetched.mapInArrow(fetch, "deal long, key long, content long, shift long, piece binary")

@@ -368,3 +368,11 @@ def test_copies_of_a_page_carry_no_weight(spark):
 ])
 def test_names_hide_no_text(source, text):
     assert Page(source).main_text(set()) == text
+
+
+def test_one_body_a_text(spark):
+    """A text copied many times is fetched once, so its pieces meet others once."""
+    data = [(i, t) for i, t in enumerate([prose(22, 90)] * 50 + [prose(23, 90), None, "", "é"])]
+    bodies = suffix_dedup.one_body_a_text(spark.createDataFrame(data, "doc_id long, text string").repartition(4)).collect()
+    want = {hashlib.md5((t or "").encode()).digest() for _, t in data}
+    assert len(bodies) == len(want) == 4 and {bytes(r.tid) for r in bodies} == want
