@@ -7,11 +7,13 @@ Anchors that occur once, and anchors whose pieces are all equal, are settled by
 counting.  The other pieces are dealt into buckets, and the suffix order of a bucket's
 batches, each some whole anchors, is built column by column: one symbol of every piece a round, inserted into the
 collection's Burrows-Wheeler transform and common-prefix column, both read and written
-in one sequential sweep.
+in one sequential sweep.  Anchors of very many different pieces are no batch: their strings are
+dealt by what they hold and counted.
 """
 
 from __future__ import annotations
 
+import hashlib
 from math import ceil
 
 import numpy as np
@@ -26,7 +28,7 @@ GRAM = 16
 BASE = 0xC6A4A7935BD1E995
 
 
-def cut(texts: list[bytes], width: int = 200, seed: int = 0):
+def cut(texts: list[bytes], width: int = 200):
     """Pieces of the texts: (text, start, strings, anchor hash, content hash) arrays."""
     data = np.frombuffer(b"".join(texts), dtype=np.uint8)
     sizes = np.array([len(t) for t in texts], dtype=np.int64)
@@ -37,7 +39,7 @@ def cut(texts: list[bytes], width: int = 200, seed: int = 0):
     total = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(BASE, n), out=total[1:])
     back = powers(pow(BASE, -1, 2**64), n)
-    gram = mixed((total[GRAM:] - total[:-GRAM]) * back[: n - GRAM + 1], 50 + seed)
+    gram = mixed((total[GRAM:] - total[:-GRAM]) * back[: n - GRAM + 1], 50)
     low = gram >> np.uint64(32) << np.uint64(32) | np.arange(len(gram), dtype=np.uint64)
     span = 1
     while span * 2 <= window:
@@ -170,8 +172,8 @@ def drop_repeats(
     character; the bytes left of it become U+FFFD in text, never in kept_bytes.
     Input columns of the added names are replaced.
 
-    An anchor with more than ``crowd`` different pieces is cut again by a second anchor before
-    its pieces are dealt, so that one passage with many contexts is no single bucket.
+    An anchor with more than ``crowd`` different pieces is no batch of one task: its strings
+    are counted each by their 128-bit digest, with partial counts before the shuffle.
     """
     body = F.coalesce("text", F.lit(""))
     ids = documents.select(F.md5(body).alias("tid"), body.alias("text"))
@@ -204,6 +206,7 @@ def drop_repeats(
     kinds = written(kinds, "kinds")
     crowds = kinds.groupBy("key").agg((F.count("*") > crowd).alias("crowded"))
     size = kinds.agg(F.coalesce(F.sum(F.col("strings") + width), F.lit(0))).first()[0]
+    dense = bool(crowds.agg(F.max("crowded")).first()[0])
     wanted = (
         kinds.join(crowds, "key")
         .groupBy(F.col("one.tid").alias("tid"))
@@ -218,23 +221,23 @@ def drop_repeats(
                 for row in rows:
                     piece = text[row["start"] : row["start"] + row["strings"] + width - 1]
                     if row["crowded"]:
-                        _, starts, strings, anchors, _ = cut([piece], width, 1)
-                        for s, m, a in zip(starts.tolist(), strings.tolist(), anchors.view(np.int64).tolist()):
-                            deal = (row["key"] * 31 + a) & (2**62 - 1)
-                            out.append((deal, row["key"], row["content"], s, piece[s : s + m + width - 1]))
+                        for i in range(row["strings"]):
+                            digest = hashlib.md5(piece[i : i + width]).digest()
+                            out.append((0, row["key"], row["content"], i, None, digest))
                     else:
-                        deal = row["key"] & (2**62 - 1)
-                        out.append((deal, row["key"], row["content"], 0, piece))
-                columns = list(zip(*out)) or [[]] * 5
-                kinds_ = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+                        out.append((row["key"] & (2**62 - 1), row["key"], row["content"], 0, piece, None))
+                columns = list(zip(*out)) or [[]] * 6
+                kinds_ = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(columns, kinds_)], ["deal", "key", "content", "shift", "piece"]
+                    [pa.array(c, k) for c, k in zip(columns, kinds_)], ["deal", "key", "content", "shift", "piece", "digest"]
                 )
 
     bodies = one_body_a_text(documents)
     # Both sides grow with the documents: neither may be broadcast.
     fetched = bodies.join(wanted.hint("merge"), "tid").select("body", "pieces")
-    dealt = fetched.mapInArrow(fetch, "deal long, key long, content long, shift long, piece binary")
+    dealt = fetched.mapInArrow(fetch, "deal long, key long, content long, shift long, piece binary, digest binary")
+    if dense:
+        dealt = written(dealt, "dealt")  # read as pieces, and as strings to count and to find again
     buckets = max(1, ceil(size / bucket_bytes))
 
     def settle(group: pa.Table) -> pa.Table:
@@ -245,7 +248,7 @@ def drop_repeats(
         size = np.cumsum([len(p) for p in piece])
         last = np.r_[np.flatnonzero(deal[1:] != deal[:-1]) + 1, len(deal)]
         while start < len(deal):
-            # As many whole keys as fit a batch, one at least.
+            # As many whole keys as fit a batch, one at least: at most ``crowd`` pieces.
             fit = np.searchsorted(size[last - 1], (size[start - 1] if start else 0) + batch_bytes, side="right")
             stop = int(max(last[max(fit - 1, 0)], last[np.searchsorted(last, start, side="right")]))
             distinct: dict[bytes, int] = {}
@@ -259,8 +262,13 @@ def drop_repeats(
         columns = list(zip(*rows)) or [[]] * 4
         return pa.table([pa.array(c, pa.int64()) for c in columns], names=["key", "content", "low", "high"])
 
-    settled = dealt.withColumn("bucket", F.pmod("deal", F.lit(buckets))).groupBy("bucket")
+    settled = dealt.where("digest is null").drop("digest").withColumn("bucket", F.pmod("deal", F.lit(buckets))).groupBy("bucket")
     settled = settled.applyInArrow(settle, "key long, content long, low long, high long")
+    if dense:
+        strings = dealt.where("digest is not null").select("digest", "key", "content", "shift")
+        twice = strings.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
+        found_ = strings.join(twice, "digest").select("key", "content", F.col("shift").alias("low"), (F.col("shift") + 1).alias("high"))
+        settled = settled.unionByName(found_)
     runs = settled.groupBy("key", "content").agg(F.collect_set(F.struct("low", "high")).alias("runs"))
     copied = kinds.select("key", "content", F.col("n").alias("copies"))
     contested = (

@@ -376,3 +376,27 @@ def test_one_body_a_text(spark):
     bodies = suffix_dedup.one_body_a_text(spark.createDataFrame(data, "doc_id long, text string").repartition(4)).collect()
     want = {hashlib.md5((t or "").encode()).digest() for _, t in data}
     assert len(bodies) == len(want) == 4 and {bytes(r.tid) for r in bodies} == want
+
+
+def test_no_batch_of_a_crowded_passage(spark, monkeypatch):
+    """A passage with different neighbours in every text is settled without a batch of all of them."""
+    passage = prose(30, 60)
+    texts = [f"{prose(100 + i, 60)} {passage} {prose(200 + i, 60)}".encode() for i in range(60)]
+    texts[3] = texts[3][:400] + texts[4][400:]
+    true = suffix_dedup.repeated
+
+    def bounded(pieces, width=200):
+        assert len(pieces) <= 8
+        return true(pieces, width)
+
+    monkeypatch.setattr(suffix_dedup, "repeated", bounded)
+    data = [(i, t.decode()) for i, t in enumerate(texts)]
+    got = suffix_dedup.drop_repeats(spark.createDataFrame(data, "doc_id long, text string"), batch_bytes=1, crowd=8)
+    seen = collections.Counter(t[i : i + 200] for t in texts for i in range(len(t) - 199))
+    for r in got.collect():
+        t = texts[r.doc_id]
+        gone = np.zeros(len(t), bool)
+        for i in range(len(t) - 199):
+            if seen[t[i : i + 200]] > 1:
+                gone[i : i + 200] = True
+        assert bytes(r.kept_bytes) == np.frombuffer(t, np.uint8)[~gone].tobytes() and r.n_removed == gone.sum() > 0
