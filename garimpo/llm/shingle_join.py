@@ -9,6 +9,8 @@ resulting cell is compared in full, in tiles of bounded size.
 
 from __future__ import annotations
 
+from math import ceil, exp, log
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -76,9 +78,23 @@ def _shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarra
     return out
 
 
+def runs_needed(recall: float, threshold: float, draws: float, deep_draws: float, levels: int) -> int:
+    """Repetitions after which a pair at the threshold, all of whose common paths are crowded, is found.
+
+    The common paths of a pair branch: each has Poisson many children, and the pair is
+    missed if none is left on the last level.
+    """
+    miss = 0.0
+    for level in range(levels):
+        rate = draws if level == levels - 1 else deep_draws
+        miss = exp(-threshold * rate * (1 - miss))
+    return max(1, ceil(log(1 - recall) / log(miss)))
+
+
 def near_documents(
-    documents: DataFrame, threshold: float = 0.8, words: int = 5, repetitions: int = 3, draws: float = 4.0,
-    deep_draws: float = 2.0, levels: int = 3, bucket: int = 1024, tile: int = 512, sample: int = 48,
+    documents: DataFrame, threshold: float = 0.8, words: int = 5, repetitions: int | None = None, draws: float = 4.0,
+    deep_draws: float | None = None, levels: int = 3, bucket: int = 1024, tile: int = 512, sample: int = 48,
+    target_recall: float = 0.9999,
 ) -> DataFrame:
     """Links of Jaccard similarity >= threshold between texts, and their groups.
 
@@ -91,13 +107,16 @@ def near_documents(
     kept.  A null doc_id sorts last.  Other columns are ignored.
 
     A pair at the threshold draws a common shingle in one repetition with
-    probability 1 - exp(-threshold * draws) at least, so the default recall is
-    above 0.9999.  Splitting a crowded path draws ``deep_draws`` shingles a text, by a hash
-    of the path, from about ``sample`` shingles that similar texts share.  The draws of
-    different paths are independent, so a pair at the threshold all of whose common
-    paths are crowded on every level is found with 0.998 at least.  What is found is
+    probability 1 - exp(-threshold * draws) at least.  Splitting a crowded path draws
+    ``deep_draws`` shingles a text (``draws`` by default), by a hash of the path, from about
+    ``sample`` shingles that similar texts share; the draws of different paths are independent.
+    Without ``repetitions`` there are as many as a pair at the threshold needs to be found with
+    ``target_recall`` even if all its common paths are crowded on every level.  What is found is
     compared exactly.
     """
+    deep_draws = draws if deep_draws is None else deep_draws
+    if repetitions is None:
+        repetitions = runs_needed(target_recall, threshold, draws, deep_draws, levels)
 
     def sign(batches):
         for batch in batches:

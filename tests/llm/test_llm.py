@@ -400,3 +400,22 @@ def test_no_batch_of_a_crowded_passage(spark, monkeypatch):
             if seen[t[i : i + 200]] > 1:
                 gone[i : i + 200] = True
         assert bytes(r.kept_bytes) == np.frombuffer(t, np.uint8)[~gone].tobytes() and r.n_removed == gone.sum() > 0
+
+
+def test_runs_reach_the_recall_on_crowded_paths():
+    runs, rng = shingle_join.runs_needed(0.9999, 0.8, 4.0, 4.0, 3), np.random.default_rng(4)
+    common = rng.poisson(3.2, (20_000, runs))
+    for _ in range(2):  # every common path is crowded and split again
+        common = rng.poisson(3.2 * common)
+    assert ((common == 0).all(axis=1)).sum() <= 2 and runs == 4
+    assert shingle_join.runs_needed(0.9999, 0.8, 4.0, 1.0, 3) > runs > shingle_join.runs_needed(0.99, 0.8, 4.0, 4.0, 3)
+
+
+def test_crowded_lone_pairs_are_found(spark, monkeypatch):
+    """The defaults derive the runs, and split crowded paths by as many draws as they make."""
+    asked = []
+    true = shingle_join.runs_needed
+    monkeypatch.setattr(shingle_join, "runs_needed", lambda *a: asked.append(a) or true(*a))
+    data = [(i, prose(40, 60)) for i in range(3)]
+    found = shingle_join.near_documents(spark.createDataFrame(data, "doc_id long, text string")).collect()
+    assert asked == [(0.9999, 0.8, 4.0, 4.0, 3)] and {r.n_links for r in found} == {2}
