@@ -155,6 +155,24 @@ def slices(texts: list[bytes], limit: int = 2_000_000):
         yield start, len(texts)
 
 
+def bodies(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of a string column and the n + 1 places where its texts begin; null is empty."""
+    column = column.cast(pa.large_binary()).fill_null(b"")
+    offsets = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1]
+    held = column.buffers()[2]
+    data = np.frombuffer(held, dtype=np.uint8) if held is not None else np.empty(0, np.uint8)
+    return data[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+def cuts(offsets: np.ndarray, limit: int):
+    """Ranges of texts with about ``limit`` bytes together; a longer text is alone."""
+    start = 0
+    while start < len(offsets) - 1:
+        end = int(np.searchsorted(offsets, offsets[start] + limit, side="right")) - 1
+        yield start, max(end, start + 1)
+        start = max(end, start + 1)
+
+
 def shingles(texts: list[bytes], words: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """(text, hash) of each text's distinct word shingles, in that order.
 
