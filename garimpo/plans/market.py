@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import fixed_values as V
 from ..functions.dates import since
 from ..functions.rules import mode_label, percent, seniority_label
-from ..session import checkpoint
 
 Gold = Mapping[str, DataFrame]
 
@@ -111,21 +110,27 @@ def search(
     )
     if limit is not None:
         rows = rows.orderBy(*newest).limit(limit)
-    if not skills:
-        if limit is not None:  # the star join runs once for the page's ids and its rows
-            rows = checkpoint(rows)
-        rows = _with_skills(rows, owned, limit)
-        rows = rows if limit is None else rows.orderBy(*newest)
-    return rows
+    if skills:
+        return rows
+    if limit is None:
+        return _in_order(rows.join(owned, "job_id", "left"))
+    return _in_order(_page_skills(rows, owned)).orderBy(*newest)
 
 
-def _with_skills(rows: DataFrame, owned: DataFrame, limit: int | None) -> DataFrame:
-    """Skills of the found jobs.  The limited ids meet the jobs first; how, is left to
-    their measured size."""
-    if limit is not None:
-        owned = owned.join(rows.select("job_id"), "job_id", "left_semi")
-    order = [*rows.columns[:7], "skills", *rows.columns[7:]]
-    return rows.join(owned, "job_id", "left").select(*order)
+def _page_skills(page: DataFrame, owned: DataFrame) -> DataFrame:
+    """The limited rows with their jobs' skills.
+
+    The page is broadcast to the jobs, which keep the skills of its ids only; nothing runs before the
+    caller asks for rows, and the filters behind the page still reach the fact's scan.
+    """
+    named = owned.join(F.broadcast(page.select("job_id")), "job_id", "left_semi")
+    return page.join(F.broadcast(named), "job_id", "left")
+
+
+def _in_order(rows: DataFrame) -> DataFrame:
+    before = rows.columns[: rows.columns.index("url")]
+    before = [c for c in before if c != "skills"]
+    return rows.select(*before, "skills", *[c for c in rows.columns if c not in before and c != "skills"])
 
 
 def with_overflow(found: DataFrame, shown: int = 200) -> tuple[DataFrame, DataFrame]:
