@@ -122,7 +122,7 @@ def source_plan(
     ended = _end(cells, plan.select("source", "extra"), "cell")
     # Then the key within it.
     inside = rows.withColumn("cell", cell).join(
-        ended.select(F.col("source").alias("_source"), F.col("cell").alias("_cell"), "left"),
+        _bounded(written(ended.select(F.col("source").alias("_source"), F.col("cell").alias("_cell"), "left"), "ends")),
         F.col("source").eqNullSafe(F.col("_source")) & (F.col("cell") == F.col("_cell")),
     )
     keys = inside.groupBy("source", "mix_key", F.col("left").alias("extra")).agg(
@@ -132,7 +132,12 @@ def source_plan(
     ends = last.select(
         F.col("source").alias("_source"), F.col("mix_key").alias("end_key"), F.col("left").alias("end_words"), "end_rows"
     )
-    return plan.join(ends, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
+    return written(plan.join(ends, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source"), "plan")
+
+
+def _bounded(sources: DataFrame, most: int = 100_000) -> DataFrame:
+    """A table of one row a source, broadcast if it is as small as that; beyond, joins shuffle and split hot sources."""
+    return F.broadcast(sources) if sources.limit(most + 1).count() <= most else sources
 
 
 def _end(parts: DataFrame, wanted: DataFrame, order: str) -> DataFrame:
@@ -150,7 +155,7 @@ def _decided(rows: DataFrame, plan: DataFrame) -> DataFrame:
     plan = plan.select(
         F.col("source").alias("_source"), "source_size", "target", "whole", "end_key", "end_words", "end_rows"
     )
-    met = rows.join(plan, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+    met = rows.join(_bounded(plan), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     part = F.when(F.col("mix_key") < F.col("end_key"), F.col("size"))
     part = part.when(F.col("mix_key") == F.col("end_key"), F.floor(F.col("end_words") / F.col("end_rows"))).otherwise(F.lit(0))
     return met.withColumn("extra", part).drop("end_key", "end_words", "end_rows")
@@ -181,7 +186,7 @@ def mixture(
     taken have no row; those without words have one per whole repetition.
     """
     rows = written(measured(documents, seed), "measured")
-    plan = written(source_plan(rows, weights, share, max_epochs), "plan")
+    plan = source_plan(rows, weights, share, max_epochs)
     decided = _decided(measured(documents, seed, with_text=True), plan)
     taken = decided.where("whole > 0 or extra > 0").withColumn(
         "repetition", F.explode(F.expr("sequence(1L, whole + if(extra > 0, 1, 0))"))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import kept, written
+from .shared import crowded, kept, remember, written
 
 #: Letters and numbers up to U+024F, where every library agrees on the classes.
 LETTERS, NUMBERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼½¾"
@@ -28,40 +28,55 @@ WORDS = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^\s{LETTERS}
 OTHER = re.compile("[^\t\n\r -~¡-ɏ]")
 
 
-def encode(texts: DataFrame, tokenizer: str, end: int | None = 1, keep: int = 1_000_000) -> DataFrame:
+def tokenizer_file(name: str) -> str:
+    """Path of a public tokenizer's file on this machine; a path is taken as it is."""
+    if os.path.sep in name:
+        return name
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def encode(texts: DataFrame, tokenizer: str, end: int | None = 1) -> DataFrame:
     """doc_id, n_tokens and ids (little-endian, two bytes an id if the vocabulary allows) of each text.
 
-    The ids are those of the tokenizer file; a word met before is looked up.  ``end``
-    is appended to every document.  A null text counts as empty.  The file must
-    be a byte-level BPE, whose merges never cross words; texts with its special
-    tokens or unusual characters go to the tokenizer whole.
+    The ids are those of the tokenizer file, named or by its path, which each executor finds for
+    itself; a word met before is looked up.  ``end`` is appended to every document.  A null text
+    counts as empty.  The file must be a byte-level BPE, whose merges never cross words; texts with its
+    special tokens or unusual characters go to the tokenizer whole.
     """
 
     def run(batches):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        made = Tokenizer.from_file(tokenizer)
+        made = Tokenizer.from_file(tokenizer_file(tokenizer))
         kind = np.dtype("<u2" if made.get_vocab_size() <= 2**16 else "<u4")
         code = "H" if kind.itemsize == 2 else "I"
-        special = [t.content for t in made.get_added_tokens_decoder().values()]
+        special = [re.escape(t.content) for t in made.get_added_tokens_decoder().values()]
+        whole = re.compile("|".join([OTHER.pattern, *special]))
         words, known = re.compile(WORDS), kept(tokenizer)
         last = b"" if end is None else np.array([end], kind).tobytes()
+
+        def learn(split: list[str]) -> None:
+            if crowded(known):
+                known.clear()
+            new = [w for w in set(split) if w not in known]
+            found = made.encode_batch_fast(new, add_special_tokens=False)
+            remember(known, ((w, array(code, e.ids).tobytes()) for w, e in zip(new, found)))
+
         for batch in batches:
             out = []
             for text in batch.column("text").to_pylist():
                 text = text or ""
-                if OTHER.search(text) or any(t in text for t in special):
-                    ids = np.array(made.encode(text, add_special_tokens=False).ids, kind).tobytes()
-                else:
-                    split = words.findall(text)
-                    new = [w for w in set(split) if w not in known]
-                    if new:
-                        if len(known) > keep:
-                            known.clear()
-                            new = list(set(split))
-                        for w, e in zip(new, made.encode_batch_fast(new, add_special_tokens=False)):
-                            known[w] = array(code, e.ids).tobytes()
+                if whole.search(text):
+                    out.append(np.array(made.encode(text, add_special_tokens=False).ids, kind).tobytes() + last)
+                    continue
+                split = words.findall(text)
+                try:
+                    ids = b"".join(map(known.__getitem__, split))
+                except KeyError:  # words not met before
+                    learn(split)
                     ids = b"".join(map(known.__getitem__, split))
                 out.append(ids + last)
             counts = pa.array([len(x) // kind.itemsize for x in out], pa.int64())

@@ -19,8 +19,8 @@ from .toxicity import toxicity
 from .vector_join import near_vectors
 from .warc_records import derive, responses
 
-#: Folder of the public tokenizer files, the same on every executor.
-TOKENIZERS = "/opt/tokenizers"
+#: Public tokenizer files by name.
+BYTE_BPE, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 LLM: dict[str, Query] = {}
 
@@ -60,7 +60,7 @@ def op1_near_vectors(spark, folder):
 
 @query("op2_sentence_pieces")
 def op2_sentence_pieces(spark, folder):
-    return checked(table(spark, folder, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model")
+    return checked(table(spark, folder, "documents"), PIECES)
 
 
 @query("op3_drop_repeats")
@@ -72,7 +72,7 @@ def op3_drop_repeats(spark, folder):
 
 @query("op4_pack")
 def op4_pack(spark, folder):
-    pieces = pack(encode(table(spark, folder, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json"))
+    pieces = pack(encode(table(spark, folder, "documents"), BYTE_BPE))
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 

@@ -110,59 +110,75 @@ class Field:
             out += self.emit[features[:, k]]
         return out
 
-    def train(self, chains: list[tuple[np.ndarray, np.ndarray]], rounds: int = 60, rate: float = 0.2, ridge: float = 1e-4):
-        """Maximum likelihood by Adam over all chains (features, tags) at once."""
-        chains = [c for c in chains if len(c[1])]
+    def train(
+        self, chains: list[tuple[np.ndarray, np.ndarray]], rounds: int = 60, rate: float = 0.2, ridge: float = 1e-4, cells: int = 2**17
+    ):
+        """Maximum likelihood by Adam over all chains (features, tags).
+
+        Chains of like length go together, about ``cells`` places at a time, so that memory is bounded
+        whatever the sample; a round's slope is the sum over all of them.
+        """
+        chains = sorted((c for c in chains if len(c[1])), key=lambda c: len(c[1]))
         if not chains:
             self.first[BEGIN] = self.first[INSIDE] = self.turn[:, 1:] = -10.0
             return self
+        groups, held = [[]], 0
+        for c in chains:
+            if held and held + len(c[1]) > cells:
+                groups.append([])
+                held = 0
+            groups[-1].append(c)
+            held += len(c[1])
+        names = ("emit", "turn", "first", "last")
+        moments: dict[str, list] = {k: [np.zeros_like(getattr(self, k))] * 2 for k in names}
+        for step in range(1, rounds + 1):
+            grad = {k: np.zeros_like(getattr(self, k)) for k in names}
+            for group in groups:
+                for name, slope in zip(names, self._slope(group)):
+                    grad[name] += slope
+            for name, slope in grad.items():
+                slope = slope / len(chains) + ridge * getattr(self, name)
+                m, v = moments[name]
+                moments[name] = m, v = [0.9 * m + 0.1 * slope, 0.999 * v + 0.001 * slope**2]
+                move = rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+                setattr(self, name, getattr(self, name) - move)
+        return self
+
+    def _slope(self, chains: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Slope of the negative log likelihood of some chains, in the order of the weights."""
         n, most = len(chains), max(len(t) for _, t in chains)
         size = np.array([len(t) for _, t in chains])
         chain = np.repeat(np.arange(n), size)
         place = np.concatenate([np.arange(s) for s in size])
         features, tags = np.concatenate([f for f, _ in chains]), np.concatenate([t for _, t in chains])
-        gold = np.zeros((len(tags), 3))
-        gold[np.arange(len(tags)), tags] = 1
         follow = np.flatnonzero(place > 0)
         pairs = np.zeros((3, 3))
         np.add.at(pairs, (tags[follow - 1], tags[follow]), 1)
         ends = np.cumsum(size) - 1
-        moments: dict[str, list] = {k: [np.zeros_like(getattr(self, k))] * 2 for k in ("emit", "turn", "first", "last")}
-        for step in range(1, rounds + 1):
-            e = np.zeros((n, most, 3))
-            e[chain, place] = self.scores(features)
-            turn = np.exp(self.turn)
-            ahead, behind, scale = np.zeros_like(e), np.zeros_like(e), np.ones((n, most))
-            peak = e.max(axis=2, keepdims=True)
-            e = np.exp(e - peak)
-            ahead[:, 0] = np.exp(self.first) * e[:, 0]
-            for t in range(most):
-                if t:
-                    ahead[:, t] = (ahead[:, t - 1] @ turn) * e[:, t]
-                scale[:, t] = ahead[:, t].sum(axis=1)
-                ahead[:, t] /= scale[:, t, None]
-            for t in range(most - 1, -1, -1):
-                after = (behind[:, t + 1] * e[:, t + 1]) @ turn.T / scale[:, t + 1, None] if t + 1 < most else 0
-                behind[:, t] = np.where((size - 1 == t)[:, None], np.exp(self.last), after)
-            both = ahead * behind
-            both = both / np.maximum(both.sum(axis=2, keepdims=True), 1e-300)
-            held = both[chain, place]
-            left, right = ahead[chain[follow], place[follow] - 1], (behind * e)[chain[follow], place[follow]]
-            joint = left[:, :, None] * turn * right[:, None, :]
-            joint /= np.maximum(joint.sum(axis=(1, 2), keepdims=True), 1e-300)
-            miss, grad = held - gold, {}
-            grad["emit"] = np.column_stack([
-                sum(np.bincount(features[:, k], miss[:, y], len(self.emit)) for k in range(features.shape[1])) for y in range(3)
-            ])
-            grad["turn"] = joint.sum(axis=0) - pairs
-            grad["first"], grad["last"] = miss[place == 0].sum(axis=0), miss[ends].sum(axis=0)
-            for name, slope in grad.items():
-                slope = slope / n + ridge * getattr(self, name)
-                m, v = moments[name]
-                moments[name] = m, v = [0.9 * m + 0.1 * slope, 0.999 * v + 0.001 * slope**2]
-                move = rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-                setattr(self, name, getattr(self, name) - move)
-        return self
+        e = np.zeros((n, most, 3))
+        e[chain, place] = self.scores(features)
+        turn = np.exp(self.turn)
+        ahead, behind, scale = np.zeros_like(e), np.zeros_like(e), np.ones((n, most))
+        e = np.exp(e - e.max(axis=2, keepdims=True))
+        ahead[:, 0] = np.exp(self.first) * e[:, 0]
+        for t in range(most):
+            if t:
+                ahead[:, t] = (ahead[:, t - 1] @ turn) * e[:, t]
+            scale[:, t] = ahead[:, t].sum(axis=1)
+            ahead[:, t] /= scale[:, t, None]
+        for t in range(most - 1, -1, -1):
+            after = (behind[:, t + 1] * e[:, t + 1]) @ turn.T / scale[:, t + 1, None] if t + 1 < most else 0
+            behind[:, t] = np.where((size - 1 == t)[:, None], np.exp(self.last), after)
+        held = (ahead * behind)[chain, place]
+        miss = held / np.maximum(held.sum(axis=1, keepdims=True), 1e-300)
+        miss[np.arange(len(tags)), tags] -= 1
+        left, right = ahead[chain[follow], place[follow] - 1], (behind * e)[chain[follow], place[follow]]
+        joint = left[:, :, None] * turn * right[:, None, :]
+        joint /= np.maximum(joint.sum(axis=(1, 2), keepdims=True), 1e-300)
+        emit = np.column_stack([
+            sum(np.bincount(features[:, k], miss[:, y], len(self.emit)) for k in range(features.shape[1])) for y in range(3)
+        ])
+        return emit, joint.sum(axis=0) - pairs, miss[place == 0].sum(axis=0), miss[ends].sum(axis=0)
 
     def tags(self, tokens: Tokens) -> np.ndarray:
         """Viterbi tags of all texts, each one chain."""

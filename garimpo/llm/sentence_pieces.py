@@ -16,7 +16,8 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import kept
+from .packing import tokenizer_file
+from .shared import crowded, kept, remember, slices
 
 MARK = "▁"
 
@@ -56,7 +57,7 @@ class Pieces:
         # No piece runs from one word into the next, or over a break, so those are segmented alone.
         breaks = "".join(c for c in "\n\r\t" if c not in inner)
         self.unit = re.compile(".+" if crossing else f"{MARK}+[^{MARK}{breaks}]*|[^{MARK}{breaks}]+|[{breaks}{MARK}]", re.DOTALL)
-        self.known: dict[str, bytes] = kept(model)
+        self.known: dict[str, bytes] = {}
 
     def units(self, text: str) -> list[str]:
         return self.unit.findall(MARK + text.replace(" ", MARK)) if text else []
@@ -106,39 +107,63 @@ class Pieces:
             n = start
         return ids[::-1]
 
-    def encode(self, text: str, keep: int = 1_000_000) -> np.ndarray:
+    def encode(self, text: str) -> np.ndarray:
+        return np.frombuffer(self.packed(text), dtype="<i4")
+
+    def packed(self, text: str) -> bytes:
+        """Ids of a text as 32-bit little-endian integers."""
         units, known = self.units(text), self.known
-        new = [u for u in set(units) if u not in known]
-        if new and len(known) > keep:
-            known.clear()
-            new = list(set(units))
-        for u in new:
-            known[u] = np.array(self.segment(u), dtype=np.int32).tobytes()
-        return np.frombuffer(b"".join(map(known.__getitem__, units)), dtype=np.int32)
+        try:
+            return b"".join(map(known.__getitem__, units))
+        except KeyError:  # units not met before
+            if crowded(known):
+                known.clear()
+            remember(known, ((u, np.array(self.segment(u), dtype="<i4").tobytes()) for u in set(units) if u not in known))
+            return b"".join(map(known.__getitem__, units))
 
     def decode(self, ids: list[int] | np.ndarray) -> str:
         out = b"".join(map(self.text.__getitem__, ids))
         return out.removeprefix(b" ").decode(errors="replace")
 
 
-def encode_pieces(texts: DataFrame, model: str) -> DataFrame:
+def _pieces(model: str) -> Pieces:
+    """The model's pieces, made once a worker process."""
+    held = kept(model)
+    if "pieces" not in held:
+        held["pieces"] = Pieces(tokenizer_file(model))
+    return held["pieces"]
+
+
+def encode_pieces(texts: DataFrame, model: str, verify: bool = False) -> DataFrame:
     """All columns of ``texts`` and ids (array of int), n_ids: the pieces of column text.
 
-    Null and empty texts have no ids.  Columns named ids and n_ids are replaced.
+    ``model`` is a public file's name, which each executor finds for itself, or a path.  Null and
+    empty texts have no ids.  With ``verify`` also round_trip: whether decoding gives the text back (but
+    for marks, which become spaces).  Columns of these names are replaced.  A batch leaves in slices
+    of bounded size; a longer text is alone.
     """
-    rest = [c for c in texts.columns if c not in ("ids", "n_ids")]
+    rest = [c for c in texts.columns if c not in ("ids", "n_ids", *["round_trip"] * verify)]
 
     def run(batches):
-        pieces = Pieces(model)
+        pieces = _pieces(model)
         for batch in batches:
-            ids = [pieces.encode(t or "") for t in batch.column("text").to_pylist()]
-            offsets = np.r_[0, np.cumsum([len(x) for x in ids])].astype(np.int32)
-            flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
-            out = batch.select(rest).append_column("ids", pa.ListArray.from_arrays(offsets, pa.array(flat, pa.int32())))
-            yield out.append_column("n_ids", pa.array(np.diff(offsets).astype(np.int64)))
+            texts_ = [t or "" for t in batch.column("text").to_pylist()]
+            for low, high in slices(texts_):
+                ids = [pieces.packed(t) for t in texts_[low:high]]
+                offsets = np.r_[0, np.cumsum([len(x) // 4 for x in ids])].astype(np.int32)
+                flat = pa.array(np.frombuffer(b"".join(ids), dtype="<i4"), pa.int32())
+                out = batch.slice(low, high - low).select(rest)
+                out = out.append_column("ids", pa.ListArray.from_arrays(offsets, flat))
+                out = out.append_column("n_ids", pa.array(np.diff(offsets).astype(np.int64)))
+                if verify:
+                    same = [
+                        pieces.decode(np.frombuffer(x, "<i4").tolist()) == t.replace(MARK, " ") for x, t in zip(ids, texts_[low:high])
+                    ]
+                    out = out.append_column("round_trip", pa.array(same, pa.bool_()))
+                yield out
 
     shape = ", ".join(f"`{c}` {texts.schema[c].dataType.simpleString()}" for c in rest)
-    return texts.select(*rest).mapInArrow(run, f"{shape}, ids array<int>, n_ids long")
+    return texts.select(*rest).mapInArrow(run, f"{shape}, ids array<int>, n_ids long" + ", round_trip boolean" * verify)
 
 
 def decode_pieces(rows: DataFrame, model: str, to: str = "decoded") -> DataFrame:
@@ -149,7 +174,7 @@ def decode_pieces(rows: DataFrame, model: str, to: str = "decoded") -> DataFrame
     rest = [c for c in rows.columns if c != to]
 
     def run(batches):
-        pieces = Pieces(model)
+        pieces = _pieces(model)
         for batch in batches:
             made = [pieces.decode(ids.values.to_pylist()) if ids.is_valid else None for ids in batch.column("ids")]
             yield batch.select(rest).append_column(to, pa.array(made, pa.string()))
@@ -160,6 +185,4 @@ def decode_pieces(rows: DataFrame, model: str, to: str = "decoded") -> DataFrame
 
 def checked(texts: DataFrame, model: str) -> DataFrame:
     """doc_id, ids, n_ids and round_trip: whether decoding gives the text back (null as empty)."""
-    encoded = encode_pieces(texts.select("doc_id", "text"), model)
-    whole = F.translate(F.coalesce("text", F.lit("")), MARK, " ")
-    return decode_pieces(encoded, model).select("doc_id", "ids", "n_ids", (F.col("decoded") == whole).alias("round_trip"))
+    return encode_pieces(texts.select("doc_id", "text"), model, verify=True).select("doc_id", "ids", "n_ids", "round_trip")

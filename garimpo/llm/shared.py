@@ -64,8 +64,25 @@ def united(n: int, a: np.ndarray, b: np.ndarray, label: np.ndarray | None = None
 
 
 def kept(name: str) -> dict:
-    """A dictionary that lives as long as the worker process, for words that tasks share."""
-    return sys.__dict__.setdefault("_kept_words", {}).setdefault(name, {})
+    """A dictionary that a worker process keeps for the tasks of one name; the last name's is dropped."""
+    held = sys.__dict__.setdefault("_kept_words", {})
+    if name not in held:
+        held.clear()
+    return held.setdefault(name, {})
+
+
+def remember(known: dict, made, each: int = 200) -> None:
+    """Add the pairs (word, bytes) to a dictionary and what they hold in memory to its entry None."""
+    size = known.get(None, 0)
+    for word, value in made:
+        known[word] = value
+        size += len(word) + len(value) + each
+    known[None] = size
+
+
+def crowded(known: dict, limit: int = 2**26) -> bool:
+    """Whether a dictionary holds ``limit`` bytes and is to start anew."""
+    return known.get(None, 0) > limit
 
 
 def usable(column: str) -> str:

@@ -10,6 +10,7 @@ the order of their bound until no bound beats the k-th best similarity.
 
 from __future__ import annotations
 
+import hashlib
 from uuid import uuid4
 
 import numpy as np
@@ -98,6 +99,9 @@ class Index:
 class Model:
     """Terms, weights, examples and calibration; ``search`` gives a text's votes before its length is known."""
 
+    #: Votes that a worker keeps for texts met before, some 400 bytes each.
+    most_known = 2**15
+
     def __init__(self, terms, idf, ids, toxic, weight, vectors, k):
         self.terms, self.idf, self.ids, self.toxic, self.weight, self.k = terms, idf, ids, toxic, weight, k
         held = [i for i, (t, _) in enumerate(vectors) if len(t)]
@@ -126,9 +130,11 @@ class Model:
         """Square of the length over the known terms, then the vote of the unit vector of these."""
         if not len(terms):
             return 0.0, 0.0, 0.0, []
-        key = terms.tobytes() + times.tobytes()
+        key = hashlib.blake2b(terms.tobytes(), digest_size=16)
+        key.update(times.tobytes())
+        key = key.digest()
         if key not in self.known:
-            if len(self.known) > 200_000:
+            if len(self.known) >= self.most_known:
                 self.known.clear()
             w = (1 + np.log(times)) * self.idf[terms]
             square = float((w * w).sum())

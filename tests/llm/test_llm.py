@@ -13,10 +13,11 @@ from conftest import DATA
 from garimpo.llm import packing, secret_tags, sentence_pieces, shingle_join, suffix_dedup, toxicity, warc_records
 from garimpo.llm.nearest import top_k
 from garimpo.llm.page_text import Page, main_text
-from garimpo.llm.queries import TOKENIZERS
+from garimpo.llm.packing import tokenizer_file
+from garimpo.llm.queries import BYTE_BPE, PIECES
 from garimpo.llm.vector_join import near_vectors
 
-MODEL, BPE = f"{TOKENIZERS}/piece_bpe_32k.model", f"{TOKENIZERS}/byte_bpe_50k.json"
+MODEL, BPE = tokenizer_file(PIECES), tokenizer_file(BYTE_BPE)
 
 
 def prose(seed, words):
