@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from garimpo.llm.packing import encode, pack
-from garimpo.llm.queries import TOKENIZERS
+from garimpo.llm.queries import BYTE_BPE
 from garimpo.llm.secret_tags import learn, redact
 from garimpo.llm.shared import written
 from garimpo.llm.shingle_join import keep_one
@@ -45,7 +45,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences with their token ids."""
-    return pack(encode(docs, f"{TOKENIZERS}/byte_bpe_50k.json"))
+    return pack(encode(docs, BYTE_BPE))
 
 
 def _counted(docs: DataFrame) -> DataFrame:
