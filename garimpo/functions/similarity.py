@@ -47,114 +47,241 @@ def ratio(a: str, b: str) -> float:
 
 
 class TextSet:
-    """Folded texts of one task, compared with one another in vectors.
+    """Texts of one task, compared in vectors.
 
-    ``reached`` first bounds the ratio by length and by shared characters, then
-    runs the bit-parallel table for all remaining texts at once.  Texts that do
-    not fit a machine word go through ``reaches`` one by one.
+    Pairs are bounded by their lengths and by the characters they share; for what is left one
+    bit-parallel table runs over all pairs at once, in as many 64-bit words as a text needs.  Texts of
+    more than ``LONGEST`` characters on both sides use one long number a pair, which is faster there.
     """
 
-    WORD = 63
+    WORD, LONGEST, CHUNK = 64, 512, 2**16
+    MOST = 16  # repetitions of a character that the bound tells apart
 
     def __init__(self, texts: list[str]) -> None:
-        raw = [np.frombuffer(t.encode("ascii"), dtype=np.uint8) for t in texts]
         self.texts = texts
-        self.sizes = np.array([len(r) for r in raw], dtype=np.int64)
-        self.short = self.sizes <= self.WORD
-        width = int(self.sizes[self.short].max(initial=0))
-        # Column j holds the j-th character of every text; 0 pads and matches nothing.
-        self.codes = np.zeros((width, len(texts)), dtype=np.uint8)
-        counts = np.zeros((len(texts), 128), dtype=np.int32)
-        for i, r in enumerate(raw):
-            counts[i] = np.bincount(r, minlength=128)
-            if self.short[i]:
-                self.codes[: len(r), i] = r
-        self.counts = counts[:, counts.any(axis=0)]
-        if self.counts.max(initial=0) < 256:
-            self.counts = self.counts.astype(np.uint8)
+        self.sizes = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
+        every = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        self.letters, codes = np.unique(every, return_inverse=True)
+        self.flat = codes.astype(np.int32) + 1  # 0 pads and matches nothing
+        self.first = np.cumsum(self.sizes) - self.sizes
+        self._bound: tuple[np.ndarray, np.ndarray] | None = None
+
+    def pairs(self, i: np.ndarray, j: np.ndarray, threshold: int) -> np.ndarray:
+        """Whether the texts ``i`` and ``j`` (indexes, one pair a place) reach the threshold."""
+        total = self.sizes[i] + self.sizes[j]
+        hit = i == j
+        open_ = np.flatnonzero(~hit & (200 * np.minimum(self.sizes[i], self.sizes[j]) >= threshold * total))
+        hit[open_] = 200 * self.common(i[open_], j[open_]) >= threshold * total[open_]
+        return hit
+
+    def grid(self, rows: np.ndarray, others: np.ndarray, threshold: int) -> np.ndarray:
+        """Which of ``rows`` (indexes) reach the threshold with which of ``others``."""
+        if self._bound is None:
+            self._bound = self._shared_bound()
+        unary, over = self._bound
+        hits = np.zeros((len(rows), len(others)), dtype=bool)
+        step = max(1, 2**21 // max(1, len(others)))
+        for at in range(0, len(rows), step):
+            part = rows[at : at + step]
+            sizes, lengths = self.sizes[part][:, None], self.sizes[others][None, :]
+            shared = unary[part] @ unary[others].T + np.minimum(over[part][:, None], over[others][None, :])
+            shared = np.minimum(shared, np.minimum(sizes, lengths))
+            a, b = np.nonzero(200 * shared >= threshold * (sizes + lengths))
+            hits[at + a, b] = self.pairs(part[a], others[b], threshold)
+        return hits
+
+    def common(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Longest common subsequence of each pair of indexes."""
+        out = np.zeros(len(i), dtype=np.int64)
+        words = np.maximum(1, -(-self.sizes[i] // self.WORD))
+        huge = (words * self.WORD > self.LONGEST) & (self.sizes[j] > self.LONGEST)
+        for k in np.flatnonzero(huge):
+            out[k] = lcs_length(self.texts[i[k]], self.texts[j[k]])
+        swap = ~huge & (self.sizes[i] > self.sizes[j])  # the table is as wide as the shorter text
+        i, j = np.where(swap, j, i), np.where(swap, i, j)
+        words = np.maximum(1, -(-self.sizes[i] // self.WORD))
+        order = np.lexsort((i, self.sizes[j], words))
+        order = order[~huge[order]]
+        cuts = np.flatnonzero(np.diff(words[order])) + 1
+        for group in np.split(order, cuts):
+            for at in range(0, len(group), self.CHUNK):
+                part = group[at : at + self.CHUNK]
+                out[part] = self._table(i[part], j[part], int(words[part[0]]))
+        return out
+
+    def _table(self, i: np.ndarray, j: np.ndarray, words: int) -> np.ndarray:
+        """The bit-parallel table of pairs whose first texts fit so many words."""
+        left, own = np.unique(i, return_inverse=True)
+        right, other = np.unique(j, return_inverse=True)
+        step = max(1, 2**22 // ((len(self.letters) + 1) * words))
+        if len(left) > step:  # masks of some texts at a time
+            out = np.zeros(len(i), dtype=np.int64)
+            for at in range(0, len(left), step):
+                some = (own >= at) & (own < at + step)
+                out[some] = self._table(i[some], j[some], words)
+            return out
+        masks = np.zeros((len(left), len(self.letters) + 1, words), dtype=np.uint64)
+        for place, column in enumerate(self._columns(left)):
+            here = np.flatnonzero(column)
+            masks[here, column[here], place // self.WORD] |= np.uint64(1 << place % self.WORD)
+        bits = np.full((words, len(i)), 2**64 - 1, dtype=np.uint64)
+        for column in self._columns(right):
+            mask = masks[own, column[other]]
+            carry = None
+            for w in range(words):
+                row = bits[w]
+                hit = row & mask[:, w]
+                total = row + hit
+                if words > 1:
+                    over = total < row
+                    if carry is not None:
+                        total += carry
+                        over |= carry & (total == 0)
+                    carry = over
+                bits[w] = total | (row - hit)
+        size = self.sizes[i]
+        shared = np.zeros(len(i), dtype=np.int64)
+        for w in range(words):
+            held = np.clip(size - w * self.WORD, 0, self.WORD).astype(np.uint64)
+            full = np.where(held == 64, np.uint64(2**64 - 1), (np.uint64(1) << (held % np.uint64(64))) - np.uint64(1))
+            shared += np.bitwise_count(~bits[w] & full)
+        return shared
+
+    def _columns(self, which: np.ndarray):
+        """The n-th characters of all those texts, for every n; 0 beyond a text's end."""
+        first, sizes = self.first[which], self.sizes[which]
+        padded = np.append(self.flat, 0)
+        for n in range(int(sizes.max(initial=0))):
+            yield padded[np.where(n < sizes, first + n, len(self.flat))]
+
+    def _shared_bound(self) -> tuple[np.ndarray, np.ndarray]:
+        """Characters in unary, so that products count the shared ones, and how many did not fit."""
+        n, buckets = len(self.texts), min(len(self.letters), 128) or 1
+        owner = np.repeat(np.arange(n), self.sizes)
+        counts = np.bincount(owner * buckets + (self.flat - 1) % buckets, minlength=n * buckets).reshape(n, buckets)
+        over = np.maximum(counts - self.MOST, 0).sum(axis=1)
+        most = np.minimum(counts.max(axis=0, initial=0), self.MOST)
+        letter = np.repeat(np.arange(buckets), most)
+        level = np.arange(len(letter)) - np.repeat(np.cumsum(most) - most, most)
+        return (counts[:, letter] > level).astype(np.float32), over.astype(np.float32)
 
     def reached(self, i: int, others: np.ndarray, threshold: int) -> np.ndarray:
         """Those of ``others`` (indexes) that reach the threshold with text ``i``, in their order."""
-        others = self._possible(i, others, threshold)
-        if not others.size:
-            return others
-        if not self.short[i]:
-            return np.array([j for j in others if self._one(i, j, threshold)], dtype=np.int64)
-        hits = self._shared(np.array([i]), others)[0] * 200 >= threshold * (self.sizes[others] + self.sizes[i])
-        for k in np.flatnonzero(~self.short[others]):
-            hits[k] = self._one(i, others[k], threshold)
-        return others[hits]
+        return others[self.grid(np.array([i]), others, threshold)[0]]
 
     def first_reached(self, i: int, others: np.ndarray, threshold: int) -> int:
         """The first of ``others`` that reaches the threshold, or -1."""
-        others = self._possible(i, others, threshold)
-        start, step = 0, 64
-        while start < others.size:
-            found = self.reached(i, others[start : start + step], threshold)
-            if found.size:
-                return int(found[0])
-            start, step = start + step, step * 4
-        return -1
+        found = self.reached(i, others, threshold)
+        return int(found[0]) if found.size else -1
 
     def matrix(self, threshold: int, block: int = 64) -> np.ndarray:
         """Which texts reach the threshold with which, as a square of booleans."""
-        count = len(self.texts)
-        everyone = np.arange(count)
-        square = np.eye(count, dtype=bool)
-        for start in range(0, count, block):
-            rows = everyone[start : start + block]
-            rows = rows[self.short[rows]]
-            if rows.size:
-                totals = self.sizes[rows][:, None] + self.sizes
-                square[rows] |= self._shared(rows, everyone) * 200 >= threshold * totals
-        for i in np.flatnonzero(~self.short):
-            square[i] = False
-            square[i, self.reached(i, everyone, threshold)] = True
-            square[:, i] = square[i]
-        return square
-
-    def _possible(self, i: int, others: np.ndarray, threshold: int) -> np.ndarray:
-        size, sizes = self.sizes[i], self.sizes[others]
-        others = others[200 * np.minimum(sizes, size) >= threshold * (sizes + size)]
-        shared = np.minimum(self.counts[others], self.counts[i]).sum(axis=1, dtype=np.int64)
-        return others[200 * shared >= threshold * (self.sizes[others] + size)]
-
-    def _shared(self, rows: np.ndarray, others: np.ndarray) -> np.ndarray:
-        """LCS of every short text in ``rows`` with every short one in ``others``."""
-        masks = np.zeros((len(rows), 128), dtype=np.uint64)
-        for k, i in enumerate(rows):
-            for place, char in enumerate(self.texts[i].encode("ascii")):
-                masks[k, char] |= np.uint64(1 << place)
-        masks[:, 0] = 0
-        full = ((np.uint64(1) << self.sizes[rows].astype(np.uint64)) - np.uint64(1))[:, None]
-        bits = np.repeat(full, len(others), axis=1)
-        for line in self.codes[: int(self.sizes[others].max())]:
-            hit = bits & masks[:, line[others]]
-            bits = ((bits + hit) | (bits - hit)) & full
-        return self.sizes[rows][:, None] - np.bitwise_count(bits).astype(np.int64)
-
-    def _one(self, i: int, j: int, threshold: int) -> bool:
-        return reaches(self.texts[i], self.texts[j], threshold)
+        everyone = np.arange(len(self.texts))
+        return np.concatenate(
+            [self.grid(everyone[at : at + block], everyone, threshold) for at in range(0, len(everyone), block)]
+            or [np.zeros((0, 0), dtype=bool)]
+        )
+
+
+class Keys:
+    """Pairs (title, company) of one task in their order, compared with earlier leaders."""
+
+    def __init__(self, titles: list[str], companies: list[str], title_threshold: int, company_threshold: int) -> None:
+        self.title, names = pd.factorize(np.array(titles, dtype=object))
+        self.company, owners = pd.factorize(np.array(companies, dtype=object))
+        self.titles, self.companies = TextSet(list(names)), TextSet(list(owners))
+        self.title_threshold, self.company_threshold = title_threshold, company_threshold
+
+    def grid(self, rows: np.ndarray, others: np.ndarray) -> np.ndarray:
+        """Which of ``rows`` match which of ``others``: titles first, companies where they reach."""
+        mine, at = np.unique(self.title[rows], return_inverse=True)
+        theirs, to = np.unique(self.title[others], return_inverse=True)
+        hits = self.titles.grid(mine, theirs, self.title_threshold)[at][:, to]
+        a, b = np.nonzero(hits)
+        pairs, which = np.unique(
+            self.company[rows[a]].astype(np.int64) * len(self.companies.texts) + self.company[others[b]], return_inverse=True
+        )
+        alike = self.companies.pairs(*np.divmod(pairs, max(1, len(self.companies.texts))), self.company_threshold)
+        hits[a, b] = alike[which]
+        return hits
+
+    def first_of(self, rows: np.ndarray, leaders: np.ndarray) -> np.ndarray:
+        """The first of ``leaders`` that each of ``rows`` matches, or -1.
+
+        Leaders are met in slices of growing size; what has found its leader meets no more.
+        """
+        found = np.full(len(rows), -1, dtype=np.int64)
+        left, start, step = np.arange(len(rows)), 0, 64
+        while start < len(leaders) and len(left):
+            some = leaders[start : start + step]
+            for part in np.array_split(left, max(1, len(left) * len(some) // 2**21)):
+                hits = self.grid(rows[part], some)
+                any_ = hits.any(axis=1)
+                found[part[any_]] = some[hits[any_].argmax(axis=1)]
+            left = left[found[left] < 0]
+            start, step = start + step, min(step * 4, 4096)
+        return found
+
+    def assign(self, forced: np.ndarray, settled: np.ndarray, block: int = 256) -> tuple[np.ndarray, np.ndarray]:
+        """(chosen, leads) of all rows in order: the first leader a row matches or the row itself.
+
+        Forced rows lead whatever they match; settled ones have their leader already, so they
+        only lead if they are forced.
+        """
+        n = len(self.title)
+        chosen, leads = np.arange(n), np.zeros(n, dtype=bool)
+        leaders = np.empty(0, dtype=np.int64)
+        for at in range(0, n, block):
+            rows = np.arange(at, min(n, at + block))
+            first = np.full(len(rows), -1, dtype=np.int64)
+            asking = ~settled[rows]
+            first[asking] = self.first_of(rows[asking], leaders)
+            found = first >= 0
+            chosen[rows[found]] = first[found]
+            may_lead = np.flatnonzero((asking & ~found) | forced[rows])
+            hits = self.grid(rows[may_lead], rows[may_lead]) if len(may_lead) else np.zeros((0, 0), dtype=bool)
+            new: list[int] = []
+            for k, r in enumerate(may_lead):
+                if asking[r] and not found[r]:
+                    earlier = np.flatnonzero(hits[k, new])
+                    if len(earlier):
+                        chosen[rows[r]] = rows[may_lead[new[earlier[0]]]]
+                        if not forced[rows[r]]:
+                            continue
+                new.append(k)
+            fresh = rows[may_lead[new]]
+            leads[fresh] = True
+            leaders = np.concatenate((leaders, fresh))
+        return chosen, leads
+
+
+def _held(column: pd.Series) -> list[str]:
+    return ["" if x is None else x for x in column]
+
+
+def _set_of(a: pd.Series, b: pd.Series) -> tuple[TextSet, np.ndarray, np.ndarray]:
+    """The different texts of two columns and their places."""
+    places, names = pd.factorize(np.array(_held(a) + _held(b), dtype=object))
+    return TextSet(list(names)), places[: len(a)], places[len(a) :]
 
 
 @F.pandas_udf(DoubleType())
 def _ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([ratio(x, y) for x, y in zip(a, b)], dtype="float64")
+    texts, i, j = _set_of(a, b)
+    total = texts.sizes[i] + texts.sizes[j]
+    same = i == j
+    shared = np.where(same, texts.sizes[i], 0)
+    shared[~same] = texts.common(i[~same], j[~same])
+    value = 100.0 * (1.0 - (total - 2 * shared) / np.maximum(total, 1))
+    return pd.Series(np.where(total == 0, 100.0, value)).where((a.notna() & b.notna()).to_numpy())
 
 
 @F.pandas_udf(BooleanType())
 def _reaches(a: pd.Series, b: pd.Series, threshold: pd.Series) -> pd.Series:
-    return pd.Series([reaches(x, y, int(t)) for x, y, t in zip(a, b, threshold)], dtype="bool")
-
-
-@F.pandas_udf(BooleanType())
-def _both_reach(
-    a: pd.Series, b: pd.Series, first: pd.Series, c: pd.Series, d: pd.Series, second: pd.Series
-) -> pd.Series:
-    rows = zip(a, b, first, c, d, second)
-    return pd.Series(
-        [reaches(w, x, int(t)) and reaches(y, z, int(u)) for w, x, t, y, z, u in rows], dtype="bool"
-    )
+    if not len(a):
+        return pd.Series([], dtype="bool")
+    texts, i, j = _set_of(a, b)
+    return pd.Series(texts.pairs(i, j, int(threshold.iloc[0])))
 
 
 def token_ratio(a: Column, b: Column) -> Column:
@@ -166,11 +293,6 @@ def token_ratio_reaches(a: Column, b: Column, threshold: int) -> Column:
     return _reaches(a, b, F.lit(threshold))
 
 
-def both_reach(a: Column, b: Column, first: int, c: Column, d: Column, second: int) -> Column:
-    """Both pairs (a, b) and (c, d) reach their thresholds."""
-    return _both_reach(a, b, F.lit(first), c, d, F.lit(second))
-
-
 def lengths_allow(len_a: Column, len_b: Column, threshold: int) -> Column:
     """The ratio cannot exceed 200 * min / (len1 + len2): a JVM-side bound."""
     return F.least(len_a, len_b) * 200 >= (len_a + len_b) * threshold

@@ -13,13 +13,16 @@ The result is exact for any distribution of the data:
 3. Larger windows are cut by company component: a coarsening of "companies
    that reach the threshold", found over distinct names.  A matching pair is
    always inside one component.  Bounded components are assigned as in 2.
-4. What is still too large is peeled in distributed rounds over title
-   signatures (see ``_peel``); no group is ever held by one task.
+4. What is still too large is decided in rounds (see ``_rounds``): the first open
+   nodes of a group, a bounded number, are assigned by one task; then all tasks
+   compare their shares of the rest with the new leaders.  No group is ever
+   held by one task, and no node is compared with anything but leaders.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 from itertools import combinations
 from typing import NamedTuple
 
@@ -30,7 +33,7 @@ from pyspark.sql.types import ArrayType, StringType
 
 from ..functions import fixed_values as V
 from ..functions.dates import date_window
-from ..functions.similarity import TextSet, both_reach, lengths_allow, token_ratio_reaches
+from ..functions.similarity import Keys, lengths_allow, token_ratio_reaches
 from ..functions.text import fold_strip, sort_tokens
 from ..session import checkpoint
 
@@ -43,7 +46,9 @@ class Limits(NamedTuple):
     group_nodes: int = 5000  # nodes one task assigns by itself
     block_companies: int = 200  # names compared pairwise within a signature
     few_companies: int = 200_000  # names up to which two character pairs make a signature, then three
-    first_peel: int = 64  # leading nodes per signature in the first round
+    first_peel: int = 1024  # open nodes of a group that the first round decides; four times as many in each later one
+    most_peel: int = 4096  # and at most so many
+    share_nodes: int = 2048  # nodes of the rest that meet the new leaders in one task
 
 
 # --- nodes --------------------------------------------------------------------
@@ -136,7 +141,7 @@ def assign_leaders(
     oversize = grouped.filter(F.col("_n") > limits.group_nodes).drop("_n")
     if oversize.isEmpty():
         return assigned
-    return assigned.unionByName(_peel(oversize, title_threshold, company_threshold, limits))
+    return assigned.unionByName(_rounds(oversize, title_threshold, company_threshold, limits))
 
 
 def _greedy(title_threshold: int, company_threshold: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
@@ -144,21 +149,8 @@ def _greedy(title_threshold: int, company_threshold: int) -> Callable[[pd.DataFr
 
     def assign(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("ord", ignore_index=True)
-        codes, distinct_names = pd.factorize(group["company_k"])
-        names, titles = TextSet(list(distinct_names)), TextSet(group["title_k"].tolist())
-        alike = names.matrix(company_threshold)
-        forced = group["forced"].to_numpy(dtype=bool)
-        chosen = np.arange(len(group))
-        leads = np.empty(len(group), dtype=np.int64)
-        count = 0
-        for i in range(len(group)):
-            earlier = leads[:count]
-            first = titles.first_reached(i, earlier[alike[codes[i], codes[earlier]]], title_threshold)
-            if first >= 0:
-                chosen[i] = first
-            if first < 0 or forced[i]:
-                leads[count] = i
-                count += 1
+        keys = Keys(list(group["title_k"]), list(group["company_k"]), title_threshold, company_threshold)
+        chosen, _ = keys.assign(group["forced"].to_numpy(dtype=bool), np.zeros(len(group), dtype=bool))
         kids = group["kid"].to_numpy()
         return pd.DataFrame({"kid": kids, "leader_kid": kids[chosen]})
 
@@ -316,135 +308,91 @@ def connected(names: DataFrame, edges: DataFrame) -> DataFrame:
     )
 
 
-# Signature terms that two matching titles share, where that many are sure: a pair
-# with fewer is not compared.
+# Signature terms that two matching titles share, where that many are sure.
 COMMON_TERMS = 4
 
 
-# --- distributed rounds for oversize groups -----------------------------------
-def _first_of_block(rows: DataFrame, count: int, salts: int = 32) -> DataFrame:
-    """The first ``count`` rows of every block, cut in parallel before they meet."""
-    by_salt = Window.partitionBy("block", "_salt").orderBy("ord")
-    by_block = Window.partitionBy("block").orderBy("ord")
-    return (
-        rows.withColumn("_salt", F.pmod(F.xxhash64("kid"), F.lit(salts)))
-        .withColumn("_rn", F.row_number().over(by_salt))
-        .filter(F.col("_rn") <= count)
-        .withColumn("_rn", F.row_number().over(by_block))
-        .filter(F.col("_rn") <= count)
-        .drop("_rn", "_salt")
-    )
+# --- rounds for oversize groups -------------------------------------------------
+OPEN = "group string, kid string, title_k string, company_k string, forced boolean, pos long, best string"
+
 
+def _few(table: DataFrame, most: int = 100_000) -> DataFrame:
+    """A table of one row a group, broadcast if it is as small as that; beyond, joins shuffle."""
+    return F.broadcast(table) if table.limit(most + 1).count() <= most else table
 
-def _peel(group_nodes: DataFrame, title_threshold: int, company_threshold: int, limits: Limits) -> DataFrame:
+
+def _rounds(oversize: DataFrame, title_threshold: int, company_threshold: int, limits: Limits) -> DataFrame:
     """Assignment of oversize (window, component) groups.
 
-    Nodes that can match share a block (window, component, title signature).  A
-    round looks at the first nodes of every block.  A node that is among them
-    in all of its blocks has all its undecided earlier matches there, too: if
-    it has none, it is a leader.  New leaders then remove every node they
-    match.  The number of first nodes grows fourfold per round, so pairs within
-    a block grow with its leaders, never with its copies, and a group of copies
-    is gone once its first node leads.
+    Nodes get their places in loop order once.  A round takes the first open nodes of each
+    group up to a bound: all earlier leaders have removed what they match, so the loop
+    over these nodes alone finds the next leaders exactly.  The others, dealt in shares
+    of bounded size, meet those leaders in order; one that matches is settled.  Known
+    jobs keep the leader they match and stay until they lead themselves.  Comparisons are
+    those of the loop, nodes by leaders, split evenly over all tasks whatever the
+    distribution; a group of n leaders takes about n / ``most_peel`` rounds.
     """
-    texts = checkpoint(group_nodes)
-    ranks = _gram_ranks(texts, "title_k")
-    members = checkpoint(
-        texts.select(
-            "kid", "ord", "forced", F.char_length("title_k").alias("size"),
-            F.explode(
-                _signatures(F.col("title_k"), title_threshold, ranks, common=COMMON_TERMS)
-            ).alias("term"),
-            "window", "component",
-        ).select(
-            "kid", "ord", "forced", "size",
-            F.md5(F.concat_ws("\x1f", "window", "component", "term")).alias("block"),
-        )
+    named = oversize.withColumn("group", F.md5(F.concat_ws("\x1f", "window", "component")))
+    placed = named.orderBy("group", "ord").select(
+        "group", "kid", "title_k", "company_k", "forced", F.monotonically_increasing_id().alias("pos"),
+        F.lit(None).cast("string").alias("best"),
     )
-    names = texts.select("kid", "title_k", "company_k")
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        """Pairs (lead, kid) that reach both thresholds."""
-        lead = names.toDF("lead", "lead_title", "lead_company")
-        return (
-            pairs.join(lead, "lead")
-            .join(names, "kid")
-            .filter(
-                both_reach(
-                    F.col("lead_company"), F.col("company_k"), company_threshold,
-                    F.col("lead_title"), F.col("title_k"), title_threshold,
-                )
-            )
-            .select("lead", "lead_ord", "kid")
-        )
-
-    def meet(leads: DataFrame, others: DataFrame, when: str = "lead_ord < ord") -> DataFrame:
-        """Pairs of an earlier lead and a later node with enough common blocks.
+    rest, reach, done = checkpoint(placed), limits.first_peel, []
 
-        Pairs are counted per task first, so the shuffle carries each of them once
-        per task, not once per block.
-        """
-        lead = leads.select(
-            "block", F.col("kid").alias("lead"), F.col("ord").alias("lead_ord"),
-            F.col("size").alias("lead_size"), *[c for c in leads.columns if c == "round"],
-        )
-        smaller = F.least("lead_size", "size")
-        return (
-            lead.join(others, "block")
-            .filter(when)
-            .filter(lengths_allow(F.col("lead_size"), F.col("size"), title_threshold))
-            .groupBy("lead", "lead_ord", "kid", smaller.alias("smaller"))
-            .agg(F.count(F.lit(1)).alias("shared"))
-            .filter(F.col("shared") >= needed_terms(F.col("smaller"), title_threshold, COMMON_TERMS))
-            .select("lead", "lead_ord", "kid")
-        )
+    def decide(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("pos", ignore_index=True)
+        keys = Keys(list(group["title_k"]), list(group["company_k"]), title_threshold, company_threshold)
+        settled = group["best"].notna().to_numpy()
+        chosen, leads = keys.assign(group["forced"].to_numpy(dtype=bool), settled)
+        kids = group["kid"].to_numpy()
+        group["best"] = np.where(settled, group["best"], kids[chosen])
+        group["leads"] = leads
+        return group[["group", "kid", "title_k", "company_k", "pos", "best", "leads"]]
+
+    def meet(key: tuple, leaders: pd.DataFrame, nodes_: pd.DataFrame) -> pd.DataFrame:
+        if len(leaders) and len(nodes_):
+            leaders = leaders.sort_values("pos", ignore_index=True)
+            keys = Keys(
+                [*leaders["title_k"], *nodes_["title_k"]], [*leaders["company_k"], *nodes_["company_k"]],
+                title_threshold, company_threshold,
+            )
+            asking = np.flatnonzero(nodes_["best"].isna().to_numpy())
+            found = keys.first_of(asking + len(leaders), np.arange(len(leaders)))
+            best = nodes_["best"].to_numpy(dtype=object, copy=True)
+            best[asking[found >= 0]] = leaders["kid"].to_numpy()[found[found >= 0]]
+            nodes_ = nodes_.assign(best=best)
+        return nodes_[["group", "kid", "title_k", "company_k", "forced", "pos", "best"]]
 
-    forced = members.filter("forced")
-    leaders = forced.select("kid", "ord").distinct().withColumn("round", F.lit(0))
-    # Known jobs lead whatever they match, so all their matches are settled here.
-    found = checkpoint(verified(meet(forced, members)).groupBy("kid").agg(F.min("lead_ord").alias("best")))
-    settled = found.withColumn("round", F.lit(0))
-    open_members = checkpoint(members.filter("not forced").join(found, "kid", "left_anti"))
-    number, reach = 0, limits.first_peel
-    while not open_members.isEmpty():
-        number += 1
-        first = checkpoint(_first_of_block(open_members, reach))
-        blocks_of = open_members.groupBy("kid").agg(F.count(F.lit(1)).alias("_all"))
-        ready = checkpoint(
-            first.groupBy("kid").agg(F.count(F.lit(1)).alias("_seen"))
-            .join(blocks_of, "kid").filter("_seen = _all").select("kid")
-        )
-        blocked = verified(meet(first, first.join(ready, "kid", "left_semi"))).select("kid").distinct()
-        new = checkpoint(ready.join(blocked, "kid", "left_anti"))
-        new_members = open_members.join(new, "kid", "left_semi")
-        rest = open_members.join(new, "kid", "left_anti")
-        removed = checkpoint(
-            verified(meet(new_members, rest)).groupBy("kid").agg(F.min("lead_ord").alias("best"))
+    while True:
+        # Blocks of places hold a bounded number of nodes; the first ones that hold enough are decided.
+        block = F.floor(F.col("pos") / limits.first_peel)
+        held = rest.groupBy("group", block.alias("block")).agg(F.count(F.lit(1)).alias("n"))
+        earlier = Window.partitionBy("group").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+        taken = held.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+        now = taken.groupBy("group").agg(
+            F.max(F.when(F.col("before") < reach, F.col("block"))).alias("until"),
+            F.ceil(F.sum("n") / limits.share_nodes).alias("shares"),
         )
-        leaders = checkpoint(
-            leaders.unionByName(
-                new_members.select("kid", "ord").distinct().withColumn("round", F.lit(number))
+        now = checkpoint(now)
+        if now.isEmpty():
+            break
+        marked = rest.join(_few(now), "group").withColumn("early", block <= F.col("until"))
+        decided = checkpoint(
+            marked.filter("early").select("group", "kid", "title_k", "company_k", "forced", "pos", "best")
+            .groupBy("group").applyInPandas(
+                decide, "group string, kid string, title_k string, company_k string, pos long, best string, leads boolean"
             )
         )
-        settled = checkpoint(settled.unionByName(removed.withColumn("round", F.lit(number))))
-        open_members = checkpoint(rest.join(removed, "kid", "left_anti"))
-        reach *= 4
-
-    # A node settled early may match an earlier leader that was decided later.
-    late = members.join(leaders.filter("round > 0").select("kid", "round"), "kid")
-    waiting = members.drop("ord").join(
-        settled.filter("round > 0").select("kid", F.col("best").alias("ord"), F.col("round").alias("_since")), "kid"
-    )
-    better = (
-        verified(meet(late, waiting, "lead_ord < ord and round > _since"))
-        .groupBy("kid")
-        .agg(F.min("lead_ord").alias("_better"))
-    )
-    best = settled.join(better, "kid", "left").select(
-        "kid", F.least("best", F.coalesce("_better", "best")).alias("ord")
-    )
-    own = leaders.join(settled.select("kid"), "kid", "left_anti").select("kid", F.col("kid").alias("leader_kid"))
-    joined = best.join(
-        leaders.select(F.col("kid").alias("leader_kid"), "ord"), "ord"
-    ).select("kid", "leader_kid")
-    return own.unionByName(joined)
+        leaders = decided.filter("leads").select("group", "kid", "title_k", "company_k", "pos").join(_few(now), "group")
+        shares = leaders.withColumn("share", F.explode(F.expr("sequence(0L, shares - 1)"))).drop("shares", "until")
+        later = marked.filter("not early").withColumn("share", F.pmod(F.xxhash64("kid"), F.col("shares")))
+        met = checkpoint(
+            shares.groupBy("group", "share")
+            .cogroup(later.drop("shares", "until", "early").groupBy("group", "share"))
+            .applyInPandas(meet, OPEN)
+        )
+        done += [decided.select("kid", F.col("best").alias("leader_kid")),
+                 met.filter("best is not null and not forced").select("kid", F.col("best").alias("leader_kid"))]
+        rest = met.filter("best is null or forced")
+        reach = min(reach * 4, max(limits.first_peel, limits.most_peel))
+    return reduce(DataFrame.unionByName, done)
