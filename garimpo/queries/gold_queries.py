@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from ..functions.rules import country_code, country_name
 from ..operators import merge as M
 from ..plans import gold as G
+from ..session import shared_folder
+from ..sources import daily as D
 from . import stand_ins as S
 from .registry import query, texts
 
@@ -131,6 +133,50 @@ def incremental_fact(spark, folder):
     return G.load_fact(loaded, rows).select("job_id", "area_code", "seniority_code", "posted_date")
 
 
+@query("incremental_fact_by_day", S.on_gold("""
+  , mark AS (SELECT max(ingested_at) AS m FROM fact WHERE posted_date < DATE '2001-07-01')
+  SELECT job_id, area_code, seniority_code, posted_date FROM fact
+  WHERE posted_date < DATE '2001-07-01' OR ingested_at > (SELECT m FROM mark)"""))
+def incremental_fact_by_day(spark, folder):
+    """The same load into a table partitioned by load time, twice: the second run finds nothing."""
+    rows = S.gold(spark, folder)["fact_job_posting"]
+    path = shared_folder(spark, "fact-by-day")
+    D.write_days(rows.filter(F.col("posted_date") < F.lit("2001-07-01").cast("date")), path, "ingested_at", "year")
+    D.load_days(rows, path, "job_id", "ingested_at", "year")
+    D.load_days(rows, path, "job_id", "ingested_at", "year")
+    return D.read_days(spark, path).select("job_id", "area_code", "seniority_code", "posted_date")
+
+
+@query("fact_schema_change", S.on_gold("""
+  , held AS (SELECT count(*) AS n FROM fact WHERE posted_date < DATE '2001-07-01'),
+  mark AS (SELECT max(ingested_at) AS m FROM fact WHERE posted_date < DATE '2001-07-01'),
+  later AS (SELECT count(*) AS n FROM fact WHERE ingested_at > (SELECT m FROM mark))
+  SELECT change, change <> 'none' AS refused, held.n + CASE WHEN change = 'none' THEN later.n ELSE 0 END AS rows
+  FROM held, later, (VALUES ('added column'), ('dropped column'), ('other order'), ('other type'), ('none')) AS c(change)"""))
+def fact_schema_change(spark, folder):
+    """Loads whose columns or types changed are refused and leave the table as it was."""
+    rows = S.gold(spark, folder)["fact_job_posting"]
+    path = shared_folder(spark, "fact-by-day")
+    D.write_days(rows.filter(F.col("posted_date") < F.lit("2001-07-01").cast("date")), path, "ingested_at", "year")
+    changes = {
+        "added column": rows.withColumn("salary", F.lit(None).cast("double")),
+        "dropped column": rows.drop("job_url"),
+        "other order": rows.select(*reversed(rows.columns)),
+        "other type": rows.withColumn("posted_date", F.col("posted_date").cast("string")),
+        "none": rows,
+    }
+    parts = []
+    for change, arriving in changes.items():
+        try:
+            D.load_days(arriving, path, "job_id", "ingested_at", "year")
+            refused = False
+        except ValueError:
+            refused = True
+        held = D.read_days(spark, path).agg(F.count(F.lit(1)).alias("rows")).first()["rows"]
+        parts.append((change, refused, held))
+    return spark.createDataFrame(parts, "change string, refused boolean, rows long")
+
+
 @query("market_overview", S.on_gold("""
   SELECT area_code, seniority_code, count(*) AS total_jobs,
     CAST(round(CAST(100.0 * count(*) FILTER (is_remote) AS DOUBLE) / count(*), 1) AS DOUBLE) AS pct_remote,
