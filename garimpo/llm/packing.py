@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import crowded, kept, remember, written
+from .shared import Recent, kept, written
 
 #: Letters and numbers up to U+024F, where every library agrees on the classes.
 LETTERS, NUMBERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼½¾"
@@ -50,34 +50,33 @@ def encode(texts: DataFrame, tokenizer: str, end: int | None = 1) -> DataFrame:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        made = Tokenizer.from_file(tokenizer_file(tokenizer))
+        held = kept(tokenizer)
+        if not held:
+            held["made"] = Tokenizer.from_file(tokenizer_file(tokenizer))
+            held["words"] = Recent()
+        made, known = held["made"], held["words"]
         kind = np.dtype("<u2" if made.get_vocab_size() <= 2**16 else "<u4")
         code = "H" if kind.itemsize == 2 else "I"
-        special = [re.escape(t.content) for t in made.get_added_tokens_decoder().values()]
-        whole = re.compile("|".join([OTHER.pattern, *special]))
-        words, known = re.compile(WORDS), kept(tokenizer)
+        special = [t.content for t in made.get_added_tokens_decoder().values()]
+        words = re.compile(WORDS)
         last = b"" if end is None else np.array([end], kind).tobytes()
-
-        def learn(split: list[str]) -> None:
-            if crowded(known):
-                known.clear()
-            new = [w for w in set(split) if w not in known]
-            found = made.encode_batch_fast(new, add_special_tokens=False)
-            remember(known, ((w, array(code, e.ids).tobytes()) for w, e in zip(new, found)))
-
         for batch in batches:
             out = []
             for text in batch.column("text").to_pylist():
                 text = text or ""
-                if whole.search(text):
+                if OTHER.search(text) or any(t in text for t in special):
                     out.append(np.array(made.encode(text, add_special_tokens=False).ids, kind).tobytes() + last)
                     continue
                 split = words.findall(text)
                 try:
-                    ids = b"".join(map(known.__getitem__, split))
-                except KeyError:  # words not met before
-                    learn(split)
-                    ids = b"".join(map(known.__getitem__, split))
+                    ids = b"".join(map(known.young.__getitem__, split))
+                except KeyError:  # words not met lately
+                    new = known.missing(split)
+                    for at in range(0, len(new), 10_000):
+                        some = new[at : at + 10_000]
+                        for word, found in zip(some, made.encode_batch_fast(some, add_special_tokens=False)):
+                            known.add(word, array(code, found.ids).tobytes())
+                    ids = b"".join(map(known.young.__getitem__, split))
                 out.append(ids + last)
             counts = pa.array([len(x) // kind.itemsize for x in out], pa.int64())
             yield pa.RecordBatch.from_arrays(

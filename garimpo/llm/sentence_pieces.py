@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .packing import tokenizer_file
-from .shared import crowded, kept, remember, slices
+from .shared import Recent, kept, slices
 
 MARK = "▁"
 
@@ -57,7 +57,7 @@ class Pieces:
         # No piece runs from one word into the next, or over a break, so those are segmented alone.
         breaks = "".join(c for c in "\n\r\t" if c not in inner)
         self.unit = re.compile(".+" if crossing else f"{MARK}+[^{MARK}{breaks}]*|[^{MARK}{breaks}]+|[{breaks}{MARK}]", re.DOTALL)
-        self.known: dict[str, bytes] = {}
+        self.known = Recent()
 
     def units(self, text: str) -> list[str]:
         return self.unit.findall(MARK + text.replace(" ", MARK)) if text else []
@@ -114,12 +114,11 @@ class Pieces:
         """Ids of a text as 32-bit little-endian integers."""
         units, known = self.units(text), self.known
         try:
-            return b"".join(map(known.__getitem__, units))
-        except KeyError:  # units not met before
-            if crowded(known):
-                known.clear()
-            remember(known, ((u, np.array(self.segment(u), dtype="<i4").tobytes()) for u in set(units) if u not in known))
-            return b"".join(map(known.__getitem__, units))
+            return b"".join(map(known.young.__getitem__, units))
+        except KeyError:  # units not met lately
+            for unit in known.missing(units):
+                known.add(unit, np.array(self.segment(unit), dtype="<i4").tobytes())
+            return b"".join(map(known.young.__getitem__, units))
 
     def decode(self, ids: list[int] | np.ndarray) -> str:
         out = b"".join(map(self.text.__getitem__, ids))

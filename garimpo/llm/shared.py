@@ -71,18 +71,36 @@ def kept(name: str) -> dict:
     return held.setdefault(name, {})
 
 
-def remember(known: dict, made, each: int = 200) -> None:
-    """Add the pairs (word, bytes) to a dictionary and what they hold in memory to its entry None."""
-    size = known.get(None, 0)
-    for word, value in made:
-        known[word] = value
-        size += len(word) + len(value) + each
-    known[None] = size
-
-
-def crowded(known: dict, limit: int = 2**26) -> bool:
-    """Whether a dictionary holds ``limit`` bytes and is to start anew."""
-    return known.get(None, 0) > limit
+class Recent:
+    """Bytes of words met lately, in two generations of bounded size.
+
+    ``young`` has all words asked for since the last change; when it is full it becomes the
+    old one, whose words move back when they are met again.  So frequent words stay, and what
+    is kept takes twice ``limit`` bytes at most, but for the words of one text.
+    """
+
+    def __init__(self, limit: int = 2**26, each: int = 200):
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.limit, self.each, self.size = limit, each, 0
+
+    def missing(self, words: list[str]) -> list[str]:
+        """Different words that are in neither generation; the others are young now."""
+        if self.size > self.limit:
+            self.old, self.young, self.size = self.young, {}, 0
+        new = []
+        for word in set(words):
+            if word not in self.young:
+                value = self.old.get(word)
+                if value is None:
+                    new.append(word)
+                else:
+                    self.add(word, value)
+        return new
+
+    def add(self, word: str, value: bytes) -> None:
+        self.young[word] = value
+        self.size += len(word) + len(value) + self.each
 
 
 def usable(column: str) -> str:
