@@ -63,16 +63,24 @@ class Loaded(NamedTuple):
 
 
 def load(
-    landing: DataFrame, raw: DataFrame, field_maps: Mapping[str, Mapping] = V.FIELD_MAPS
+    landing: DataFrame, raw: DataFrame, field_maps: Mapping[str, Mapping] = V.FIELD_MAPS, run: int | None = None
 ) -> Loaded:
     """Map landed postings and insert those whose (source, source_id) is not there yet.
 
     The mapped batch is stored once: a filter on a mapped column would otherwise
     be pushed below the mapping and parse every document again.
+
+    ``run`` numbers the load.  Postings without source id are new in every run, but a run that is
+    repeated after success gives them the ids they have, and inserts nothing twice.  Without a
+    number the count of ``raw`` is taken, which tells further loads apart.
     """
-    mapped = stored(with_own_ids(map_all(landing, field_maps), raw.count()), "mapped")
+    mapped = stored(map_all(landing, field_maps), "mapped")
+    mapped = with_own_ids(mapped, raw.count() if run is None else run)
     keys, order = ["source", "source_id"], [F.col("ingested_at"), F.col("id"), F.col("payload")]
     fresh = new_rows(raw, mapped, keys, order, nullable_key="source_id")
+    if run is not None:
+        own = raw.filter(F.col("source_id").isNull()).select("id")
+        fresh = fresh.join(own, "id", "left_anti").select(*fresh.columns)
     per_source = fresh.groupBy("source").agg(F.count(F.lit(1)).alias("inserted"))
     return Loaded(raw.unionByName(fresh, allowMissingColumns=True), per_source)
 

@@ -25,16 +25,25 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
-def read_landing(spark: SparkSession, root: str, source: str | None = None, ds: str | None = None) -> DataFrame:
-    """Rows of the native layout; empty with the same schema when nothing landed."""
+def read_landing(
+    spark: SparkSession, root: str, source: str | None = None, ds: str | None = None, with_place: bool = False
+) -> DataFrame:
+    """Rows of the native layout; empty with the same schema when nothing landed.
+
+    With ``with_place`` also ``place``: the name of a row's file and its index in it, the same in
+    every run and for any split of the scan.
+    """
+    places = ["place"] if with_place else []
     if not _path_exists(spark, root):
-        return spark.createDataFrame([], ROW_SCHEMA)
+        return spark.createDataFrame([], ROW_SCHEMA + ", place STRING" * with_place)
     rows = spark.read.schema(ROW_SCHEMA).parquet(root)
+    if with_place:
+        rows = rows.withColumn("place", F.concat_ws("#", "_metadata.file_name", "_metadata.row_index"))
     if source is not None:
         rows = rows.filter(F.col("source") == source)
     if ds is not None:
         rows = rows.filter(F.col("ds") == F.lit(ds).cast("date"))
-    return rows.select("source", "ds", "extracted_at", "payload")
+    return rows.select("source", "ds", "extracted_at", "payload", *places)
 
 
 def read_exchange(spark: SparkSession, root: str, source: str, ds: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import fixed_values as V
 from ..functions.dates import epoch_date, parse_date
@@ -66,7 +66,7 @@ def map_all(
     ``source`` and may carry ``ingested_at``.  The JSON is parsed once per row;
     the source decides which paths are read.  Rows of other sources are left out.
     """
-    kept = ["ingested_at"] if "ingested_at" in records.columns else []
+    kept = [c for c in ("ingested_at", "place") if c in records.columns]
     source = F.col("source")
     fields = ["source_id", "title", "company", "location", "description", "url", "posted_at"]
     flags = {name: m["is_remote"] for name, m in field_maps.items()}
@@ -111,12 +111,19 @@ def map_all(
 def with_own_ids(mapped: DataFrame, run: int) -> DataFrame:
     """Postings without source id get an id of their own: equal ones are different postings.
 
-    The id is a hash of the posting, its load time, its place in the scan and ``run``, a
-    number that a repeated run has again and a further run has not.
+    The id is a hash of the posting, its load time, its place and ``run``, a number that
+    a repeated run has again and a further run has not.  The place is the column ``place``, a file and a
+    row within it (see ``read_landing``); without that column it is the posting's number among its
+    equals.  Neither depends on how a scan is split or how many cores read it.
     """
-    place = F.monotonically_increasing_id()
-    own = natural_id("own", F.col("source"), F.md5("payload"), F.col("ingested_at"), F.lit(run), place)
-    return mapped.withColumn("id", F.when(F.col("source_id").isNull(), own).otherwise(F.col("id")))
+    parts = [F.col("source"), F.md5("payload"), F.col("ingested_at"), F.lit(run), F.col("place")]
+    if "place" in mapped.columns:
+        own = natural_id("own", *parts)
+        return mapped.withColumn("id", F.when(F.col("source_id").isNull(), own).otherwise(F.col("id"))).drop("place")
+    equals = Window.partitionBy("source", F.md5("payload"), "ingested_at").orderBy(F.lit(0))
+    bare = mapped.filter(F.col("source_id").isNull()).withColumn("place", F.row_number().over(equals))
+    bare = bare.withColumn("id", natural_id("own", *parts)).select(*mapped.columns)
+    return bare.unionByName(mapped.filter(F.col("source_id").isNotNull()))
 
 
 def first_match_of(cases: list[tuple[Column, Column]]) -> Column:

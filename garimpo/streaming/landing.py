@@ -43,7 +43,7 @@ def load_new_files(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch.withColumn("ingested_at", F.col("extracted_at"))
-        mapped = stored(with_own_ids(map_all(rows, field_maps), batch_id), "mapped")
+        mapped = with_own_ids(stored(map_all(rows, field_maps), "mapped"), batch_id)
         known = raw_table(spark, raw).filter(F.col(BATCH) < batch_id)
         fresh = new_rows(
             known, mapped, ["source", "source_id"],
