@@ -2,7 +2,8 @@
 
 The caller writes the result to a new place; nothing here overwrites a table
 that is being read.  Keys of both sides are joined as they are, so AQE chooses
-a broadcast for a small batch and splits a skewed key for a big one.
+a broadcast for a small batch and splits a skewed key for a big one, and a target
+in buckets of its key (``sources.tables.write_bucketed``) is read without an exchange.
 """
 
 from __future__ import annotations
@@ -29,15 +30,21 @@ def new_rows(
     keys: Sequence[str],
     order: Sequence[Column],
     nullable_key: str | None = None,
+    row_id: str | None = None,
 ) -> DataFrame:
     """Rows of the batch whose key the target does not have; first of a key wins.
 
     Rows without ``nullable_key`` are always new.  They skip the shuffle: all of
-    them would meet in one partition.
+    them would meet in one partition.  With ``row_id``, a column that no two rows of the
+    batch share, only keys, order and ids are ranked; long texts are fetched by id at the end.
     """
     keyed = batch if nullable_key is None else batch.filter(F.col(nullable_key).isNotNull())
-    fresh = first_per_key(keyed, keys, order).join(target.select(*keys), list(keys), "left_anti")
-    fresh = fresh.select(*batch.columns)
+    thin = keyed
+    if row_id is not None:
+        places = [c.alias(f"_order{i}") for i, c in enumerate(order)]
+        thin, order = keyed.select(*dict.fromkeys([*keys, row_id]), *places), [F.col(f"_order{i}") for i in range(len(places))]
+    fresh = first_per_key(thin, keys, order).join(target.select(*keys), list(keys), "left_anti")
+    fresh = fresh.select(*batch.columns) if row_id is None else keyed.join(fresh.select(row_id), row_id, "left_semi")
     if nullable_key is None:
         return fresh
     return fresh.unionByName(batch.filter(F.col(nullable_key).isNull()))
@@ -49,9 +56,10 @@ def insert_if_absent(
     keys: Sequence[str],
     order: Sequence[Column],
     nullable_key: str | None = None,
+    row_id: str | None = None,
 ) -> DataFrame:
     """The target with the new rows of the batch."""
-    fresh = new_rows(target, batch, keys, order, nullable_key)
+    fresh = new_rows(target, batch, keys, order, nullable_key, row_id).select(*batch.columns)
     return target.unionByName(fresh, allowMissingColumns=True)
 
 

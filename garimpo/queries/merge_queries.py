@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from ..operators import lookups as L
 from ..operators import merge as M
 from ..plans import silver as P
+from ..session import shared_folder
+from ..sources.tables import write_bucketed
 from . import stand_ins as S
-from .registry import query, table
+from .registry import REGISTRY, query, table
 
 LINES_SQL = """
 lines AS (
@@ -246,3 +248,45 @@ def candidates_scan(spark, folder):
     return L.jobs_with_names(
         S.jobs(spark, folder), S.companies(spark, folder), S.locations(spark, folder)
     ).select("job_id", "title", "posted_at", "company_name", "location_raw")
+
+
+# --- silver tables in buckets of their key ----------------------------------------
+def stored_jobs(spark, folder):
+    """The jobs as a silver table: buckets of job_id, sorted within."""
+    return write_bucketed(S.jobs(spark, folder), shared_folder(spark, "silver"), "jobs", "job_id", 8)
+
+
+@query("update_bucketed", REGISTRY["update_by_key"].sql)
+def update_bucketed(spark, folder):
+    """``update_by_key`` on the stored table: the changes alone are shuffled."""
+    changes = (
+        table(spark, folder, "lineitem").filter("l_returnflag = 'R'")
+        .select(F.col("l_orderkey").cast("string").alias("job_id")).distinct()
+        .select("job_id", F.lit("ml_mlops").alias("area"), F.lit(None).cast("string").alias("seniority"))
+    )
+    updated = M.update_by_key(stored_jobs(spark, folder), changes, "job_id", ["area", "seniority"])
+    return updated.select("job_id", "area", "seniority", "title")
+
+
+@query("append_bucketed", REGISTRY["append_to_array"].sql)
+def append_bucketed(spark, folder):
+    """``append_to_array`` on the stored table."""
+    items = table(spark, folder, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("job_id"),
+        F.concat(F.lit("P"), F.col("l_partkey")).alias("item"),
+    )
+    merged = M.append_to_array(stored_jobs(spark, folder), items, "job_id", "source_ids", "item")
+    return merged.select("job_id", F.array_join("source_ids", "|").alias("source_ids"))
+
+
+@query("insert_thin", REGISTRY["insert_if_absent"].sql)
+def insert_thin(spark, folder):
+    """``insert_if_absent`` with keys and ids alone in the rank; the target is stored in buckets of the source id."""
+    batch = lines(spark, folder)
+    known = batch.filter("status = 'O'").withColumn("kind", F.lit("old"))
+    target = write_bucketed(known, shared_folder(spark, "silver"), "raw", "source_id", 8)
+    merged = M.insert_if_absent(
+        target, batch.withColumn("kind", F.lit("new")), ["source", "source_id"],
+        [F.col("ingested_at"), F.col("id")], "source_id", "id",
+    )
+    return merged.select("kind", "id", "source", "source_id")

@@ -28,6 +28,30 @@ def write_table(
     return path
 
 
+def write_bucketed(df: DataFrame, root: str, name: str, key: str, buckets: int) -> DataFrame:
+    """Write a keyed table in buckets of its key and return it.
+
+    Merges on the key read it without an exchange: the other side alone is shuffled, to the same
+    number of buckets.  Choose ``buckets`` by the table's size, some 200 MB each, and keep it from run to
+    run.  The table is external; its name is known to this session, ``read_bucketed`` names it again
+    in another one.
+    """
+    path = f"{root}/{name}/v={uuid4().hex}"
+    table = f"{name}_{uuid4().hex}"
+    df.write.bucketBy(buckets, key).sortBy(key).option("path", path).format("parquet").saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
+def read_bucketed(spark: SparkSession, path: str, schema: str, name: str, key: str, buckets: int) -> DataFrame:
+    """A table that ``write_bucketed`` wrote in an earlier session."""
+    table = f"{name}_{uuid4().hex}"
+    spark.sql(
+        f"CREATE TABLE {table} ({schema}) USING parquet CLUSTERED BY ({key}) SORTED BY ({key}) INTO {buckets} BUCKETS "
+        f"LOCATION '{path}'"
+    )
+    return spark.table(table)
+
+
 def append_table(df: DataFrame, path: str, form: str = "parquet") -> None:
     df.write.mode("append").format(form).save(path)
 

@@ -118,3 +118,51 @@ def test_with_description_takes_the_earliest(spark):
     jobs = frame(spark, [("j1", ["1", "2"]), ("j2", []), ("j3", None)], "job_id string, source_ids array<string>")
     found = {r["job_id"]: r["description"] for r in L.with_description(jobs, raw).collect()}
     assert found == {"j1": "early", "j2": None, "j3": None}
+
+
+def test_insert_if_absent_with_thin_rank(spark):
+    target = frame(spark, [("a", "s", "1", 0)], RAW)
+    batch = frame(spark, [("b", "s", "1", 1), ("c", "s", "2", 2), ("d", "s", "2", 3), ("e", "t", "1", 4),
+                          ("f", "s", None, 5), ("g", "s", None, 6)], RAW)
+    args = (["source", "source_id"], [F.col("n"), F.col("id")], "source_id")
+    assert rows(M.insert_if_absent(target, batch, *args, row_id="id")) == rows(M.insert_if_absent(target, batch, *args))
+    plan = M.new_rows(target, batch.withColumn("text", F.repeat("id", 9)), *args, row_id="id")._jdf.queryExecution().optimizedPlan()
+    windows = [line for line in plan.toString().splitlines() if "Window [" in line]
+    assert windows and all("text" not in line for line in windows)
+
+
+def test_bucketed_targets_have_no_exchange(spark, tmp_path):
+    from garimpo.sources.tables import read_bucketed, write_bucketed
+
+    jobs = spark.range(500).select(F.col("id").cast("string").alias("k"), F.lit("a").alias("v"), F.array(F.lit("x")).alias("ids"))
+    stored = write_bucketed(jobs, str(tmp_path), "jobs", "k", 8)
+    changes = jobs.filter("k like '1%'").select("k", F.lit("b").alias("v"))
+    items = changes.select("k", F.lit("y").alias("item"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merges = {
+            "update": (M.update_by_key(stored, changes, "k", ["v"]), M.update_by_key(jobs, changes, "k", ["v"])),
+            "set": (M.set_by_ids(stored, changes, "k", {"v": F.lit("c")}), M.set_by_ids(jobs, changes, "k", {"v": F.lit("c")})),
+            "append": (M.append_to_array(stored, items, "k", "ids", "item"), M.append_to_array(jobs, items, "k", "ids", "item")),
+            "insert": (M.insert_if_absent(stored, changes, ["k"], [F.col("v")]), M.insert_if_absent(jobs, changes, ["k"], [F.col("v")])),
+        }
+        for name, (bucketed, plain) in merges.items():
+            plan = bucketed._jdf.queryExecution().executedPlan().toString()
+            held = plan.splitlines()
+            scans = [i for i, line in enumerate(held) if "Bucketed: true" in line]
+            assert scans, name
+            for i in scans:  # up from the scan to the join: no exchange on the way
+                depth = len(held[i]) - len(held[i].lstrip(" :+-*()0123456789"))
+                for line in reversed(held[:i]):
+                    up = len(line) - len(line.lstrip(" :+-*()0123456789"))
+                    if up < depth:
+                        depth = up
+                        assert "Exchange" not in line, (name, plan)
+                        if "Join" in line:
+                            break
+            assert rows(bucketed) == rows(plain), name
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    location = next((tmp_path / "jobs").iterdir())
+    again = read_bucketed(spark, str(location), "k STRING, v STRING, ids ARRAY<STRING>", "jobs", "k", 8)
+    assert rows(again) == rows(jobs)
