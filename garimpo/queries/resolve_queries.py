@@ -148,7 +148,78 @@ def fuzzy_dedup_counts(spark, folder):
     return P.resolve(S.page_postings(spark, folder), *empty, S.RUN_AT).stats
 
 
-@query("fuzzy_dedup")
+# All lines, window by window: letters bound the title pairs, masks per letter make a step of the LCS
+# one lookup, and the loop runs in all windows at once.
+LETTERS = "abcdefghijklmnopqrstuvwxyz0123456789# "
+LINES_DEDUP_SQL = f"""
+WITH RECURSIVE postings AS (
+  SELECT concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(l_shipdate AS DATE)) AS id,
+    {S.sql_window("CAST(l_shipdate AS DATE)")} AS bucket, l_shipdate AS seen, l_partkey, l_suppkey FROM lineitem),
+titles AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY t) AS k, t, length(t) AS size,
+    list_transform(range(1, {len(LETTERS) + 1}), lambda c: length(t) - length(replace(t, substr('{LETTERS}', CAST(c AS INTEGER), 1), ''))) AS held,
+    list_transform(range(0, length(t)), lambda p: strpos('{LETTERS}', substr(t, CAST(p AS INTEGER) + 1, 1))) AS codes,
+    list_transform(range(1, {len(LETTERS) + 1}), lambda c: coalesce(CAST(list_sum(list_transform(range(0, length(t)), lambda p:
+      CASE WHEN substr(t, CAST(p AS INTEGER) + 1, 1) = substr('{LETTERS}', CAST(c AS INTEGER), 1)
+           THEN CAST(1 AS HUGEINT) << CAST(p AS INTEGER) ELSE CAST(0 AS HUGEINT) END)) AS HUGEINT), 0)) AS masks
+  FROM (SELECT DISTINCT t FROM (
+    SELECT {S.sql_sort_tokens("lower(concat_ws(' ', p_name, p_type, p_brand))")} AS t FROM part
+    UNION ALL SELECT {S.sql_sort_tokens("lower(s_name)")} FROM supplier))),
+parts AS (
+  SELECT p_partkey, k AS title FROM part JOIN titles
+  ON t = {S.sql_sort_tokens("lower(concat_ws(' ', p_name, p_type, p_brand))")}),
+suppliers AS (
+  SELECT s_suppkey, k AS company FROM supplier JOIN titles ON t = {S.sql_sort_tokens("lower(s_name)")}),
+keyed AS MATERIALIZED (
+  SELECT id, bucket, title, company, seen FROM postings JOIN parts ON l_partkey = p_partkey JOIN suppliers ON l_suppkey = s_suppkey),
+nodes AS MATERIALIZED (
+  SELECT bucket, title, company, row_number() OVER (PARTITION BY bucket ORDER BY first) AS n
+  FROM (SELECT bucket, title, company, min(struct_pack(back := -epoch_us(seen), id := id)) AS first FROM keyed GROUP BY ALL)),
+wanted AS MATERIALIZED (
+  SELECT DISTINCT least(a, b) AS a, greatest(a, b) AS b, need FROM (
+    SELECT x.company AS a, y.company AS b, 90 AS need FROM (SELECT DISTINCT company FROM nodes) x
+    JOIN (SELECT DISTINCT company FROM nodes) y ON x.company < y.company
+    UNION ALL
+    SELECT x.title, y.title, 85 FROM nodes x JOIN nodes y ON x.bucket = y.bucket AND x.n < y.n AND x.title <> y.title)),
+possible AS MATERIALIZED (
+  SELECT a, b, need FROM wanted JOIN titles x ON x.k = a JOIN titles y ON y.k = b
+  WHERE 200 * least(x.size, y.size) >= need * (x.size + y.size)
+    AND 200 * list_sum(list_transform(list_zip(x.held, y.held), lambda z: least(z[1], z[2]))) >= need * (x.size + y.size)),
+lcs AS (
+  SELECT a, b, need, 0 AS i, (CAST(1 AS HUGEINT) << CAST(size AS INTEGER)) - 1 AS open FROM possible JOIN titles ON k = a
+  UNION ALL
+  SELECT a, b, need, i + 1, ((open + hit) | (open - hit)) & ((CAST(1 AS HUGEINT) << CAST(size AS INTEGER)) - 1)
+  FROM (SELECT l.a, l.b, l.need, l.i, l.open, x.size, l.open & x.masks[y.codes[l.i + 1]] AS hit
+        FROM lcs l JOIN titles x ON x.k = l.a JOIN titles y ON y.k = l.b WHERE l.i < y.size)),
+alike AS MATERIALIZED (
+  SELECT a, b, need FROM lcs JOIN titles x ON x.k = a JOIN titles y ON y.k = b
+  WHERE i = y.size AND 200 * (x.size - bit_count(open)) >= need * (x.size + y.size)),
+pairs AS MATERIALIZED (
+  SELECT a, b, need FROM alike UNION ALL SELECT b, a, need FROM alike
+  UNION ALL SELECT k, k, 85 FROM titles UNION ALL SELECT k, k, 90 FROM titles),
+edges AS (
+  SELECT y.bucket, x.n AS first, y.n AS later FROM nodes x JOIN pairs t ON t.a = x.title AND t.need = 85
+  JOIN nodes y ON y.bucket = x.bucket AND y.title = t.b AND x.n < y.n
+  JOIN pairs c ON c.a = x.company AND c.b = y.company AND c.need = 90),
+earlier AS MATERIALIZED (
+  SELECT n.bucket, n.n, list_filter(list(first), lambda x: x IS NOT NULL) AS firsts
+  FROM nodes n LEFT JOIN edges e ON e.bucket = n.bucket AND e.later = n.n GROUP BY ALL),
+greedy AS (
+  SELECT DISTINCT bucket, CAST(0 AS BIGINT) AS n, CAST([] AS BIGINT[]) AS leads, CAST(NULL AS BIGINT) AS chosen FROM nodes
+  UNION ALL
+  SELECT e.bucket, e.n, CASE WHEN list_has_any(g.leads, e.firsts) THEN g.leads ELSE list_append(g.leads, e.n) END,
+    coalesce(list_min(list_intersect(g.leads, e.firsts)), e.n)
+  FROM greedy g JOIN earlier e ON e.bucket = g.bucket AND e.n = g.n + 1),
+named AS (
+  SELECT bucket, title, company, n, md5(concat_ws(chr(31), bucket, x.t, y.t)) AS kid
+  FROM nodes JOIN titles x ON x.k = title JOIN titles y ON y.k = company)
+"""
+
+
+@query("fuzzy_dedup", LINES_DEDUP_SQL + """
+  SELECT k.id, own.kid, lead.kid AS leader_kid
+  FROM keyed k JOIN named own ON own.bucket = k.bucket AND own.title = k.title AND own.company = k.company
+  JOIN greedy g ON g.bucket = own.bucket AND g.n = own.n JOIN named lead ON lead.bucket = own.bucket AND lead.n = g.chosen""")
 def fuzzy_dedup(spark, folder):
     """All order lines as postings: part as title, supplier as company, ship date."""
     rows = (
