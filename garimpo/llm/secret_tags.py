@@ -2,8 +2,9 @@
 
 The field tags tokens as secret begin, inside or outside.  Its features are the
 token's shape, its word and its neighbours' words and shapes, and the shape of the whole file.
-It learns from what the patterns find in a bounded sample, so that it can name values in
-contexts the patterns do not spell out.  Decoding is Viterbi's; a token whose outside
+It learns from what the patterns find in a bounded sample, and from copies of it in which values
+and the words that announce them are replaced by others, so that shapes and neighbours must carry the
+tags and values behind words the patterns do not spell out are named, too.  Decoding is Viterbi's; a token whose outside
 score beats the others by more than any transition can give back is outside on the
 best path, so only the stretches between such tokens are searched.
 """
@@ -11,7 +12,9 @@ best path, so only the stretches between such tokens are searched.
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+import string
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +35,7 @@ TOKEN = np.ones(256, dtype=bool)
 TOKEN[[*range(48, 58), *range(65, 91), *range(97, 123), *b"+/_.-", *range(128, 256)]] = False
 OUT, BEGIN, INSIDE = 0, 1, 2
 WORDS, SHAPES = 4096, 1024
-PARTS = {"shape": SHAPES, "word": WORDS, "before": WORDS, "before2": WORDS, "after": WORDS,
+PARTS = {"mix": 64, "shape": SHAPES, "word": WORDS, "before": WORDS, "before2": WORDS, "after": WORDS,
          "shape_before": SHAPES, "shape_after": SHAPES, "file": 512}
 
 
@@ -72,6 +75,8 @@ class Tokens:
         for flag in (upper > 0, lower > 0, hexes == size, (marks > 0) | (other > 0)):
             shape = shape * 2 + flag
         shape = shape * 8 + mixed_
+        kinds = (digits > 0) * 1 + (upper > 0) * 2 + (lower > 0) * 4 + (marks > 0) * 8 + (other > 0) * 16
+        mix = kinds * 2 + (size > 11)
         word = ((found.hash >> np.uint64(20)) % np.uint64(WORDS)).astype(np.int64)
         count = np.bincount(self.text, minlength=len(texts))
         plain = np.bincount(self.text, (digits == 0) & (marks == 0), len(texts)) / np.maximum(count, 1)
@@ -88,7 +93,7 @@ class Tokens:
             return out
 
         columns = {
-            "shape": shape, "word": word, "before": near(word, -1), "before2": near(word, -2), "after": near(word, 1),
+            "mix": mix, "shape": shape, "word": word, "before": near(word, -1), "before2": near(word, -2), "after": near(word, 1),
             "shape_before": near(shape, -1), "shape_after": near(shape, 1), "file": files[self.text] * 32 + length * 4 + (mixed_ > 1),
         }
         base, self.features = 0, np.empty((n, len(PARTS)), dtype=np.int32)
@@ -225,11 +230,39 @@ def _gold(tokens: Tokens, texts: list[str], spans: list[list[tuple[int, int, int
     return tags
 
 
-def learn(documents: DataFrame, sample: int = 4000, context: int = 300) -> Field:
+ALPHABETS = (
+    "0123456789abcdef", "0123456789ABCDEF", string.ascii_letters + string.digits, string.ascii_uppercase + string.digits,
+    string.ascii_letters + string.digits + "_-",
+)
+
+
+def _varied(text: str, spans: list[tuple[int, int, int, int]]) -> tuple[str, list[tuple[int, int, int, int]]]:
+    """The text with other values in the places of its spans and other words before them; its new spans."""
+    rng = random.Random(hashlib.md5(text.encode()).digest())
+    made, found, at, size = [], [], 0, 0
+    for start, kind, end, value in spans:
+        if start < at:
+            continue
+        cue = text[start:value]
+        if kind == 0:
+            word = "".join(rng.choice(string.ascii_lowercase) for _ in range(rng.randint(3, 10)))
+            cue = word + cue[re.match("[A-Za-z_]+", cue).end() :]
+        alphabet = rng.choice(ALPHABETS)
+        secret = "".join(rng.choice(alphabet) for _ in range(rng.randint(12, 48)))
+        made += [text[at:start], cue, secret]
+        size += start - at + len(cue)
+        found.append((size, kind, size + len(secret), size))
+        size, at = size + len(secret), end
+    return "".join(made) + text[at:], found
+
+
+def learn(documents: DataFrame, sample: int = 4000, context: int = 300, copies: int = 8) -> Field:
     """A field from ``sample`` documents drawn by a hash of their texts.
 
     Each gives up to four stretches around its base spans, or one stretch at a place that the
-    hash names, of ``context`` characters to each side.
+    hash names, of ``context`` characters to each side.  A stretch with spans comes in ``copies`` more
+    versions with other values and announcing words.  Of the documents only ids and hashes are ranked; the
+    chosen texts are fetched by their hash.
     """
 
     def stretches(batches):
@@ -241,13 +274,22 @@ def learn(documents: DataFrame, sample: int = 4000, context: int = 300) -> Field
                 out += [text[max(0, m - context) : m + context] for m in middles]
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["text"])
 
-    drawn = documents.where("text is not null").select("text").orderBy(F.xxhash64("text"), "text").limit(sample)
+    whole = documents.where("text is not null").select("text", F.xxhash64("text").alias("mark"))
+    # At most ``sample`` marks; the rows of one mark are copies, of which one is taken.
+    marks = whole.groupBy("mark").count().orderBy("mark").limit(sample).select("mark")
+    drawn = whole.join(F.broadcast(marks), "mark").dropDuplicates(["mark"]).select("text")
     texts = sorted(drawn.mapInArrow(stretches, "text string").toArrow()["text"].to_pylist())
-    bodies = [t.encode() for t in texts]
+    held = [(t, base_spans(t)) for t in texts]
+    for text, spans in [x for x in held if x[1]]:
+        for k in range(copies):
+            changed, found = _varied(text[k:], base_spans(text[k:]))
+            held.append((changed, found))
+    held.sort()
+    bodies = [t.encode() for t, _ in held]
     chains = []
     for low, high in slices(bodies):
         tokens = Tokens(bodies[low:high])
-        tags = _gold(tokens, texts[low:high], [base_spans(t) for t in texts[low:high]])
+        tags = _gold(tokens, [t for t, _ in held[low:high]], [s for _, s in held[low:high]])
         cut = np.searchsorted(tokens.text, np.arange(high - low + 1))
         chains += [(tokens.features[a:b], tags[a:b]) for a, b in zip(cut[:-1], cut[1:])]
     return Field().train(chains)
