@@ -81,19 +81,26 @@ class Index:
         part = np.bincount(self.owner[place], np.repeat(own, n) * self.weight[place], self.blocks * self.width)
         part = part.reshape(self.blocks, self.width)
         bound = part.max(axis=1) + self.most @ full
-        best: list[tuple[float, int]] = []
-        for block in np.argsort(-bound, kind="stable"):
-            least = best[-1][0] - 1e-12 if len(best) == k else 0
-            if bound[block] <= 0 or bound[block] < least:
+        order = np.argsort(-bound, kind="stable")
+        order = order[: np.count_nonzero(bound > 0)]
+        best, values = np.empty(0, np.int64), np.empty(0)
+        at, step = 0, 4  # the first blocks give the bound for all others
+        while at < len(order):
+            least = values[-1] - 1e-12 if len(best) == k else 0.0
+            some = order[at : at + step]
+            some = some[: np.count_nonzero(bound[some] >= least)]
+            if not len(some):
                 break
-            scores = part[block] + full @ self.dense[block]
-            if 0 <= skip - block * self.width < self.width:
-                scores[skip - block * self.width] = 0
-            rows = np.flatnonzero((scores > 0) & (scores >= least))
-            if len(rows):
-                best += [(round(float(scores[r]), 12), int(block * self.width + r)) for r in rows]
-                best = sorted(best, key=lambda x: (-x[0], x[1]))[:k]
-        return best
+            scores = part[some] + full @ self.dense[some]
+            if skip >= 0:
+                scores[some == skip // self.width, skip % self.width] = 0
+            block, column = np.nonzero((scores > 0) & (scores >= least))
+            rows = np.concatenate((best, some[block] * self.width + column))
+            found = np.concatenate((values, np.round(scores[block, column], 12)))
+            first = np.lexsort((rows, -found))[:k]
+            best, values = rows[first], found[first]
+            at, step = at + step, 32
+        return list(zip(values.tolist(), best.tolist()))
 
 
 class Model:
