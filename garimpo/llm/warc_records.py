@@ -7,6 +7,7 @@ import hashlib
 import html
 import re
 import uuid
+import zlib
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,8 +23,11 @@ SPACE = uuid.NAMESPACE_URL
 #: and holds nothing else.
 DROP = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|title|noscript|template|iframe)\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>", re.S | re.I)
 TITLE = re.compile(r"<title[^>]*>(.*?)(?:</title\s*>|\Z)", re.S | re.I)
-WITHIN = re.compile(rf"</?(?:{'|'.join(sorted(INLINE - {'br', 'img'}))})(?:\s[^>]*)?>", re.I)
-TAG = re.compile(r"</?[a-zA-Z][^>]*>")
+REST = r"[^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*>"  # of a tag; a quoted > does not end it
+WITHIN = re.compile(rf"</?(?:{'|'.join(sorted(INLINE - {'br', 'img'}))})(?:\s{REST}|>)", re.I)
+TAG = re.compile(rf"</?[a-zA-Z]{REST}|</?[a-zA-Z][^>]*>")
+META = re.compile(rb"<meta[^>]*?charset\s*=\s*[\"']?\s*([a-zA-Z0-9_.:-]+)", re.I)
+CHARSET = re.compile(r"charset\s*=\s*[\"']?([a-zA-Z0-9_.:-]+)", re.I)
 
 
 def plain(source: str) -> tuple[str, str]:
@@ -52,8 +56,55 @@ def parse(data: bytes) -> tuple[dict[str, str], bytes]:
         name, colon, value = line.partition(":")
         if colon:
             fields[name.strip().lower()] = value.strip()
-    size = int(fields.get("content-length", len(rest)))
-    return fields, rest[:size]
+    size = fields.get("content-length", "")
+    if not (size.isascii() and size.isdigit()):  # unknown: all but the two line ends that close a record
+        return fields, rest.removesuffix(b"\r\n\r\n")
+    return fields, rest[: int(size)]
+
+
+def _unchunked(body: bytes) -> bytes | None:
+    """A chunked body's payload, None if it is malformed."""
+    parts, at = [], 0
+    while True:
+        end = body.find(b"\r\n", at)
+        digits = body[at:end].partition(b";")[0].strip() if end >= 0 else b""
+        if not re.fullmatch(rb"[0-9a-fA-F]{1,15}", digits):
+            return None
+        size = int(digits, 16)
+        if size == 0:
+            return b"".join(parts)
+        if end + 2 + size > len(body):
+            return None
+        parts.append(body[end + 2 : end + 2 + size])
+        at = end + 4 + size
+
+
+def decoded(lines: list[str], body: bytes) -> tuple[bytes, str, list[str]]:
+    """Payload without transfer coding, its text, and what could not be decoded (taken as it is then)."""
+    headers = {n.strip().lower(): v.strip() for n, _, v in (line.partition(":") for line in lines)}
+    problems = []
+    if "chunked" in headers.get("transfer-encoding", "").lower():
+        whole = _unchunked(body)
+        body, problems = (body, ["transfer-encoding"]) if whole is None else (whole, [])
+    payload, coding = body, headers.get("content-encoding", "").lower()
+    if coding in ("gzip", "x-gzip", "deflate"):
+        for bits in (47, -15):  # with gzip's or zlib's head, or bare
+            try:
+                body = zlib.decompress(body, bits)
+                break
+            except zlib.error:
+                continue
+        else:
+            problems.append("content-encoding")
+    elif coding not in ("", "identity"):
+        problems.append("content-encoding")
+    found = CHARSET.search(headers.get("content-type", ""))
+    meta = META.search(body[:2048])
+    charset = found[1] if found else meta[1].decode() if meta else "utf-8"
+    try:
+        return payload, body.decode(charset, errors="replace"), problems
+    except (LookupError, ValueError):
+        return payload, body.decode(errors="replace"), [*problems, "charset"]
 
 
 def _id(*parts: str) -> str:
@@ -68,7 +119,7 @@ def _line(url: str | None) -> str:
 def responses(pages: DataFrame, date: str = "1970-01-01T00:00:00Z") -> DataFrame:
     """page_id and record: a response record per page, its id made from page_id, url and body.
 
-    Null html is an empty body, a null url an empty target.  Equal rows have equal ids.
+    Null html is an empty body, a null url an empty target.  Equal rows are one record and have one id.
     """
 
     def build(batches):
@@ -99,7 +150,8 @@ def derive(records: DataFrame) -> DataFrame:
     payload_digest (the response's, preserved), block_digest, n_bytes (of the block),
     record (the bytes).  Both records name the response in WARC-Refers-To, its target and
     date, and each other in WARC-Concurrent-To; the metadata lists the response's HTTP status,
-    headers and digests, and whether its payload digest holds.  Rows whose record is null, or that are no
+    headers and digests, whether its payload digest holds, and what could not be decoded: a length that is no
+    number (the record's rest is taken), a chunked or compressed body, an unknown charset.  Rows whose record is null, or that are no
     responses, give no record.  The plain text is every visible block, furniture included.
     """
 
@@ -115,12 +167,16 @@ def derive(records: DataFrame) -> DataFrame:
                 origin = fields.get("warc-record-id", "")
                 target, date = fields.get("warc-target-uri", ""), fields.get("warc-date", "")
                 payload = fields.get("warc-payload-digest")
-                title, text = plain(body.decode(errors="replace"))
-                text = text.encode()
+                payload_bytes, source_text, problems = decoded(lines, body)
+                length = fields.get("content-length", "")
+                if not (length.isascii() and length.isdigit()):
+                    problems.append("content-length")
+                title, text = plain(source_text)
+                text = text.encode(errors="replace")
                 notes = [
                     ("http-status", status), *(("http-header", line) for line in lines), ("payload-digest", payload or ""),
-                    ("payload-digest-holds", str(payload == sha1(body)).lower()), ("source-block-digest", fields.get("warc-block-digest", "")),
-                    ("source-content-type", fields.get("content-type", "")), ("title", title), ("text-bytes", str(len(text))),
+                    ("payload-digest-holds", str(payload in (sha1(body), sha1(payload_bytes))).lower()), ("source-block-digest", fields.get("warc-block-digest", "")),
+                    ("source-content-type", fields.get("content-type", "")), ("title", title), ("text-bytes", str(len(text))), *(("not-decoded", x) for x in problems),
                 ]
                 blocks = {
                     "metadata": ("application/warc-fields", "".join(f"{a}: {b}\r\n" for a, b in notes).encode()),
