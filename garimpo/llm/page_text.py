@@ -20,9 +20,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import written
+
 #: Tags, roles and name words of HTML with a fixed meaning.
 FURNITURE = set(
-    "head nav footer aside form button select option textarea input label script style noscript template iframe "
+    "head title nav footer aside form button select option textarea input label script style noscript template iframe "
     "object embed svg canvas dialog menu audio video map frameset".split()
 )
 ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
@@ -38,6 +40,15 @@ FORMS = re.compile(
     r"(?:nav|navbar|navigation|menu|header|masthead|footer|sidebar|banner|breadcrumbs?)"
     r"|(?:cookie|cookies)[-_]+(?:banner|notice|consent|popup)"
 )
+#: Compounds for reader comments and adverts, which are furniture within an article, too.
+ASIDES = re.compile(
+    r"(?:post|article|page|reader|readers|user|blog|entry|facebook)[-_]+(?:comments?|replies)"
+    r"|(?:comments?|replies)[-_]+(?:section|area|list|block|wrapper|container|thread|box|form|wrap)"
+    r"|(?:ads?|adverts?|advertisement|sponsor|sponsored|promo)[-_]+(?:block|slot|unit|box|banner|container|wrapper|area|wrap|label|links?)"
+    r"|(?:google|top|bottom|side|inline|article|page|banner)[-_]+(?:ads?|adverts?|promo)"
+)
+#: What may stand in a head; any other element ends it, as its end tag is optional.
+IN_HEAD = set("title meta link base basefont bgsound style script noscript noframes template".split())
 #: Elements of running text, and the names that are no furniture within an article.
 PROSE = set("p h1 h2 h3 h4 h5 h6 blockquote pre li dt dd td th figure figcaption caption".split())
 OWN = {"header"}
@@ -49,7 +60,7 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 RAW = "script|style|textarea|title|noscript|iframe|xmp|noembed|noframes"
 #: A start tag of the key closes an open element of the value.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
-          "th": {"td", "th"}, "option": {"option"}, "body": {"head"}}
+          "th": {"td", "th"}, "option": {"option"}}
 PIECE = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<raw>" + RAW + r")\b(?P<rawattrs>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>(?P<body>.*?)(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<[!?/][^>]*>|(?P<text>[^<]+|<)",
@@ -82,6 +93,8 @@ class Page:
         self.owner = 0
         for m in PIECE.finditer(source):
             if m["text"]:
+                if self.names[-1] == "head" and not m["text"].isspace():
+                    self.shut(len(self.names) - 1)
                 self.held.append(m["text"])
             elif m["raw"]:
                 if m["raw"].lower() == "textarea" or m["raw"].lower() == "title":
@@ -117,6 +130,8 @@ class Page:
         self.owner = self.open[k]
 
     def enter(self, tag: str, attributes: str) -> None:
+        if "head" in self.names and tag not in IN_HEAD:
+            self.shut(self.names.index("head"))
         if tag in ("br", "wbr", "hr", "img"):
             self.held.append(" " if tag != "wbr" else "")
             if tag == "hr":
@@ -145,7 +160,9 @@ class Page:
             or found.get("role", "").lower() in ROLES or "hidden" in found or found.get("aria-hidden") == "true"
         )
         called = tag not in ("html", "body", "main", "article") and (
-            tag not in PROSE and bool(words & (NAMES - OWN)) if article else any(w in NAMES or FORMS.fullmatch(w) for w in words)
+            tag not in PROSE and (bool(words & (NAMES - OWN)) or any(map(ASIDES.fullmatch, words)))
+            if article
+            else any(w in NAMES or FORMS.fullmatch(w) or ASIDES.fullmatch(w) for w in words)
         )
         furniture = inherited or fixed or called
         # Below a name, an element that is furniture by itself hides its articles too.
@@ -180,7 +197,10 @@ class Page:
         """Blocks outside furniture and outside the host's dull paths."""
         gone: list[bool] = []
         for e in self.elements:
-            gone.append(e.furniture or (not e.article and ((e.parent >= 0 and gone[e.parent]) or e.path in dull)))
+            above = e.parent >= 0 and gone[e.parent]
+            # A dull node hides no article below it, but within one dull nodes go as well.
+            starts = e.article and not self.elements[e.parent].article
+            gone.append(e.furniture or (not starts and (above or e.path in dull)))
         return "\n\n".join(text for owner, text in self.blocks if not gone[owner])
 
 
@@ -219,7 +239,7 @@ def dull_paths(pages: DataFrame, least: float = 0.2, pages_needed: int = 8) -> D
                 nodes = [
                     (e.path, zlib.crc32(" ".join(e.style).encode()), zlib.crc32("\n".join(texts).encode()))
                     for e, texts in zip(page.elements, content)
-                    if not e.furniture and not e.article
+                    if not e.furniture
                 ]
                 for column, x in zip(rows, (host, digest, np.array(nodes, dtype="<u4").tobytes())):
                     column.append(x)
@@ -267,7 +287,10 @@ def main_text(pages: DataFrame, **options) -> DataFrame:
             out = batch.select(["page_id", "url"]).append_column("text", pa.array(texts, pa.string()))
             yield out.append_column("n_chars", pa.array([len(t) for t in texts], pa.int64()))
 
-    rows = pages.select("page_id", "url", "html", _host().alias("host")).join(dull_paths(pages, **options), "host", "left")
+    dull = written(dull_paths(pages, **options), "dull")
+    # Few paths go to the pages; more of them than that are joined, where a host of many pages is split.
+    few = dull.agg(F.coalesce(F.sum(F.size("paths") + 8), F.lit(0))).first()[0] <= 1_000_000
+    rows = pages.select("page_id", "url", "html", _host().alias("host")).join(F.broadcast(dull) if few else dull, "host", "left")
     return rows.select("page_id", "url", "html", "paths").mapInArrow(
         extract, f"page_id {pages.schema['page_id'].dataType.simpleString()}, url string, text string, n_chars long"
     )
