@@ -36,7 +36,6 @@ from ..operators.lookups import (
 )
 from ..operators.merge import (
     append_to_array,
-    count_by,
     insert_if_absent,
     new_rows,
     set_by_ids,
@@ -52,7 +51,7 @@ from ..operators.resolve import (
     nodes,
     raw_order,
 )
-from ..session import checkpoint, stored
+from ..session import checkpoint, counted, stored
 from ..sources.mapping import map_all, with_own_ids
 
 
@@ -81,7 +80,9 @@ def load(
     if run is not None:
         own = raw.filter(F.col("source_id").isNull()).select("id")
         fresh = fresh.join(own, "id", "left_anti").select(*fresh.columns)
-    per_source = fresh.groupBy("source").agg(F.count(F.lit(1)).alias("inserted"))
+    fresh, counts = counted(fresh, "fresh", {s: F.count_if(F.col("source") == s) for s in field_maps})
+    pairs = F.array(*[F.struct(F.lit(s).alias("source"), F.col(f"`{s}`").alias("inserted")) for s in field_maps])
+    per_source = counts.select(F.inline(pairs)).filter("inserted > 0")
     return Loaded(raw.unionByName(fresh, allowMissingColumns=True), per_source)
 
 
@@ -119,7 +120,7 @@ def resolve(
     """
     # Long texts stay behind until a posting founds a job.
     thin = ["id", "source_id", "title", "company", "location", "posted_at", "ingested_at"]
-    todo = checkpoint(unprocessed(raw.select(*thin), jobs, limit))
+    todo, taken = counted(unprocessed(raw.select(*thin), jobs, limit), "todo", {"taken": F.count(F.lit(1))})
     postings = keyed_postings(
         todo, "title", "company", "posted_at",
         raw_order(F.col("ingested_at"), F.col("id")), ["id", "source_id", "location"],
@@ -158,7 +159,8 @@ def resolve(
             F.when(F.col("_founder"), "new").otherwise("duplicate").alias("outcome"),
         )
     )
-    outcome = checkpoint(outcome)
+    named = {o: F.count_if(F.col("outcome") == o) for o in ("new", "duplicate")}
+    outcome, counts = counted(outcome, "outcome", named)
 
     # New jobs, with the dimension rows they need.
     made = raw.join(founders.select("id", "job_id", "dedup_hash"), "id").select(
@@ -198,7 +200,10 @@ def resolve(
     mapping = todo.select("id").join(outcome.select("id", "outcome", "job_id"), "id", "left").select(
         "id", F.coalesce("outcome", F.lit("skipped")).alias("outcome"), "job_id"
     )
-    stats = count_by(mapping, "outcome", ["new", "duplicate", "skipped"])
+    # Both are one row of counters taken while the rows were written.
+    stats = counts.join(F.broadcast(taken), F.lit(True)).select(
+        "new", "duplicate", (F.col("taken") - F.col("new") - F.col("duplicate")).alias("skipped")
+    )
     return Resolved(merged, all_companies, all_locations, mapping, stats)
 
 
@@ -243,7 +248,12 @@ def classified_rows(
 def classify(jobs: DataFrame, raw: DataFrame, run_at: str, limit: int | None = None, **rules) -> Classified:
     """Classify the jobs without area; log capitalised terms that no dictionary knows."""
     rows = with_description(unclassified(jobs, limit), raw).select("job_id", "title", "description")
-    ruled = checkpoint(classified_rows(rows, **rules))
+    counters = {
+        "classified": F.count(F.lit(1)),
+        "area_unknown": F.count_if(F.col("area").isNull()),
+        "seniority_unknown": F.count_if(F.col("seniority").isNull()),
+    }
+    ruled, stats = counted(classified_rows(rows, **rules), "ruled", counters)
     changes = ruled.select(
         "job_id",
         F.coalesce("area", F.lit(V.UNKNOWN)).alias("area"),
@@ -256,15 +266,7 @@ def classify(jobs: DataFrame, raw: DataFrame, run_at: str, limit: int | None = N
     return Classified(
         update_by_key(jobs, changes, "job_id", ["area", "seniority", "skills", "classification_source"]),
         unmapped,
-        classify_stats(ruled),
-    )
-
-
-def classify_stats(ruled: DataFrame) -> DataFrame:
-    return ruled.agg(
-        F.count(F.lit(1)).alias("classified"),
-        F.count_if(F.col("area").isNull()).alias("area_unknown"),
-        F.count_if(F.col("seniority").isNull()).alias("seniority_unknown"),
+        stats,
     )
 
 
@@ -296,13 +298,11 @@ def label_outcomes(jobs: DataFrame, responses: DataFrame, as_of: str) -> DataFra
 
 def apply_labels(jobs: DataFrame, responses: DataFrame, as_of: str) -> Labelled:
     """Take over usable label responses; skills stay, the source becomes ``ia``."""
-    outcomes = label_outcomes(jobs, responses, as_of)
+    counters = {
+        "processed": F.count(F.lit(1)), "success": F.count_if("success"), "failed": F.count_if(~F.col("success")),
+    }
+    outcomes, stats = counted(label_outcomes(jobs, responses, as_of), "labels", counters)
     changes = outcomes.filter("success").withColumn("classification_source", F.lit("ia"))
-    stats = outcomes.agg(
-        F.count(F.lit(1)).alias("processed"),
-        F.count_if("success").alias("success"),
-        F.count_if(~F.col("success")).alias("failed"),
-    )
     columns = ["area", "seniority", "classification_source"]
     return Labelled(update_by_key(jobs, changes, "job_id", columns), stats)
 
@@ -335,12 +335,11 @@ def expire(jobs: DataFrame, pages: DataFrame, as_of: str) -> Expired:
     too_old = F.col("is_active") & older_than(F.col("posted_at"), V.EXPIRY_DAYS, as_of)
     aged = set_where(jobs, too_old, {"is_active": F.lit(False)})
     recent = active_recent(jobs, as_of)
-    ids = closed_ids(recent, pages)
+    ids, by_link = counted(closed_ids(recent, pages), "closed", {"expired_by_link": F.count(F.lit(1))})
     counts = jobs.agg(
         F.count_if(too_old).alias("expired_by_age"),
         F.count_if(F.col("is_active") & since(F.col("posted_at"), V.EXPIRY_DAYS, as_of)).alias("tested"),
     )
-    by_link = ids.agg(F.count(F.lit(1)).alias("expired_by_link"))
-    # Both sides are one-row aggregates.
+    # Both sides are one row.
     stats = counts.join(F.broadcast(by_link), F.lit(True))
     return Expired(set_by_ids(aged, ids, "job_id", {"is_active": F.lit(False)}), stats)

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Mapping
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -68,6 +69,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def counted(df: DataFrame, name: str, counters: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
+    """``stored`` rows and one row of counters, observed in the pass that writes them.
+
+    Counters are aggregates over the rows; nothing is scanned again for them.
+    """
+    seen = Observation()
+    held = stored(df.observe(seen, *[c.alias(n) for n, c in counters.items()]), name)
+    values = seen.get
+    row = df.sparkSession.range(1).select(*[F.lit(values[n] or 0).cast("long").alias(n) for n in counters])
+    return held, row
+
+
 def spread(scan: DataFrame) -> DataFrame:
     """Give every core work when a scan has fewer splits than the cluster has cores.
 
