@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -199,30 +200,47 @@ def top_skills_per_area(skills: DataFrame, fact: DataFrame, as_of: str, k: int =
 
 
 # --- the whole layer ----------------------------------------------------------
-def build_gold(spark: SparkSession, silver: Mapping[str, DataFrame], as_of: str) -> dict[str, DataFrame]:
-    """All models from the silver tables ``jobs``, ``companies`` and ``locations``."""
-    staged = stg_jobs(silver["jobs"])
-    companies, locations = stg_companies(silver["companies"]), stg_locations(silver["locations"])
-    classified, with_skills = int_jobs_classified(staged), int_jobs_with_skills(staged)
-    sizes = int_company_size(staged, as_of)
-    areas, seniorities = dim_area(spark), dim_seniority(spark)
-    fact = fact_job_posting(classified, areas, seniorities)
+class Model(NamedTuple):
+    """A model: what it reads (silver tables or models before it) and how it is made of that."""
+
+    reads: tuple[str, ...]
+    build: Callable[..., DataFrame]
+
+
+def models(spark: SparkSession, as_of: str) -> dict[str, Model]:
+    """All models, each after those it reads."""
     return {
-        "stg_jobs": staged,
-        "stg_companies": companies,
-        "stg_locations": locations,
-        "int_jobs_classified": classified,
-        "int_jobs_with_skills": with_skills,
-        "int_company_size": sizes,
-        "dim_area": areas,
-        "dim_seniority": seniorities,
-        "dim_company": dim_company(companies, sizes),
-        "dim_location": dim_location(locations),
-        "dim_skill": dim_skill(with_skills),
-        "fact_job_posting": fact,
-        "agg_skills_frequency": agg_skills_frequency(job_skills(staged), as_of),
-        "agg_market_overview": agg_market_overview(fact, as_of),
+        "stg_jobs": Model(("jobs",), stg_jobs),
+        "stg_companies": Model(("companies",), stg_companies),
+        "stg_locations": Model(("locations",), stg_locations),
+        "int_jobs_classified": Model(("stg_jobs",), int_jobs_classified),
+        "int_jobs_with_skills": Model(("stg_jobs",), int_jobs_with_skills),
+        "int_company_size": Model(("stg_jobs",), lambda staged: int_company_size(staged, as_of)),
+        "dim_area": Model((), lambda: dim_area(spark)),
+        "dim_seniority": Model((), lambda: dim_seniority(spark)),
+        "dim_company": Model(("stg_companies", "int_company_size"), dim_company),
+        "dim_location": Model(("stg_locations",), dim_location),
+        "dim_skill": Model(("int_jobs_with_skills",), dim_skill),
+        "fact_job_posting": Model(("int_jobs_classified", "dim_area", "dim_seniority"), fact_job_posting),
+        "agg_skills_frequency": Model(("stg_jobs",), lambda staged: agg_skills_frequency(job_skills(staged), as_of)),
+        "agg_market_overview": Model(("fact_job_posting",), lambda fact: agg_market_overview(fact, as_of)),
     }
 
 
+def build_gold(
+    spark: SparkSession, silver: Mapping[str, DataFrame], as_of: str, keep: Callable[[DataFrame, str], DataFrame] | None = None
+) -> dict[str, DataFrame]:
+    """All models from the silver tables ``jobs``, ``companies`` and ``locations``.
+
+    Plans only, unless ``keep`` is given (a model and its name to what later ones read): with
+    ``sources.tables.stored_in`` every model is written and built from the written ones before it, so
+    each is planned and computed once, and the silver tables are read by the staging models alone.
+    """
+    made = dict(silver)
+    for name, model in models(spark, as_of).items():
+        built = model.build(*[made[r] for r in model.reads])
+        made[name] = built if keep is None else keep(built, name)
+    return {name: made[name] for name in models(spark, as_of)}
+
+
 STAGING = ("stg_jobs", "stg_companies", "stg_locations")

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import fixed_values as V
 from ..operators import quality as Q
 from ..plans import checks
+from ..plans import gold as G
+from ..session import shared_folder
+from ..sources.tables import stored_in
 from . import stand_ins as S
 from .registry import query, table
 
@@ -50,12 +54,34 @@ def quality_report(spark, folder):
     return checks.report(S.gold(spark, folder), REPORTED)
 
 
-@query("quality_dim_skill", S.on_gold("""
-  , names AS (SELECT DISTINCT skill FROM int_jobs_with_skills)
-  SELECT 'dim_skill' AS table_name, v.check_name, v.column_name, CAST(0 AS BIGINT) AS violations
-  FROM (VALUES ('not_null', 'skill_id'), ('not_null', 'skill_name'), ('not_null', 'primary_category'),
-    ('accepted_values', 'primary_category'), ('unique', 'skill_id'), ('unique', 'skill_name'))
-    AS v(check_name, column_name) WHERE (SELECT count(*) FROM names) > 0"""))
+@query("quality_report_stored", S.on_gold(report_sql()))
+def quality_report_stored(spark, folder):
+    """The same over written models, each built once from those before it."""
+    keep = stored_in(shared_folder(spark, "gold"))
+    return checks.report(G.build_gold(spark, S.silver(spark, folder), S.JOBS_AS_OF, keep), REPORTED)
+
+
+DIM_SKILL_SQL = """
+  , named AS (SELECT DISTINCT skill AS skill_name FROM int_jobs_with_skills WHERE skill <> ''),
+  dim AS (
+    SELECT md5(skill_name) AS skill_id, skill_name, CASE
+      {branches}
+      ELSE 'cross_area' END AS primary_category FROM named)
+  SELECT 'dim_skill' AS table_name, check_name, column_name, violations FROM (
+    SELECT 'not_null' AS check_name, 'skill_id' AS column_name, count(*) FILTER (skill_id IS NULL) AS violations FROM dim
+    UNION ALL SELECT 'not_null', 'skill_name', count(*) FILTER (skill_name IS NULL) FROM dim
+    UNION ALL SELECT 'not_null', 'primary_category', count(*) FILTER (primary_category IS NULL) FROM dim
+    UNION ALL SELECT 'accepted_values', 'primary_category', count(*) FILTER (primary_category NOT IN
+      ('data_engineering', 'data_science', 'analytics_bi', 'ml_mlops', 'cross_area')) FROM dim
+    UNION ALL SELECT 'unique', 'skill_id', count(*) FROM (SELECT skill_id FROM dim GROUP BY 1 HAVING count(*) > 1)
+    UNION ALL SELECT 'unique', 'skill_name', count(*) FROM (SELECT skill_name FROM dim GROUP BY 1 HAVING count(*) > 1))"""
+DIM_SKILL_SQL = DIM_SKILL_SQL.replace("{branches}", "\n      ".join(
+    f"WHEN lower(skill_name) IN ({', '.join(S.sql_text(t.lower()) for t in terms)}) THEN '{category}'"
+    for category, terms in V.SKILL_CATEGORIES.items()
+))
+
+
+@query("quality_dim_skill", S.on_gold(DIM_SKILL_SQL))
 def quality_dim_skill(spark, folder):
     return checks.report(S.gold(spark, folder), ["dim_skill"])
 

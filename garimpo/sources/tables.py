@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -74,3 +74,15 @@ def materialise(models: Mapping[str, DataFrame], root: str, views: Iterable[str]
             stored[name] = df.sparkSession.read.schema(df.schema).parquet(path)
     publish(stored)
     return stored
+
+
+def stored_in(root: str, views: Iterable[str] = ()) -> Callable[[DataFrame, str], DataFrame]:
+    """How models are kept: written under ``root`` and read back, those named in ``views`` as they are."""
+    stay = set(views)
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        if name in stay:
+            return df
+        return df.sparkSession.read.schema(df.schema).parquet(write_table(df, root, name))
+
+    return keep
