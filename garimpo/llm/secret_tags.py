@@ -295,6 +295,31 @@ def learn(documents: DataFrame, sample: int = 4000, context: int = 300, copies:
     return Field().train(chains)
 
 
+def _spans(texts: list[str], field: Field):
+    """Sorted (start, kind, end, start of the value) of each text: the patterns' and, outside of them, the field's."""
+    bodies = [t.encode() for t in texts]
+    for low, high in slices(bodies):
+        tokens = Tokens(bodies[low:high])
+        tags = field.tags(tokens)
+        hits: dict[int, list[list[int]]] = {}
+        for t in np.flatnonzero(tags):
+            own = hits.setdefault(int(tokens.text[t]), [])
+            at = tokens.first[tokens.text[t]]
+            if tags[t] == INSIDE and own and t == own[-1][2] + 1:
+                own[-1][1:] = [int(tokens.end[t] - at), int(t)]
+            else:
+                own.append([int(tokens.start[t] - at), int(tokens.end[t] - at), int(t)])
+        for i in range(low, high):
+            spans = base_spans(texts[i])
+            base = list(spans)
+            for a, b, _ in hits.get(i - low, ()):
+                start = len(bodies[i][:a].decode(errors="ignore"))
+                end = start + len(bodies[i][a:b].decode(errors="ignore"))
+                if all(end <= s or e <= start for s, _, e, _ in base):
+                    spans.append((start, 3, end, start))
+            yield sorted(spans)
+
+
 def find_secrets(documents: DataFrame, field: Field) -> DataFrame:
     """All rows with secrets: an array of (kind, start, end, value_start) in code points, sorted.
 
@@ -307,29 +332,10 @@ def find_secrets(documents: DataFrame, field: Field) -> DataFrame:
     def run(batches):
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            bodies, out = [t.encode() for t in texts], []
-            for low, high in slices(bodies):
-                tokens = Tokens(bodies[low:high])
-                tags = field.tags(tokens)
-                hits: dict[int, list[list[int]]] = {}
-                for t in np.flatnonzero(tags):
-                    own = hits.setdefault(int(tokens.text[t]), [])
-                    at = tokens.first[tokens.text[t]]
-                    if tags[t] == INSIDE and own and t == own[-1][2] + 1:
-                        own[-1][1:] = [int(tokens.end[t] - at), int(t)]
-                    else:
-                        own.append([int(tokens.start[t] - at), int(tokens.end[t] - at), int(t)])
-                for i in range(low, high):
-                    spans = base_spans(texts[i])
-                    base = list(spans)
-                    for a, b, _ in hits.get(i - low, ()):
-                        start = len(bodies[i][:a].decode(errors="ignore"))
-                        end = start + len(bodies[i][a:b].decode(errors="ignore"))
-                        if all(end <= s or e <= start for s, _, e, _ in base):
-                            spans.append((start, 3, end, start))
-                    out.append([
-                        {"kind": KINDS[k], "start": s, "end": e, "value_start": v} for s, k, e, v in sorted(spans)
-                    ])
+            out = [
+                [{"kind": KINDS[k], "start": s, "end": e, "value_start": v} for s, k, e, v in spans]
+                for spans in _spans(texts, field)
+            ]
             yield batch.append_column("secrets", pa.array(out, kind))
 
     shape = ", ".join(f"`{c}` {documents.schema[c].dataType.simpleString()}" for c in rest)
@@ -350,20 +356,23 @@ def report(found: DataFrame) -> DataFrame:
 
 
 def redact(documents: DataFrame, field: Field) -> DataFrame:
-    """The documents with every secret value written as <secret>."""
+    """The documents with every secret value written as <secret>; null texts stay null.
+
+    Values are found and written over in one pass.
+    """
 
     def run(batches):
         for batch in batches:
+            held = batch.column("text").to_pylist()
             texts = []
-            for text, spans in zip(batch.column("text").to_pylist(), batch.column("secrets").to_pylist()):
+            for text, spans in zip(held, _spans([t or "" for t in held], field)):
                 made, at = [], 0
-                for s in sorted(spans or (), key=lambda x: x["value_start"]):
-                    if s["value_start"] >= at:
-                        made += [text[at : s["value_start"]], "<secret>"]
-                    at = max(at, s["end"])
+                for _, _, end, value in sorted(spans, key=lambda x: x[3]):
+                    if value >= at:
+                        made += [text[at:value], "<secret>"]
+                    at = max(at, end)
                 texts.append(text if not made else "".join(made) + text[at:])
-            place = batch.schema.get_field_index("text")
-            yield batch.set_column(place, "text", pa.array(texts, pa.string())).drop_columns(["secrets"])
+            yield batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(texts, pa.string()))
 
     shape = ", ".join(f"`{c}` {documents.schema[c].dataType.simpleString()}" for c in documents.columns)
-    return find_secrets(documents, field).mapInArrow(run, shape)
+    return documents.mapInArrow(run, shape)

@@ -68,6 +68,7 @@ def kept(name: str) -> dict:
     held = sys.__dict__.setdefault("_kept_words", {})
     if name not in held:
         held.clear()
+        pa.default_memory_pool().release_unused()
     return held.setdefault(name, {})
 
 
@@ -79,7 +80,7 @@ class Recent:
     is kept takes twice ``limit`` bytes at most, but for the words of one text.
     """
 
-    def __init__(self, limit: int = 2**26, each: int = 200):
+    def __init__(self, limit: int = 2**25, each: int = 200):
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.limit, self.each, self.size = limit, each, 0
