@@ -222,7 +222,11 @@ named AS (
   JOIN greedy g ON g.bucket = own.bucket AND g.n = own.n JOIN named lead ON lead.bucket = own.bucket AND lead.n = g.chosen""")
 def fuzzy_dedup(spark, folder):
     """All order lines as postings: part as title, supplier as company, ship date."""
-    rows = (
+    return _deduped(line_postings(spark, folder))
+
+
+def line_postings(spark, folder):
+    return (
         texts(spark, folder, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate")
         .join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(table(spark, folder, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
@@ -236,6 +240,9 @@ def fuzzy_dedup(spark, folder):
             F.col("l_shipdate").cast("timestamp").alias("ingested_at"),
         )
     )
+
+
+def _deduped(rows):
     postings = R.keyed_postings(
         rows, "title", "company", "posted_at", R.raw_order(F.col("ingested_at"), F.col("id")), ["id"]
     )
@@ -243,6 +250,16 @@ def fuzzy_dedup(spark, folder):
     return postings.select("id", "kid").join(assigned, "kid").select("id", "kid", "leader_kid")
 
 
+@query("fuzzy_dedup_undated")
+def fuzzy_dedup_undated(spark, folder):
+    """The same without dates: all lines in one crowded window, decided in rounds.
+
+    No SQL: its loop has tens of thousands of steps over one list.  ``tests/test_resolve.py``
+    compares the rounds with the plain loop.
+    """
+    return _deduped(line_postings(spark, folder).withColumn("posted_at", F.lit(None).cast("date")))
+
+
 @query("resolve_postings", KNOWN_SQL + """
   , led AS (
     SELECT k.id, k.bucket, k.title_norm, k.company_norm, k.location, lead.id AS founder, lead.forced,
