@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from ..functions.rules import country_code, country_name
 from ..operators import merge as M
 from ..plans import gold as G
+from ..plans import rolling as W
 from ..session import shared_folder
 from ..sources import daily as D
 from . import stand_ins as S
-from .registry import query, texts
+from .registry import REGISTRY, query, texts
 
 
 def joined(column: str):
@@ -222,3 +223,30 @@ def fact_rebuild(spark, folder):
     return rebuilt.groupBy("area_code").agg(
         F.count(F.lit(1)).alias("jobs"), F.count("job_url").alias("with_url")
     )
+
+
+# --- rolling windows from daily partials ------------------------------------------
+def partials(spark, folder, name, rows, days):
+    """Partials of the postings before 2001-07-15, then those of the later days; the last ``days`` days of them."""
+    path = shared_folder(spark, f"days-{name}")
+    W.refresh(rows.filter("posted_date < date'2001-07-15'"), name, path, unit="year")
+    W.refresh(rows, name, path, "2001-07-15", unit="year")
+    return W.window(spark, path, days, S.JOBS_AS_OF, unit="year")
+
+
+@query("market_overview_rolling", REGISTRY["market_overview"].sql)
+def market_overview_rolling(spark, folder):
+    """``market_overview`` as a sum of stored days."""
+    days = partials(spark, folder, "overview", S.gold(spark, folder)["fact_job_posting"], 30)
+    return W.market_overview(days, S.JOBS_AS_OF).withColumn("pct_remote", F.col("pct_remote").cast("double"))
+
+
+@query("skills_frequency_rolling", REGISTRY["skills_frequency"].sql)
+def skills_frequency_rolling(spark, folder):
+    rows = G.job_skills(S.gold(spark, folder)["stg_jobs"])
+    return W.skills_frequency(partials(spark, folder, "skills", rows, 90), S.JOBS_AS_OF)
+
+
+@query("company_size_rolling", REGISTRY["company_size"].sql)
+def company_size_rolling(spark, folder):
+    return W.company_sizes(partials(spark, folder, "companies", S.gold(spark, folder)["stg_jobs"], 30))
