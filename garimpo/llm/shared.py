@@ -179,7 +179,7 @@ class Words:
         return (total[self.end] - total[self.start]) * back[self.start] + (self.end - self.start).astype(np.uint64)
 
 
-def slices(texts: list[bytes], limit: int = 2_000_000):
+def slices(texts: list[bytes], limit: int = 500_000):
     """Ranges of texts that hold about ``limit`` bytes together; a longer text is alone."""
     start, held = 0, 0
     for i, t in enumerate(texts):
