@@ -4,7 +4,8 @@ Every 200-byte string names an anchor: the place of the least hash among its
 16-byte grams.  Equal strings name equal anchors at equal offsets, so runs of strings with
 one anchor ("pieces") can only repeat among pieces of the same anchor hash.
 Anchors that occur once, and anchors whose pieces are all equal, are settled by
-counting.  The other pieces are dealt into buckets, and the suffix order of a bucket's
+counting.  A string reaches far to one side of its anchor at least, so a piece whose neighbourhoods
+there no other piece has cannot repeat.  The other pieces are dealt into buckets, and the suffix order of a bucket's
 batches, each some whole anchors, is built column by column: one symbol of every piece a round, inserted into the
 collection's Burrows-Wheeler transform and common-prefix column, both read and written
 in one sequential sweep.  Anchors of very many different pieces are no batch: their strings are
@@ -29,13 +30,17 @@ BASE = 0xC6A4A7935BD1E995
 
 
 def cut(texts: list[bytes], width: int = 200):
-    """Pieces of the texts: (text, start, strings, anchor hash, content hash) arrays."""
+    """Pieces of the texts: (text, start, strings, anchor hash, content hash, left, right) arrays.
+
+    ``left`` and ``right`` are hashes of the anchor's gram with the bytes before and after it,
+    half of what a string has besides the gram; 0 where a piece does not reach that far.
+    """
     data = np.frombuffer(b"".join(texts), dtype=np.uint8)
     sizes = np.array([len(t) for t in texts], dtype=np.int64)
     ends = np.cumsum(sizes)
     n, window = len(data), width - GRAM + 1
     if n < width:
-        return (np.empty(0, np.int64),) * 3 + (np.empty(0, np.uint64),) * 2
+        return (np.empty(0, np.int64),) * 3 + (np.empty(0, np.uint64),) * 4
     total = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(BASE, n), out=total[1:])
     back = powers(pow(BASE, -1, 2**64), n)
@@ -58,7 +63,14 @@ def cut(texts: list[bytes], width: int = 200):
     stop = np.minimum(stop, ends[text[place]] - width + 1)
     content = (total[stop + width - 1] - total[place]) * back[place] + (stop - place).astype(np.uint64)
     starts = ends - sizes
-    return text[place], place - starts[text[place]], stop - place, gram[anchor[place]], mixed(content, 7)
+    half = window // 2  # of two neighbourhoods of this length each string holds one
+    at = anchor[place]
+    sides = []
+    for low, high, seed in ((at - half, at + GRAM, 8), (at, at + GRAM + half, 9)):
+        inside = (low >= place) & (high <= stop + width - 1)
+        low, high = np.where(inside, low, 0), np.where(inside, high, 0)
+        sides.append(np.where(inside, mixed((total[high] - total[low]) * back[low], seed) | np.uint64(1), np.uint64(0)))
+    return text[place], place - starts[text[place]], stop - place, gram[at], mixed(content, 7), *sides
 
 
 def repeated(pieces: list[bytes], width: int = 200) -> list[np.ndarray]:
@@ -182,33 +194,42 @@ def drop_repeats(
         for batch in batches:
             texts = [t.encode() for t in batch.column("text").to_pylist()]
             for low, high in slices(texts):
-                text, start, strings, key, content = cut(texts[low:high], width)
+                text, start, strings, key, content, left, right = cut(texts[low:high], width)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("tid").slice(low, high - low).take(pa.array(text)), pa.array(key.view(np.int64)),
-                     pa.array(start), pa.array(strings.astype(np.int32)), pa.array(content.view(np.int64))],
-                    ["tid", "key", "start", "strings", "content"],
+                     pa.array(start), pa.array(strings.astype(np.int32)), pa.array(content.view(np.int64)),
+                     pa.array(left.view(np.int64)), pa.array(right.view(np.int64))],
+                    ["tid", "key", "start", "strings", "content", "left", "right"],
                 )
 
-    found = ids.mapInArrow(pieces, "tid string, key long, start long, strings int, content long")
-    found = found.withColumn("tid", F.unhex("tid"))
+    found = ids.mapInArrow(
+        pieces, "tid string, key long, start long, strings int, content long, left long, right long"
+    )
+    found = written(found.withColumn("tid", F.unhex("tid")), "found")
     keys = (
         found.groupBy("key")
         .agg(F.count("*").alias("n"), F.min("content").alias("low"), F.max("content").alias("high"))
         .where("n > 1")
         .select("key", (F.col("low") != F.col("high")).alias("mixed"))
     )
+    keys = written(keys, "keys")  # of its own, so that a join by a hot key can be split
     met = written(found.join(keys, "key"), "met")
     kinds = (
         met.where("mixed")
         .groupBy("key", "content", "strings")
-        .agg(F.count("*").alias("n"), F.min(F.struct("tid", "start")).alias("one"))
-    )
+        .agg(F.count("*").alias("n"), F.min(F.struct("tid", "start")).alias("one"),
+             F.first("left").alias("left"), F.first("right").alias("right"))
+    )
     kinds = written(kinds, "kinds")
-    crowds = kinds.groupBy("key").agg((F.count("*") > crowd).alias("crowded"))
-    size = kinds.agg(F.coalesce(F.sum(F.col("strings") + width), F.lit(0))).first()[0]
+    sides = kinds.select("key", "content", F.explode(F.array("left", "right")).alias("side")).where("side <> 0")
+    alike = sides.groupBy("key", "side").agg(F.count("*").alias("n")).where("n > 1").select("key", "side")
+    alike = sides.join(alike, ["key", "side"]).select("key", "content").distinct()
+    open_kinds = written(kinds.join(alike, ["key", "content"]).select("key", "content", "strings", "one"), "open")
+    crowds = open_kinds.groupBy("key").agg((F.count("*") > crowd).alias("crowded"))
+    size = open_kinds.agg(F.coalesce(F.sum(F.col("strings") + width), F.lit(0))).first()[0]
     dense = bool(crowds.agg(F.max("crowded")).first()[0])
     wanted = (
-        kinds.join(crowds, "key")
+        open_kinds.join(crowds, "key")
         .groupBy(F.col("one.tid").alias("tid"))
         .agg(F.collect_list(F.struct("one.start", "strings", "key", "content", "crowded")).alias("pieces"))
     )
@@ -273,6 +294,7 @@ def drop_repeats(
     copied = kinds.select("key", "content", F.col("n").alias("copies"))
     contested = (
         met.where("mixed")
+        .select("tid", "key", "start", "strings", "content")
         .join(copied, ["key", "content"])
         .join(runs, ["key", "content"], "left")
         .where("copies > 1 or runs is not null")
