@@ -1,9 +1,9 @@
 """Near copies of texts: a chosen-path join on word shingles.
 
 Every repetition sends a text down the tree by a few of its shingles, drawn by a
-hash that all texts share: similar texts draw the same ones.  A path held by more
-than ``bucket`` texts is split by another draw, a smaller one is compared by brute
-force on sketches.  Sketch links only say which texts must be compared exactly; each
+hash that all texts share: similar texts draw the same ones.  A path held by
+``bucket`` texts at most is compared by brute force on sketches.  A larger one is settled where
+almost all of its texts are like a few of them, else split by another draw.  Sketch links only say which texts must be compared exactly; each
 resulting cell is compared in full, in tiles of bounded size.
 """
 
@@ -30,6 +30,32 @@ def _alike(left: np.ndarray, right: np.ndarray, threshold: float) -> np.ndarray:
     return same >= (threshold - slack) * filled
 
 
+def _like_heads(group: dict, threshold: float) -> list[int]:
+    """Per row a number whose bit k is set if the row may be near one of the heads named k.
+
+    A row's ``heads`` are (class, size, sketch) of some texts of its path; heads that may be near
+    each other have one name, the first of them.
+    """
+    out, known = [], {}
+    for path, size, sketch, heads in zip(group["path"], group["size"], group["sketch"], group["heads"]):
+        if path not in known:
+            known.clear()  # rows come path by path
+            theirs = np.frombuffer(b"".join(h["sketch"] for h in heads), np.uint8).reshape(-1, BINS)
+            sizes = np.array([h["size"] for h in heads])
+            near = _alike(theirs, theirs, threshold) & _fits(sizes[:, None], sizes, threshold)
+            known[path] = theirs, sizes, united(len(sizes), *np.nonzero(near))
+        theirs, sizes, name = known[path]
+        row = np.frombuffer(sketch, np.uint8)[None, :]
+        near = _alike(row, theirs, threshold)[0] & _fits(np.int64(size), sizes, threshold)
+        out.append(int(np.bitwise_or.reduce(1 << name[near], initial=0)))
+    return out
+
+
+def _fits(left, right, threshold: float):
+    """Sizes of sets that may reach the threshold."""
+    return np.minimum(left, right) >= threshold * np.maximum(left, right) * (1 - 1e-9)
+
+
 def _sketch_links(sketch: np.ndarray, size: np.ndarray, one: np.ndarray, threshold: float) -> np.ndarray:
     """Least index of each row's component; pairs of two rows of which ``one`` marks one or both.
 
@@ -94,7 +120,7 @@ def runs_needed(recall: float, threshold: float, draws: float, deep_draws: float
 def near_documents(
     documents: DataFrame, threshold: float = 0.8, words: int = 5, repetitions: int | None = None, draws: float = 4.0,
     deep_draws: float | None = None, levels: int = 3, bucket: int = 1024, tile: int = 512, sample: int = 48,
-    target_recall: float = 0.9999,
+    target_recall: float = 0.9999, heads: int = 4,
 ) -> DataFrame:
     """Links of Jaccard similarity >= threshold between texts, and their groups.
 
@@ -113,6 +139,11 @@ def near_documents(
     Without ``repetitions`` there are as many as a pair at the threshold needs to be found with
     ``target_recall`` even if all its common paths are crowded on every level.  What is found is
     compared exactly.
+
+    A crowded path is not split but settled if all of its texts but ``bucket`` at most may be near one
+    of a few of them (``heads``): these are tied together, and the others are compared with all texts
+    of the path.  So no pair that meets in a settled path is lost, and a group of copies does not
+    descend.
     """
     deep_draws = draws if deep_draws is None else deep_draws
     if repetitions is None:
@@ -172,16 +203,73 @@ def near_documents(
     paths = written(paths, "paths")
     # Texts of unequal sizes draw alike: a shingle is drawn by both at the rate of the larger one.
     chance = F.lit(deep_draws) / F.least(F.col("size"), F.lit(sample)) * 2**30
-    leaves = None
+    sketches = classes.select("class", "size", "sketch")
+
+    def like_heads(batches):
+        for batch in batches:
+            for at in range(0, len(batch), 4096):
+                rows = batch.slice(at, 4096)
+                bits = _like_heads(rows.select(["path", "size", "sketch", "heads"]).to_pydict(), threshold)
+                yield rows.select(["path", "class", "n"]).append_column("bits", pa.array(bits, pa.int32()))
+
+    def settle(crowded: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Of (path, class, n): ties (a, b), tiles of other texts with all of their path, and rows to split."""
+        drawn = [F.min(F.struct(F.xxhash64("path", "class", F.lit(k)).alias("h"), "class"))["class"] for k in range(heads)]
+        chosen = crowded.groupBy("path").agg(F.array(*drawn).alias("ids"))
+        chosen = written(
+            chosen.select("path", F.explode("ids").alias("class"))
+            .join(sketches, "class")
+            .groupBy("path")
+            .agg(F.sort_array(F.collect_list(F.struct("class", "size", "sketch"))).alias("heads")),
+            "heads",
+        )
+        held = crowded.join(sketches, "class").join(chosen, "path")
+        held = held.select("path", "class", "n", "size", "sketch", "heads")
+        seen = written(held.mapInArrow(like_heads, "path long, class long, n long, bits int"), "seen")
+        named = [F.struct(F.sum(F.bit_get("bits", F.lit(k)).cast("long")).alias("like"), F.lit(k).alias("name"))
+                 for k in range(heads)]
+        best = seen.groupBy("path").agg(F.greatest(*named).alias("best"), F.count("*").alias("all"))
+        best = written(
+            best.join(chosen.select("path", F.transform("heads", lambda h: h["class"]).alias("ids")), "path").select(
+                "path", F.col("best.name").alias("name"), (F.col("all") - F.col("best.like")).alias("others"),
+                F.expr("ids[best.name]").alias("head"),
+            ),
+            "best",
+        )
+        told = seen.join(best, "path").withColumn("like", F.expr("bit_get(bits, name) = 1"))
+        done = F.col("others") <= bucket
+        ties = told.where(done & F.col("like")).select(F.col("class").alias("a"), F.col("head").alias("b"))
+        partly = told.where(done & (F.col("others") > 0)).withColumn("blocks", F.ceil(F.col("n") / bucket).cast("int"))
+        block = F.expr("cast(pmod(xxhash64(class), blocks) as int)").alias("block")
+        own = partly.select("path", "class", block, F.lit(False).alias("other"))
+        sent = partly.where(~F.col("like")).select(
+            "path", "class", F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"), F.lit(True).alias("other")
+        )
+        return ties, own.unionByName(sent), told.where(~done).select("path", "class", "n")
+
+    def other_tile(group: pa.Table) -> pa.Table:
+        sketch = np.frombuffer(b"".join(group["sketch"].to_pylist()), np.uint8).reshape(-1, BINS)
+        other = group["other"].to_numpy()
+        label = _sketch_links(sketch, group["size"].to_numpy(), other, threshold)
+        ids = group["class"].to_numpy()
+        tied = np.flatnonzero(label != np.arange(len(label)))
+        return pa.table({"a": ids[tied], "b": ids[label[tied]]})
+
+    leaves, likely = None, None
     for level in range(levels):
         counts = paths.groupBy("path").agg(F.count("*").alias("n")).where("n > 1")
         sized = paths.join(counts, "path")
-        done = sized if level == levels - 1 else sized.where(F.col("n") <= bucket)
-        done = done.select("path", "class", "n")
+        sized = written(sized.select("path", "class", "n"), "sized")
+        done = sized.where(F.col("n") <= bucket)
+        ties, others, crowded = settle(sized.where(F.col("n") > bucket))
+        others = others.join(sketches, "class").groupBy("path", "block").applyInArrow(other_tile, "a long, b long")
+        ties = ties.unionByName(others)
+        likely = ties if likely is None else likely.unionByName(ties)
         leaves = done if leaves is None else leaves.unionByName(done)
-        if level < levels - 1:
-            crowded = sized.where(F.col("n") > bucket).select("path", "class")
-            crowded = crowded.join(classes.select("class", "size", "deep"), "class")
+        if level == levels - 1:
+            leaves = leaves.unionByName(crowded)
+        else:
+            crowded = crowded.select("path", "class").join(classes.select("class", "size", "deep"), "class")
             drawn = F.filter("deep", lambda m: F.pmod(F.xxhash64("path", m), F.lit(2**30)) < chance)
             children = F.transform(drawn, lambda m: F.xxhash64("path", m, F.lit(level)))
             paths = written(crowded.select("class", F.explode(children).alias("path")), "paths")
@@ -206,8 +294,8 @@ def near_documents(
         return pa.table({"a": ids[tied], "b": ids[label[tied]]})
 
     # Sketches are small: a bucket is one tile, and only what no level has split has several.
-    met = tiles(leaves.join(classes.select("class", "size", "sketch"), "class"), bucket)
-    likely = met.groupBy("path", "i", "j").applyInArrow(sketch_tile, "a long, b long")
+    met = tiles(leaves.join(sketches, "class"), bucket)
+    likely = likely.unionByName(met.groupBy("path", "i", "j").applyInArrow(sketch_tile, "a long, b long"))
     cells = components(likely)
     cells = cells.join(cells.groupBy("component").agg(F.count("*").alias("n")), "component")
     members = written(

@@ -82,6 +82,25 @@ def test_crowded_paths_split(spark):
     assert {r.doc_id: r.n_links for r in found.collect()} == want
 
 
+def test_settled_paths_keep_strangers(spark):
+    """Crowded paths of copies with some texts that are like none of their heads, but like each other."""
+    base, tail = prose(17, 60).split(), prose(18, 26).split()
+    data = []
+    for i in range(90):
+        w = list(base)
+        w[i % 50] = f"w{i}"
+        if i % 15 == 0:  # shares paths with all, near only to its own kind
+            w = [*base[:30], *tail, f"x{i}"]
+        data.append((i, " ".join(w)))
+    sets = [frozenset(tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)) for _, t in data]
+    want = {i: sum(len(a & b) >= 0.8 * len(a | b) for j, b in enumerate(sets) if j != i) for i, a in enumerate(sets)}
+    assert want[0] >= 5
+    frame = spark.createDataFrame(data, "doc_id long, text string")
+    for bucket in (8, 24):  # with 8 the strangers are too many in some paths, which are split
+        found = shingle_join.near_documents(frame, bucket=bucket, tile=16).collect()
+        assert {r.doc_id: r.n_links for r in found} == want
+
+
 def test_drop_repeats(documents, rows):
     bodies = [(t or "").encode() for _, t in rows]
     seen = collections.Counter(b[i : i + 200] for b in bodies for i in range(len(b) - 199))
