@@ -292,12 +292,12 @@ def drop_repeats(
         settled = settled.unionByName(found_)
     runs = settled.groupBy("key", "content").agg(F.collect_set(F.struct("low", "high")).alias("runs"))
     copied = kinds.select("key", "content", F.col("n").alias("copies"))
+    told = copied.join(runs, ["key", "content"], "left").where("copies > 1 or runs is not null")
+    told = written(told, "told")  # as the keys
     contested = (
         met.where("mixed")
         .select("tid", "key", "start", "strings", "content")
-        .join(copied, ["key", "content"])
-        .join(runs, ["key", "content"], "left")
-        .where("copies > 1 or runs is not null")
+        .join(told, ["key", "content"])
         .select("tid", F.explode(F.expr(
             "if(copies > 1, array(named_struct('low', start, 'high', start + strings)), "
             "transform(runs, r -> named_struct('low', start + r.low, 'high', start + r.high)))"
