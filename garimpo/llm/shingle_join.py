@@ -261,11 +261,14 @@ def near_documents(
         sized = paths.join(counts, "path")
         sized = written(sized.select("path", "class", "n"), "sized")
         done = sized.where(F.col("n") <= bucket)
-        ties, others, crowded = settle(sized.where(F.col("n") > bucket))
+        leaves = done if leaves is None else leaves.unionByName(done)
+        crowded = sized.where(F.col("n") > bucket)
+        if not crowded.head(1):
+            break
+        ties, others, crowded = settle(crowded)
         others = others.join(sketches, "class").groupBy("path", "block").applyInArrow(other_tile, "a long, b long")
         ties = ties.unionByName(others)
         likely = ties if likely is None else likely.unionByName(ties)
-        leaves = done if leaves is None else leaves.unionByName(done)
         if level == levels - 1:
             leaves = leaves.unionByName(crowded)
         else:
@@ -295,7 +298,8 @@ def near_documents(
 
     # Sketches are small: a bucket is one tile, and only what no level has split has several.
     met = tiles(leaves.join(sketches, "class"), bucket)
-    likely = likely.unionByName(met.groupBy("path", "i", "j").applyInArrow(sketch_tile, "a long, b long"))
+    compared = met.groupBy("path", "i", "j").applyInArrow(sketch_tile, "a long, b long")
+    likely = compared if likely is None else likely.unionByName(compared)
     cells = components(likely)
     cells = cells.join(cells.groupBy("component").agg(F.count("*").alias("n")), "component")
     members = written(
