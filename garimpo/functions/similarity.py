@@ -186,18 +186,37 @@ class TextSet:
 class Keys:
     """Pairs (title, company) of one task in their order, compared with earlier leaders."""
 
+    SQUARE = 2**13  # titles up to which ``assign`` keeps what it has compared, 64 MB
+
     def __init__(self, titles: list[str], companies: list[str], title_threshold: int, company_threshold: int) -> None:
         self.title, names = pd.factorize(np.array(titles, dtype=object))
         self.company, owners = pd.factorize(np.array(companies, dtype=object))
         self.titles, self.companies = TextSet(list(names)), TextSet(list(owners))
         self.title_threshold, self.company_threshold = title_threshold, company_threshold
+        self._met: np.ndarray | None = None  # which titles reach which, as far as ``_done`` of the columns go
+        self._done = np.zeros(len(names), dtype=bool)
+
+    def _reach(self, mine: np.ndarray, theirs: np.ndarray) -> np.ndarray:
+        """Which of ``mine`` (titles) reach which of ``theirs``; ``assign`` compares no two titles twice."""
+        if self._met is None:
+            return self.titles.grid(mine, theirs, self.title_threshold)
+        new = theirs[~self._done[theirs]]
+        if len(new):
+            self._met[:, new] = self.titles.grid(np.arange(len(self._done)), new, self.title_threshold)
+            self._done[new] = True
+        return self._met[np.ix_(mine, theirs)]
 
     def grid(self, rows: np.ndarray, others: np.ndarray) -> np.ndarray:
         """Which of ``rows`` match which of ``others``: titles first, companies where they reach."""
         mine, at = np.unique(self.title[rows], return_inverse=True)
         theirs, to = np.unique(self.title[others], return_inverse=True)
-        hits = self.titles.grid(mine, theirs, self.title_threshold)[at][:, to]
+        hits = self._reach(mine, theirs)[at][:, to]
         a, b = np.nonzero(hits)
+        own, to_own = np.unique(self.company[rows[a]], return_inverse=True)
+        other, to_other = np.unique(self.company[others[b]], return_inverse=True)
+        if 4 * len(a) > len(own) * len(other):  # most of them meet
+            hits[a, b] = self.companies.grid(own, other, self.company_threshold)[to_own, to_other]
+            return hits
         pairs, which = np.unique(
             self.company[rows[a]].astype(np.int64) * len(self.companies.texts) + self.company[others[b]], return_inverse=True
         )
@@ -211,7 +230,7 @@ class Keys:
         Leaders are met in slices of growing size; what has found its leader meets no more.
         """
         found = np.full(len(rows), -1, dtype=np.int64)
-        left, start, step = np.arange(len(rows)), 0, 64
+        left, start, step = np.argsort(self.title[rows], kind="stable"), 0, 64  # parts of few titles
         while start < len(leaders) and len(left):
             some = leaders[start : start + step]
             for part in np.array_split(left, max(1, len(left) * len(some) // 2**21)):
@@ -230,6 +249,8 @@ class Keys:
         """
         n = len(self.title)
         chosen, leads = np.arange(n), np.zeros(n, dtype=bool)
+        if len(self._done) <= self.SQUARE:
+            self._met = np.zeros((len(self._done),) * 2, dtype=bool)
         leaders = np.empty(0, dtype=np.int64)
         for at in range(0, n, block):
             rows = np.arange(at, min(n, at + block))

@@ -35,7 +35,7 @@ from ..functions import fixed_values as V
 from ..functions.dates import date_window
 from ..functions.similarity import Keys, lengths_allow, token_ratio_reaches
 from ..functions.text import fold_strip, sort_tokens
-from ..session import checkpoint
+from ..session import checkpoint, stored as written
 
 NODE = ["kid", "window", "title_k", "company_k", "forced", "ord"]
 
@@ -43,12 +43,12 @@ NODE = ["kid", "window", "title_k", "company_k", "forced", "ord"]
 class Limits(NamedTuple):
     """Sizes above which a step hands over to the next one."""
 
-    group_nodes: int = 5000  # nodes one task assigns by itself
+    group_nodes: int = 50_000  # nodes one task assigns by itself
     block_companies: int = 200  # names compared pairwise within a signature
     few_companies: int = 200_000  # names up to which two character pairs make a signature, then three
     first_peel: int = 1024  # open nodes of a group that the first round decides; four times as many in each later one
-    most_peel: int = 4096  # and at most so many
-    share_nodes: int = 2048  # nodes of the rest that meet the new leaders in one task
+    most_peel: int = 16_384  # and at most so many
+    share_nodes: int = 16_384  # nodes of the rest that meet the new leaders in one task
 
 
 # --- nodes --------------------------------------------------------------------
@@ -116,7 +116,7 @@ def assign_leaders(
     """(kid, leader_kid) for every node; a leader that matches nothing earlier is its own."""
     if min(title_threshold, company_threshold) <= 80:
         raise ValueError("signatures are lossless for thresholds above 80 only")
-    stored = checkpoint(all_nodes)
+    stored = written(all_nodes, "nodes")
     per_window = stored.groupBy("window").agg(F.count(F.lit(1)).alias("_n"))
     greedy = _greedy(title_threshold, company_threshold)
 
@@ -129,7 +129,7 @@ def assign_leaders(
     busy = sized.filter(F.col("_n") > limits.group_nodes).select(*NODE)
 
     labels = company_components(busy.select("company_k").distinct(), company_threshold, limits)
-    busy = checkpoint(busy.join(labels, "company_k"))
+    busy = written(busy.join(labels, "company_k"), "busy")
     per_group = busy.groupBy("window", "component").agg(F.count(F.lit(1)).alias("_n"))
     grouped = busy.join(per_group, ["window", "component"])
     bounded = grouped.filter(F.col("_n") <= limits.group_nodes)
@@ -245,8 +245,8 @@ def company_components(
 ) -> DataFrame:
     """(company_k, component): names that reach the threshold share a component.
 
-    Names meet in signature blocks.  In a block of bounded size all pairs are
-    verified.  In a larger block every name is tied to the block's first name
+    Names meet in signature blocks.  In a block of bounded size neighbours in order are
+    verified first, then all pairs that those have not tied.  In a larger block every name is tied to the block's first name
     without verification: that only makes components coarser, never wrong, and
     keeps the work linear.
     """
@@ -264,21 +264,31 @@ def company_components(
     ).filter("_n > 1")
     met = blocks.join(sizes, "term")
     small = met.filter(F.col("_n") <= limits.block_companies).select("term", "company_k")
-    pairs = (
-        small.alias("a")
-        .join(small.alias("b"), "term")
-        .filter("a.company_k < b.company_k")
-        .select(F.col("a.company_k").alias("a"), F.col("b.company_k").alias("b"))
-        .filter(lengths_allow(F.char_length("a"), F.char_length("b"), threshold))
-        .distinct()
-        .filter(token_ratio_reaches(F.col("a"), F.col("b"), threshold))
-    )
+
+    def verified(some: DataFrame) -> DataFrame:
+        near = some.filter(lengths_allow(F.char_length("a"), F.char_length("b"), threshold)).distinct()
+        return near.filter(token_ratio_reaches(F.col("a"), F.col("b"), threshold))
+
     ties = (
         met.filter((F.col("_n") > limits.block_companies) & (F.col("company_k") != F.col("first")))
         .select(F.col("first").alias("a"), F.col("company_k").alias("b"))
         .distinct()
     )
-    return connected(names, pairs.unionByName(ties))
+    in_order = Window.partitionBy("term").orderBy("company_k")
+    beside = small.select(F.col("company_k").alias("a"), F.lead("company_k").over(in_order).alias("b"))
+    known = written(connected(names, verified(beside.filter("b is not null")).unionByName(ties)), "known")
+    # Pairs whose names are tied already need no look: only blocks with several components are left.
+    placed = small.join(known, "company_k")
+    open_ = placed.groupBy("term").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    placed = placed.join(open_.filter("low <> high").select("term"), "term")
+    apart = (
+        placed.alias("a")
+        .join(placed.alias("b"), "term")
+        .filter("a.company_k < b.company_k and a.component <> b.component")
+        .select(F.col("a.company_k").alias("a"), F.col("b.company_k").alias("b"))
+    )
+    tied = known.filter("company_k <> component").select(F.col("component").alias("a"), F.col("company_k").alias("b"))
+    return connected(names, verified(apart).unionByName(tied))
 
 
 def connected(names: DataFrame, edges: DataFrame) -> DataFrame:
@@ -313,7 +323,7 @@ COMMON_TERMS = 4
 
 
 # --- rounds for oversize groups -------------------------------------------------
-OPEN = "group string, kid string, title_k string, company_k string, forced boolean, pos long, best string"
+OPEN = "group string, kid string, title_k string, company_k string, forced boolean, pos long, spot long, best string"
 
 
 def _few(table: DataFrame, most: int = 100_000) -> DataFrame:
@@ -327,7 +337,7 @@ def _rounds(oversize: DataFrame, title_threshold: int, company_threshold: int, l
     Nodes get their places in loop order once.  A round takes the first open nodes of each
     group up to a bound: all earlier leaders have removed what they match, so the loop
     over these nodes alone finds the next leaders exactly.  The others, dealt in shares
-    of bounded size, meet those leaders in order; one that matches is settled.  Known
+    of bounded size and few titles, meet those leaders in order; one that matches is settled.  Known
     jobs keep the leader they match and stay until they lead themselves.  Comparisons are
     those of the loop, nodes by leaders, split evenly over all tasks whatever the
     distribution; a group of n leaders takes about n / ``most_peel`` rounds.
@@ -337,7 +347,9 @@ def _rounds(oversize: DataFrame, title_threshold: int, company_threshold: int, l
         "group", "kid", "title_k", "company_k", "forced", F.monotonically_increasing_id().alias("pos"),
         F.lit(None).cast("string").alias("best"),
     )
-    rest, reach, done = checkpoint(placed), limits.first_peel, []
+    # A share is a run of nodes in the order of their titles, so that each title is compared in one or two of them.
+    by_title = written(placed, "placed").orderBy("group", "title_k", "pos").withColumn("spot", F.monotonically_increasing_id())
+    rest, reach, done = written(by_title, "rest"), limits.first_peel, []
 
     def decide(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("pos", ignore_index=True)
@@ -361,8 +373,9 @@ def _rounds(oversize: DataFrame, title_threshold: int, company_threshold: int, l
             best = nodes_["best"].to_numpy(dtype=object, copy=True)
             best[asking[found >= 0]] = leaders["kid"].to_numpy()[found[found >= 0]]
             nodes_ = nodes_.assign(best=best)
-        return nodes_[["group", "kid", "title_k", "company_k", "forced", "pos", "best"]]
+        return nodes_[["group", "kid", "title_k", "company_k", "forced", "pos", "spot", "best"]]
 
+    share = F.floor(F.col("spot") / limits.share_nodes)
     while True:
         # Blocks of places hold a bounded number of nodes; the first ones that hold enough are decided.
         block = F.floor(F.col("pos") / limits.first_peel)
@@ -370,26 +383,27 @@ def _rounds(oversize: DataFrame, title_threshold: int, company_threshold: int, l
         earlier = Window.partitionBy("group").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
         taken = held.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
         now = taken.groupBy("group").agg(
-            F.max(F.when(F.col("before") < reach, F.col("block"))).alias("until"),
-            F.ceil(F.sum("n") / limits.share_nodes).alias("shares"),
+            F.max(F.when(F.col("before") < reach, F.col("block"))).alias("until")
         )
-        now = checkpoint(now)
+        now = checkpoint(now.join(rest.groupBy("group").agg(F.collect_set(share).alias("shares")), "group"))
         if now.isEmpty():
             break
         marked = rest.join(_few(now), "group").withColumn("early", block <= F.col("until"))
-        decided = checkpoint(
+        decided = written(
             marked.filter("early").select("group", "kid", "title_k", "company_k", "forced", "pos", "best")
             .groupBy("group").applyInPandas(
                 decide, "group string, kid string, title_k string, company_k string, pos long, best string, leads boolean"
-            )
+            ),
+            "decided",
         )
         leaders = decided.filter("leads").select("group", "kid", "title_k", "company_k", "pos").join(_few(now), "group")
-        shares = leaders.withColumn("share", F.explode(F.expr("sequence(0L, shares - 1)"))).drop("shares", "until")
-        later = marked.filter("not early").withColumn("share", F.pmod(F.xxhash64("kid"), F.col("shares")))
-        met = checkpoint(
+        shares = leaders.withColumn("share", F.explode("shares")).drop("shares", "until")
+        later = marked.filter("not early").withColumn("share", share)
+        met = written(
             shares.groupBy("group", "share")
             .cogroup(later.drop("shares", "until", "early").groupBy("group", "share"))
-            .applyInPandas(meet, OPEN)
+            .applyInPandas(meet, OPEN),
+            "met",
         )
         done += [decided.select("kid", F.col("best").alias("leader_kid")),
                  met.filter("best is not null and not forced").select("kid", F.col("best").alias("leader_kid"))]
