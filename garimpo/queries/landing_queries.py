@@ -255,8 +255,11 @@ def parse_dates(spark, folder):
   UNION ALL SELECT 'agg_skills_frequency', count(*) FROM skills_frequency
   UNION ALL SELECT 'stg_jobs', count(*) FROM stg_jobs"""))
 def materialise(spark, folder):
-    """Staging as views, everything else written and read back by name."""
-    stored = T.materialise(S.gold(spark, folder), shared_folder(spark, "gold"), views=G.STAGING)
+    """Staging as views over stored silver tables, everything else written and read back by name."""
+    root = shared_folder(spark, "gold")
+    keep = T.stored_in(root)
+    silver = {name: keep(df, name) for name, df in S.silver(spark, folder).items()}
+    stored = T.materialise(lambda held: G.build_gold(spark, silver, S.JOBS_AS_OF, held), root, views=G.STAGING)
     names = ["fact_job_posting", "dim_company", "dim_location", "agg_skills_frequency", "stg_jobs"]
     assert set(names) <= set(stored)
     return spark.sql(" UNION ALL ".join(f"SELECT '{n}' AS model, count(*) AS n FROM {n}" for n in names))

@@ -62,16 +62,15 @@ def publish(views: Mapping[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
-def materialise(models: Mapping[str, DataFrame], root: str, views: Iterable[str] = ()) -> dict[str, DataFrame]:
-    """Staging models stay views; the others are written and read back."""
-    stay = set(views)
-    stored: dict[str, DataFrame] = {}
-    for name, df in models.items():
-        if name in stay:
-            stored[name] = df
-        else:
-            path = write_table(df, root, name)
-            stored[name] = df.sparkSession.read.schema(df.schema).parquet(path)
+def materialise(
+    build: Callable[[Callable[[DataFrame, str], DataFrame]], Mapping[str, DataFrame]], root: str, views: Iterable[str] = ()
+) -> dict[str, DataFrame]:
+    """Staging models stay views; each other one is written, read back and named.
+
+    ``build`` gets what keeps a model (see ``stored_in``) and returns the models, so each is built from
+    the written ones before it: what they share is computed, and broadcast, once.
+    """
+    stored = dict(build(stored_in(root, views)))
     publish(stored)
     return stored
 
