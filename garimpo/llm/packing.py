@@ -10,16 +10,18 @@ task sees more than one part of the corpus.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from array import array
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import Recent, kept, written
+from .shared import Recent, kept, slices, written
 
 #: Letters and numbers up to U+024F, where every library agrees on the classes.
 LETTERS, NUMBERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼½¾"
@@ -37,6 +39,36 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+#: The characters that byte-level files write for the bytes 0 to 255.
+SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTES = {b: chr(b) for b in SHOWN} | {b: chr(256 + i) for i, b in enumerate(sorted({*range(256)} - {*SHOWN}))}
+
+
+def word_encoder(made):
+    """A function from words to lists of their ids.
+
+    A file that does nothing but split at words and show bytes as characters has its model asked
+    directly; otherwise the whole tokenizer is.  No word holds a zero.
+    """
+
+    def whole(words: list[str]) -> list[list[int]]:
+        found = []
+        for at in range(0, len(words), 10_000):
+            found += [e.ids for e in made.encode_batch_fast(words[at : at + 10_000], add_special_tokens=False)]
+        return found
+
+    def direct(words: list[str]) -> list[list[int]]:
+        shown = "\0".join(words).encode().decode("latin-1").translate(BYTES).split(BYTES[0])
+        return [[t.id for t in tokens(w)] for w in shown] if words else []
+
+    plain = json.loads(made.to_str())
+    split = plain["pre_tokenizer"] or {}
+    if plain["normalizer"] or split.get("type") != "ByteLevel" or split["add_prefix_space"] or not split["use_regex"]:
+        return whole
+    tokens = made.model.tokenize
+    return direct
+
+
 def encode(texts: DataFrame, tokenizer: str, end: int | None = 1) -> DataFrame:
     """doc_id, n_tokens and ids (little-endian, two bytes an id if the vocabulary allows) of each text.
 
@@ -53,8 +85,8 @@ def encode(texts: DataFrame, tokenizer: str, end: int | None = 1) -> DataFrame:
         held = kept(tokenizer)
         if not held:
             held["made"] = Tokenizer.from_file(tokenizer_file(tokenizer))
-            held["words"] = Recent()
-        made, known = held["made"], held["words"]
+            held["words"], held["encode"] = Recent(2**26), word_encoder(held["made"])
+        made, known, encoded = held["made"], held["words"], held["encode"]
         kind = np.dtype("<u2" if made.get_vocab_size() <= 2**16 else "<u4")
         code = "H" if kind.itemsize == 2 else "I"
         special = [t.content for t in made.get_added_tokens_decoder().values()]
@@ -62,22 +94,19 @@ def encode(texts: DataFrame, tokenizer: str, end: int | None = 1) -> DataFrame:
         last = b"" if end is None else np.array([end], kind).tobytes()
         for batch in batches:
             out = []
-            for text in batch.column("text").to_pylist():
-                text = text or ""
-                if OTHER.search(text) or any(t in text for t in special):
-                    out.append(np.array(made.encode(text, add_special_tokens=False).ids, kind).tobytes() + last)
-                    continue
-                split = words.findall(text)
-                try:
-                    ids = b"".join(map(known.young.__getitem__, split))
-                except KeyError:  # words not met lately
-                    new = known.missing(split)
-                    for at in range(0, len(new), 10_000):
-                        some = new[at : at + 10_000]
-                        for word, found in zip(some, made.encode_batch_fast(some, add_special_tokens=False)):
-                            known.add(word, array(code, found.ids).tobytes())
-                    ids = b"".join(map(known.young.__getitem__, split))
-                out.append(ids + last)
+            texts_ = [t or "" for t in batch.column("text").to_pylist()]
+            for low, high in slices(texts_, 200_000):
+                odd = [OTHER.search(t) or any(s in t for s in special) for t in texts_[low:high]]
+                split = [[] if o else words.findall(t) for o, t in zip(odd, texts_[low:high])]
+                new = known.missing(chain.from_iterable(split))  # not met lately
+                for word, found in zip(new, encoded(new)):
+                    known.add(word, array(code, found).tobytes())
+                for o, text, found in zip(odd, texts_[low:high], split):
+                    if o:
+                        ids = np.array(made.encode(text, add_special_tokens=False).ids, kind).tobytes()
+                    else:
+                        ids = b"".join(map(known.young.__getitem__, found))
+                    out.append(ids + last)
             counts = pa.array([len(x) // kind.itemsize for x in out], pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), counts, pa.array(out, pa.binary())], ["doc_id", "n_tokens", "ids"]

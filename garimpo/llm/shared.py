@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -77,7 +78,7 @@ class Recent:
 
     ``young`` has all words asked for since the last change; when it is full it becomes the
     old one, whose words move back when they are met again.  So frequent words stay, and what
-    is kept takes twice ``limit`` bytes at most, but for the words of one text.
+    is kept takes twice ``limit`` bytes at most, but for the words of one call.
     """
 
     def __init__(self, limit: int = 2**25, each: int = 200):
@@ -85,18 +86,17 @@ class Recent:
         self.old: dict[str, bytes] = {}
         self.limit, self.each, self.size = limit, each, 0
 
-    def missing(self, words: list[str]) -> list[str]:
+    def missing(self, words: Iterable[str]) -> list[str]:
         """Different words that are in neither generation; the others are young now."""
         if self.size > self.limit:
             self.old, self.young, self.size = self.young, {}, 0
         new = []
-        for word in set(words):
-            if word not in self.young:
-                value = self.old.get(word)
-                if value is None:
-                    new.append(word)
-                else:
-                    self.add(word, value)
+        for word in set(words).difference(self.young):
+            value = self.old.get(word)
+            if value is None:
+                new.append(word)
+            else:
+                self.add(word, value)
         return new
 
     def add(self, word: str, value: bytes) -> None:
@@ -179,8 +179,8 @@ class Words:
         return (total[self.end] - total[self.start]) * back[self.start] + (self.end - self.start).astype(np.uint64)
 
 
-def slices(texts: list[bytes], limit: int = 500_000):
-    """Ranges of texts that hold about ``limit`` bytes together; a longer text is alone."""
+def slices(texts: list[bytes] | list[str], limit: int = 500_000):
+    """Ranges of texts that hold about ``limit`` bytes (or characters) together; a longer text is alone."""
     start, held = 0, 0
     for i, t in enumerate(texts):
         if held and held + len(t) > limit:
