@@ -57,28 +57,31 @@ class Index:
         self.width, self.size = width, len(rows)
         self.blocks = max(1, -(-len(rows) // width))
         owner = np.repeat(np.arange(len(rows)), [len(t) for t, _ in rows])
-        term = np.concatenate([t for t, _ in rows] or [np.empty(0, np.int64)]).astype(np.int64)
+        term = np.concatenate([t for t, _ in rows] or [np.empty(0, np.int64)])
         weight = np.concatenate([w for _, w in rows] or [np.empty(0)])
         common = np.bincount(term, minlength=n_terms) * 4 > len(rows)
         self.dense_at = np.where(common, np.cumsum(common) - 1, -1)
-        self.dense = np.zeros((self.blocks, int(common.sum()), width))
+        self.dense = np.zeros((int(common.sum()), self.blocks * width))
         here = common[term]
-        self.dense[owner[here] // width, self.dense_at[term[here]], owner[here] % width] = weight[here]
-        self.most = self.dense.max(axis=2)
+        self.dense[self.dense_at[term[here]], owner[here]] = weight[here]
+        self.most = self.dense.reshape(-1, self.blocks, width).max(axis=2).T
         owner, term, weight = owner[~here], term[~here], weight[~here]
         order = np.lexsort((owner, term))
-        self.owner, self.weight = owner[order], weight[order]
+        # Lists are read at random places: the fewer bytes, the more of them stay in the processor's cache.
+        self.owner, self.weight = owner[order].astype(np.min_scalar_type(self.blocks * width)), weight[order]
         self.at = np.searchsorted(term[order], np.arange(n_terms + 1))
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, skip: int = -1) -> list[tuple[float, int]]:
         """The k rows of highest positive similarity, ties to the earlier row."""
         at = self.dense_at[terms]
-        full = np.zeros(self.dense.shape[1])
+        full = np.zeros(len(self.dense))
         full[at[at >= 0]] = weights[at >= 0]
         rare, own = terms[at < 0], weights[at < 0]
         low, n = self.at[rare], self.at[rare + 1] - self.at[rare]
-        place = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
-        part = np.bincount(self.owner[place], np.repeat(own, n) * self.weight[place], self.blocks * self.width)
+        lists = list(map(slice, low.tolist(), (low + n).tolist())) or [slice(0, 0)]
+        pull = np.concatenate([self.weight[s] for s in lists])
+        pull *= np.repeat(own, n)
+        part = np.bincount(np.concatenate([self.owner[s] for s in lists]), pull, self.blocks * self.width)
         part = part.reshape(self.blocks, self.width)
         bound = part.max(axis=1) + self.most @ full
         order = np.argsort(-bound, kind="stable")
@@ -91,7 +94,10 @@ class Index:
             some = some[: np.count_nonzero(bound[some] >= least)]
             if not len(some):
                 break
-            scores = part[some] + full @ self.dense[some]
+            if 4 * len(some) > self.blocks:  # one product over all blocks is cheaper than a copy of these
+                scores = part[some] + (full @ self.dense).reshape(part.shape)[some]
+            else:
+                scores = part[some] + np.stack([full @ self.dense[:, b * self.width : (b + 1) * self.width] for b in some])
             if skip >= 0:
                 scores[some == skip // self.width, skip % self.width] = 0
             block, column = np.nonzero((scores > 0) & (scores >= least))
@@ -99,7 +105,7 @@ class Index:
             found = np.concatenate((values, np.round(scores[block, column], 12)))
             first = np.lexsort((rows, -found))[:k]
             best, values = rows[first], found[first]
-            at, step = at + step, 32
+            at, step = at + step, len(order)
         return list(zip(values.tolist(), best.tolist()))
 
 
@@ -217,8 +223,9 @@ def fit(documents: DataFrame, labels: DataFrame, per_class: int = 4000, k: int =
     chosen = documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
     chosen = chosen.select("doc_id", "toxic", "text").mapInArrow(vectors, "doc_id long, toxic int, terms binary").toArrow()
     chosen = chosen.sort_by("doc_id")
-    ids, toxic = chosen["doc_id"].to_numpy(), chosen["toxic"].to_numpy().astype(np.float64)
+    ids, toxic = chosen["doc_id"].to_numpy().copy(), chosen["toxic"].to_numpy().astype(np.float64)
     words = [np.frombuffer(t, np.uint64) for t in chosen["terms"].to_pylist()]
+    del chosen  # the driver holds one copy of the sample's words at a time
     weight = np.array([totals[int(t)] / max(1, (toxic == t).sum()) for t in toxic])
 
     # Every word of an example is a term; those whose document frequencies differ weigh more.
@@ -228,6 +235,7 @@ def fit(documents: DataFrame, labels: DataFrame, per_class: int = 4000, k: int =
     n1, n0 = float((toxic == 1).sum()), float((toxic == 0).sum())
     d1 = np.bincount(where, toxic[owner], len(terms))
     d0 = np.bincount(where, 1 - toxic[owner], len(terms))
+    del distinct, where, owner
     n, row = n1 + n0, d1 + d0
     chi = n * (d1 * (n0 - d0) - d0 * (n1 - d1)) ** 2 / np.maximum(row * (n - row) * n1 * n0, 1e-9)
     # Up to the largest value expected by chance among all terms, the factor stays near 1.
@@ -258,10 +266,12 @@ def fit(documents: DataFrame, labels: DataFrame, per_class: int = 4000, k: int =
     df = np.zeros(len(terms) + 1, dtype=np.int64)  # the last is the number of texts
     df[counted["term"].to_numpy()] = counted["copies"].to_numpy()
     idf = (np.log((1 + df[-1]) / (1 + df[:-1])) + 1) * factor
-    rows = []
+    rows, w = [], None
     for w in words:
         found, times = np.unique(np.searchsorted(terms, w), return_counts=True)
-        rows.append((found, unit(times, idf[found]) if len(found) else np.empty(0)))
+        rows.append((found.astype(np.int32), unit(times, idf[found]) if len(found) else np.empty(0)))
+    del words, w
+    pa.default_memory_pool().release_unused()
     model = Model(terms, idf, ids, toxic, weight, rows, k)
     outside = outside.where("tid is not null")
     rest = outside.groupBy("term").agg(F.sum("copies").alias("df"))
