@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Words, kept, slices, written
+from .shared import Words, bodies, kept, released, slices, written
 
 #: Everything in ASCII but letters and digits ends a term.
 BREAKS = np.zeros(256, dtype=bool)
@@ -56,7 +56,9 @@ class Index:
     def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]], n_terms: int, width: int = 64):
         self.width, self.size = width, len(rows)
         self.blocks = max(1, -(-len(rows) // width))
-        owner = np.repeat(np.arange(len(rows)), [len(t) for t, _ in rows])
+        # Lists are read at random places: the fewer bytes, the more of them stay in the processor's cache.
+        numbers = np.arange(len(rows), dtype=np.min_scalar_type(self.blocks * width))
+        owner = np.repeat(numbers, [len(t) for t, _ in rows])
         term = np.concatenate([t for t, _ in rows] or [np.empty(0, np.int64)])
         weight = np.concatenate([w for _, w in rows] or [np.empty(0)])
         common = np.bincount(term, minlength=n_terms) * 4 > len(rows)
@@ -65,11 +67,13 @@ class Index:
         here = common[term]
         self.dense[self.dense_at[term[here]], owner[here]] = weight[here]
         self.most = self.dense.reshape(-1, self.blocks, width).max(axis=2).T
-        owner, term, weight = owner[~here], term[~here], weight[~here]
-        order = np.lexsort((owner, term))
-        # Lists are read at random places: the fewer bytes, the more of them stay in the processor's cache.
-        self.owner, self.weight = owner[order].astype(np.min_scalar_type(self.blocks * width)), weight[order]
-        self.at = np.searchsorted(term[order], np.arange(n_terms + 1))
+        del here
+        order = np.argsort(term, kind="stable")  # rows of a term stay in their order
+        order = order[~common[term[order]]]
+        self.owner, self.weight = owner[order], weight[order]
+        del owner, weight
+        listed = np.where(common, 0, np.bincount(term, minlength=n_terms))
+        self.at = np.concatenate((np.zeros(1, np.int64), np.cumsum(listed)))
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, skip: int = -1) -> list[tuple[float, int]]:
         """The k rows of highest positive similarity, ties to the earlier row."""
@@ -171,6 +175,14 @@ def _revived(name: str, state: tuple[dict, dict]) -> Model:
     return models[name]
 
 
+def _flat(column: pa.ChunkedArray, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers that rows hold as bytes, all joined, and the n + 1 places where rows begin; nothing is copied."""
+    if not len(column):
+        return np.empty(0, kind), np.zeros(1, np.int64)
+    data, offsets = bodies(column.combine_chunks())
+    return data.view(kind), offsets // np.dtype(kind).itemsize
+
+
 def unit(times: np.ndarray, idf: np.ndarray) -> np.ndarray:
     w = (1 + np.log(times)) * idf
     return w / np.sqrt((w * w).sum())
@@ -213,30 +225,39 @@ def fit(documents: DataFrame, labels: DataFrame, per_class: int = 4000, k: int =
         for batch in batches:
             texts = [(t or "").lower().encode() for t in batch.column("text").to_pylist()]
             for low, high in slices(texts):
-                text, term = _terms(texts[low:high])
+                _, (text, term, times) = _counts(texts[low:high], np.empty(0, np.uint64))
                 cut = np.searchsorted(text, np.arange(high - low + 1))
-                bodies = [term[cut[i] : cut[i + 1]].tobytes() for i in range(high - low)]
+                times = times.astype(np.int32)
                 out = batch.slice(low, high - low).select(["doc_id", "toxic"])
-                yield out.append_column("terms", pa.array(bodies, pa.binary()))
+                for name, values in (("terms", term), ("times", times)):
+                    held = [values[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])]
+                    out = out.append_column(name, pa.array(held, pa.binary()))
+                yield out
 
     # The sample has at most 2 * per_class rows.
     chosen = documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    chosen = chosen.select("doc_id", "toxic", "text").mapInArrow(vectors, "doc_id long, toxic int, terms binary").toArrow()
-    chosen = chosen.sort_by("doc_id")
+    chosen = chosen.select("doc_id", "toxic", "text").mapInArrow(vectors, "doc_id long, toxic int, terms binary, times binary")
+    chosen = chosen.toArrow().sort_by("doc_id")
     ids, toxic = chosen["doc_id"].to_numpy().copy(), chosen["toxic"].to_numpy().astype(np.float64)
-    words = [np.frombuffer(t, np.uint64) for t in chosen["terms"].to_pylist()]
-    del chosen  # the driver holds one copy of the sample's words at a time
     weight = np.array([totals[int(t)] / max(1, (toxic == t).sum()) for t in toxic])
-
-    # Every word of an example is a term; those whose document frequencies differ weigh more.
-    distinct = [np.unique(w) for w in words]
-    terms, where = np.unique(np.concatenate(distinct or [np.empty(0, np.uint64)]), return_inverse=True)
-    owner = np.repeat(np.arange(len(distinct)), [len(w) for w in distinct])
+    words, cut = _flat(chosen["terms"], np.uint64)
+    times, _ = _flat(chosen["times"], np.int32)
+    del chosen
+
+    # Every word of an example is a term; those whose document frequencies differ weigh more.  Arrays
+    # as long as the sample's words are few and flat: the driver has little memory.
+    terms = np.unique(words)
+    place = np.empty(len(words), np.int32)
     n1, n0 = float((toxic == 1).sum()), float((toxic == 0).sum())
-    d1 = np.bincount(where, toxic[owner], len(terms))
-    d0 = np.bincount(where, 1 - toxic[owner], len(terms))
-    del distinct, where, owner
-    n, row = n1 + n0, d1 + d0
+    row, d1 = np.zeros(len(terms)), np.zeros(len(terms))
+    for at in range(0, len(ids), 256):
+        low, high = cut[at], cut[min(at + 256, len(ids))]
+        place[low:high] = np.searchsorted(terms, words[low:high])
+        row += np.bincount(place[low:high], minlength=len(terms))
+        d1 += np.bincount(place[low:high], np.repeat(toxic[at : at + 256], np.diff(cut[at : at + 257])), len(terms))
+    del words
+    d0 = row - d1
+    n = n1 + n0
     chi = n * (d1 * (n0 - d0) - d0 * (n1 - d1)) ** 2 / np.maximum(row * (n - row) * n1 * n0, 1e-9)
     # Up to the largest value expected by chance among all terms, the factor stays near 1.
     factor = 1 + chi / (2 * np.log(max(len(terms), 2)) + 2)
@@ -266,12 +287,13 @@ def fit(documents: DataFrame, labels: DataFrame, per_class: int = 4000, k: int =
     df = np.zeros(len(terms) + 1, dtype=np.int64)  # the last is the number of texts
     df[counted["term"].to_numpy()] = counted["copies"].to_numpy()
     idf = (np.log((1 + df[-1]) / (1 + df[:-1])) + 1) * factor
-    rows, w = [], None
-    for w in words:
-        found, times = np.unique(np.searchsorted(terms, w), return_counts=True)
-        rows.append((found.astype(np.int32), unit(times, idf[found]) if len(found) else np.empty(0)))
-    del words, w
-    pa.default_memory_pool().release_unused()
+    weights = np.empty(len(place))
+    for a, b in zip(cut[:-1], cut[1:]):
+        if a < b:
+            weights[a:b] = unit(times[a:b], idf[place[a:b]])
+    del times
+    released()
+    rows = [(place[a:b], weights[a:b]) for a, b in zip(cut[:-1], cut[1:])]
     model = Model(terms, idf, ids, toxic, weight, rows, k)
     outside = outside.where("tid is not null")
     rest = outside.groupBy("term").agg(F.sum("copies").alias("df"))
