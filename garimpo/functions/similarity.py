@@ -276,6 +276,161 @@ class Keys:
         return chosen, leads
 
 
+class Near:
+    """Which of ``n`` numbered names reach which, each name itself too: ``flat[start[i]:start[i + 1]]`` in order."""
+
+    BITS = 2**14  # names up to which a table of bits answers ``holds``, 32 MB
+
+    def __init__(self, n: int, a: np.ndarray, b: np.ndarray) -> None:
+        """From the pairs ``a < b`` that reach the threshold."""
+        own = np.arange(n, dtype=np.int64) * (n + 1)
+        keys = np.concatenate((a.astype(np.int64) * n + b, b.astype(np.int64) * n + a, own))
+        keys.sort()
+        self.n = n
+        self.start = np.searchsorted(keys, np.arange(n + 1, dtype=np.int64) * n)
+        self.flat = (keys % max(1, n)).astype(np.int32)
+
+    def __getstate__(self) -> dict:
+        return {"n": self.n, "start": self.start, "flat": self.flat}
+
+    def share(self) -> float:
+        """The part of all names that a name reaches on average."""
+        return len(self.flat) / max(1, self.n) ** 2
+
+    def _table(self) -> np.ndarray:
+        """``holds`` in bits, or its pairs as sorted numbers; made once in a process."""
+        if not hasattr(self, "_made"):
+            owner = np.repeat(np.arange(self.n, dtype=np.int64), np.diff(self.start))
+            if self.n <= self.BITS:
+                width = -(-self.n // 8)
+                at = owner * width + (self.flat >> 3)
+                bits = np.zeros(self.n * width, dtype=np.uint8)
+                for k in range(8):
+                    bits[at[(self.flat & 7) == k]] |= np.uint8(1 << k)
+                self._made = bits
+            else:
+                self._made = owner * self.n + self.flat
+        return self._made
+
+    def holds(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether the names ``a`` and ``b`` (one pair a place) reach the threshold."""
+        table = self._table()
+        if self.n <= self.BITS:
+            width = np.int32(-(-self.n // 8))  # places stay below 2 ** 25
+            return (table[a.astype(np.int32) * width + (b >> 3)] >> (b & 7).astype(np.uint8)) & 1 == 1
+        keys = a.astype(np.int64) * self.n + b
+        return table[np.minimum(np.searchsorted(table, keys), len(table) - 1)] == keys
+
+    def components(self) -> np.ndarray:
+        """The smallest name that each name is tied to, over any number of pairs."""
+        label = np.arange(self.n)
+        if not self.n:
+            return label
+        while True:
+            low = np.minimum.reduceat(label[self.flat], self.start[:-1])
+            low = np.minimum(low, low[low])
+            if (low == label).all():
+                return label
+            label = low
+
+
+def _runs(first: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of all runs, one after the other, and where each run ends among them."""
+    ends = np.cumsum(length)
+    shift = (first - (ends - length)).astype(np.int32)
+    return np.arange(ends[-1] if len(ends) else 0, dtype=np.int32) + np.repeat(shift, length), ends
+
+
+def _split(sizes: np.ndarray, most: int, owner: np.ndarray | None = None) -> list[slice]:
+    """Runs of entries that make about ``most`` together; those of one owner, in order, stay in one run."""
+    ends = np.cumsum(sizes)
+    if not len(ends) or ends[-1] <= most:
+        return [slice(0, len(sizes))]
+    cuts = np.searchsorted(ends, np.arange(most, ends[-1], most))
+    if owner is not None:
+        cuts = np.searchsorted(owner, owner[cuts])
+    cuts = np.unique(np.concatenate(([0], cuts, [len(sizes)])))
+    return [slice(int(a), int(b)) for a, b in zip(cuts, cuts[1:])]
+
+
+class NearKeys:
+    """``Keys`` over numbered names whose pairs are known: only rows of near names are met."""
+
+    CHUNK = 2**18  # pairs looked at in one go
+    OPEN = 128  # candidates a row that one slice of leaders brings on average
+
+    def __init__(self, titles: np.ndarray, companies: np.ndarray, near_titles: Near, near_companies: Near) -> None:
+        sides = [(titles.astype(np.int32), near_titles), (companies.astype(np.int32), near_companies)]
+        # Rows meet by the names that reach fewer others; the other names decide.  Searches take longer than bits.
+        sides.sort(key=lambda x: (x[1].share() * len(titles) + 1) * (1 if x[1].n > Near.BITS else 4))
+        (self.name, self.near), (self.other, self.beside) = sides
+        self.share = self.near.share()
+
+    def _matches(self, rows: np.ndarray, others: np.ndarray):
+        """(place in ``rows``, place in ``others``) of what matches, in pieces of whole rows, by rows."""
+        names = self.name[others]
+        order = np.argsort(names, kind="stable").astype(np.int32)
+        beside = self.other[others][order]
+        count = np.bincount(names, minlength=self.near.n).astype(np.int32)
+        first = (np.cumsum(count) - count).astype(np.int32)
+        start = self.near.start
+        lists = start[self.name[rows]]
+        degree = start[self.name[rows] + 1] - lists
+        for part in _split(degree, self.CHUNK):
+            places, ends = _runs(lists[part], degree[part])
+            met = self.near.flat[places]
+            held = count[met]
+            some = np.flatnonzero(held)
+            met, held = met[some], held[some]
+            owner = np.searchsorted(ends, some, side="right").astype(np.int32) + np.int32(part.start)
+            for piece in _split(held, self.CHUNK, owner):
+                places, ends = _runs(first[met[piece]], held[piece])
+                asking = np.repeat(self.other[rows[owner[piece]]], held[piece])
+                hit = np.flatnonzero(self.beside.holds(asking, beside[places]))
+                yield owner[piece][np.searchsorted(ends, hit, side="right")], order[places[hit]]
+
+    def first_of(self, rows: np.ndarray, leaders: np.ndarray) -> np.ndarray:
+        """The first of ``leaders`` that each of ``rows`` matches, or -1."""
+        found = np.full(len(rows), -1, dtype=np.int64)
+        left, start, step = np.arange(len(rows)), 0, max(64, int(self.OPEN / max(self.share, 1e-9)))
+        while start < len(leaders) and len(left):
+            some = leaders[start : start + step]
+            for mine, theirs in self._matches(rows[left], some):
+                if len(mine):
+                    heads = np.flatnonzero(np.diff(mine, prepend=-1))
+                    found[left[mine[heads]]] = some[np.minimum.reduceat(theirs, heads)]
+            left = left[found[left] < 0]
+            start, step = start + step, step * 4
+        return found
+
+    def assign(self, forced: np.ndarray, settled: np.ndarray, block: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """As ``Keys.assign``; a block is as large as the pairs within it allow."""
+        n = len(self.name)
+        block = block or min(2**16, max(256, int((2**23 / max(self.share, 1e-9)) ** 0.5)))
+        chosen, leads = np.arange(n), np.zeros(n, dtype=bool)
+        for at in range(0, n, block):
+            rows = np.arange(at, min(n, at + block))
+            asking = ~settled[rows]
+            first = np.full(len(rows), -1, dtype=np.int64)
+            if at:
+                first[asking] = self.first_of(rows[asking], np.flatnonzero(leads[:at]))
+            found = first >= 0
+            chosen[rows[found]] = first[found]
+            may_lead = rows[(asking & ~found) | forced[rows]]
+            open_ = (asking & ~found)[may_lead - at]
+            leads[may_lead] = True
+            for mine, theirs in self._matches(may_lead, may_lead):
+                earlier = (theirs < mine) & open_[mine]
+                mine, theirs = mine[earlier], theirs[earlier]
+                order = np.lexsort((theirs, mine))
+                last = -1
+                for r, lead in zip(may_lead[mine[order]].tolist(), may_lead[theirs[order]].tolist()):
+                    if r != last and leads[lead]:
+                        chosen[r], last = lead, r
+                        leads[r] = forced[r]
+        return chosen, leads
+
+
 def _held(column: pd.Series) -> list[str]:
     return ["" if x is None else x for x in column]
 

@@ -44,8 +44,10 @@ def fold_strip(text: Column) -> Column:
 
 def sort_tokens(text: Column) -> Column:
     """The words of a folded text in sorted order, joined by single spaces."""
-    words = F.split(text, r"[\s\x1c-\x1f]+")
-    return F.array_join(F.array_sort(F.filter(words, lambda w: w != "")), " ")
+    # No lambdas, which Spark interprets row by row; a pattern of one plain character is no regex to Java.
+    words = F.when(text.rlike(r"[\t-\r\x1c-\x1f]"), F.split(text, r"[\s\x1c-\x1f]+")).otherwise(F.split(text, " "))
+    several = F.array_join(F.sort_array(F.array_remove(words, "")), " ")
+    return F.when(text.rlike(r"[\s\x1c-\x1f]"), several).otherwise(text)
 
 
 def contains_any(text: Column, terms: Sequence[str]) -> Column:

@@ -17,6 +17,10 @@ The result is exact for any distribution of the data:
    nodes of a group, a bounded number, are assigned by one task; then all tasks
    compare their shares of the rest with the new leaders.  No group is ever
    held by one task, and no node is compared with anything but leaders.
+
+While titles and companies are few (see ``Limits``), however many nodes have them, each two names are
+compared once, before all that: then nodes hold numbers of names, tasks get the list of
+near names, and a node meets only leaders whose name is near its own.
 """
 
 from __future__ import annotations
@@ -28,12 +32,15 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import ArrayType, StringType
 
 from ..functions import fixed_values as V
 from ..functions.dates import date_window
-from ..functions.similarity import Keys, lengths_allow, token_ratio_reaches
+from ..functions.similarity import Keys, Near, NearKeys, TextSet, lengths_allow, token_ratio_reaches
 from ..functions.text import fold_strip, sort_tokens
 from ..session import checkpoint, stored as written
 
@@ -49,6 +56,9 @@ class Limits(NamedTuple):
     first_peel: int = 1024  # open nodes of a group that the first round decides; four times as many in each later one
     most_peel: int = 16_384  # and at most so many
     share_nodes: int = 16_384  # nodes of the rest that meet the new leaders in one task
+    few_names: int = 100_000  # titles or companies up to which all pairs of them are compared beforehand
+    few_pairs: int = 2**24  # pairs of near names up to which every task gets them
+    numbered: int = 64  # nodes whose names are numbers take so much less time: rounds are so much larger, shares a quarter of it
 
 
 # --- nodes --------------------------------------------------------------------
@@ -118,43 +128,146 @@ def assign_leaders(
         raise ValueError("signatures are lossless for thresholds above 80 only")
     stored = written(all_nodes, "nodes")
     per_window = stored.groupBy("window").agg(F.count(F.lit(1)).alias("_n"))
-    greedy = _greedy(title_threshold, company_threshold)
+    titles = _numbered(stored, "title_k", title_threshold, limits)
+    companies = titles and _numbered(stored, "company_k", company_threshold, limits)
+    if titles and companies:
+        stored = companies.of(titles.of(stored)).select(*NODE)
+        keys = _near_keys(titles.near, companies.near)
+        assign = _numbered_greedy(keys)
+        limits = limits._replace(
+            first_peel=limits.first_peel * limits.numbered, most_peel=limits.most_peel * limits.numbered,
+            share_nodes=limits.share_nodes * max(1, limits.numbered // 4),
+        )
+    else:
+        keys = _text_keys(title_threshold, company_threshold)
+        assign = _greedy(keys)
 
     crowded = per_window.filter(F.col("_n") > limits.group_nodes)
     if crowded.isEmpty():
-        return stored.groupBy("window").applyInPandas(greedy, ASSIGNED)
+        return assign(stored, "window")
 
     sized = stored.join(per_window, "window")
     calm = sized.filter(F.col("_n") <= limits.group_nodes).select(*NODE)
     busy = sized.filter(F.col("_n") > limits.group_nodes).select(*NODE)
 
-    labels = company_components(busy.select("company_k").distinct(), company_threshold, limits)
+    if titles and companies:
+        labels = companies.components()
+    else:
+        labels = company_components(busy.select("company_k").distinct(), company_threshold, limits)
     busy = written(busy.join(labels, "company_k"), "busy")
     per_group = busy.groupBy("window", "component").agg(F.count(F.lit(1)).alias("_n"))
     grouped = busy.join(per_group, ["window", "component"])
     bounded = grouped.filter(F.col("_n") <= limits.group_nodes)
-    assigned = calm.groupBy("window").applyInPandas(greedy, ASSIGNED).unionByName(
-        bounded.select(*NODE, "component")
-        .groupBy("window", "component")
-        .applyInPandas(greedy, ASSIGNED)
-    )
+    assigned = assign(calm, "window").unionByName(assign(bounded.select(*NODE, "component"), "window", "component"))
     oversize = grouped.filter(F.col("_n") > limits.group_nodes).drop("_n")
     if oversize.isEmpty():
         return assigned
-    return assigned.unionByName(_rounds(oversize, title_threshold, company_threshold, limits))
+    return assigned.unionByName(_rounds(oversize, keys, limits))
+
+
+# Makes the keys of one task, in order, from their titles and companies.
+KeysOf = Callable[[pd.Series, pd.Series], Keys | NearKeys]
+# Assigns all nodes group by group, the groups being those of the named columns.
+Assign = Callable[..., DataFrame]
+
+
+def _text_keys(title_threshold: int, company_threshold: int) -> KeysOf:
+    return lambda titles, companies: Keys(list(titles), list(companies), title_threshold, company_threshold)
 
 
-def _greedy(title_threshold: int, company_threshold: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """Assign the nodes of one bounded group in order."""
+def _near_keys(titles: Broadcast, companies: Broadcast) -> KeysOf:
+    return lambda t, c: NearKeys(t.to_numpy(), c.to_numpy(), titles.value, companies.value)
+
+
+def _greedy(keys: KeysOf) -> Assign:
+    """Assign the nodes of bounded groups in order."""
 
     def assign(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("ord", ignore_index=True)
-        keys = Keys(list(group["title_k"]), list(group["company_k"]), title_threshold, company_threshold)
-        chosen, _ = keys.assign(group["forced"].to_numpy(dtype=bool), np.zeros(len(group), dtype=bool))
+        met = keys(group["title_k"], group["company_k"])
+        chosen, _ = met.assign(group["forced"].to_numpy(dtype=bool), np.zeros(len(group), dtype=bool))
         kids = group["kid"].to_numpy()
         return pd.DataFrame({"kid": kids, "leader_kid": kids[chosen]})
 
-    return assign
+    return lambda rows, *by: rows.groupBy(*by).applyInPandas(assign, ASSIGNED)
+
+
+def _numbered_greedy(keys: KeysOf) -> Assign:
+    """The same for numbered names; the other columns stay in Arrow."""
+
+    def assign(group: pa.Table) -> pa.Table:
+        group = group.take(pc.sort_indices(group, [("ord", "ascending"), ("kid", "ascending")]))
+        met = keys(group["title_k"].to_pandas(), group["company_k"].to_pandas())
+        chosen, _ = met.assign(group["forced"].to_numpy(), np.zeros(len(group), dtype=bool))
+        return pa.table({"kid": group["kid"], "leader_kid": group["kid"].take(pa.array(chosen))})
+
+    return lambda rows, *by: rows.select(*by, "kid", "title_k", "company_k", "forced", "ord").groupBy(*by).applyInArrow(assign, ASSIGNED)
+
+
+# --- few names ------------------------------------------------------------------
+class Numbered(NamedTuple):
+    """The different names of a column: their numbers, and which reach which."""
+
+    column: str
+    codes: DataFrame  # (column, code)
+    near: Broadcast
+
+    def of(self, rows: DataFrame) -> DataFrame:
+        """Rows with the name's number in place of the name."""
+        return rows.join(F.broadcast(self.codes), self.column).drop(self.column).withColumnRenamed("code", self.column)
+
+    def components(self) -> DataFrame:
+        """(number, component), as ``company_components`` has it for names."""
+        label = self.near.value.components()
+        table = pa.table({self.column: pa.array(np.arange(len(label), dtype=np.int32)), "component": pa.array(label).cast(pa.string())})
+        return F.broadcast(self.codes.sparkSession.createDataFrame(table))
+
+
+def _numbered(nodes_: DataFrame, column: str, threshold: int, limits: Limits) -> Numbered | None:
+    """The names of a column, or None where they, their text or their near pairs are too many."""
+    names = checkpoint(nodes_.select(column).distinct())
+    held = names.agg(F.count(F.lit(1)).alias("n"), F.sum(F.char_length(column)).alias("size")).first()
+    if held["n"] > limits.few_names or (held["size"] or 0) > 64 * limits.few_names:
+        return None
+    # By length, so that names whose lengths allow a match lie together.
+    texts = sorted((row[0] for row in names.collect()), key=lambda t: (len(t), t))
+    pairs = _near_pairs(names.sparkSession, texts, threshold, limits)
+    if pairs is None:
+        return None
+    spark = names.sparkSession
+    codes = pa.table({column: pa.array(texts, pa.string()), "code": pa.array(np.arange(len(texts), dtype=np.int32))})
+    return Numbered(column, spark.createDataFrame(codes), spark.sparkContext.broadcast(Near(len(texts), *pairs)))
+
+
+def _near_pairs(spark: SparkSession, texts: list[str], threshold: int, limits: Limits) -> tuple[np.ndarray, np.ndarray] | None:
+    """All pairs ``a < b`` of places in ``texts``, which lie by length, that reach the threshold; None if they are too many."""
+    rows_, most = 64, limits.few_pairs
+    tasks = max(1, min(4 * spark.sparkContext.defaultParallelism, -(-len(texts) // rows_)))
+    held = spark.sparkContext.broadcast(texts)
+
+    def compare(batches):
+        named = TextSet(held.value)
+        far = np.searchsorted(named.sizes, named.sizes * (200 - threshold) // threshold, side="right")
+        for batch in batches:
+            for task in batch["id"]:
+                found, count = [], 0
+                for at in range(int(task) * rows_, len(named.texts), tasks * rows_):
+                    rows = np.arange(at, min(at + rows_, len(named.texts)))
+                    a, b = np.nonzero(named.grid(rows, np.arange(at, far[rows[-1]]), threshold))
+                    later = b > a
+                    found.append(np.stack((rows[a[later]], at + b[later])).astype(np.int32))
+                    count += int(later.sum())
+                    if count > 4 * most / tasks + rows_ * len(named.texts):  # too many in all, as tasks have like shares
+                        yield pd.DataFrame({"n": [most + 1], "a": [b""], "b": [b""]})
+                        return
+                ends = np.concatenate(found, axis=1) if found else np.zeros((2, 0), dtype=np.int32)
+                yield pd.DataFrame({"n": [count], "a": [ends[0].tobytes()], "b": [ends[1].tobytes()]})
+
+    found = written(spark.range(0, tasks, 1, tasks).mapInPandas(compare, "n long, a binary, b binary"), "pairs")
+    if (found.agg(F.sum("n")).first()[0] or 0) > most:
+        return None
+    ends = [(np.frombuffer(r["a"], dtype=np.int32), np.frombuffer(r["b"], dtype=np.int32)) for r in found.toLocalIterator()]
+    return np.concatenate([a for a, _ in ends]), np.concatenate([b for _, b in ends])
 
 
 # --- signatures ---------------------------------------------------------------
@@ -323,18 +436,15 @@ COMMON_TERMS = 4
 
 
 # --- rounds for oversize groups -------------------------------------------------
-OPEN = "group string, kid string, title_k string, company_k string, forced boolean, pos long, spot long, best string"
-
-
 def _few(table: DataFrame, most: int = 100_000) -> DataFrame:
     """A table of one row a group, broadcast if it is as small as that; beyond, joins shuffle."""
     return F.broadcast(table) if table.limit(most + 1).count() <= most else table
 
 
-def _rounds(oversize: DataFrame, title_threshold: int, company_threshold: int, limits: Limits) -> DataFrame:
+def _rounds(oversize: DataFrame, keys_of: KeysOf, limits: Limits) -> DataFrame:
     """Assignment of oversize (window, component) groups.
 
-    Nodes get their places in loop order once.  A round takes the first open nodes of each
+    Nodes get their places in loop order once; from then on a place stands for its node.  A round takes the first open nodes of each
     group up to a bound: all earlier leaders have removed what they match, so the loop
     over these nodes alone finds the next leaders exactly.  The others, dealt in shares
     of bounded size and few titles, meet those leaders in order; one that matches is settled.  Known
@@ -342,38 +452,39 @@ def _rounds(oversize: DataFrame, title_threshold: int, company_threshold: int, l
     those of the loop, nodes by leaders, split evenly over all tasks whatever the
     distribution; a group of n leaders takes about n / ``most_peel`` rounds.
     """
+    kind = oversize.schema["title_k"].dataType.simpleString()
+    open_ = f"group string, title_k {kind}, company_k {kind}, forced boolean, pos long, spot long, best long"
     named = oversize.withColumn("group", F.md5(F.concat_ws("\x1f", "window", "component")))
-    placed = named.orderBy("group", "ord").select(
-        "group", "kid", "title_k", "company_k", "forced", F.monotonically_increasing_id().alias("pos"),
-        F.lit(None).cast("string").alias("best"),
-    )
-    # A share is a run of nodes in the order of their titles, so that each title is compared in one or two of them.
-    by_title = written(placed, "placed").orderBy("group", "title_k", "pos").withColumn("spot", F.monotonically_increasing_id())
-    rest, reach, done = written(by_title, "rest"), limits.first_peel, []
+    placed = written(named.orderBy("group", "ord").select(
+        "group", "kid", "title_k", "company_k", "forced", F.monotonically_increasing_id().alias("pos")
+    ), "placed")
+    # ``best`` is the place of the leader, -1 without one.
+    rest = placed.drop("kid").withColumns({"spot": F.col("pos"), "best": F.lit(-1).cast("long")})
+    if kind == "string":
+        # A share is a run of nodes in the order of their titles, so that each title is compared in one or two of them.
+        by_title = rest.orderBy("group", "title_k", "pos").withColumn("spot", F.monotonically_increasing_id())
+        rest = written(by_title, "rest")
+    reach, done, led = limits.first_peel, [], []
 
     def decide(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("pos", ignore_index=True)
-        keys = Keys(list(group["title_k"]), list(group["company_k"]), title_threshold, company_threshold)
-        settled = group["best"].notna().to_numpy()
+        keys = keys_of(group["title_k"], group["company_k"])
+        settled = group["best"].to_numpy() >= 0
         chosen, leads = keys.assign(group["forced"].to_numpy(dtype=bool), settled)
-        kids = group["kid"].to_numpy()
-        group["best"] = np.where(settled, group["best"], kids[chosen])
+        group["best"] = np.where(settled, group["best"], group["pos"].to_numpy()[chosen])
         group["leads"] = leads
-        return group[["group", "kid", "title_k", "company_k", "pos", "best", "leads"]]
+        return group[["group", "title_k", "company_k", "pos", "best", "leads"]]
 
     def meet(key: tuple, leaders: pd.DataFrame, nodes_: pd.DataFrame) -> pd.DataFrame:
         if len(leaders) and len(nodes_):
             leaders = leaders.sort_values("pos", ignore_index=True)
-            keys = Keys(
-                [*leaders["title_k"], *nodes_["title_k"]], [*leaders["company_k"], *nodes_["company_k"]],
-                title_threshold, company_threshold,
-            )
-            asking = np.flatnonzero(nodes_["best"].isna().to_numpy())
+            keys = keys_of(*(pd.concat((leaders[c], nodes_[c]), ignore_index=True) for c in ("title_k", "company_k")))
+            asking = np.flatnonzero(nodes_["best"].to_numpy() < 0)
             found = keys.first_of(asking + len(leaders), np.arange(len(leaders)))
-            best = nodes_["best"].to_numpy(dtype=object, copy=True)
-            best[asking[found >= 0]] = leaders["kid"].to_numpy()[found[found >= 0]]
+            best = nodes_["best"].to_numpy(copy=True)
+            best[asking[found >= 0]] = leaders["pos"].to_numpy()[found[found >= 0]]
             nodes_ = nodes_.assign(best=best)
-        return nodes_[["group", "kid", "title_k", "company_k", "forced", "pos", "spot", "best"]]
+        return nodes_[["group", "title_k", "company_k", "forced", "pos", "spot", "best"]]
 
     share = F.floor(F.col("spot") / limits.share_nodes)
     while True:
@@ -390,23 +501,25 @@ def _rounds(oversize: DataFrame, title_threshold: int, company_threshold: int, l
             break
         marked = rest.join(_few(now), "group").withColumn("early", block <= F.col("until"))
         decided = written(
-            marked.filter("early").select("group", "kid", "title_k", "company_k", "forced", "pos", "best")
+            marked.filter("early").select("group", "title_k", "company_k", "forced", "pos", "best")
             .groupBy("group").applyInPandas(
-                decide, "group string, kid string, title_k string, company_k string, pos long, best string, leads boolean"
+                decide, f"group string, title_k {kind}, company_k {kind}, pos long, best long, leads boolean"
             ),
             "decided",
         )
-        leaders = decided.filter("leads").select("group", "kid", "title_k", "company_k", "pos").join(_few(now), "group")
+        leaders = decided.filter("leads").select("group", "title_k", "company_k", "pos").join(_few(now), "group")
         shares = leaders.withColumn("share", F.explode("shares")).drop("shares", "until")
         later = marked.filter("not early").withColumn("share", share)
         met = written(
             shares.groupBy("group", "share")
             .cogroup(later.drop("shares", "until", "early").groupBy("group", "share"))
-            .applyInPandas(meet, OPEN),
+            .applyInPandas(meet, open_),
             "met",
         )
-        done += [decided.select("kid", F.col("best").alias("leader_kid")),
-                 met.filter("best is not null and not forced").select("kid", F.col("best").alias("leader_kid"))]
-        rest = met.filter("best is null or forced")
+        led.append(decided.filter("leads").select("pos"))
+        done += [decided.select("pos", "best"), met.filter("best >= 0 and not forced").select("pos", "best")]
+        rest = met.filter("best < 0 or forced")
         reach = min(reach * 4, max(limits.first_peel, limits.most_peel))
-    return reduce(DataFrame.unionByName, done)
+    kids = placed.select("pos", "kid")
+    leader_kids = kids.join(reduce(DataFrame.union, led), "pos").select(F.col("pos").alias("best"), F.col("kid").alias("leader_kid"))
+    return reduce(DataFrame.unionByName, done).join(kids, "pos").join(leader_kids, "best").select("kid", "leader_kid")

@@ -10,6 +10,7 @@ from ..functions.text import fold_strip, sort_tokens
 from ..operators import resolve as R
 from ..plans import silver as P
 from ..schemas import COMPANIES, JOBS, LOCATIONS
+from ..session import stored
 from . import stand_ins as S
 from .registry import query, table, texts
 
@@ -246,6 +247,8 @@ def _deduped(rows):
     postings = R.keyed_postings(
         rows, "title", "company", "posted_at", R.raw_order(F.col("ingested_at"), F.col("id")), ["id"]
     )
+    # Joined and folded once: the nodes and the last join both read what is kept.
+    postings = stored(postings.select("id", "kid", "window", "title_k", "company_k", "ord"), "postings")
     assigned = R.assign_leaders(R.nodes(postings, False))
     return postings.select("id", "kid").join(assigned, "kid").select("id", "kid", "leader_kid")
 
