@@ -63,14 +63,18 @@ def publish(views: Mapping[str, DataFrame]) -> None:
 
 
 def materialise(
-    build: Callable[[Callable[[DataFrame, str], DataFrame]], Mapping[str, DataFrame]], root: str, views: Iterable[str] = ()
+    build: Mapping[str, DataFrame] | Callable[[Callable[[DataFrame, str], DataFrame]], Mapping[str, DataFrame]],
+    root: str,
+    views: Iterable[str] = (),
 ) -> dict[str, DataFrame]:
     """Staging models stay views; each other one is written, read back and named.
 
     ``build`` gets what keeps a model (see ``stored_in``) and returns the models, so each is built from
-    the written ones before it: what they share is computed, and broadcast, once.
+    the written ones before it: what they share is computed, and broadcast, once.  Models that are
+    planned already may be given as they are.
     """
-    stored = dict(build(stored_in(root, views)))
+    keep = stored_in(root, views)
+    stored = {name: keep(df, name) for name, df in build.items()} if isinstance(build, Mapping) else dict(build(keep))
     publish(stored)
     return stored
 
